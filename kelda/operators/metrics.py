@@ -243,7 +243,7 @@ def percentiles(
     )
     part = F.col("spot") - F.floor("spot")
     return ends.select(
-        group, "p", (F.col("_low") * (1 - part) + F.col("_high") * part).alias("value")
+        group, "p", (F.col("_low") + (F.col("_high") - F.col("_low")) * part).alias("value")
     )
 
 

@@ -225,9 +225,17 @@ def price_percentiles(spark, sf_dir):
     return plain(percentiles(lineitem, "l_returnflag", "l_extendedprice", POINTS))
 
 
+# By position rather than quantile_cont, whose last bit follows its own order of arithmetic.
 PERCENTILES_SQL = f"""
-WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, {POINTS}) AS v FROM lineitem GROUP BY 1)
-SELECT l_returnflag, unnest(CAST({POINTS} AS DOUBLE[])) AS p, unnest(v) AS value FROM q
+WITH r AS (
+  SELECT l_returnflag, l_extendedprice AS v,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS pos,
+         count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem),
+q AS (SELECT unnest(CAST({POINTS} AS DOUBLE[])) AS p),
+lo AS (SELECT l_returnflag, p, v, (n - 1) * p - floor((n - 1) * p) AS part FROM r, q WHERE pos = floor((n - 1) * p)),
+hi AS (SELECT l_returnflag, p, v FROM r, q WHERE pos = ceil((n - 1) * p))
+SELECT lo.l_returnflag, lo.p, lo.v + (hi.v - lo.v) * part AS value
+FROM lo JOIN hi ON lo.l_returnflag = hi.l_returnflag AND lo.p = hi.p
 """
 
 
