@@ -55,44 +55,6 @@ def attach_carry(
     return df.join(carried, [*keys, CHUNK], "left")
 
 
-def _pick(values: Sequence[str]) -> Column:
-    return F.struct(*[F.col(v) for v in values])
-
-
-def previous_row(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: Sequence[str],
-    prefix: str = "prev_",
-) -> DataFrame:
-    """``lag`` of ``values`` by key; ``df`` must have a chunk column."""
-    edge = F.max_by(_pick(values), F.struct(*order))
-    out = attach_carry(df, keys, {"_edge": edge}, {"_carry": lambda w: F.lag("_edge").over(w)})
-    return _with_neighbour(out, F.lag, keys, order, values, prefix)
-
-
-def next_row(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: Sequence[str],
-    prefix: str = "next_",
-) -> DataFrame:
-    """``lead`` of ``values`` by key; ``df`` must have a chunk column."""
-    edge = F.min_by(_pick(values), F.struct(*order))
-    out = attach_carry(df, keys, {"_edge": edge}, {"_carry": lambda w: F.lead("_edge").over(w)})
-    return _with_neighbour(out, F.lead, keys, order, values, prefix)
-
-
-def _with_neighbour(out, step, keys, order, values, prefix):
-    found = F.coalesce(step(_pick(values)).over(chunk_window(keys, order)), F.col("_carry"))
-    out = out.withColumn("_found", found)
-    return out.select(
-        "*", *[F.col(f"_found.{v}").alias(f"{prefix}{v}") for v in values]
-    ).drop("_found", "_carry")
-
-
 def last_known(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str
 ) -> DataFrame:
@@ -206,6 +168,20 @@ def as_of(
     return known.where("_side = 1").select("_row.*", out)
 
 
+def fill_days(daily: DataFrame, day: str = "day") -> DataFrame:
+    """Add the calendar days missing between a table's days; their other columns are null.
+
+    ``daily`` has one row per day, so a single window over all of it stays small.
+    """
+    rest = [c for c in daily.columns if c != day]
+    until = F.date_sub(F.lead(day).over(Window.orderBy(day)), 1)
+    days = F.sequence(F.col(day), F.coalesce("_until", day))
+    spread = daily.withColumn("_until", until).select("*", F.posexplode(days).alias("_place", "_day"))
+    return spread.select(
+        F.col("_day").alias(day), *[F.when(F.col("_place") == 0, F.col(c)).alias(c) for c in rest]
+    )
+
+
 def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
     """``ntile(tiles)`` from a position and the number of rows."""
     small = F.floor(rows / tiles)

@@ -12,6 +12,7 @@ from kelda.functions.ordered import (
     as_of,
     bucket_of,
     chunk_window,
+    fill_days,
     rank_in_buckets,
     running_sum,
     tile_of,
@@ -112,18 +113,27 @@ def active_users(ev: DataFrame, key: str, ts: str, days: Sequence[int]) -> DataF
             (F.least(F.date_add("day", n), F.col("_next")), -1),
         )
     ]
+    step = lambda n: F.when(F.col("m.n") == n, F.col("m.step"))
     net = (
         covered.select(F.explode(F.array(*moves)).alias("m"))
         .groupBy("m.day")
-        .agg(*[F.sum(F.when(F.col("m.n") == n, F.col("m.step"))).alias(f"_{n}") for n in days])
+        .agg(
+            F.max(F.when(F.col("m.step") == 1, F.col("m.day"))).alias("_active"),
+            *[F.sum(step(n)).alias(f"_{n}") for n in days],
+        )
     )
-    # From here on there is one row per calendar day.
-    span = ev.agg(F.to_date(F.min(ts)).alias("lo"), F.to_date(F.max(ts)).alias("hi"))
-    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    # From here on there is one row per calendar day; exits may lie past the last active one.
     so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return calendar.join(net, "day", "left").select(
-        "day",
-        *[F.coalesce(F.sum(f"_{n}").over(so_far), F.lit(0)).alias(f"active_{n}d") for n in days],
+    whole = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        fill_days(net)
+        .select(
+            "day",
+            *[F.coalesce(F.sum(f"_{n}").over(so_far), F.lit(0)).alias(f"active_{n}d") for n in days],
+            F.max("_active").over(whole).alias("_last"),
+        )
+        .where(F.col("day") <= F.col("_last"))
+        .drop("_last")
     )
 
 
@@ -135,13 +145,11 @@ def lifecycle(ev: DataFrame, key: str, ts: str, lapse_days: int) -> DataFrame:
     without activity, if the data reaches that far.
     """
     by_day = _by_day(key)
-    last_day = ev.agg(F.to_date(F.max(ts)).alias("_last_day"))
+    last_day = ev.agg(F.to_date(F.max(ts))).scalar()
     seen = (
         user_days(ev, key, ts)
         .withColumn("_prev", F.lag("day").over(by_day))
         .withColumn("_next", F.lead("day").over(by_day))
-        # One row.
-        .join(F.broadcast(last_day), F.lit(True))
     )
     active = (
         F.when(F.col("_prev").isNull(), "new")
@@ -150,7 +158,7 @@ def lifecycle(ev: DataFrame, key: str, ts: str, lapse_days: int) -> DataFrame:
     )
     lapse = F.date_add("day", lapse_days)
     lapses = F.when(
-        F.col("_next").isNull(), lapse <= F.col("_last_day")
+        F.col("_next").isNull(), lapse <= last_day
     ).otherwise(F.col("_next") > lapse)
     states = F.array(
         F.struct(F.col("day").alias("day"), active.alias("state")),
@@ -314,39 +322,39 @@ def rfm(
         "f": F.col("frequency").cast(wide),
         "m": F.col("monetary").cast(wide),
     }
+    # One row, used as a constant of the query.
     span = per_key.agg(
-        F.count("*").alias("_rows"),
-        F.min(key).alias("_klo"),
-        F.max(key).alias("_khi"),
-        *[F.min(v).alias(f"_{n}lo") for n, v in values.items()],
-        *[F.max(v).alias(f"_{n}hi") for n, v in values.items()],
-    )
-    part = bucket_of(F.col(key), F.col("_klo"), F.col("_khi"), buckets)
+        F.struct(
+            F.count("*").alias("rows"),
+            F.min(key).alias("k_lo"),
+            F.max(key).alias("k_hi"),
+            *[F.min(v).alias(f"{n}_lo") for n, v in values.items()],
+            *[F.max(v).alias(f"{n}_hi") for n, v in values.items()],
+        )
+    ).scalar()
+    part = bucket_of(F.col(key), span["k_lo"], span["k_hi"], buckets)
     measures = F.array(
         *[
             F.struct(
                 F.lit(n).alias("measure"),
                 v.alias("value"),
-                bucket_of(v, F.col(f"_{n}lo"), F.col(f"_{n}hi"), buckets).alias("bucket"),
+                bucket_of(v, span[f"{n}_lo"], span[f"{n}_hi"], buckets).alias("bucket"),
             )
             for n, v in values.items()
         ]
     )
-    stacked = (
-        # One row of totals.
-        per_key.join(F.broadcast(span), F.lit(True))
-        .select("*", part.alias("_part"), F.explode(measures).alias("_m"))
-        .select(
-            key,
-            "recency_days",
-            "frequency",
-            "monetary",
-            "_rows",
-            "_part",
-            F.col("_m.measure").alias("_measure"),
-            F.col("_m.value").alias("_value"),
-            F.col("_m.bucket").alias(CHUNK),
-        )
+    stacked = per_key.select(
+        "*", part.alias("_part"), span["rows"].alias("_rows"), F.explode(measures).alias("_m")
+    ).select(
+        key,
+        "recency_days",
+        "frequency",
+        "monetary",
+        "_rows",
+        "_part",
+        F.col("_m.measure").alias("_measure"),
+        F.col("_m.value").alias("_value"),
+        F.col("_m.bucket").alias(CHUNK),
     )
     ranked = rank_in_buckets(stacked, ["_measure"], "_value", key, "_part", "_rank")
     tile = tile_of(F.col("_rank"), F.col("_rows"), 5)
@@ -398,10 +406,8 @@ def peak_concurrency(iv: DataFrame, start: str, end: str, grain: str = "hour") -
         F.min(F.col("at")).alias("_first"),
     )
     # One row per calendar day from here on.
-    span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    filled = calendar.join(daily, "day", "left").withColumn(
+    filled = fill_days(daily).withColumn(
         "_carried", F.coalesce(F.sum("_net").over(before), F.lit(0))
     )
     # What was open overnight counts unless the first move is at midnight itself.

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelda.functions.keys import key_hash
-from kelda.functions.ordered import CHUNK, as_of, next_row, previous_row, with_chunk
+from kelda.functions.ordered import CHUNK, as_of, chunk_window, with_chunk
 
 OPEN_END = datetime(9999, 12, 31)
 
@@ -59,21 +59,50 @@ def scd2_build(
 
     Of changes at the same instant the one with the highest ``tie`` counts.
     """
-    settled = (
-        changes.groupBy(F.col(key), F.col(ts).alias("valid_from"))
-        .agg(F.max_by(F.struct(*attrs), tie).alias("_attrs"))
+    settled = with_chunk(
+        changes.groupBy(F.col(key), F.col(ts).alias("valid_from")).agg(
+            F.max_by(F.struct(*attrs), tie).alias("_attrs")
+        ),
+        "valid_from",
+        grain,
     )
-    chunked = with_chunk(settled, "valid_from", grain)
-    seen = previous_row(
-        chunked.withColumn("_one", F.lit(True)), [key], ["valid_from"], ["_attrs", "_one"]
+    order = chunk_window([key], ["valid_from"])
+    # Inside a chunk every row but the first knows whether it changes anything.
+    local = settled.withColumn("_head", F.row_number().over(order) == 1).withColumn(
+        "_moved", ~F.col("_attrs").eqNullSafe(F.lag("_attrs").over(order)) & ~F.col("_head")
+    )
+    by_key = Window.partitionBy(key).orderBy(CHUNK)
+    follows = F.lag(F.lit(True)).over(by_key).isNotNull()
+    same = F.col("_head_attrs").eqNullSafe(F.lag("_last_attrs").over(by_key))
+    chunks = (
+        local.groupBy(key, CHUNK)
+        .agg(
+            F.min("valid_from").alias("_first"),
+            F.min_by("_attrs", "valid_from").alias("_head_attrs"),
+            F.max_by("_attrs", "valid_from").alias("_last_attrs"),
+            F.min(F.when(F.col("_moved"), F.col("valid_from"))).alias("_first_moved"),
+        )
+        .withColumn("_head_moved", ~(follows & same))
+        .withColumn(
+            "_change", F.when(F.col("_head_moved"), F.col("_first")).otherwise(F.col("_first_moved"))
+        )
+        .withColumn(
+            "_next_change",
+            F.first("_change", ignorenulls=True).over(
+                by_key.rowsBetween(1, Window.unboundedFollowing)
+            ),
+        )
+        .select(key, CHUNK, "_head_moved", "_next_change")
+    )
+    changed = local.join(chunks, [key, CHUNK]).where(
+        (F.col("_head") & F.col("_head_moved")) | F.col("_moved")
     )
-    changed = seen.where(
-        F.col("prev__one").isNull() | ~F.col("_attrs").eqNullSafe(F.col("prev__attrs"))
-    ).select(key, CHUNK, "valid_from", "_attrs")
-    closed = next_row(changed, [key], ["valid_from"], ["valid_from"])
     end = F.lit(OPEN_END).cast(changes.schema[ts].dataType)
-    return closed.select(
-        key, "_attrs.*", "valid_from", F.coalesce("next_valid_from", end).alias("valid_to")
+    return changed.select(
+        key,
+        "_attrs.*",
+        "valid_from",
+        F.coalesce(F.lead("valid_from").over(order), "_next_change", end).alias("valid_to"),
     )
 
 

@@ -30,7 +30,7 @@ def wide_fact(
 def periodic_snapshot(
     fact: DataFrame,
     entities: DataFrame,
-    months: tuple[Column, Column] | DataFrame,
+    months: tuple[Column, Column],
     key: str,
     entity_key: str,
     ts: str,
@@ -38,36 +38,22 @@ def periodic_snapshot(
 ) -> DataFrame:
     """One row per entity and month, months without activity included, with a running balance.
 
-    ``months`` is a one-row frame (first_month, last_month) or a pair of date columns.
-    Facts are summed per entity and month first, so each entity's window holds one row per
+    ``months`` are the first day of the first and of the last month. Facts are summed per entity and month first, so each entity's window holds one row per
     month. Calendar rows are generated next to each entity instead of cross-joined. Activity before
     the first month counts towards the balance; activity after the last does not appear.
     """
     monthly = fact.groupBy(F.col(key).alias(entity_key), month_start(ts).alias("_month")).agg(
         F.count("*").alias("_n"), F.sum(measure).alias("_amount")
     )
-    if isinstance(months, DataFrame):
-        first, last = F.col("first_month"), F.col("last_month")
-        # A frame of one row by contract.
-        spanned = entities.select(entity_key).join(F.broadcast(months.limit(1)), F.lit(True))
-    else:
-        first, last = months
-        spanned = entities.select(entity_key)
-    grid = spanned.select(
-        entity_key,
-        first.alias("_first"),
-        F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("month"),
-    )
+    first, last = months
+    calendar = F.sequence(first, last, F.expr("interval 1 month"))
+    grid = entities.select(entity_key, F.explode(calendar).alias("month"))
     # Earlier activity is moved to the first month as an opening amount.
-    bounds = grid.select(entity_key, "_first").distinct()
-    placed = (
-        monthly.join(bounds, entity_key)
-        .groupBy(entity_key, F.greatest("_month", "_first").alias("month"))
-        .agg(
-            F.sum(F.when(F.col("_month") >= F.col("_first"), F.col("_n"))).alias("_n"),
-            F.sum(F.when(F.col("_month") >= F.col("_first"), F.col("_amount"))).alias("_amount"),
-            F.sum("_amount").alias("_with_opening"),
-        )
+    inside = F.col("_month") >= first
+    placed = monthly.groupBy(entity_key, F.greatest("_month", first).alias("month")).agg(
+        F.sum(F.when(inside, F.col("_n"))).alias("_n"),
+        F.sum(F.when(inside, F.col("_amount"))).alias("_amount"),
+        F.sum("_amount").alias("_with_opening"),
     )
     filled = grid.join(placed, [entity_key, "month"], "left")
     so_far = Window.partitionBy(entity_key).orderBy("month").rowsBetween(

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kelda.functions.ordered import CHUNK, attach_carry, bucket_of, running_sum
-from kelda.functions.times import day_number
+from kelda.functions.ordered import CHUNK, bucket_of, running_sum
+from kelda.sources.landing import publish
+from kelda.sources.scratch import scratch_path
 
 GRAINS = ("year", "quarter", "month", "week", "day", "hour")
 
@@ -173,13 +174,17 @@ def percentiles(
     ps: Sequence[float],
     exact: bool = True,
     buckets: int = 1024,
+    task_rows: int = 1_000_000,
 ) -> DataFrame:
     """Percentiles per group as one row per (group, p); exact ones interpolate linearly.
 
     The built-in exact ``percentile`` keeps all distinct values of a group in one task's
-    memory. Here values are counted per group, the counts are summed over equal-width
-    value ranges, and only the ranges that hold a wanted position are ranked. The
-    approximate form is a sketch of bounded size.
+    memory. Here a group's value range is cut into equal cells; their row counts tell which
+    cells hold the wanted positions, and only those are looked into further. A cell with more than
+    ``task_rows`` rows is cut again, so heavy tails do not end up in one task either. Only
+    then are values ordered, cell by cell. Cells are written out between the steps, so Spark
+    knows their size and broadcasts them only if small. The approximate form is a sketch of
+    bounded size.
     """
     if not exact:
         sketch = df.groupBy(group).agg(
@@ -189,61 +194,72 @@ def percentiles(
         return sketch.select(group, F.explode(wanted).alias("_z")).select(
             group, F.col("_z.p").alias("p"), F.col("_z.v").alias("value")
         )
-    present = df.where(F.col(col).isNotNull()).select(group, F.col(col).alias("_value"))
-    counts = present.groupBy(group, "_value").agg(F.count("*").alias("_n"))
-    spans = present.groupBy(group).agg(
-        F.min("_value").alias("_lo"), F.max("_value").alias("_hi"), F.count("*").alias("_rows")
+    store = lambda frame: publish(frame, scratch_path(df.sparkSession, "cells"))
+    rows = df.where(F.col(col).isNotNull()).select(
+        group, F.col(col).alias("_value"), F.lit(0).cast("bigint").alias("_cell")
     )
-    placed = counts.join(spans, group).withColumn(
-        CHUNK, bucket_of(F.col("_value"), F.col("_lo"), F.col("_hi"), buckets)
+    in_cell = [
+        F.count("*").alias("_in"),
+        F.min("_value").alias("_lo"),
+        F.max("_value").alias("_hi"),
+    ]
+    spot = (F.col("_in") - 1) * F.col("p")
+    # A position between two rows needs both; positions count from 0 within the cell.
+    ends = F.array(
+        F.struct(F.lit("low").alias("end"), F.floor(spot).alias("place")),
+        F.struct(F.lit("high").alias("end"), F.ceil(spot).alias("place")),
     )
-    earlier = (Window.unboundedPreceding, -1)
-    ranged = attach_carry(
-        placed.drop("_lo", "_hi"),
-        [group],
-        {"_sum": F.sum("_n")},
-        {
-            "_before": lambda w: F.coalesce(F.sum("_sum").over(w.rowsBetween(*earlier)), F.lit(0)),
-            "_in": lambda w: F.col("_sum"),
-        },
+    wanted = (
+        store(rows.groupBy(group, "_cell").agg(*in_cell))
+        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in ps])))
+        .select("*", (spot - F.floor(spot)).alias("part"), F.explode(ends).alias("e"))
+        .select(group, "_cell", "_in", "_lo", "_hi", "p", "part", "e.*")
     )
-    spots = F.array(
-        *[
-            F.struct(F.lit(float(p)).alias("p"), (F.col("_rows") - 1) * F.lit(float(p)))
-            for p in ps
-        ]
-    ).cast("array<struct<p:double,spot:double>>")
-    # Positions count from 0; a range takes part if it holds the row at or after a spot.
-    needed = F.exists(
-        spots,
-        lambda s: (F.ceil(s["spot"]) >= F.col("_before"))
-        & (F.floor(s["spot"]) < F.col("_before") + F.col("_in")),
+    before = F.sum("_in").over(
+        Window.partitionBy(group, "_cell").orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
     )
+    # Each round divides by the number of cells; the numbering has room for five.
+    for _ in range(5):
+        largest = wanted.where("_lo < _hi").agg(F.max("_in")).first()[0]
+        if (largest or 0) <= task_rows:
+            break
+        cells = wanted.select(group, "_cell", "_lo", "_hi").distinct()
+        place = bucket_of(F.col("_value"), F.col("_lo"), F.col("_hi"), buckets)
+        cut = rows.join(cells, [group, "_cell"]).select(
+            group, "_value", "_cell", (F.col("_cell") * buckets + place).alias("_next")
+        )
+        counted = cut.groupBy(group, "_cell", "_next").agg(*in_cell)
+        counted = counted.withColumn("_before", F.coalesce(before, F.lit(0)))
+        inside = F.col("place").between(F.col("_before"), F.col("_before") + F.col("_in") - 1)
+        wanted = store(
+            wanted.drop("_in", "_lo", "_hi")
+            .join(counted, [group, "_cell"])
+            .where(inside)
+            .withColumns({"place": F.col("place") - F.col("_before"), "_cell": F.col("_next")})
+            .drop("_before", "_next")
+        )
+        rows = cut.select(group, "_value", F.col("_next").alias("_cell"))
     upto = F.sum("_n").over(
-        Window.partitionBy(group, CHUNK)
+        Window.partitionBy(group, "_cell")
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = (
-        ranged.where(needed)
-        .withColumn("_end", F.col("_before") + upto)
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-        .select(group, "_value", "_start", "_end", F.explode(spots).alias("_s"))
-        .select(group, "_value", "_start", "_end", "_s.p", "_s.spot")
+    values = (
+        rows.join(wanted.select(group, "_cell").distinct(), [group, "_cell"], "left_semi")
+        .groupBy(group, "_cell", "_value")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_end", upto)
     )
-    holds = lambda place: (place >= F.col("_start")) & (place < F.col("_end"))
-    low, high = F.floor("spot"), F.ceil("spot")
-    ends = (
-        ranked.where(holds(low) | holds(high))
-        .groupBy(group, "p", "spot")
-        .agg(
-            F.max(F.when(holds(low), F.col("_value").cast("double"))).alias("_low"),
-            F.max(F.when(holds(high), F.col("_value").cast("double"))).alias("_high"),
-        )
+    at = F.col("place").between(F.col("_end") - F.col("_n"), F.col("_end") - 1)
+    side = lambda name: F.max(F.when(F.col("end") == name, F.col("_value").cast("double")))
+    found = (
+        values.join(wanted, [group, "_cell"])
+        .where(at)
+        .groupBy(group, "p", "part")
+        .agg(side("low").alias("_low"), side("high").alias("_high"))
     )
-    part = F.col("spot") - F.floor("spot")
-    return ends.select(
-        group, "p", (F.col("_low") + (F.col("_high") - F.col("_low")) * part).alias("value")
+    return found.select(
+        group, "p", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("part")).alias("value")
     )
 
 

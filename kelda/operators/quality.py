@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kelda.functions.ordered import fill_days
+
 
 def _result(df: DataFrame, table: str, rule: str, bad: Column, total: Column) -> DataFrame:
     return df.agg(
@@ -105,11 +107,7 @@ def daily_volume(df: DataFrame, ts: str, days: int) -> DataFrame:
     why a single window over all of them is harmless.
     """
     daily = df.groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias("_n"))
-    span = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    filled = calendar.join(daily, "day", "left").select(
-        "day", F.coalesce("_n", F.lit(0)).alias("n")
-    )
+    filled = fill_days(daily).select("day", F.coalesce("_n", F.lit(0)).alias("n"))
     before = Window.orderBy("day").rowsBetween(-days, -1)
     counted = filled.select(
         "day",

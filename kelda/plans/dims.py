@@ -15,6 +15,8 @@ from kelda.operators.dims import (
     unknown_member,
 )
 from kelda.plans.common import plain, sql_date, sql_time, tables
+from kelda.sources.landing import publish
+from kelda.sources.scratch import scratch_path
 
 
 def calendar_of_orders(spark, sf_dir):
@@ -108,7 +110,7 @@ def priority_history_merge(spark, sf_dir):
     (orders,) = tables(spark, sf_dir, "orders")
     late = F.col("o_orderstatus") == "P"
     log = orders.where(~late)
-    dim = scd2_build(log, *HISTORY_ARGS)
+    dim = publish(scd2_build(log, *HISTORY_ARGS), scratch_path(spark, "history"))
     return plain(scd2_merge(dim, log, orders.where(late), *HISTORY_ARGS))
 
 
@@ -118,7 +120,8 @@ def line_priority_as_of(spark, sf_dir):
     fact = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "o_custkey"
     )
-    history = scd2_build(orders, *HISTORY_ARGS)
+    # A dimension is a stored table by the time facts look things up in it.
+    history = publish(scd2_build(orders, *HISTORY_ARGS), scratch_path(spark, "history"))
     found = dim_as_of(fact, history, "o_custkey", "l_shipdate")
     return plain(
         found.groupBy("o_custkey", "o_orderpriority", "valid_from").agg(

@@ -73,9 +73,8 @@ GROUP BY 1, 2
 
 def customer_month_balance(spark, sf_dir):
     orders, customer = tables(spark, sf_dir, "orders", "customer")
-    months = orders.agg(
-        F.min(month_start("o_orderdate")).alias("first_month"),
-        F.max(month_start("o_orderdate")).alias("last_month"),
+    months = tuple(
+        orders.agg(month_start(bound("o_orderdate"))).scalar() for bound in (F.min, F.max)
     )
     return plain(
         periodic_snapshot(
@@ -123,12 +122,9 @@ def idle_customer_quarters(spark, sf_dir):
     """Customer and quarter combinations without an order."""
     orders, customer = tables(spark, sf_dir, "orders", "customer")
     quarter = F.to_date(F.date_trunc("quarter", "o_orderdate"))
-    span = orders.agg(F.min(quarter).alias("lo"), F.max(quarter).alias("hi"))
-    quarters = F.sequence("lo", "hi", F.expr("interval 3 months"))
-    # One row of bounds, from which each customer's quarters are generated.
-    expected = customer.join(F.broadcast(span), F.lit(True)).select(
-        "c_custkey", F.explode(quarters).alias("quarter")
-    )
+    first, last = (orders.agg(bound(quarter)).scalar() for bound in (F.min, F.max))
+    quarters = F.sequence(first, last, F.expr("interval 3 months"))
+    expected = customer.select("c_custkey", F.explode(quarters).alias("quarter"))
     seen = orders.select(F.col("o_custkey").alias("c_custkey"), quarter.alias("quarter"))
     return plain(coverage_gap(expected, seen, ["c_custkey", "quarter"]))
 

@@ -13,6 +13,7 @@ from kelda.functions.times import micros
 from kelda.operators.dims import flatten_dim, scd2_build
 from kelda.plans.common import plain, sql_date, sql_time, tables
 from kelda.plans.dims import HISTORY_CTE
+from kelda.sources.landing import publish
 from kelda.sources.scratch import scratch_path
 from kelda.sources.tables import money, schema_of
 from kelda.streaming import joins, sinks, state, windows
@@ -201,7 +202,10 @@ def stream_enrich_as_of(spark, sf_dir):
         "o_orderkey",
         F.timestamp_micros(micros("o_orderdate") + SHIFT_DAYS * 86_400_000_000).alias("at"),
     )
-    history = scd2_build(moved, "user_id", ["o_orderpriority"], "at", "o_orderkey")
+    history = publish(
+        scd2_build(moved, "user_id", ["o_orderpriority"], "at", "o_orderkey"),
+        scratch_path(spark, "history"),
+    )
     events = _events(spark, sf_dir).select("event_id", "user_id", "ts")
     path = scratch_path(spark, "enrich-as-of")
     sinks.run(sinks.enrich_as_of(events, history, "user_id", "ts", path), f"{path}-checkpoint")

@@ -94,14 +94,16 @@ def outcomes(
     within: str,
     delay: str,
     chunk: str = "1 day",
+    slots: int = 64,
 ) -> DataFrame:
     """Every A event with the time of the first B of its key within T after it, or null.
 
-    State is per key and chunk of time (never shorter than T): an A belongs to its chunk, a
-    B also to the chunk before if it comes early enough to answer an A there. A chunk is
-    settled when the watermark has passed its end by T, and its state is dropped. A busy
-    key is thus spread over chunks, and no state outlives chunk + T + delay. B must come
-    strictly later than A.
+    State is per slot of keys and chunk of time (never shorter than T): an A belongs to its
+    chunk, a B also to the chunk before if it comes early enough to answer an A there. A
+    chunk is settled when the watermark has passed its end by T, and its state is dropped: no
+    state outlives chunk + T + delay, and a busy key is spread over chunks. ``slots``, about
+    the number of state partitions, must not change during the life of a checkpoint. B must
+    come strictly later than A; keys must not be null.
     """
     limit = seconds(within) * 1_000_000
     width = max(seconds(chunk) * 1_000_000, limit)
@@ -111,73 +113,88 @@ def outcomes(
     places = F.when(early, F.array(own, own - 1)).otherwise(F.array(own))
     rows = (
         df.withWatermark(ts, delay)
-        .where(F.col(type).isin(a, b))
-        # The time column stays: Spark drops late rows by it.
-        .select(key, ts, at.alias("at"), F.col(id).alias("id"), (F.col(type) == a).alias("is_a"), own.alias("own"), places.alias("places"))
-        .select(key, ts, "at", "id", "is_a", "own", F.explode("places").alias("chunk"))
+        .where(F.col(type).isin(a, b) & F.col(key).isNotNull())
+        .select(
+            # The time column stays: Spark drops late rows by it.
+            ts,
+            F.pmod(F.xxhash64(key), F.lit(slots)).alias("slot"),
+            F.col(key).alias("key"),
+            at.alias("at"),
+            F.col(id).alias("id"),
+            (F.col(type) == a).alias("is_a"),
+            (F.col(type) == b).alias("is_b"),
+            own.alias("own"),
+            F.explode(places).alias("chunk"),
+        )
     )
     schema = T.StructType(
         [
-            T.StructField(key, df.schema[key].dataType),
-            T.StructField("a_id", T.LongType()),
+            T.StructField("key", df.schema[key].dataType),
+            T.StructField("a_id", df.schema[id].dataType),
             T.StructField("a_at", T.LongType()),
             T.StructField("b_at", T.LongType()),
         ]
     )
-    settled = rows.groupBy(key, "chunk").transformWithStateInPandas(
-        _matcher(key, width, limit, a == b), schema, "Append", "EventTime"
+    settled = rows.groupBy("slot", "chunk").transformWithStateInPandas(
+        _matcher(width, limit), schema, "Append", "EventTime"
     )
     return settled.select(
-        key,
+        F.col("key").alias(key),
         "a_id",
         F.timestamp_micros("a_at").alias("a_ts"),
         F.timestamp_micros("b_at").alias("b_ts"),
     )
 
 
-def _matcher(key_name: str, width: int, limit: int, same: bool):
+def _matcher(width: int, limit: int):
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class Matcher(StatefulProcessor):
-        """Collects a chunk's times as packed arrays, one state entry per incoming block."""
+        """Keeps a chunk's events as they come, one Arrow block per state entry."""
 
         def init(self, handle):
             self.handle = handle
-            self.blocks = handle.getListState("blocks", "a binary, ids binary, b binary")
+            self.blocks = handle.getListState("blocks", "block binary")
 
         def handleInputRows(self, key, rows, timer_values):
+            import pyarrow as pa
+
             chunk = int(key[1])
-            added = []
+            if not self.blocks.exists():
+                self.handle.registerTimer(((chunk + 1) * width + limit) // 1000 + 1)
             for block in rows:
-                # An A of the next chunk can only be here as a possible answer (a == b).
-                start = block["is_a"] & (block["own"] == chunk)
-                answer = block["is_a"] if same else ~block["is_a"]
-                added.append(
-                    (
-                        block.loc[start, "at"].to_numpy("int64").tobytes(),
-                        block.loc[start, "id"].to_numpy("int64").tobytes(),
-                        block.loc[answer, "at"].to_numpy("int64").tobytes(),
-                    )
+                block["is_a"] &= block["own"] == chunk
+                packed = pa.RecordBatch.from_pandas(
+                    block[["key", "at", "id", "is_a", "is_b"]], preserve_index=False
                 )
-            if not self.blocks.exists():
-                due = ((chunk + 1) * width + limit) // 1000 + 1
-                self.handle.registerTimer(due)
-            self.blocks.appendList(added)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, packed.schema) as writer:
+                    writer.write_batch(packed)
+                self.blocks.appendValue((sink.getvalue().to_pybytes(),))
             return iter([])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            import numpy as np
             import pandas as pd
+            import pyarrow as pa
 
-            blocks = list(self.blocks.get())
+            read = [pa.ipc.open_stream(entry[0]).read_pandas() for entry in self.blocks.get()]
             self.blocks.clear()
-            unpack = lambda i: np.concatenate([np.frombuffer(x[i], "int64") for x in blocks])
-            a, ids, b = unpack(0), unpack(1), np.sort(unpack(2))
-            place = np.searchsorted(b, a, side="right")
-            found = np.append(b, np.iinfo("int64").max)[place]
-            if len(a):
-                b_at = pd.arrays.IntegerArray(found, found - a > limit)
-                yield pd.DataFrame({key_name: key[0], "a_id": ids, "a_at": a, "b_at": b_at})
+            events = pd.concat(read).sort_values("at", kind="stable")
+            starts = events.loc[events["is_a"], ["key", "id", "at"]]
+            answers = events.loc[events["is_b"], ["key", "at"]].assign(b_at=lambda e: e["at"])
+            if len(starts):
+                found = pd.merge_asof(
+                    starts,
+                    answers.astype({"b_at": "Int64"}),
+                    on="at",
+                    by="key",
+                    direction="forward",
+                    allow_exact_matches=False,
+                    tolerance=limit,
+                )
+                yield found.rename(columns={"id": "a_id", "at": "a_at"})[
+                    ["key", "a_id", "a_at", "b_at"]
+                ]
 
         def close(self):
             pass
@@ -185,15 +202,14 @@ def _matcher(key_name: str, width: int, limit: int, same: bool):
     return Matcher()
 
 
-def followed_by(df: DataFrame, key: str, ts: str, id: str, type: str, a: str, b: str, within: str, delay: str, chunk: str = "1 day") -> DataFrame:
-    """A events that a B of the same key followed within T, with the first such B's time."""
-    return outcomes(df, key, ts, id, type, a, b, within, delay, chunk).where("b_ts is not null")
+def followed_by(df: DataFrame, *args, **options) -> DataFrame:
+    """A events that a B of the same key followed within T, with the first such B's time.
 
+    Arguments as for ``outcomes``.
+    """
+    return outcomes(df, *args, **options).where("b_ts is not null")
 
-def not_followed_by(df: DataFrame, key: str, ts: str, id: str, type: str, a: str, b: str, within: str, delay: str, chunk: str = "1 day") -> DataFrame:
-    """A events that no B of the same key followed within T."""
-    return (
-        outcomes(df, key, ts, id, type, a, b, within, delay, chunk)
-        .where("b_ts is null")
-        .drop("b_ts")
-    )
+
+def not_followed_by(df: DataFrame, *args, **options) -> DataFrame:
+    """A events that no B of the same key followed within T; arguments as for ``outcomes``."""
+    return outcomes(df, *args, **options).where("b_ts is null").drop("b_ts")
