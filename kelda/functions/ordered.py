@@ -1,14 +1,15 @@
 """Per-key ordered computations that no single key can overload.
 
-A plain window over ``partitionBy(key)`` puts all rows of a key into one task, which
-fails when one key owns a third of the table. Here a key's rows are cut into chunks of
-time, each (key, chunk) is a window partition of its own, and what a chunk needs to know
-about its predecessors is carried over from one summary row per (key, chunk). The
-summaries are pre-aggregated map-side; the window that strings them together sees at most
-one row per key and chunk, whatever the number of rows.
-
-Choose the grain so that the busiest key's chunk fits one task. Keys and times must not be
-null: a null key's rows are kept, but its chunks do not see each other.
+A window over ``partitionBy(key)`` puts all rows of a key into one task, which fails when
+one key owns a third of the table. So keys are counted first, and the rows of those with
+more than ``busy`` rows are cut into chunks of time: each (key, chunk) is a window partition
+of its own, and what a chunk needs to know about its predecessors is carried over from one
+summary row per chunk. All other keys go through the plain window. If no key is busy, the
+plan is the plain window and nothing else.
+
+The busy keys are at most rows / ``busy`` in number and are written out before use, so that
+Spark knows their size and broadcasts them only if small. Choose the grain so that the
+busiest key's chunk fits one task. Keys and times must not be null.
 """
 
 from __future__ import annotations
@@ -18,16 +19,44 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from kelda.sources.landing import publish
+from kelda.sources.scratch import scratch_path
+
 CHUNK = "_chunk"
+# Rows of one key a task sorts with ease.
+BUSY = 1_000_000
+
+
+def chunk_busy(df: DataFrame, keys: Sequence[str], chunk: Column, busy: int = BUSY) -> DataFrame:
+    """Add the chunk column if any key has more than ``busy`` rows; null for all other keys.
+
+    ``chunk`` must never fall as a key's order rises.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > busy)
+    hot = publish(
+        counted.select(*keys, F.lit(True).alias("_busy")), scratch_path(df.sparkSession, "busy")
+    )
+    if hot.isEmpty():
+        return df
+    marked = df.join(hot, list(keys), "left")
+    return marked.withColumn(CHUNK, F.when(F.col("_busy"), chunk)).drop("_busy")
 
 
-def with_chunk(df: DataFrame, ts: str, grain: str) -> DataFrame:
-    """Add the chunk of a time column; ``grain`` is a ``date_trunc`` unit."""
-    return df.withColumn(CHUNK, F.date_trunc(grain, F.col(ts)))
+def chunk_time(
+    df: DataFrame, keys: Sequence[str], ts: str, grain: str, busy: int = BUSY
+) -> DataFrame:
+    """Chunk busy keys by a ``date_trunc`` unit of their time column."""
+    return chunk_busy(df, keys, F.date_trunc(grain, F.col(ts)), busy)
+
 
+def is_chunked(df: DataFrame) -> bool:
+    return CHUNK in df.columns
 
-def chunk_window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+
+def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    """Window by key, and by chunk where there are chunks."""
+    chunk = [CHUNK] if is_chunked(df) else []
+    return Window.partitionBy(*keys, *chunk).orderBy(*order)
 
 
 def attach_carry(
@@ -35,16 +64,16 @@ def attach_carry(
     keys: Sequence[str],
     summary: dict[str, Column],
     carries: dict[str, Callable[[WindowSpec], Column]],
-    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Add to each row what its chunk takes over from the key's other chunks.
+    """Add to each row what its chunk takes over from the key's other chunks; null if nothing.
 
     ``summary`` are aggregates per (key, chunk), ``carries`` are expressions over those
-    aggregates in a window by key in chunk order. ``source`` is what to summarise where
-    that is not ``df`` itself.
+    aggregates in a window by key in chunk order.
     """
+    if not is_chunked(df):
+        return df.withColumns({name: F.lit(None) for name in carries})
     per_chunk = (
-        (source if source is not None else df)
+        df.where(F.col(CHUNK).isNotNull())
         .groupBy(*keys, CHUNK)
         .agg(*[agg.alias(name) for name, agg in summary.items()])
     )
@@ -60,19 +89,15 @@ def last_known(
 ) -> DataFrame:
     """The latest non-null ``value`` up to and including each row."""
     edge = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+    before = (Window.unboundedPreceding, -1)
     carried = attach_carry(
         df,
         keys,
         {"_edge": edge},
-        {
-            "_carry": lambda w: F.last("_edge", ignorenulls=True).over(
-                w.rowsBetween(Window.unboundedPreceding, -1)
-            )
-        },
-    )
-    within = F.last(value, ignorenulls=True).over(
-        chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+        {"_carry": lambda w: F.last("_edge", ignorenulls=True).over(w.rowsBetween(*before))},
     )
+    so_far = ordered(df, keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    within = F.last(value, ignorenulls=True).over(so_far)
     return carried.withColumn(out, F.coalesce(within, "_carry")).drop("_carry")
 
 
@@ -85,21 +110,22 @@ def running_sum(
     total: str | None = None,
 ) -> DataFrame:
     """Sum of ``value`` up to each row of its key, and on request the key's total."""
-    before = (Window.unboundedPreceding, -1)
-    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
-    carries = {"_carry": lambda w: F.sum("_sum").over(w.rowsBetween(*before))}
-    if total:
-        carries["_total"] = lambda w: F.sum("_sum").over(w.rowsBetween(*everything))
-    carried = attach_carry(df, keys, {"_sum": F.sum(value)}, carries)
-    within = F.sum(value).over(
-        chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    sums = {"_sum": F.sum(value)}
+    carries = {
+        "_carry": lambda w: F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        "_total": lambda w: F.sum("_sum").over(
+            w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ),
+    }
+    carried = attach_carry(df, keys, sums, carries)
+    by_order = ordered(df, keys, order)
+    within = F.sum(value).over(by_order.rowsBetween(Window.unboundedPreceding, 0))
     # A side without non-null values adds nothing; both sides empty stays null.
-    running = F.coalesce(within + F.col("_carry"), within, F.col("_carry"))
-    carried = carried.withColumn(out, running)
+    added = {out: F.coalesce(within + F.col("_carry"), within, F.col("_carry"))}
     if total:
-        carried = carried.withColumn(total, F.col("_total"))
-    return carried.drop("_carry", "_total")
+        everything = by_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        added[total] = F.coalesce("_total", F.sum(value).over(everything))
+    return carried.withColumns(added).drop("_carry", "_total")
 
 
 def bucket_of(value: Column, low: Column, high: Column, buckets: int) -> Column:
@@ -107,9 +133,10 @@ def bucket_of(value: Column, low: Column, high: Column, buckets: int) -> Column:
 
     Depends only on exact minimum and maximum, so a recomputed task gives the same answer.
     """
-    width = (high.cast("double") - low.cast("double")) / F.lit(float(buckets))
-    place = F.floor((value.cast("double") - low.cast("double")) / width)
-    return F.when(width > 0, F.least(place, F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    low = low.cast("double")
+    width = (high.cast("double") - low) / F.lit(float(buckets))
+    place = F.floor((value.cast("double") - low) / F.nullif(width, F.lit(0.0)))
+    return F.coalesce(F.least(place, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
 def rank_in_buckets(
@@ -117,8 +144,8 @@ def rank_in_buckets(
 ) -> DataFrame:
     """Position of each row of its key, from 1, by ``value`` and then a unique ``tie``.
 
-    For keys with too many rows for one window. ``df`` has a chunk column that rises with
-    ``value``, and ``part`` rises with ``tie`` (see ``bucket_of``). Rows are counted per
+    For few keys with too many rows for one window. ``df`` has a chunk column that rises
+    with ``value``, and ``part`` rises with ``tie`` (see ``bucket_of``). Rows are counted per
     (value, part), which also splits a value that many rows share; the counts are summed up
     in order; and rows are only ranked inside their own (value, part).
     """
@@ -133,6 +160,18 @@ def rank_in_buckets(
     )
 
 
+def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
+    """``ntile(tiles)`` from a position and the number of rows."""
+    small = F.floor(rows / tiles)
+    extra = rows % tiles
+    in_large = extra * (small + 1)
+    return (
+        F.when(rank <= in_large, F.ceil(rank / (small + 1)))
+        .otherwise(extra + F.ceil((rank - in_large) / F.greatest(small, F.lit(1))))
+        .cast("int")
+    )
+
+
 def as_of(
     left: DataFrame,
     right: DataFrame,
@@ -142,6 +181,7 @@ def as_of(
     out: str,
     grain: str,
     tie: str | None = None,
+    busy: int = BUSY,
 ) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time, as a struct.
 
@@ -163,7 +203,8 @@ def as_of(
         F.lit(1).alias("_side"),
         F.struct(*left.columns).alias("_row"),
     )
-    both = with_chunk(source.unionByName(target, allowMissingColumns=True), "_at", grain)
+    both = source.unionByName(target, allowMissingColumns=True)
+    both = chunk_time(both, ["_key"], "_at", grain, busy)
     known = last_known(both, ["_key"], ["_at", "_side", "_tie"], "_payload", out)
     return known.where("_side = 1").select("_row.*", out)
 
@@ -180,13 +221,3 @@ def fill_days(daily: DataFrame, day: str = "day") -> DataFrame:
     return spread.select(
         F.col("_day").alias(day), *[F.when(F.col("_place") == 0, F.col(c)).alias(c) for c in rest]
     )
-
-
-def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
-    """``ntile(tiles)`` from a position and the number of rows."""
-    small = F.floor(rows / tiles)
-    extra = rows % tiles
-    in_large = extra * (small + 1)
-    return F.when(
-        rank <= in_large, F.ceil(rank / (small + 1))
-    ).otherwise(extra + F.ceil((rank - in_large) / F.greatest(small, F.lit(1)))).cast("int")

@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelda.functions.ordered import (
+    BUSY,
     CHUNK,
     as_of,
     bucket_of,
-    chunk_window,
+    chunk_time,
     fill_days,
+    is_chunked,
+    ordered,
     rank_in_buckets,
     running_sum,
     tile_of,
-    with_chunk,
 )
 from kelda.functions.times import micros, seconds
 
@@ -27,45 +29,46 @@ def _apart(later: str | Column, earlier: str | Column) -> Column:
     return micros(later) - micros(earlier)
 
 
-def sessionize(ev: DataFrame, key: str, ts: str, gap: str, grain: str = "day") -> DataFrame:
+def sessionize(
+    ev: DataFrame, key: str, ts: str, gap: str, grain: str = "hour", busy: int = BUSY
+) -> DataFrame:
     """Add ``session_start``; a session begins when the gap is greater than ``gap``.
 
-    Sessions are first cut per (key, chunk). A chunk whose first event follows the previous
-    chunk closely enough then hands its first session the start it inherits; inheritance
-    passes through chunks that are one session end to end.
+    Where a key is cut into chunks, a chunk whose first event follows the previous chunk
+    closely enough hands its first session the start it inherits; inheritance passes through
+    chunks that are one session end to end.
     """
     limit = seconds(gap) * MICRO
-    order = chunk_window([key], [ts])
+    events = chunk_time(ev, [key], ts, grain, busy)
+    order = ordered(events, [key], [ts])
+    previous = F.lag(ts).over(order)
+    begins = previous.isNull() | (_apart(ts, previous) > limit)
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-
-    def cut(rows: DataFrame) -> DataFrame:
-        previous = F.lag(ts).over(order)
-        breaks = F.when(previous.isNull() | (_apart(ts, previous) > limit), F.col(ts))
-        return rows.withColumn("_break", breaks).withColumn(
-            "_local", F.max("_break").over(so_far)
-        )
-
-    local = cut(with_chunk(ev, ts, grain)).drop("_break")
+    local = events.withColumn("_begin", F.when(begins, F.col(ts))).withColumn(
+        "session_start", F.max("_begin").over(so_far)
+    )
+    if not is_chunked(events):
+        return local.select(*ev.columns, "session_start")
     by_key = Window.partitionBy(key).orderBy(CHUNK)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    joined = F.coalesce(_apart("_first", F.lag("_last").over(by_key)) <= limit, F.lit(False))
+    own = F.when(~F.col("_joined") | (F.col("_start") > F.col("_first")), F.col("_start"))
     chunks = (
-        local.groupBy(key, CHUNK)
+        local.where(F.col(CHUNK).isNotNull())
+        .groupBy(key, CHUNK)
         .agg(
             F.min(ts).alias("_first"),
             F.max(ts).alias("_last"),
-            F.max("_local").alias("_last_local"),
+            F.max("session_start").alias("_start"),
         )
-        .withColumn("_joined", _apart("_first", F.lag("_last").over(by_key)) <= limit)
-        .withColumn(
-            "_own", F.when(~F.coalesce("_joined", F.lit(False)) | (F.col("_last_local") > F.col("_first")), F.col("_last_local"))
-        )
-        .withColumn(
-            "_inherited",
-            F.last("_own", ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select(key, CHUNK, "_first", F.when(F.col("_joined"), F.col("_inherited")).alias("_inherited"))
-    )
-    first_session = F.col("_local") == F.col("_first")
-    start = F.coalesce(F.when(first_session, F.col("_inherited")), F.col("_local"))
+        .withColumn("_joined", joined)
+        .withColumn("_own", own)
+        .withColumn("_inherited", F.last("_own", ignorenulls=True).over(before))
+        .select(key, CHUNK, F.when(F.col("_joined"), F.col("_first")).alias("_first"), "_inherited")
+    )
+    start = F.when(
+        F.col("session_start") == F.col("_first"), F.col("_inherited")
+    ).otherwise(F.col("session_start"))
     return (
         local.join(chunks, [key, CHUNK], "left")
         .withColumn("session_start", start)
@@ -79,11 +82,12 @@ def sessions(
     ts: str,
     gap: str,
     measures: dict[str, Column] | None = None,
-    grain: str = "day",
+    grain: str = "hour",
+    busy: int = BUSY,
 ) -> DataFrame:
     """One row per session: start, last event, number of events and further aggregates."""
     extra = [agg.alias(name) for name, agg in (measures or {}).items()]
-    return sessionize(ev, key, ts, gap, grain).groupBy(key, "session_start").agg(
+    return sessionize(ev, key, ts, gap, grain, busy).groupBy(key, "session_start").agg(
         F.max(ts).alias("session_end"), F.count("*").alias("n_events"), *extra
     )
 
@@ -250,34 +254,30 @@ def streaks(ev: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def transitions(
-    ev: DataFrame, key: str, ts: str, type: str, tie: str, grain: str = "day"
+    ev: DataFrame, key: str, ts: str, type: str, tie: str, grain: str = "hour", busy: int = BUSY
 ) -> DataFrame:
     """How often each event type directly follows another, over all keys.
 
-    Pairs inside a chunk and pairs across chunk borders are counted apart and added up.
+    Where a key is cut into chunks, pairs across chunk borders are counted apart and added.
     """
-    order = F.struct(ts, tie)
-    chunked = with_chunk(ev.select(key, ts, type, tie), ts, grain)
-    inside = chunked.select(
-        F.col(type).alias("from_type"),
-        F.lead(type).over(chunk_window([key], [ts, tie])).alias("to_type"),
-        F.lead(F.lit(True)).over(chunk_window([key], [ts, tie])).alias("_pair"),
-    )
-    by_key = Window.partitionBy(key).orderBy(CHUNK)
-    edges = chunked.groupBy(key, CHUNK).agg(
-        F.min_by(type, order).alias("_first"), F.max_by(type, order).alias("from_type")
-    )
-    across = edges.select(
-        "from_type",
-        F.lead("_first").over(by_key).alias("to_type"),
-        F.lead(F.lit(True)).over(by_key).alias("_pair"),
-    )
-    return (
-        inside.unionByName(across)
-        .where("_pair")
-        .groupBy("from_type", "to_type")
-        .agg(F.count("*").alias("n"))
-    )
+    events = chunk_time(ev.select(key, ts, type, tie), [key], ts, grain, busy)
+
+    def pairs(rows: DataFrame, first: str, last: str, window) -> DataFrame:
+        return rows.select(
+            F.col(last).alias("from_type"),
+            F.lead(first).over(window).alias("to_type"),
+            F.lead(F.lit(True)).over(window).alias("_pair"),
+        )
+
+    found = pairs(events, type, type, ordered(events, [key], [ts, tie]))
+    if is_chunked(events):
+        order = F.struct(ts, tie)
+        edges = events.where(F.col(CHUNK).isNotNull()).groupBy(key, CHUNK).agg(
+            F.min_by(type, order).alias("_first"), F.max_by(type, order).alias("_last")
+        )
+        by_key = Window.partitionBy(key).orderBy(CHUNK)
+        found = found.unionByName(pairs(edges, "_first", "_last", by_key))
+    return found.where("_pair").groupBy("from_type", "to_type").agg(F.count("*").alias("n"))
 
 
 def last_before(
@@ -288,10 +288,11 @@ def last_before(
     values: Sequence[str],
     tie: str | None = None,
     prefix: str = "last_",
-    grain: str = "day",
+    grain: str = "hour",
+    busy: int = BUSY,
 ) -> DataFrame:
     """Each target event with the latest source event at or before it; null where none."""
-    found = as_of(target, source, (key, key), (ts, ts), values, "_found", grain, tie)
+    found = as_of(target, source, (key, key), (ts, ts), values, "_found", grain, tie, busy)
     return found.select(
         *target.columns, *[F.col(f"_found.`{v}`").alias(f"{prefix}{v}") for v in values]
     )
@@ -399,7 +400,8 @@ def peak_concurrency(iv: DataFrame, start: str, end: str, grain: str = "hour") -
         .groupBy("m.at")
         .agg(F.sum("m.step").alias("_net"))
     )
-    counted = running_sum(with_chunk(net, "at", grain), [], ["at"], "_net", "_open")
+    chunked = net.withColumn(CHUNK, F.date_trunc(grain, "at"))
+    counted = running_sum(chunked, [], ["at"], "_net", "_open")
     daily = counted.groupBy(F.to_date("at").alias("day")).agg(
         F.max("_open").alias("_peak"),
         F.sum("_net").alias("_net"),

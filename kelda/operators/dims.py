@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelda.functions.keys import key_hash
-from kelda.functions.ordered import CHUNK, as_of, chunk_window, with_chunk
+from kelda.functions.ordered import BUSY, CHUNK, as_of, chunk_time, is_chunked, ordered
 
 OPEN_END = datetime(9999, 12, 31)
 
@@ -53,29 +53,58 @@ def surrogate_key(df: DataFrame, keys: Sequence[str], out: str = "sk") -> DataFr
 
 
 def scd2_build(
-    changes: DataFrame, key: str, attrs: Sequence[str], ts: str, tie: str, grain: str = "month"
+    changes: DataFrame,
+    key: str,
+    attrs: Sequence[str],
+    ts: str,
+    tie: str,
+    grain: str = "day",
+    busy: int = BUSY,
 ) -> DataFrame:
     """History from a change log: half-open intervals, changes that change nothing dropped.
 
     Of changes at the same instant the one with the highest ``tie`` counts.
     """
-    settled = with_chunk(
+    settled = chunk_time(
         changes.groupBy(F.col(key), F.col(ts).alias("valid_from")).agg(
             F.max_by(F.struct(*attrs), tie).alias("_attrs")
         ),
+        [key],
         "valid_from",
         grain,
+        busy,
     )
-    order = chunk_window([key], ["valid_from"])
-    # Inside a chunk every row but the first knows whether it changes anything.
+    order = ordered(settled, [key], ["valid_from"])
+    # Every row but a chunk's first knows whether it changes anything.
     local = settled.withColumn("_head", F.row_number().over(order) == 1).withColumn(
         "_moved", ~F.col("_attrs").eqNullSafe(F.lag("_attrs").over(order)) & ~F.col("_head")
     )
+    if is_chunked(settled):
+        local = local.join(_chunk_heads(local, key), [key, CHUNK], "left")
+    else:
+        local = local.withColumns({"_head_moved": F.lit(True), "_next_change": F.lit(None)})
+    # The first chunk of a key, and the only one of most, starts with a change.
+    head_moved = F.coalesce("_head_moved", F.lit(True))
+    changed = local.where((F.col("_head") & head_moved) | F.col("_moved"))
+    end = F.lit(OPEN_END).cast(changes.schema[ts].dataType)
+    return changed.select(
+        key,
+        "_attrs.*",
+        "valid_from",
+        F.coalesce(F.lead("valid_from").over(order), "_next_change", end).alias("valid_to"),
+    )
+
+
+def _chunk_heads(local: DataFrame, key: str) -> DataFrame:
+    """Per chunk: does its first row change anything, and when is the first change after it?"""
     by_key = Window.partitionBy(key).orderBy(CHUNK)
     follows = F.lag(F.lit(True)).over(by_key).isNotNull()
     same = F.col("_head_attrs").eqNullSafe(F.lag("_last_attrs").over(by_key))
-    chunks = (
-        local.groupBy(key, CHUNK)
+    change = F.when(F.col("_head_moved"), F.col("_first")).otherwise(F.col("_first_moved"))
+    later = by_key.rowsBetween(1, Window.unboundedFollowing)
+    return (
+        local.where(F.col(CHUNK).isNotNull())
+        .groupBy(key, CHUNK)
         .agg(
             F.min("valid_from").alias("_first"),
             F.min_by("_attrs", "valid_from").alias("_head_attrs"),
@@ -83,26 +112,13 @@ def scd2_build(
             F.min(F.when(F.col("_moved"), F.col("valid_from"))).alias("_first_moved"),
         )
         .withColumn("_head_moved", ~(follows & same))
-        .withColumn(
-            "_change", F.when(F.col("_head_moved"), F.col("_first")).otherwise(F.col("_first_moved"))
+        .withColumn("_change", change)
+        .select(
+            key,
+            CHUNK,
+            "_head_moved",
+            F.first("_change", ignorenulls=True).over(later).alias("_next_change"),
         )
-        .withColumn(
-            "_next_change",
-            F.first("_change", ignorenulls=True).over(
-                by_key.rowsBetween(1, Window.unboundedFollowing)
-            ),
-        )
-        .select(key, CHUNK, "_head_moved", "_next_change")
-    )
-    changed = local.join(chunks, [key, CHUNK]).where(
-        (F.col("_head") & F.col("_head_moved")) | F.col("_moved")
-    )
-    end = F.lit(OPEN_END).cast(changes.schema[ts].dataType)
-    return changed.select(
-        key,
-        "_attrs.*",
-        "valid_from",
-        F.coalesce(F.lead("valid_from").over(order), "_next_change", end).alias("valid_to"),
     )
 
 
@@ -114,7 +130,8 @@ def scd2_merge(
     attrs: Sequence[str],
     ts: str,
     tie: str,
-    grain: str = "month",
+    grain: str = "day",
+    busy: int = BUSY,
 ) -> DataFrame:
     """History after a further batch of changes, late ones included.
 
@@ -125,7 +142,7 @@ def scd2_merge(
     columns = [key, *attrs, ts, tie]
     replay = log.join(touched, key, "left_semi").select(columns)
     rebuilt = scd2_build(
-        replay.unionByName(changes.select(columns)), key, attrs, ts, tie, grain
+        replay.unionByName(changes.select(columns)), key, attrs, ts, tie, grain, busy
     )
     return dim.join(touched, key, "left_anti").select(rebuilt.columns).unionByName(rebuilt)
 
@@ -136,7 +153,8 @@ def dim_as_of(
     key: str,
     ts: str,
     dim_key: str | None = None,
-    grain: str = "month",
+    grain: str = "day",
+    busy: int = BUSY,
 ) -> DataFrame:
     """Attach the version valid at the fact's time; facts without one keep nulls.
 
@@ -146,7 +164,7 @@ def dim_as_of(
     """
     dim_key = dim_key or key
     payload = [c for c in dim.columns if c != dim_key]
-    found = as_of(fact, dim, (key, dim_key), (ts, "valid_from"), payload, "_known", grain)
+    found = as_of(fact, dim, (key, dim_key), (ts, "valid_from"), payload, "_known", grain, busy=busy)
     valid = F.col(ts) < F.col("_known.valid_to")
     return found.select(
         *fact.columns, *[F.when(valid, F.col(f"_known.`{c}`")).alias(c) for c in payload]

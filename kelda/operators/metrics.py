@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kelda.functions.ordered import CHUNK, bucket_of, running_sum
+from kelda.functions.ordered import BUSY, CHUNK, bucket_of, chunk_busy, running_sum
 from kelda.sources.landing import publish
 from kelda.sources.scratch import scratch_path
 
@@ -125,14 +125,15 @@ def running_share(
     order: Sequence[str],
     measure: str,
     chunk: Column,
+    busy: int = BUSY,
 ) -> DataFrame:
     """Running total and share of the group's total; ``order`` must be total.
 
-    ``chunk`` must never fall as ``order`` rises, e.g. the month of a leading date.
+    A group with more than ``busy`` rows is worked through in chunks. ``chunk`` must never
+    fall as ``order`` rises, e.g. the day of a leading date.
     """
-    summed = running_sum(
-        df.withColumn(CHUNK, chunk), [group], order, measure, "running_total", "group_total"
-    )
+    chunked = chunk_busy(df, [group], chunk, busy)
+    summed = running_sum(chunked, [group], order, measure, "running_total", "group_total")
     share = F.col(measure).cast("double") / F.nullif(F.col("group_total").cast("double"), F.lit(0.0))
     running = F.col("running_total").cast("double") / F.nullif(
         F.col("group_total").cast("double"), F.lit(0.0)

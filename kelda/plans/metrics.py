@@ -129,7 +129,7 @@ def priority_running_share(spark, sf_dir):
         "o_orderpriority", "o_orderdate", "o_orderkey", money("o_totalprice").alias("amount")
     )
     shared = running_share(
-        rows, "o_orderpriority", ["o_orderdate", "o_orderkey"], "amount", month_start("o_orderdate")
+        rows, "o_orderpriority", ["o_orderdate", "o_orderkey"], "amount", F.to_date("o_orderdate")
     )
     return plain(shared)
 

@@ -112,7 +112,7 @@ def split_late(df: DataFrame, ts: str, delay: str, path: str) -> DataStreamWrite
 
 
 def enrich_as_of(
-    df: DataFrame, dim: DataFrame, key: str, ts: str, path: str, grain: str = "day"
+    df: DataFrame, dim: DataFrame, key: str, ts: str, path: str, grain: str = "hour"
 ) -> DataStreamWriter:
     """Attach the dimension version valid at event time and write to ``path``.
 
