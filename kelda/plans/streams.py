@@ -89,7 +89,7 @@ FROM placed WHERE s + INTERVAL 6 HOUR <= {CLOSED} GROUP BY s
 def stream_sessions(spark, sf_dir):
     """Sessions per user that end after an hour without events."""
     found = windows.sessions(_events(spark, sf_dir), "user_id", "ts", "1 hour", DELAY, _value())
-    return plain(_finish(spark, windows.flat(found), "sessions"))
+    return plain(_finish(spark, found, "sessions"))
 
 
 STREAM_SESSIONS_SQL = f"""

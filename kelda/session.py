@@ -16,9 +16,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # State may outgrow executor memory.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    # Merge sessions map-side before the shuffle, as partial aggregation does for groups.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

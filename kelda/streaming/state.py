@@ -37,45 +37,68 @@ def first_seen(
     """Each key's first event per day, marked ``is_first_ever`` on the key's first day.
 
     Days are window aggregates, one row per key and day, emitted when the day is closed.
-    Days close in order, so the first one emitted for a key is its first ever: state is one flag
-    per key. With ``keep`` (e.g. ``30 days``) a flag is forgotten after that long and a key
-    that returns counts as new.
+    Days close in order, so the first one emitted for a key is its first ever: state is one
+    time per key. With ``keep`` (e.g. ``30 days``) a key that was away for longer counts as
+    new, and its state is dropped when the watermark says so.
     """
     daily = (
         df.withWatermark(ts, delay)
         .groupBy(F.window(ts, "1 day"), F.col(key))
-        .agg(F.min(F.struct(ts, id)).alias("_first"))
+        .agg(F.min(F.struct(micros(ts).alias("at"), F.col(id).alias("id"))).alias("first"))
         .select(
-            F.col(key),
-            F.col("_first")[ts].alias("first_ts"),
-            F.col("_first")[id].alias("first_id"),
+            key,
+            # Carries the watermark, which timers need.
+            "window",
+            F.unix_micros("window.start").alias("start"),
+            F.unix_micros("window.end").alias("end"),
+            F.col("first.at").alias("first_at"),
+            F.col("first.id").alias("first_id"),
         )
     )
-    schema = T.StructType([*daily.schema.fields, T.StructField("is_first_ever", T.BooleanType())])
-    ttl = seconds(keep) * 1000 if keep else None
-    return daily.groupBy(key).transformWithStateInPandas(
-        _first_marker(ttl), schema, "Append", "ProcessingTime" if ttl else "None"
+    schema = T.StructType(
+        [
+            *[T.StructField(c, daily.schema[c].dataType) for c in (key, "first_at", "first_id")],
+            T.StructField("is_first_ever", T.BooleanType()),
+        ]
+    )
+    span = seconds(keep) * 1_000_000 if keep else None
+    marked = daily.groupBy(key).transformWithStateInPandas(
+        _first_marker(key, span), schema, "Append", "EventTime" if keep else "None"
     )
+    first_ts = F.timestamp_micros("first_at").alias("first_ts")
+    return marked.select(key, first_ts, "first_id", "is_first_ever")
 
 
-def _first_marker(ttl: int | None):
+def _first_marker(key_name: str, span: int | None):
     # Classes are made inside functions so that they travel to executors by value.
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class FirstMarker(StatefulProcessor):
         def init(self, handle):
-            self.seen = handle.getValueState("seen", "seen boolean", ttl)
+            self.handle = handle
+            self.last = handle.getValueState("last", "until bigint")
 
         def handleInputRows(self, key, rows, timer_values):
             import pandas as pd
 
             # One row per key and closed day: a handful per batch.
-            days = pd.concat(list(rows)).sort_values("first_ts").reset_index(drop=True)
-            days["is_first_ever"] = False
-            if not self.seen.exists():
-                days.loc[0, "is_first_ever"] = True
-                self.seen.update((True,))
-            yield days
+            days = pd.concat(list(rows)).sort_values("start").reset_index(drop=True)
+            before = days["end"].shift()
+            if self.last.exists():
+                before.iloc[0] = self.last.get()[0]
+            new = before.isna()
+            if span:
+                new |= days["start"] - before > span
+                self.handle.registerTimer((int(days["end"].iloc[-1]) + span) // 1000 + 1)
+            self.last.update((int(days["end"].iloc[-1]),))
+            days["is_first_ever"] = new
+            yield days[[key_name, "first_at", "first_id", "is_first_ever"]]
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            due = expiredTimerInfo.getExpiryTimeInMs()
+            if self.last.exists() and (self.last.get()[0] + span) // 1000 + 1 <= due:
+                self.last.clear()
+            return iter([])
 
         def close(self):
             pass

@@ -1,6 +1,6 @@
 """Aggregates over event-time windows.
 
-All of them keep the ``window`` column, which ``rewindow`` needs; ``flat`` unpacks it.
+All but sessions keep the ``window`` column, which ``rewindow`` needs; ``flat`` unpacks it.
 Groups are pre-aggregated before the shuffle, so a busy group costs one row per task.
 """
 
@@ -53,11 +53,16 @@ def sessions(
 ) -> DataFrame:
     """Aggregates per key and session; events exactly ``gap`` apart belong together.
 
-    A window ends ``gap`` after its last event. Sessions are merged map-side first (see
-    the session settings).
+    A window ends ``gap`` after its last event. Its bounds are taken from the events: Spark
+    moves a filter on the bounds of ``session_window`` itself below the merging of sessions,
+    where it removes events.
     """
-    grouped = df.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("window"), key)
-    return grouped.agg(*_named(measures or {"n": F.count("*")}))
+    grouped = df.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), key)
+    return grouped.agg(
+        F.min(ts).alias("window_start"),
+        (F.max(ts) + F.expr(f"interval {gap}")).alias("window_end"),
+        *_named(measures or {"n": F.count("*")}),
+    ).drop("session_window")
 
 
 def rewindow(
