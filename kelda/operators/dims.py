@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from kelda.functions.keys import key_hash
 from kelda.functions.ordered import BUSY, CHUNK, as_of, chunk_time, is_chunked, ordered
+from kelda.sources.landing import publish
+from kelda.sources.scratch import scratch_path
 
 OPEN_END = datetime(9999, 12, 31)
 
@@ -138,7 +140,10 @@ def scd2_merge(
     Touched keys are rebuilt from the change log (``log`` is the one without this batch):
     stored history has lost the no-op changes a late row can bring back to life.
     """
-    touched = changes.select(key).distinct()
+    # Stored, so that the joins below can be broadcast or split by its measured size.
+    touched = publish(
+        changes.select(key).distinct(), scratch_path(changes.sparkSession, "touched")
+    )
     columns = [key, *attrs, ts, tie]
     replay = log.join(touched, key, "left_semi").select(columns)
     rebuilt = scd2_build(
@@ -179,7 +184,9 @@ def unknown_member(
     The original key stays in ``<key>_source`` and ``is_unknown`` marks the rows.
     """
     dim_key = dim_key or key
-    known = dim.select(F.col(dim_key).alias("_known")).distinct()
+    known = publish(
+        dim.select(F.col(dim_key).alias("_known")).distinct(), scratch_path(dim.sparkSession, "known")
+    )
     return (
         fact.join(known, F.col(key) == F.col("_known"), "left")
         .withColumn(f"{key}_source", F.col(key))

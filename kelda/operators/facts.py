@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelda.functions.times import month_start
+from kelda.sources.landing import publish
+from kelda.sources.scratch import scratch_path
 
 
 def wide_fact(
@@ -113,27 +115,34 @@ def allocate(
 
     ``amount`` and ``weight`` are decimals with two places, ``amount`` the same on all lines
     of an order, ``order`` a total order of an order's lines. A line's share is cut to the
-    cent. Totals come from aggregates joined back, not from windows, so an order with very
-    many lines is not one task's work. With a total weight of zero the last line takes the
-    whole amount.
+    cent. With a total weight of zero the last line takes the whole amount.
+
+    A window per order would put an order's lines into one task. Instead each step joins
+    the lines to a stored table with one row per order: a join Spark can broadcast, or split
+    where an order has too many lines.
     """
     keys = list(keys)
+    store = lambda frame: publish(frame, scratch_path(lines.sparkSession, "allocation"))
     cents = lambda c: (F.col(c) * 100).cast("decimal(18,0)")
-    totals = lines.groupBy(*keys).agg(
-        F.sum(cents(weight)).alias("_total"), F.max(F.struct(*order)).alias("_last")
-    )
     # Whole cents and whole-number division: no rounding to depend on.
-    weighed = lines.join(totals, keys).withColumns({"_amount": cents(amount), "_weight": cents(weight)})
-    shares = weighed.withColumn(
-        "_share", F.coalesce(F.expr("(_amount * _weight) div nullif(_total, 0)"), F.lit(0))
+    share = F.coalesce(F.expr("(_amount * _weight) div nullif(_total, 0)"), F.lit(0))
+    weighed = lines.withColumns({"_amount": cents(amount), "_weight": cents(weight)})
+    totals = store(
+        weighed.groupBy(*keys).agg(
+            F.sum("_weight").alias("_total"), F.max(F.struct(*order)).alias("_last")
+        )
+    )
+    given = store(
+        weighed.join(totals, keys)
+        .groupBy(*keys, "_total", "_last")
+        .agg(F.sum(share).alias("_given"))
     )
-    given = shares.groupBy(*keys).agg(F.sum("_share").alias("_given"))
     left_over = F.when(
         F.struct(*order) == F.col("_last"), F.col("_amount") - F.col("_given")
     ).otherwise(F.lit(0))
-    in_cents = (F.col("_share") + left_over).cast("decimal(18,0)")
+    in_cents = (share + left_over).cast("decimal(18,0)")
     return (
-        shares.join(given, keys)
+        weighed.join(given, keys)
         .withColumn(out, (in_cents / 100).cast("decimal(18,2)"))
         .select(*lines.columns, out)
     )

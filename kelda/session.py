@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # State may outgrow executor memory.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Merge a batch's sessions before the shuffle too, as partial aggregation does for groups.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
