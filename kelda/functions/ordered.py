@@ -139,13 +139,42 @@ def bucket_of(value: Column, low: Column, high: Column, buckets: int) -> Column:
     return F.coalesce(F.least(place, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
+def cut_points(df: DataFrame, columns: Sequence[str], pieces: int) -> tuple[int, dict[str, list]]:
+    """Row count, and per double column values that cut the rows into about equal pieces.
+
+    Approximate, but a fixed list of at most ``pieces`` numbers from here on: later steps
+    that use it agree with each other whatever is recomputed.
+    """
+    steps = [i / pieces for i in range(1, pieces)]
+    found = df.agg(
+        F.count("*").alias("_rows"), *[F.percentile_approx(c, steps).alias(c) for c in columns]
+    ).first()
+    return found["_rows"], {c: sorted(set(found[c] or [])) for c in columns}
+
+
+def piece_of(column: str, cuts: Sequence[float]) -> Column:
+    """Number of cut points below a double column; never falls as the value rises.
+
+    A balanced tree of comparisons, so a row is compared with a handful of the points.
+    """
+
+    def tree(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        left, right = tree(low, middle), tree(middle + 1, high)
+        return f"CASE WHEN `{column}` <= {cuts[middle]!r}D THEN {left} ELSE {right} END"
+
+    return F.expr(tree(0, len(cuts)))
+
+
 def rank_in_buckets(
     df: DataFrame, keys: Sequence[str], value: str, tie: str, part: str, out: str
 ) -> DataFrame:
     """Position of each row of its key, from 1, by ``value`` and then a unique ``tie``.
 
     For few keys with too many rows for one window. ``df`` has a chunk column that rises
-    with ``value``, and ``part`` rises with ``tie`` (see ``bucket_of``). Rows are counted per
+    with ``value``, and ``part`` rises with ``tie`` (see ``piece_of``). Rows are counted per
     (value, part), which also splits a value that many rows share; the counts are summed up
     in order; and rows are only ranked inside their own (value, part).
     """

@@ -11,16 +11,19 @@ from kelda.functions.ordered import (
     BUSY,
     CHUNK,
     as_of,
-    bucket_of,
     chunk_time,
+    cut_points,
     fill_days,
     is_chunked,
     ordered,
+    piece_of,
     rank_in_buckets,
     running_sum,
     tile_of,
 )
 from kelda.functions.times import micros, seconds
+from kelda.sources.landing import publish
+from kelda.sources.scratch import scratch_path
 
 MICRO = 1_000_000
 
@@ -304,18 +307,22 @@ def rfm(
     key: str = "o_custkey",
     ts: str = "o_orderdate",
     amount: Column | None = None,
-    buckets: int = 256,
+    pieces: int = 128,
 ) -> DataFrame:
     """Recency, frequency and monetary quintiles, 5 the best; ties are broken by key.
 
-    Quintiles need each customer's place among all others. The three measures are ranked
-    together as three keys of one bucketed ranking, since a window over everything would be one task.
+    Quintiles need each customer's place among all others, and a window over all of them
+    would be one task. The three measures are ranked together, piece by piece of their range;
+    the pieces hold about as many customers each, however uneven the measures are.
     """
     amount = amount if amount is not None else F.col("o_totalprice").cast("decimal(18,2)")
-    per_key = orders.groupBy(key).agg(
-        F.datediff(as_of_day, F.max(ts)).alias("recency_days"),
-        F.count("*").alias("frequency"),
-        F.sum(amount).alias("monetary"),
+    per_key = publish(
+        orders.groupBy(key).agg(
+            F.datediff(as_of_day, F.max(ts)).alias("recency_days"),
+            F.count("*").alias("frequency"),
+            F.sum(amount).alias("monetary"),
+        ),
+        scratch_path(orders.sparkSession, "customers"),
     )
     wide = "decimal(28,2)"
     values = {
@@ -323,42 +330,34 @@ def rfm(
         "f": F.col("frequency").cast(wide),
         "m": F.col("monetary").cast(wide),
     }
-    # One row, used as a constant of the query.
-    span = per_key.agg(
-        F.struct(
-            F.count("*").alias("rows"),
-            F.min(key).alias("k_lo"),
-            F.max(key).alias("k_hi"),
-            *[F.min(v).alias(f"{n}_lo") for n, v in values.items()],
-            *[F.max(v).alias(f"{n}_hi") for n, v in values.items()],
-        )
-    ).scalar()
-    part = bucket_of(F.col(key), span["k_lo"], span["k_hi"], buckets)
+    placed = per_key.withColumns(
+        {**{n: v.cast("double") for n, v in values.items()}, "_tie": F.col(key).cast("double")}
+    )
+    rows, cuts = cut_points(placed, [*values, "_tie"], pieces)
     measures = F.array(
         *[
             F.struct(
-                F.lit(n).alias("measure"),
-                v.alias("value"),
-                bucket_of(v, span[f"{n}_lo"], span[f"{n}_hi"], buckets).alias("bucket"),
+                F.lit(n).alias("measure"), v.alias("value"), piece_of(n, cuts[n]).alias("piece")
             )
             for n, v in values.items()
         ]
     )
-    stacked = per_key.select(
-        "*", part.alias("_part"), span["rows"].alias("_rows"), F.explode(measures).alias("_m")
-    ).select(
-        key,
-        "recency_days",
-        "frequency",
-        "monetary",
-        "_rows",
-        "_part",
-        F.col("_m.measure").alias("_measure"),
-        F.col("_m.value").alias("_value"),
-        F.col("_m.bucket").alias(CHUNK),
+    stacked = publish(
+        placed.select(
+            *per_key.columns,
+            piece_of("_tie", cuts["_tie"]).alias("_part"),
+            F.explode(measures).alias("_m"),
+        ).select(
+            *per_key.columns,
+            "_part",
+            F.col("_m.measure").alias("_measure"),
+            F.col("_m.value").alias("_value"),
+            F.col("_m.piece").alias(CHUNK),
+        ),
+        scratch_path(orders.sparkSession, "pieces"),
     )
     ranked = rank_in_buckets(stacked, ["_measure"], "_value", key, "_part", "_rank")
-    tile = tile_of(F.col("_rank"), F.col("_rows"), 5)
+    tile = tile_of(F.col("_rank"), F.lit(rows), 5)
     return ranked.groupBy(key, "recency_days", "frequency", "monetary").agg(
         *[F.max(F.when(F.col("_measure") == n, tile)).alias(f"{n}_score") for n in values]
     )

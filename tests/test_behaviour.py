@@ -132,6 +132,25 @@ def test_rfm_has_equal_groups(spark):
     assert [r["r_score"] for r in by_key] == sorted([1, 2, 3] * 5 + [4, 5] * 4)
 
 
+def test_rfm_with_one_customer_far_ahead(spark):
+    # Equal-width pieces would put all others into one.
+    orders = spark.range(3000).select(
+        F.when(F.col("id") < 1000, 0).otherwise(F.col("id") % 211).alias("o_custkey"),
+        F.expr("timestamp_ntz'2024-01-01'").alias("o_orderdate"),
+        F.when(F.col("id") < 1000, 1e6).otherwise(F.col("id") % 17).alias("o_totalprice"),
+    )
+    got = rfm(orders, F.lit(date(2025, 1, 1)), pieces=16)
+    per_key = orders.groupBy("o_custkey").agg(
+        F.count("*").alias("f"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("m")
+    )
+    wanted = per_key.select(
+        "o_custkey",
+        F.expr("ntile(5) over (order by f, o_custkey)").alias("f_score"),
+        F.expr("ntile(5) over (order by m, o_custkey)").alias("m_score"),
+    )
+    assert got.select(*wanted.columns).exceptAll(wanted).isEmpty()
+
+
 def test_repeat_rate(spark, rows):
     orders = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), ("y", 1)], "g string, o_custkey int")
     assert rows(repeat_rate(orders, "g")) == [("x", 2, 1, 0.5), ("y", 1, 0, 0.0)]

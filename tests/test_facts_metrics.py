@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from kelda.functions.ordered import CHUNK, bucket_of, fill_days, rank_in_buckets, tile_of
+from kelda.functions.ordered import CHUNK, cut_points, fill_days, piece_of, rank_in_buckets, tile_of
 from kelda.operators.facts import coverage_gap, milestones, periodic_snapshot, wide_fact
 from kelda.operators.metrics import (
     cube_sets,
@@ -168,10 +168,12 @@ def test_rank_and_tiles(spark):
     draw = random.Random(5)
     values = [(i, Decimal(1) if draw.random() < 0.5 else Decimal(draw.randint(0, 50))) for i in range(157)]
     df = spark.createDataFrame(values, "k bigint, v decimal(10,2)").withColumn("m", F.lit("m"))
-    low, high = F.lit(0), F.lit(50)
-    placed = df.withColumn(CHUNK, bucket_of(F.col("v"), low, high, 7)).withColumn(
-        "part", bucket_of(F.col("k"), F.lit(0), F.lit(156), 5)
-    )
+    df = df.withColumns({"x": F.col("v").cast("double"), "y": F.col("k").cast("double")})
+    n, cuts = cut_points(df, ["x", "y"], 7)
+    assert n == 157 and len(cuts["y"]) == 6
+    placed = df.withColumn(CHUNK, piece_of("x", cuts["x"])).withColumn("part", piece_of("y", cuts["y"]))
+    below = F.size(F.filter(F.array(*map(F.lit, cuts["y"])), lambda c: c < F.col("y")))
+    assert placed.where(F.col("part") != below).isEmpty()
     ranked = rank_in_buckets(placed, ["m"], "v", "k", "part", "rank")
     got = ranked.withColumn("tile", tile_of(F.col("rank"), F.lit(157), 5)).collect()
     wanted = sorted(values, key=lambda r: (r[1], r[0]))
