@@ -347,16 +347,21 @@ FROM r WHERE place <= 3 AND s + INTERVAL 6 HOUR <= {CLOSED}
 FOLLOW = ("user_id", "ts", "event_id", "event_type", "view", "purchase", "6 hours", DELAY)
 
 
+def _slots(spark):
+    # The checkpoint lives as long as the query, so the session's setting may be used.
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stream_followed_by(spark, sf_dir):
     """Views the same user's purchase followed within six hours."""
-    return plain(_finish(spark, state.followed_by(_events(spark, sf_dir), *FOLLOW), "followed"))
+    found = state.followed_by(_events(spark, sf_dir), *FOLLOW, slots=_slots(spark))
+    return plain(_finish(spark, found, "followed"))
 
 
 def stream_not_followed_by(spark, sf_dir):
     """Views no purchase of the same user followed within six hours."""
-    return plain(
-        _finish(spark, state.not_followed_by(_events(spark, sf_dir), *FOLLOW), "not-followed")
-    )
+    found = state.not_followed_by(_events(spark, sf_dir), *FOLLOW, slots=_slots(spark))
+    return plain(_finish(spark, found, "not-followed"))
 
 
 # A view is settled when its day and the six hours after are behind the watermark.

@@ -83,9 +83,11 @@ def test_transitions(events, rows):
 
 
 def test_running_share(events, rows):
-    args = (events, "user", ["ts", "id"], "n", F.to_date("ts"))
     columns = ["id", "running_total", "group_total", "share", "running_share"]
-    assert rows(running_share(*args, FEW), *columns) == rows(running_share(*args, MANY), *columns)
+    for chunk in (F.to_date("ts"), F.struct("ts", F.floor(F.col("id") / 100))):
+        args = (events, "user", ["ts", "id"], "n", chunk)
+        few, many = (running_share(*args, busy).select(columns) for busy in (FEW, MANY))
+        assert rows(few) == rows(many)
 
 
 def test_running_sum_with_nulls(spark, rows):
