@@ -110,12 +110,14 @@ def allocate(
     order: Sequence[str],
     keys: Sequence[str] = ("l_orderkey",),
     out: str = "allocated",
+    amounts: DataFrame | None = None,
 ) -> DataFrame:
     """Split an order-level amount over its lines by weight; cents left go to the last line.
 
-    ``amount`` and ``weight`` are decimals with two places, ``amount`` the same on all lines
-    of an order, ``order`` a total order of an order's lines. A line's share is cut to the
-    cent. With a total weight of zero the last line takes the whole amount.
+    ``amount`` and ``weight`` are decimals with two places, ``order`` a total order of an
+    order's lines. ``amount`` is a column of ``amounts``, which has one row per order and the
+    same keys, or else of ``lines``, with the same value on all lines of an order. A line's
+    share is cut to the cent. With a total weight of zero the last line takes the whole amount.
 
     A window per order would put an order's lines into one task. Instead each step joins
     the lines to a stored table with one row per order: a join Spark can broadcast, or split
@@ -124,25 +126,25 @@ def allocate(
     keys = list(keys)
     store = lambda frame: publish(frame, scratch_path(lines.sparkSession, "allocation"))
     cents = lambda c: (F.col(c) * 100).cast("decimal(18,0)")
+    weighed = lines.withColumn("_weight", cents(weight))
+    sums = [F.sum("_weight").alias("_total"), F.max(F.struct(*order)).alias("_last")]
+    if amounts is None:
+        totals = weighed.groupBy(*keys).agg(F.max(cents(amount)).alias("_amount"), *sums)
+    else:
+        wanted = amounts.select(*keys, cents(amount).alias("_amount"))
+        totals = weighed.groupBy(*keys).agg(*sums).join(wanted, keys)
+    totals = store(totals)
     # Whole cents and whole-number division: no rounding to depend on.
     share = F.coalesce(F.expr("(_amount * _weight) div nullif(_total, 0)"), F.lit(0))
-    weighed = lines.withColumns({"_amount": cents(amount), "_weight": cents(weight)})
-    totals = store(
-        weighed.groupBy(*keys).agg(
-            F.sum("_weight").alias("_total"), F.max(F.struct(*order)).alias("_last")
-        )
-    )
-    given = store(
-        weighed.join(totals, keys)
-        .groupBy(*keys, "_total", "_last")
-        .agg(F.sum(share).alias("_given"))
-    )
+    slim = weighed.select(*keys, "_weight").join(totals.drop("_last"), keys)
+    given = slim.groupBy(*keys).agg(F.sum(share).alias("_given"))
+    per_order = store(totals.join(given, keys))
     left_over = F.when(
         F.struct(*order) == F.col("_last"), F.col("_amount") - F.col("_given")
     ).otherwise(F.lit(0))
     in_cents = (share + left_over).cast("decimal(18,0)")
     return (
-        weighed.join(given, keys)
+        weighed.join(per_order, keys)
         .withColumn(out, (in_cents / 100).cast("decimal(18,2)"))
         .select(*lines.columns, out)
     )

@@ -153,19 +153,18 @@ LINE_ORDER = [
 
 def _allocated(spark, sf_dir):
     lineitem, orders = tables(spark, sf_dir, "lineitem", "orders")
-    lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "l_orderkey",
-        *LINE_ORDER,
-        money("o_totalprice").alias("amount"),
-        money("l_extendedprice").alias("weight"),
+    lines = lineitem.withColumn("weight", money("l_extendedprice"))
+    amounts = orders.select(
+        F.col("o_orderkey").alias("l_orderkey"), money("o_totalprice").alias("amount")
     )
-    return allocate(lines, "amount", "weight", LINE_ORDER)
+    return allocate(lines, "amount", "weight", LINE_ORDER, amounts=amounts), amounts
 
 
 def allocated_lines(spark, sf_dir):
     """Each order's total price split over its lines."""
+    lines, _ = _allocated(spark, sf_dir)
     return plain(
-        _allocated(spark, sf_dir).select(
+        lines.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "allocated"
         )
     )
@@ -189,11 +188,10 @@ FROM given
 
 def allocation_check(spark, sf_dir):
     """Orders whose allocated lines do not add up to the amount: none."""
-    per_order = _allocated(spark, sf_dir).groupBy("l_orderkey").agg(
-        F.max("amount").alias("amount"), F.sum("allocated").alias("allocated")
-    )
+    lines, amounts = _allocated(spark, sf_dir)
+    per_order = lines.groupBy("l_orderkey").agg(F.sum("allocated").alias("allocated"))
     return plain(
-        per_order.agg(
+        per_order.join(amounts, "l_orderkey").agg(
             F.count("*").alias("orders"),
             F.count_if(F.col("amount") != F.col("allocated")).alias("wrong"),
         )

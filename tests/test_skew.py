@@ -121,6 +121,9 @@ def test_allocation_adds_up(spark, rows):
         F.lit("100.01").cast("decimal(18,2)").alias("amount"),
     )
     split = allocate(lines, "amount", "w", ["line"])
+    amounts = lines.select("l_orderkey", "amount").distinct()
+    apart = allocate(lines.drop("amount"), "amount", "w", ["line"], amounts=amounts)
+    assert rows(apart, "line", "allocated") == rows(split, "line", "allocated")
     totals = split.groupBy("l_orderkey").agg(F.sum("allocated").alias("s"), F.min("allocated").alias("lo"))
     assert totals.where("s <> 100.01 or lo < 0").count() == 0
     assert split.count() == 400
