@@ -16,11 +16,6 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def day_number(day: str | Column) -> Column:
-    """Days since 1970-01-01, so that day arithmetic is integer arithmetic."""
-    return F.unix_date(F.to_date(day))
-
-
 def date_text(day: str | Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 

@@ -127,7 +127,8 @@ def allocate(
     store = lambda frame: publish(frame, scratch_path(lines.sparkSession, "allocation"))
     cents = lambda c: (F.col(c) * 100).cast("decimal(18,0)")
     weighed = lines.withColumn("_weight", cents(weight))
-    sums = [F.sum("_weight").alias("_total"), F.max(F.struct(*order)).alias("_last")]
+    first, *ties = order
+    sums = [F.sum("_weight").alias("_total"), F.max(first).alias("_top")]
     if amounts is None:
         totals = weighed.groupBy(*keys).agg(F.max(cents(amount)).alias("_amount"), *sums)
     else:
@@ -136,11 +137,19 @@ def allocate(
     totals = store(totals)
     # Whole cents and whole-number division: no rounding to depend on.
     share = F.coalesce(F.expr("(_amount * _weight) div nullif(_total, 0)"), F.lit(0))
-    slim = weighed.select(*keys, "_weight").join(totals.drop("_last"), keys)
-    given = slim.groupBy(*keys).agg(F.sum(share).alias("_given"))
-    per_order = store(totals.join(given, keys))
+    slim = weighed.select(*keys, "_weight").join(totals, keys)
+    per_order = totals.join(slim.groupBy(*keys).agg(F.sum(share).alias("_given")), keys)
+    if ties:
+        # The whole order is compared only where its first column leaves a choice.
+        at_top = F.col(first).eqNullSafe(F.col("_top"))
+        top = weighed.select(*keys, *order).join(totals.select(*keys, "_top"), keys).where(at_top)
+        last = top.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
+        per_order = per_order.join(last, keys)
+    else:
+        per_order = per_order.withColumn("_last", F.struct(F.col("_top").alias(first)))
+    per_order = store(per_order.drop("_top"))
     left_over = F.when(
-        F.struct(*order) == F.col("_last"), F.col("_amount") - F.col("_given")
+        F.struct(*order).eqNullSafe(F.col("_last")), F.col("_amount") - F.col("_given")
     ).otherwise(F.lit(0))
     in_cents = (share + left_over).cast("decimal(18,0)")
     return (

@@ -1,7 +1,6 @@
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from kelda.operators.dims import (
     OPEN_END,
