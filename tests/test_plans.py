@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from kelda.plans import ALL_QUERIES
 
-BATCH = [name for name in entry.queries() if not name.startswith("stream_")]
+BATCH = [name for name in ALL_QUERIES if not name.startswith("stream_")]
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def plan_of(spark, sf_dir):
     before = spark.conf.get(name)
     spark.conf.set(name, "-1")
     yield lambda query: (
-        entry.queries()[query](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        ALL_QUERIES[query](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     )
     spark.conf.set(name, before)
 
