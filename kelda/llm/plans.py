@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelda.llm import bpe, decontaminate, quality
+from kelda.llm import bpe, decontaminate, quality, token_files, warc
 from kelda.llm.tables import table
 
 
@@ -21,13 +21,24 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(spark, table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op6_bpe": op6_bpe,
+    "op7_token_files": op7_token_files,
+    "op10_warc": op10_warc,
 }
 
 SQL = {
     "op2_quality_rules": quality.SQL,
     "op4_decontamination": decontaminate.SQL,
+    "op10_warc": warc.SQL,
 }
