@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelda.llm import bpe, decontaminate, quality, token_files, warc
+from kelda.llm import bpe, decontaminate, licenses, line_dedup, quality, token_files, warc
 from kelda.llm.tables import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_cascade(table(spark, sf_dir, "documents"))
 
@@ -25,20 +29,28 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op6_bpe": op6_bpe,
     "op7_token_files": op7_token_files,
+    "op8_line_dedup": op8_line_dedup,
     "op10_warc": op10_warc,
 }
 
 SQL = {
+    "op1_license_scan": licenses.SQL,
     "op2_quality_rules": quality.SQL,
     "op4_decontamination": decontaminate.SQL,
+    "op8_line_dedup": line_dedup.SQL,
     "op10_warc": warc.SQL,
 }
