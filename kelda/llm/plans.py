@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelda.llm import bpe, decontaminate, licenses, line_dedup, quality, token_files, warc
+from kelda.llm import bpe, decontaminate, language, licenses, line_dedup, minhash, quality
+from kelda.llm import token_files, toxicity, warc
 from kelda.llm.tables import table
 
 
@@ -16,11 +17,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_cascade(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(docs, items)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -33,6 +42,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
@@ -40,10 +53,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_minhash": op3_minhash,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_token_files": op7_token_files,
     "op8_line_dedup": op8_line_dedup,
+    "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
 }
 

@@ -50,3 +50,19 @@ def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
 def quoted(columns: list[str]) -> list[Column]:
     """Columns by their literal names, whatever characters those hold."""
     return [F.col(f"`{c.replace('`', '``')}`") for c in columns]
+
+
+def bounded_sample(rows: DataFrame, by: str, key: str, size: int, classes: int = 200) -> DataFrame:
+    """At most about ``size`` rows of each class of ``by``: those of the smallest hashes of ``key``.
+
+    Class sizes are counted first, so rows are picked where they are and nothing is ranked or
+    gathered. Only the ``classes`` most frequent classes are kept; nulls belong to none.
+    """
+    counts = rows.where(F.col(by).isNotNull()).groupBy(by).count()
+    top = counts.orderBy(F.desc("count"), by).limit(classes).collect()
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    share = F.lit(None)
+    for row in top:
+        limit = min(1 << 30, int((1 << 30) * size / row["count"]))
+        share = F.when(F.col(by) == F.lit(row[by]), F.lit(limit)).otherwise(share)
+    return rows.where(place < share)

@@ -177,13 +177,13 @@ def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK_BYTES) -> Itera
         start = stop
 
 
-def block_pass(make, column: str):
+def block_pass(make, column: str, size: int = BLOCK_BYTES):
     """A function for mapInArrow that turns each block of texts into one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                for block in blocks(batch, column):
+                for block in blocks(batch, column, size):
                     yield make(block)
 
     return run
