@@ -113,14 +113,13 @@ def dedupe_lines(
         later_occurrences(found)
         .groupBy("id", "version")
         .agg(F.array_distinct(F.flatten(spans)).alias("covered"))
-        .select(F.col("id").alias("_cut_id"), F.col("version").alias("_cut_version"), "covered")
     )
-    hit, lines_col = fresh_names(docs, "covered", "lines")
+    hit, cut_id, cut_version, lines_col = fresh_names(docs, "covered", "id", "version", "lines")
     text = F.col(text_col).cast("string")
-    cut = stored(covered, "covered-lines").withColumnRenamed("covered", hit)
+    cut = stored(covered, "covered-lines").toDF(cut_id, cut_version, hit)
     joined = docs.join(
         cut,
-        F.col(id_col).eqNullSafe(F.col("_cut_id")) & (F.xxhash64(text) == F.col("_cut_version")),
+        F.col(id_col).eqNullSafe(F.col(cut_id)) & (F.xxhash64(text) == F.col(cut_version)),
         "left",
     ).withColumn(lines_col, F.split(text, "\n"))
     stays = F.array_except(F.sequence(F.lit(0), F.size(lines_col) - 1), F.col(hit))
