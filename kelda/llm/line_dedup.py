@@ -89,7 +89,9 @@ def later_occurrences(found: DataFrame) -> DataFrame:
         .where("times > 1")
         .select("a", "b", "size", "first")
     )
-    return found.join(stored(repeated, "repeated-lines"), ["a", "b", "size"]).where(
+    # Merge joins at every size: the same plan for a small and a large corpus.
+    later = stored(repeated, "repeated-lines").hint("merge")
+    return found.join(later, ["a", "b", "size"]).where(
         ~place.eqNullSafe(F.col("first"))
     )
 
@@ -118,7 +120,7 @@ def dedupe_lines(
     text = F.col(text_col).cast("string")
     cut = stored(covered, "covered-lines").toDF(cut_id, cut_version, hit)
     joined = docs.join(
-        cut,
+        cut.hint("merge"),
         F.col(id_col).eqNullSafe(F.col(cut_id)) & (F.xxhash64(text) == F.col(cut_version)),
         "left",
     ).withColumn(lines_col, F.split(text, "\n"))
