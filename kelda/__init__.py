@@ -1 +1 @@
-"""Data-warehouse operators for PySpark: functions from DataFrames to DataFrames."""
+"""Warehouse operators for PySpark: functions from DataFrames to DataFrames."""

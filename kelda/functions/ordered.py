@@ -9,12 +9,15 @@ plan is the plain window and nothing else.
 
 The busy keys are at most rows / ``busy`` in number and are written out before use, so that
 Spark knows their size and broadcasts them only if small. Choose the grain so that the
-busiest key's chunk fits one task. Keys and times must not be null.
+busiest key's chunk fits one task. A null key is a key. Rows with a null time come before all
+others of their key, in a chunk of their own if the key is busy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -27,26 +30,43 @@ CHUNK = "_chunk"
 BUSY = 1_000_000
 
 
-def chunk_busy(df: DataFrame, keys: Sequence[str], chunk: Column, busy: int = BUSY) -> DataFrame:
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys where null equals null; the result has the left side's key columns."""
+    names = [f"_match_{i}" for i, _ in enumerate(keys)]
+    renamed = right.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in right.columns if c not in keys]
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return left.join(renamed, same, how).drop(*names)
+
+
+def chunk_busy(
+    df: DataFrame, keys: Sequence[str], chunk: Column, busy: int | None = BUSY
+) -> DataFrame:
     """Add the chunk column if any key has more than ``busy`` rows; null for all other keys.
 
-    ``chunk`` must never fall as a key's order rises.
+    ``chunk`` must never fall as a key's order rises. With ``busy`` None no key is counted or cut:
+    for inputs that are known to be small.
     """
+    if busy is None:
+        return df
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > busy)
     hot = publish(
         counted.select(*keys, F.lit(True).alias("_busy")), scratch_path(df.sparkSession, "busy")
     )
     if hot.isEmpty():
         return df
-    marked = df.join(hot, list(keys), "left")
-    return marked.withColumn(CHUNK, F.when(F.col("_busy"), chunk)).drop("_busy")
+    marked = match(df, hot, keys)
+    # In a struct, a missing time is a chunk too, and the first one.
+    return marked.withColumn(CHUNK, F.when(F.col("_busy"), F.struct(chunk.alias("at")))).drop("_busy")
 
 
 def chunk_time(
-    df: DataFrame, keys: Sequence[str], ts: str, grain: str, busy: int = BUSY
+    df: DataFrame, keys: Sequence[str], ts: str, grain: str, busy: int | None = BUSY
 ) -> DataFrame:
     """Chunk busy keys by a ``date_trunc`` unit of their time column."""
-    return chunk_busy(df, keys, F.date_trunc(grain, F.col(ts)), busy)
+    chunk = F.date_trunc(grain, F.col(ts))
+    return chunk_busy(df, keys, chunk, busy)
 
 
 def is_chunked(df: DataFrame) -> bool:
@@ -81,7 +101,7 @@ def attach_carry(
     carried = per_chunk.select(
         *keys, CHUNK, *[make(by_key).alias(name) for name, make in carries.items()]
     )
-    return df.join(carried, [*keys, CHUNK], "left")
+    return match(df, carried, [*keys, CHUNK])
 
 
 def last_known(
@@ -183,7 +203,7 @@ def rank_in_buckets(
     offsets = upto.select(*keys, value, part, (F.col("_upto") - F.col("_n")).alias("_before"))
     within = F.row_number().over(Window.partitionBy(*keys, value, part).orderBy(tie))
     return (
-        df.join(offsets, [*keys, value, part])
+        match(df, offsets, [*keys, value, part], "inner")
         .withColumn(out, F.col("_before") + within)
         .drop("_before")
     )
@@ -210,7 +230,7 @@ def as_of(
     out: str,
     grain: str,
     tie: str | None = None,
-    busy: int = BUSY,
+    busy: int | None = BUSY,
 ) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time, as a struct.
 
@@ -233,6 +253,9 @@ def as_of(
         F.struct(*left.columns).alias("_row"),
     )
     both = source.unionByName(target, allowMissingColumns=True)
+    if busy is not None:
+        # Counting the keys must not run whatever made the two sides a second time.
+        both = publish(both, scratch_path(left.sparkSession, "as-of"))
     both = chunk_time(both, ["_key"], "_at", grain, busy)
     known = last_known(both, ["_key"], ["_at", "_side", "_tie"], "_payload", out)
     return known.where("_side = 1").select("_row.*", out)

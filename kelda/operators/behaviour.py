@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kelda.functions.ordered import (
     BUSY,
@@ -15,6 +16,7 @@ from kelda.functions.ordered import (
     cut_points,
     fill_days,
     is_chunked,
+    match,
     ordered,
     piece_of,
     rank_in_buckets,
@@ -73,7 +75,7 @@ def sessionize(
         F.col("session_start") == F.col("_first"), F.col("_inherited")
     ).otherwise(F.col("session_start"))
     return (
-        local.join(chunks, [key, CHUNK], "left")
+        match(local, chunks, [key, CHUNK])
         .withColumn("session_start", start)
         .select(*ev.columns, "session_start")
     )
@@ -313,8 +315,12 @@ def rfm(
 
     Quintiles need each customer's place among all others, and a window over all of them
     would be one task. The three measures are ranked together, piece by piece of their range;
-    the pieces hold about as many customers each, however uneven the measures are.
+    the pieces hold about as many customers each, however uneven the measures are. Choose
+    ``pieces`` so that one of them fits a task. The key must be a number, since ties are cut
+    into pieces too.
     """
+    if not isinstance(orders.schema[key].dataType, T.NumericType):
+        raise TypeError(f"rfm ranks ties by key, which must be a number: {key}")
     amount = amount if amount is not None else F.col("o_totalprice").cast("decimal(18,2)")
     per_key = publish(
         orders.groupBy(key).agg(

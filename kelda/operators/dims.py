@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelda.functions.keys import key_hash
-from kelda.functions.ordered import BUSY, CHUNK, as_of, chunk_time, is_chunked, ordered
+from kelda.functions.ordered import BUSY, CHUNK, as_of, chunk_time, is_chunked, match, ordered
 from kelda.sources.landing import publish
 from kelda.sources.scratch import scratch_path
 
@@ -61,7 +61,7 @@ def scd2_build(
     ts: str,
     tie: str,
     grain: str = "day",
-    busy: int = BUSY,
+    busy: int | None = BUSY,
 ) -> DataFrame:
     """History from a change log: half-open intervals, changes that change nothing dropped.
 
@@ -82,7 +82,7 @@ def scd2_build(
         "_moved", ~F.col("_attrs").eqNullSafe(F.lag("_attrs").over(order)) & ~F.col("_head")
     )
     if is_chunked(settled):
-        local = local.join(_chunk_heads(local, key), [key, CHUNK], "left")
+        local = match(local, _chunk_heads(local, key), [key, CHUNK])
     else:
         local = local.withColumns({"_head_moved": F.lit(True), "_next_change": F.lit(None)})
     # The first chunk of a key, and the only one of most, starts with a change.
@@ -109,8 +109,9 @@ def _chunk_heads(local: DataFrame, key: str) -> DataFrame:
         .groupBy(key, CHUNK)
         .agg(
             F.min("valid_from").alias("_first"),
-            F.min_by("_attrs", "valid_from").alias("_head_attrs"),
-            F.max_by("_attrs", "valid_from").alias("_last_attrs"),
+            # In a struct, a missing time is the earliest and not left out.
+            F.min_by("_attrs", F.struct("valid_from")).alias("_head_attrs"),
+            F.max_by("_attrs", F.struct("valid_from")).alias("_last_attrs"),
             F.min(F.when(F.col("_moved"), F.col("valid_from"))).alias("_first_moved"),
         )
         .withColumn("_head_moved", ~(follows & same))
@@ -133,7 +134,7 @@ def scd2_merge(
     ts: str,
     tie: str,
     grain: str = "day",
-    busy: int = BUSY,
+    busy: int | None = BUSY,
 ) -> DataFrame:
     """History after a further batch of changes, late ones included.
 
@@ -159,7 +160,7 @@ def dim_as_of(
     ts: str,
     dim_key: str | None = None,
     grain: str = "day",
-    busy: int = BUSY,
+    busy: int | None = BUSY,
 ) -> DataFrame:
     """Attach the version valid at the fact's time; facts without one keep nulls.
 

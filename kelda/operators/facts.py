@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kelda.functions.ordered import BUSY, match
 from kelda.functions.times import month_start
 from kelda.sources.landing import publish
 from kelda.sources.scratch import scratch_path
@@ -20,10 +21,10 @@ def wide_fact(
 ) -> DataFrame:
     """Lines with their order and dimension columns; a dimension is (table, fact key, key).
 
-    Every line has an order, so that join is inner; dimensions are left joins, so a
-    missing member loses no line. Spark broadcasts the sides it measures as small.
+    Left joins: a line without order keeps nulls, the order's key among them, and a missing
+    member loses no line. Spark broadcasts the sides it measures as small.
     """
-    fact = lines.join(orders, F.col(on[0]) == F.col(on[1]))
+    fact = lines.join(orders, F.col(on[0]) == F.col(on[1]), "left")
     for dim, fact_key, dim_key in dims:
         fact = fact.join(dim, F.col(fact_key) == F.col(dim_key), "left")
     return fact
@@ -111,6 +112,7 @@ def allocate(
     keys: Sequence[str] = ("l_orderkey",),
     out: str = "allocated",
     amounts: DataFrame | None = None,
+    busy: int = BUSY,
 ) -> DataFrame:
     """Split an order-level amount over its lines by weight; cents left go to the last line.
 
@@ -119,41 +121,61 @@ def allocate(
     same keys, or else of ``lines``, with the same value on all lines of an order. A line's
     share is cut to the cent. With a total weight of zero the last line takes the whole amount.
 
-    A window per order would put an order's lines into one task. Instead each step joins
-    the lines to a stored table with one row per order: a join Spark can broadcast, or split
-    where an order has too many lines.
+    A line whose order has no amount keeps a null share.
+
+    Ordinary orders are one window each. Orders with more than ``busy`` lines would be too much
+    for a task: their lines are joined to stored tables with one row per order, joins Spark can
+    broadcast or split.
     """
     keys = list(keys)
-    store = lambda frame: publish(frame, scratch_path(lines.sparkSession, "allocation"))
     cents = lambda c: (F.col(c) * 100).cast("decimal(18,0)")
     weighed = lines.withColumn("_weight", cents(weight))
-    first, *ties = order
-    sums = [F.sum("_weight").alias("_total"), F.max(first).alias("_top")]
     if amounts is None:
-        totals = weighed.groupBy(*keys).agg(F.max(cents(amount)).alias("_amount"), *sums)
+        weighed = weighed.withColumn("_amount", cents(amount))
     else:
-        wanted = amounts.select(*keys, cents(amount).alias("_amount"))
-        totals = weighed.groupBy(*keys).agg(*sums).join(wanted, keys)
-    totals = store(totals)
-    # Whole cents and whole-number division: no rounding to depend on.
-    share = F.coalesce(F.expr("(_amount * _weight) div nullif(_total, 0)"), F.lit(0))
-    slim = weighed.select(*keys, "_weight").join(totals, keys)
-    per_order = totals.join(slim.groupBy(*keys).agg(F.sum(share).alias("_given")), keys)
-    if ties:
-        # The whole order is compared only where its first column leaves a choice.
-        at_top = F.col(first).eqNullSafe(F.col("_top"))
-        top = weighed.select(*keys, *order).join(totals.select(*keys, "_top"), keys).where(at_top)
-        last = top.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
-        per_order = per_order.join(last, keys)
+        weighed = match(weighed, amounts.select(*keys, cents(amount).alias("_amount")), keys)
+    counted = lines.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > busy)
+    hot = publish(counted.select(*keys), scratch_path(lines.sparkSession, "busy-orders"))
+    if hot.isEmpty():
+        shared = _share_in_windows(weighed, keys, order)
     else:
-        per_order = per_order.withColumn("_last", F.struct(F.col("_top").alias(first)))
-    per_order = store(per_order.drop("_top"))
-    left_over = F.when(
-        F.struct(*order).eqNullSafe(F.col("_last")), F.col("_amount") - F.col("_given")
-    ).otherwise(F.lit(0))
-    in_cents = (share + left_over).cast("decimal(18,0)")
-    return (
-        weighed.join(per_order, keys)
-        .withColumn(out, (in_cents / 100).cast("decimal(18,2)"))
-        .select(*lines.columns, out)
+        few = match(weighed, hot, keys, "left_anti")
+        many = match(weighed, hot, keys, "left_semi")
+        shared = _share_in_windows(few, keys, order).unionByName(_share_by_joins(many, keys, order))
+    return shared.withColumn(out, (F.col("_cents") / 100).cast("decimal(18,2)")).select(*lines.columns, out)
+
+
+# Whole cents and whole-number division: no rounding to depend on.
+SHARE = "CASE WHEN _amount IS NOT NULL THEN coalesce((_amount * _weight) div nullif(_total, 0), 0) END"
+
+
+def _share_in_windows(weighed: DataFrame, keys: list[str], order: Sequence[str]) -> DataFrame:
+    """Each line's ``_cents``; an order's lines pass through one window."""
+    whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    totalled = weighed.withColumns(
+        {"_total": F.sum("_weight").over(whole), "_last": F.last(F.struct(*order)).over(whole)}
     )
+    given = totalled.withColumn("_share", F.expr(SHARE)).withColumn("_given", F.sum("_share").over(whole))
+    return _with_rest(given, order)
+
+
+def _share_by_joins(weighed: DataFrame, keys: list[str], order: Sequence[str]) -> DataFrame:
+    store = lambda frame: publish(frame, scratch_path(weighed.sparkSession, "allocation"))
+    weighed = store(weighed)
+    totals = store(
+        weighed.groupBy(*keys).agg(F.sum("_weight").alias("_total"), F.max(F.struct(*order)).alias("_last"))
+    )
+    totalled = match(weighed, totals, keys).withColumn("_share", F.expr(SHARE))
+    given = store(totalled.groupBy(*keys).agg(F.sum("_share").alias("_given")))
+    return _with_rest(match(totalled, given, keys), order).select(
+        *[c for c in weighed.columns], "_total", "_last", "_share", "_given", "_cents"
+    )
+
+
+def _with_rest(given: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The last line takes what the shares have left."""
+    rest = F.when(F.struct(*order).eqNullSafe(F.col("_last")), F.col("_amount") - F.col("_given"))
+    cents = F.col("_share") + F.when(F.col("_amount").isNotNull(), F.coalesce(rest, F.lit(0)))
+    return given.withColumn("_cents", cents.cast("decimal(18,0)"))

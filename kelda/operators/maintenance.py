@@ -30,29 +30,34 @@ def upsert(
 ) -> DataFrame:
     """Insert or update by key; the highest ``order_by`` wins, a change wins a tie.
 
-    ``current`` has one row per key and is read without a shuffle while the changed keys
-    are few enough for Spark to broadcast; beyond that both sides are hashed on the key.
+    ``current`` has one row per key; a null key is a key like any other. Both tables are read
+    once and stacked: the newest row of a key is one aggregate over both.
     """
-    latest = dedupe_latest(changes.select(current.columns), keys, order_by)
-    incoming = latest.select(*keys, F.struct(*current.columns).alias("_new"))
-    newer = F.struct(*[F.col(f"_new.{c}") for c in order_by]) >= F.struct(*order_by)
-    take_new = F.col("_new").isNotNull() & newer
-    kept = current.join(incoming, list(keys), "left").select(
-        F.when(take_new, F.col("_new")).otherwise(F.struct(*current.columns)).alias("_row")
+    columns = current.columns
+    both = current.select(*columns, F.lit(0).alias("_side")).unionByName(
+        changes.select(*columns, F.lit(1).alias("_side"))
     )
-    known = current.select(*keys).join(latest.select(*keys), list(keys), "left_semi")
-    inserted = latest.join(known, list(keys), "left_anti")
-    return kept.select("_row.*").unionByName(inserted)
+    return dedupe_latest(both, keys, [*order_by, "_side"]).drop("_side")
+
+
+def is_deletion(op: str) -> Column:
+    """Whether a change deletes; a change without an operation is an update."""
+    return F.col(op).eqNullSafe(F.lit("D"))
 
 
 def apply_cdc(
     base: DataFrame, feed: DataFrame, keys: Sequence[str], op: str, seq: str
 ) -> DataFrame:
-    """Fold an insert/update/delete feed into ``base``: per key the highest ``seq`` counts."""
-    latest = dedupe_latest(feed, keys, [seq])
-    untouched = base.join(latest.select(*keys), list(keys), "left_anti")
-    alive = latest.where(F.col(op) != "D").select(base.columns)
-    return untouched.select(base.columns).unionByName(alive)
+    """Fold an insert/update/delete feed into ``base``: per key the highest ``seq`` counts.
+
+    Keys with changes take the newest one, others keep their row. A null key is a key, a null
+    ``op`` an update. Both tables are read once.
+    """
+    columns = base.columns
+    old = base.select(*columns, F.lit(False).alias("_gone"), F.lit(0).alias("_side"), F.lit(None).cast(feed.schema[seq].dataType).alias("_seq"))
+    new = feed.select(*columns, is_deletion(op).alias("_gone"), F.lit(1).alias("_side"), F.col(seq).alias("_seq"))
+    newest = dedupe_latest(old.unionByName(new), keys, ["_side", "_seq"])
+    return newest.where(~F.col("_gone")).select(columns)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

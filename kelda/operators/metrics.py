@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,11 +73,23 @@ def subtotals(
     finest = df.groupBy(*columns).agg(
         *[first[kind](value).alias(name) for name, (kind, value) in measures.items()]
     )
-    # No grouping columns in play: an empty set still yields its one row.
-    return finest.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
-        F.grouping_id().cast("int").alias("level_id"),
-        *[REDUCERS[kind](name).alias(name) for name, (kind, _) in measures.items()],
-    )
+    combined = {
+        name: F.coalesce(F.sum(name), F.lit(0)) if kind == "count" else REDUCERS[kind](name)
+        for name, (kind, _) in measures.items()
+    }
+    combined = [column.alias(name) for name, column in combined.items()]
+    some = [[F.col(c) for c in s] for s in sets if s]
+    parts = []
+    if some:
+        level = F.grouping_id().cast("int").alias("level_id")
+        parts.append(finest.groupingSets(some, *columns).agg(level, *combined))
+    if len(some) < len(sets):
+        # The grand total is an aggregate of its own: it has its row even if the table has none.
+        blanks = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in columns]
+        level = F.lit(2 ** len(columns) - 1).alias("level_id")
+        total = finest.agg(*combined).select(*blanks, level, *measures)
+        parts += [total] * (len(sets) - len(some))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cube_sets(columns: Sequence[str]) -> list[list[str]]:

@@ -106,7 +106,12 @@ def daily_volume(df: DataFrame, ts: str, days: int) -> DataFrame:
     Days without rows count as zero. After the grouping there is one row per day, which is
     why a single window over all of them is harmless.
     """
-    daily = df.groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias("_n"))
+    daily = df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias("_n"))
+    return _with_trailing(daily, days)
+
+
+def _with_trailing(daily: DataFrame, days: int) -> DataFrame:
+    """The table of (day, _n) with a row for every day and the figures before it."""
     filled = fill_days(daily).select("day", F.coalesce("_n", F.lit(0)).alias("n"))
     before = Window.orderBy("day").rowsBetween(-days, -1)
     counted = filled.select(
@@ -137,8 +142,25 @@ def volume_outliers(daily: DataFrame, days: int, z: float) -> DataFrame:
 
 
 def check_volume(df: DataFrame, ts: str, days: int, z: float, table: str) -> DataFrame:
-    """Bad rows are the rows of days whose volume is far from the trailing mean."""
-    marked = volume_outliers(daily_volume(df, ts, days), days, z)
-    return _result(
-        marked, table, f"volume({days}d)", F.sum(F.when(F.col("is_bad"), F.col("n"))), F.sum("n")
+    """Bad rows are the rows of days whose volume is far from the trailing mean, and under a rule
+    of their own the rows without a time; both count in the total."""
+    daily = df.groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias("_n"))
+    marked = volume_outliers(_with_trailing(daily.where(F.col("day").isNotNull()), days), days, z)
+    untimed = daily.where(F.col("day").isNull()).select(F.col("_n").alias("_untimed"))
+    every = marked.select("n", "is_bad", F.lit(0).cast("bigint").alias("_untimed")).unionByName(
+        untimed.select(F.lit(0).cast("bigint").alias("n"), F.lit(False).alias("is_bad"), "_untimed")
+    )
+    total = F.sum(F.col("n") + F.col("_untimed"))
+    counts = every.agg(
+        total.alias("total"), F.sum(F.when(F.col("is_bad"), F.col("n"))).alias("off"), F.sum("_untimed").alias("untimed")
+    )
+    rules = F.array(
+        F.struct(F.lit(f"volume({days}d)").alias("rule"), F.col("off").alias("bad")),
+        F.struct(F.lit(f"has {ts}").alias("rule"), F.col("untimed").alias("bad")),
+    )
+    return counts.select(F.explode(rules).alias("r"), "total").select(
+        F.lit(table).alias("table"),
+        "r.rule",
+        F.coalesce("r.bad", F.lit(0)).cast("bigint").alias("bad_rows"),
+        F.coalesce("total", F.lit(0)).cast("bigint").alias("total_rows"),
     )

@@ -9,19 +9,29 @@ from pyspark.sql import functions as F
 
 
 def salted_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], n: int, how: str = "inner"
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    n: int,
+    how: str = "inner",
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi-join that spreads every key of ``big`` over n salts; ``small`` is repeated n times.
 
-    For plans in which Spark does not split skewed joins itself. The salt is a hash of the
-    row, not a random number, so a recomputed task sends each row where it went before.
+    For plans in which Spark does not split skewed joins itself. The salt is a hash of
+    ``salt_by``, columns that differ between the rows of a key, not a random number, so a
+    recomputed task sends each row where it went before. Without ``salt_by``, rows that may all
+    be alike are counted first: equal rows are joined once, with their number, and repeated
+    afterwards, so no key has more rows than it has different ones.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("only joins that keep or drop rows of the big side can be salted")
-    salt = F.pmod(F.xxhash64(*big.columns), F.lit(n)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    return (
-        big.withColumn("_salt", salt)
-        .join(small.withColumn("_salt", salts), [*on, "_salt"], how)
-        .drop("_salt")
-    )
+    right = small.withColumn("_salt", salts)
+    if salt_by:
+        salt = F.pmod(F.xxhash64(*salt_by), F.lit(n)).cast("int")
+        return big.withColumn("_salt", salt).join(right, [*on, "_salt"], how).drop("_salt")
+    counted = big.groupBy(*big.columns).agg(F.count("*").alias("_times"))
+    salt = F.pmod(F.xxhash64(*big.columns), F.lit(n)).cast("int")
+    joined = counted.withColumn("_salt", salt).join(right, [*on, "_salt"], how).drop("_salt")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times", "_copy")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
+from kelda.functions.ordered import BUSY
+
 from kelda.operators.behaviour import (
     active_users,
     bounce_rate,
@@ -58,10 +62,10 @@ FROM sessions
 """
 
 
-def event_sessions(spark, sf_dir):
+def event_sessions(spark, sf_dir, busy=BUSY):
     """Every event with its session."""
     (events,) = tables(spark, sf_dir, "events")
-    return plain(sessionize(events, "user_id", "ts", GAP).select("event_id", "session_start"))
+    return plain(sessionize(events, "user_id", "ts", GAP, busy=busy).select("event_id", "session_start"))
 
 
 EVENT_SESSIONS_SQL = f"""
@@ -167,9 +171,9 @@ FROM r GROUP BY user_id, run
 """
 
 
-def event_transitions(spark, sf_dir):
+def event_transitions(spark, sf_dir, busy=BUSY):
     (events,) = tables(spark, sf_dir, "events")
-    return plain(transitions(events, "user_id", "ts", "event_type", "event_id"))
+    return plain(transitions(events, "user_id", "ts", "event_type", "event_id", busy=busy))
 
 
 TRANSITIONS_SQL = """
@@ -179,12 +183,12 @@ SELECT from_type, to_type, count(*) AS n FROM (
 """
 
 
-def click_before_purchase(spark, sf_dir):
+def click_before_purchase(spark, sf_dir, busy=BUSY):
     """Each purchase with the user's latest click."""
     (events,) = tables(spark, sf_dir, "events")
     purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     clicks = events.where("event_type = 'click'")
-    found = last_before(purchases, clicks, "user_id", "ts", ["event_id", "ts", "value"], "event_id")
+    found = last_before(purchases, clicks, "user_id", "ts", ["event_id", "ts", "value"], "event_id", busy=busy)
     return plain(found)
 
 
@@ -261,7 +265,13 @@ counted AS (SELECT t, sum(net) OVER (ORDER BY t) AS n FROM points)
 SELECT {sql_date("t")} AS day, CAST(max(n) AS BIGINT) AS peak FROM counted GROUP BY 1
 """
 
+#: Rows of a key from which it is cut into chunks in the variants that show the chunked plan.
+FEW = 20
+
 QUERIES = {
+    "event_sessions_busy": partial(event_sessions, busy=FEW),
+    "event_transitions_busy": partial(event_transitions, busy=FEW),
+    "click_before_purchase_busy": partial(click_before_purchase, busy=FEW),
     "user_sessions": user_sessions,
     "event_sessions": event_sessions,
     "daily_active_users": daily_active_users,
@@ -278,6 +288,9 @@ QUERIES = {
     "session_concurrency": session_concurrency,
 }
 SQL = {
+    "event_sessions_busy": EVENT_SESSIONS_SQL,
+    "event_transitions_busy": TRANSITIONS_SQL,
+    "click_before_purchase_busy": LAST_BEFORE_SQL,
     "user_sessions": SESSIONS_SQL,
     "event_sessions": EVENT_SESSIONS_SQL,
     "daily_active_users": ACTIVE_SQL,

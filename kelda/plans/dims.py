@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
+from kelda.functions.ordered import BUSY
+
 from kelda.operators.dims import (
     calendar,
     count_unknown,
@@ -77,10 +81,10 @@ FROM orders
 HISTORY_ARGS = ("o_custkey", ["o_orderpriority"], "o_orderdate", "o_orderkey")
 
 
-def priority_history(spark, sf_dir):
+def priority_history(spark, sf_dir, busy=BUSY):
     """The priority of a customer's orders as an attribute with history."""
     (orders,) = tables(spark, sf_dir, "orders")
-    return plain(scd2_build(orders, *HISTORY_ARGS))
+    return plain(scd2_build(orders, *HISTORY_ARGS, busy=busy))
 
 
 HISTORY_CTE = """
@@ -114,7 +118,7 @@ def priority_history_merge(spark, sf_dir):
     return plain(scd2_merge(dim, log, orders.where(late), *HISTORY_ARGS))
 
 
-def line_priority_as_of(spark, sf_dir):
+def line_priority_as_of(spark, sf_dir, busy=BUSY):
     """Lines by the priority their customer had on the day of shipping."""
     lineitem, orders = tables(spark, sf_dir, "lineitem", "orders")
     fact = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -122,7 +126,7 @@ def line_priority_as_of(spark, sf_dir):
     )
     # A dimension is a stored table by the time facts look things up in it.
     history = publish(scd2_build(orders, *HISTORY_ARGS), scratch_path(spark, "history"))
-    found = dim_as_of(fact, history, "o_custkey", "l_shipdate")
+    found = dim_as_of(fact, history, "o_custkey", "l_shipdate", busy=busy)
     return plain(
         found.groupBy("o_custkey", "o_orderpriority", "valid_from").agg(
             F.count("*").alias("n_lines"), F.max("l_shipdate").alias("last_ship")
@@ -175,6 +179,8 @@ FROM orders
 """
 
 QUERIES = {
+    "priority_history_busy": partial(priority_history, busy=5),
+    "line_priority_as_of_busy": partial(line_priority_as_of, busy=20),
     "calendar_of_orders": calendar_of_orders,
     "flatten_customer": flatten_customer,
     "order_surrogate_key": order_surrogate_key,
@@ -185,6 +191,8 @@ QUERIES = {
     "unknown_customer_count": unknown_customer_count,
 }
 SQL = {
+    "priority_history_busy": HISTORY_SQL,
+    "line_priority_as_of_busy": AS_OF_SQL,
     "calendar_of_orders": CALENDAR_SQL,
     "flatten_customer": FLATTEN_SQL,
     "order_surrogate_key": SURROGATE_SQL,

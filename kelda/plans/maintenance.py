@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kelda.operators.maintenance import (
     apply_cdc,
@@ -20,41 +19,59 @@ from kelda.sources.tables import money, schema_of
 CORRECTED_FROM = "2024-01-20"
 
 
-def _landed(spark, sf_dir, fmt):
-    """Events as text files whose error rows were cut short, landed again."""
+def _landed(spark, sf_dir, fmt, multiline=False):
+    """Events as text files, landed again.
+
+    Error rows are cut short (to their first value where lines belong together, since an open
+    quote would take in the records after it), a blank line follows every sign-up, and payloads hold what csv
+    must quote: commas, quotes, and with ``multiline`` line breaks too.
+    """
     (events,) = tables(spark, sf_dir, "events")
     schema = schema_of("events")
+    note = f', "note": "a,{chr(10) if multiline else " "}b"}}'
+    noted = events.withColumn("props", F.regexp_replace("props", r"\}$", note)) if fmt == "csv" else events
     pack = {"json": F.to_json, "csv": F.to_csv}[fmt]
-    if fmt == "csv":
-        # Commas and quotes inside the payload would be a test of quoting, not of landing.
-        schema = T.StructType(schema.fields[:-1])
-    row = F.struct(*schema.names)
-    line = pack(row, {"timestampNTZFormat": TIME_FORMAT})
-    cut = F.when(F.col("event_type") == "error", F.substring(line, 1, 20)).otherwise(line)
+    options = {"timestampNTZFormat": TIME_FORMAT} | ({"escape": '"', "quoteAll": "true"} if fmt == "csv" else {})
+    line = pack(F.struct(*schema.names), options)
+    short = F.col("event_id").cast("string") if multiline else F.substring(line, 1, 20)
+    cut = F.when(F.col("event_type") == "error", short).otherwise(line)
+    blank = F.when(F.col("event_type") == "signup", F.array(cut, F.lit(""))).otherwise(F.array(cut))
     path = scratch_path(spark, f"landing-{fmt}")
-    events.select(cut.alias("value")).write.text(path)
-    good, bad = land(spark, path, schema, fmt)
+    noted.select(F.explode(blank).alias("value")).write.text(path)
+    good, bad = land(spark, path, schema, fmt, multiline=multiline)
     by_type = good.groupBy("event_type").agg(
-        F.count("*").alias("n"), F.sum(money("value")).alias("value"), F.max("ts").alias("last_ts")
+        F.count("*").alias("n"),
+        F.sum(money("value")).alias("value"),
+        F.max("ts").alias("last_ts"),
+        F.max("props").alias("last_props"),
     )
     broken = bad.agg(F.count("*").alias("n")).select(
         F.lit("(broken)").alias("event_type"),
         "n",
         F.lit(None).cast("decimal(28,2)").alias("value"),
         F.lit(None).cast("timestamp_ntz").alias("last_ts"),
+        F.lit(None).cast("string").alias("last_props"),
     )
     return plain(by_type.unionByName(broken))
 
 
-LANDED_SQL = f"""
+def _landed_sql(props, blanks):
+    return f"""
 SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value,
-       {sql_time("max(ts)")} AS last_ts
+       {sql_time("max(ts)")} AS last_ts, max({props}) AS last_props
 FROM events WHERE event_type <> 'error' GROUP BY event_type
 UNION ALL
-SELECT '(broken)', count(*), NULL, NULL FROM events WHERE event_type = 'error'
+SELECT '(broken)', count(*) FILTER (event_type = 'error') + {blanks}, NULL, NULL, NULL FROM events
 """
 
 
+BLANKS = "count(*) FILTER (event_type = 'signup')"
+LANDED_JSON_SQL = _landed_sql("props", BLANKS)
+LANDED_CSV_SQL = _landed_sql("regexp_replace(props, '\\}$', ', \"note\": \"a, b\"}')", BLANKS)
+# Between records of several lines a blank line is no record.
+LANDED_LINES_SQL = _landed_sql("regexp_replace(props, '\\}$', ', \"note\": \"a,' || chr(10) || 'b\"}')", "0")
+
+
 def land_json(spark, sf_dir):
     return _landed(spark, sf_dir, "json")
 
@@ -63,6 +80,10 @@ def land_csv(spark, sf_dir):
     return _landed(spark, sf_dir, "csv")
 
 
+def land_csv_multiline(spark, sf_dir):
+    return _landed(spark, sf_dir, "csv", multiline=True)
+
+
 def replace_partitions(spark, sf_dir):
     """All days are published, then a correction replaces the days it contains, twice."""
     (events,) = tables(spark, sf_dir, "events")
@@ -175,6 +196,7 @@ FROM events GROUP BY 1, 2
 QUERIES = {
     "land_json": land_json,
     "land_csv": land_csv,
+    "land_csv_multiline": land_csv_multiline,
     "replace_partitions": replace_partitions,
     "upsert_orders": upsert_orders,
     "cdc_customers": cdc_customers,
@@ -183,8 +205,9 @@ QUERIES = {
     "event_json_fields": event_json_fields,
 }
 SQL = {
-    "land_json": LANDED_SQL,
-    "land_csv": LANDED_SQL,
+    "land_json": LANDED_JSON_SQL,
+    "land_csv": LANDED_CSV_SQL,
+    "land_csv_multiline": LANDED_LINES_SQL,
     "replace_partitions": REPLACED_SQL,
     "upsert_orders": LATEST_ORDER_SQL,
     "cdc_customers": CDC_SQL,

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
+from kelda.functions.ordered import BUSY
+
 from kelda.functions.times import month_start
 from kelda.operators.dims import flatten_dim
 from kelda.operators.metrics import (
@@ -123,7 +127,7 @@ FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, year(l_shipdate))
 """
 
 
-def priority_running_share(spark, sf_dir):
+def priority_running_share(spark, sf_dir, busy=BUSY):
     (orders,) = tables(spark, sf_dir, "orders")
     rows = orders.select(
         "o_orderpriority", "o_orderdate", "o_orderkey", money("o_totalprice").alias("amount")
@@ -132,7 +136,7 @@ def priority_running_share(spark, sf_dir):
     last_key = orders.agg(F.max("o_orderkey")).scalar()
     chunk = F.struct("o_orderdate", F.floor(F.col("o_orderkey") * 64 / (last_key + 1)))
     order = ["o_orderdate", "o_orderkey"]
-    return plain(running_share(rows, "o_orderpriority", order, "amount", chunk))
+    return plain(running_share(rows, "o_orderpriority", order, "amount", chunk, busy))
 
 
 RUNNING_SQL = f"""
@@ -221,9 +225,9 @@ GROUP BY 1, 2
 POINTS = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
 
 
-def price_percentiles(spark, sf_dir):
+def price_percentiles(spark, sf_dir, task_rows=BUSY):
     (lineitem,) = tables(spark, sf_dir, "lineitem")
-    return plain(percentiles(lineitem, "l_returnflag", "l_extendedprice", POINTS))
+    return plain(percentiles(lineitem, "l_returnflag", "l_extendedprice", POINTS, task_rows=task_rows))
 
 
 # By position rather than quantile_cont, whose last bit follows its own order of arithmetic.
@@ -307,6 +311,8 @@ SELECT year(l_shipdate) AS year, count(DISTINCT l_partkey) AS n_distinct FROM li
 """
 
 QUERIES = {
+    "priority_running_share_busy": partial(priority_running_share, busy=100),
+    "price_percentiles_busy": partial(price_percentiles, task_rows=500),
     "region_month_revenue": region_month_revenue,
     "region_month_compare": region_month_compare,
     "customer_trailing": customer_trailing,
@@ -323,6 +329,8 @@ QUERIES = {
     "distinct_parts_bitmap": distinct_parts_bitmap,
 }
 SQL = {
+    "priority_running_share_busy": RUNNING_SQL,
+    "price_percentiles_busy": PERCENTILES_SQL,
     "region_month_revenue": REGION_MONTH_SQL,
     "region_month_compare": COMPARE_SQL,
     "customer_trailing": TRAILING_SQL,

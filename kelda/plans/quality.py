@@ -163,6 +163,8 @@ VOLUME_CHECK_SQL = f"""{VOLUME}
 SELECT 'events' AS "table", 'volume(7d)' AS rule,
        CAST(coalesce(sum(n) FILTER (WHERE is_bad), 0) AS BIGINT) AS bad_rows,
        CAST(sum(n) AS BIGINT) AS total_rows FROM marked
+UNION ALL
+SELECT 'events', 'has ts', count(*) FILTER (WHERE ts IS NULL), count(*) FROM events
 """
 
 QUERIES = {

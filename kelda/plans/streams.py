@@ -22,13 +22,40 @@ from kelda.streaming.source import event_stream
 DELAY = "1 hour"
 
 
-def _stream(spark, sf_dir, name, ts=None):
-    # A pattern, because a table may be one file and a plain stream path must be a folder.
-    return event_stream(spark, f"{sf_dir}/{{{name}}}.parquet", schema_of(name), ts)
+#: Deliveries a table is cut into, and inboxes by session, table folder and order.
+PARTS = 4
+_INBOXES: dict[tuple, str] = {}
 
 
-def _events(spark, sf_dir):
-    return _stream(spark, sf_dir, "events", "ts")
+def part_of(df, ts):
+    """The delivery a row belongs to: the table's days in ``PARTS`` runs of equal length."""
+    borders = df.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last"))
+    first, last = borders.first()
+    if first is None:
+        return F.lit(0)
+    days = -(-((last - first).days + 1) // PARTS)
+    return F.coalesce(F.floor(F.datediff(F.to_date(ts), F.lit(first)) / days), F.lit(0)).cast("int")
+
+
+def _stream(spark, sf_dir, name, ts, zoned=True, order=range(PARTS)):
+    """A table as a stream of several files, one micro-batch for each.
+
+    The files are written once a session, in the order of ``order``.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name, tuple(order))
+    if key not in _INBOXES:
+        (table,) = tables(spark, sf_dir, name)
+        inbox = scratch_path(spark, f"inbox-{name}")
+        part = part_of(table, ts)
+        for k in order:
+            # One file a delivery at this size; a larger table has more, and as many batches.
+            table.where(part == k).coalesce(1).write.mode("append").parquet(inbox)
+        _INBOXES[key] = inbox
+    return event_stream(spark, _INBOXES[key], schema_of(name), ts if zoned else None, max_files=1)
+
+
+def _events(spark, sf_dir, **options):
+    return _stream(spark, sf_dir, "events", "ts", **options)
 
 
 def _finish(spark, df, name, mode="append"):
@@ -43,6 +70,13 @@ def _value():
 
 
 CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+# Events with the number of their delivery (see ``part_of``).
+PARTED_SQL = f"""
+SELECT events.*, date_diff('day', d0, CAST(ts AS DATE)) // days AS part
+FROM events, (SELECT CAST(min(ts) AS DATE) AS d0,
+                     (date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + {PARTS}) // {PARTS} AS days
+              FROM events)
+"""
 
 
 def stream_events(spark, sf_dir):
@@ -70,6 +104,23 @@ GROUP BY date_trunc('hour', ts), event_type
 """
 
 
+def stream_tumbling_late(spark, sf_dir):
+    """The same, with the second delivery two batches late: its windows have been closed."""
+    events = _events(spark, sf_dir, order=(0, 2, 3, 1))
+    counted = windows.tumbling(events, "ts", "1 hour", DELAY, ["event_type"], _value())
+    return plain(_finish(spark, windows.flat(counted), "tumbling-late"))
+
+
+TUMBLING_LATE_SQL = f"""
+WITH parted AS ({PARTED_SQL})
+SELECT {sql_time("date_trunc('hour', ts)")} AS window_start,
+       {sql_time("date_trunc('hour', ts) + INTERVAL 1 HOUR")} AS window_end, event_type, count(*) AS n,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM parted WHERE part <> 1 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}
+GROUP BY date_trunc('hour', ts), event_type
+"""
+
+
 def stream_sliding(spark, sf_dir):
     """Events in the last six hours, every hour."""
     counted = windows.sliding(_events(spark, sf_dir), "ts", "6 hours", "1 hour", DELAY, (), _value())
@@ -121,26 +172,11 @@ FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}
 GROUP BY date_trunc('day', ts), event_type
 """
 
-# Parts of the event table by date, in the order in which they arrive.
-ARRIVALS = [
-    ("2024-01-01", "2024-01-08"),
-    ("2024-01-15", "2024-01-22"),
-    ("2024-01-08", "2024-01-15"),
-    ("2024-01-22", "9999-01-01"),
-]
-
-
 def stream_split_late(spark, sf_dir):
-    """Four deliveries of events, of which the third comes after newer ones."""
-    (events,) = tables(spark, sf_dir, "events")
-    inbox, path = scratch_path(spark, "inbox"), scratch_path(spark, "split")
-    for start, end in ARRIVALS:
-        part = (F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (
-            F.col("ts") < F.lit(end).cast("timestamp_ntz")
-        )
-        events.where(part).write.mode("append").parquet(inbox)
-        stream = event_stream(spark, inbox, schema_of("events"))
-        sinks.run(sinks.split_late(stream, "ts", "1 day", path), f"{path}-checkpoint")
+    """Four deliveries of events, of which the second comes after the third."""
+    path = scratch_path(spark, "split")
+    stream = _events(spark, sf_dir, order=(0, 2, 1, 3))
+    sinks.run(sinks.split_late(stream, "ts", "1 day", path), f"{path}-checkpoint")
     rows = spark.read.parquet(f"{path}/rows").withColumn("late", F.col("late").cast("boolean"))
     return plain(
         rows.groupBy("late", F.to_date("ts").alias("day")).agg(
@@ -150,10 +186,9 @@ def stream_split_late(spark, sf_dir):
 
 
 SPLIT_LATE_SQL = f"""
-WITH parts AS (
-  SELECT *, ts >= '2024-01-08' AND ts < '2024-01-15'
-            AND ts < (SELECT max(ts) - INTERVAL 1 DAY FROM events WHERE ts < '2024-01-22') AS late
-  FROM events)
+WITH parted AS ({PARTED_SQL}),
+parts AS (
+  SELECT *, part = 1 AND ts < (SELECT max(ts) - INTERVAL 1 DAY FROM parted WHERE part <= 2) AS late FROM parted)
 SELECT late, {sql_date("ts")} AS day, count(*) AS n, {sql_time("max(ts)")} AS last_ts
 FROM parts GROUP BY late, {sql_date("ts")}
 """
@@ -289,9 +324,14 @@ FROM events GROUP BY 1, 2
 """
 
 
+def _buckets(spark):
+    # The table lives as long as the query, so the session's setting may be used.
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stream_cdc(spark, sf_dir):
     """Orders as a change feed on customers; low-priority ones delete."""
-    orders = _stream(spark, sf_dir, "orders")
+    orders = _stream(spark, sf_dir, "orders", "o_orderdate", zoned=False)
     feed = orders.select(
         "o_custkey",
         "o_orderstatus",
@@ -299,8 +339,9 @@ def stream_cdc(spark, sf_dir):
         F.when(F.col("o_orderpriority") == "5-LOW", "D").otherwise("U").alias("op"),
         F.col("o_orderkey").alias("seq"),
     )
-    written = _finish(spark, state.cdc_stream(feed, ["o_custkey"], "seq"), "cdc", "update")
-    return plain(state.current_rows(written, ["o_custkey"], "op", "seq"))
+    path = scratch_path(spark, "cdc")
+    sinks.run(state.cdc_stream(feed, ["o_custkey"], "seq", path, _buckets(spark)), f"{path}-checkpoint")
+    return plain(state.current_rows(spark, path, feed.schema, "op", "seq"))
 
 
 STREAM_CDC_SQL = """
@@ -311,16 +352,21 @@ WHERE rn = 1 AND o_orderpriority <> '5-LOW'
 
 
 def stream_first_seen(spark, sf_dir):
-    found = state.first_seen(_events(spark, sf_dir), "user_id", "ts", "event_id", DELAY)
-    return plain(_finish(spark, found, "first-seen"))
+    """Users' first events of each day; after a week away a user counts as new."""
+    path = scratch_path(spark, "first-seen")
+    writer = state.first_seen(_events(spark, sf_dir), "user_id", "ts", "event_id", path, "7 days")
+    sinks.run(writer, f"{path}-checkpoint")
+    return plain(spark.read.parquet(path).select("user_id", "first_ts", "first_id", "is_first_ever"))
 
 
 FIRST_SEEN_SQL = f"""
 WITH ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS d,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS e FROM events)
-SELECT user_id, {sql_time("ts")} AS first_ts, event_id AS first_id, e = 1 AS is_first_ever
-FROM ranked WHERE d = 1 AND date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}
+  SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS d FROM events),
+days AS (
+  SELECT *, lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM ranked WHERE d = 1)
+SELECT user_id, {sql_time("ts")} AS first_ts, event_id AS first_id,
+       before IS NULL OR date_diff('day', before, CAST(ts AS DATE)) - 1 > 7 AS is_first_ever
+FROM days
 """
 
 
@@ -347,43 +393,41 @@ FROM r WHERE place <= 3 AND s + INTERVAL 6 HOUR <= {CLOSED}
 FOLLOW = ("user_id", "ts", "event_id", "event_type", "view", "purchase", "6 hours", DELAY)
 
 
-def _slots(spark):
-    # The checkpoint lives as long as the query, so the session's setting may be used.
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def stream_followed_by(spark, sf_dir):
     """Views the same user's purchase followed within six hours."""
-    found = state.followed_by(_events(spark, sf_dir), *FOLLOW, slots=_slots(spark))
-    return plain(_finish(spark, found, "followed"))
+    found = _finish(spark, state.followed_by(_events(spark, sf_dir), *FOLLOW), "followed")
+    return plain(state.first_answers(found, "user_id"))
 
 
 def stream_not_followed_by(spark, sf_dir):
     """Views no purchase of the same user followed within six hours."""
-    found = state.not_followed_by(_events(spark, sf_dir), *FOLLOW, slots=_slots(spark))
-    return plain(_finish(spark, found, "not-followed"))
+    return plain(_finish(spark, state.not_followed_by(_events(spark, sf_dir), *FOLLOW), "not-followed"))
 
 
-# A view is settled when its day and the six hours after are behind the watermark.
-SETTLED = f"""
+ANSWERS = """
 SELECT v.user_id, v.event_id AS a_id, v.ts AS a_ts, min(b.ts) AS b_ts
 FROM (SELECT * FROM events WHERE event_type = 'view') v
 LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
   ON v.user_id = b.user_id AND b.ts > v.ts AND b.ts <= v.ts + INTERVAL 6 HOUR
-WHERE date_trunc('day', v.ts) + INTERVAL 30 HOUR <= {CLOSED}
 GROUP BY 1, 2, 3
 """
 FOLLOWED_SQL = f"""
 SELECT user_id, a_id, {sql_time("a_ts")} AS a_ts, {sql_time("b_ts")} AS b_ts
-FROM ({SETTLED}) WHERE b_ts IS NOT NULL
+FROM ({ANSWERS}) WHERE b_ts IS NOT NULL
 """
+# A view has expired when the watermark, the lower one of both sides, has passed six hours after it.
 NOT_FOLLOWED_SQL = f"""
-SELECT user_id, a_id, {sql_time("a_ts")} AS a_ts FROM ({SETTLED}) WHERE b_ts IS NULL
+WITH closed AS (
+  SELECT least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'purchase'))
+         - INTERVAL 1 HOUR AS t FROM events)
+SELECT user_id, a_id, {sql_time("a_ts")} AS a_ts FROM ({ANSWERS}), closed
+WHERE b_ts IS NULL AND a_ts + INTERVAL 6 HOUR <= t
 """
 
 QUERIES = {
     "stream_events": stream_events,
     "stream_tumbling": stream_tumbling,
+    "stream_tumbling_late": stream_tumbling_late,
     "stream_sliding": stream_sliding,
     "stream_sessions": stream_sessions,
     "stream_rewindow": stream_rewindow,
@@ -403,6 +447,7 @@ QUERIES = {
 SQL = {
     "stream_events": STREAM_EVENTS_SQL,
     "stream_tumbling": TUMBLING_SQL,
+    "stream_tumbling_late": TUMBLING_LATE_SQL,
     "stream_sliding": SLIDING_SQL,
     "stream_sessions": STREAM_SESSIONS_SQL,
     "stream_rewindow": REWINDOW_SQL,

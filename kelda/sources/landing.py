@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kelda.sources.scratch import scratch_path
+
 CORRUPT = "_corrupt"
 # Six fraction digits: the default pattern for JSON and CSV keeps milliseconds only.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -14,44 +16,94 @@ TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def split_lines(
     lines: DataFrame, schema: T.StructType, fmt: str, **options: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Parse a ``value`` column of text lines into (good rows, bad lines).
+    """Parse a ``value`` column of text lines into (good rows, bad lines); every line is in one.
 
-    Each output is its own pass over the text; nothing is cached, since a cache of the
-    raw layer would not fit a cluster. Blank lines are neither good nor bad.
+    The text is parsed once, into a stored table of which both outputs are partitions. Blank
+    lines are bad. So is a csv line with an open quote, as each half of a record with a quoted
+    line break is; see ``land`` for files that have those.
     """
     parse = {"json": F.from_json, "csv": F.from_csv}[fmt]
-    settings = {
+    settings = _settings(fmt, options)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    # from_csv takes its schema as DDL text only.
+    target = full if fmt == "json" else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields
+    )
+    parsed = lines.select("value", parse("value", target, settings).alias("row"))
+    broken = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull() | (F.trim("value") == "")
+    if fmt == "csv":
+        quotes = F.length("value") - F.length(F.replace("value", F.lit(settings["quote"])))
+        broken = broken | (quotes % 2 == 1)
+    return _sorted_out(parsed.withColumn("broken", F.coalesce(broken, F.lit(True))), schema)
+
+
+def _settings(fmt: str, options: dict[str, str]) -> dict[str, str]:
+    # Standard csv doubles quotes inside quotes; the reader's own default is a backslash.
+    standard = {"quote": '"', "escape": '"'} if fmt == "csv" else {}
+    return {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "timestampNTZFormat": TIME_FORMAT,
         "timestampFormat": TIME_FORMAT + "XXX",
+        **standard,
         **options,
     }
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    # from_csv takes its schema as DDL text only.
-    target = full if fmt == "json" else ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields
-    )
-    parsed = lines.where(F.trim("value") != "").select(
-        "value", parse("value", target, settings).alias("row")
+
+
+def _sorted_out(parsed: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Good rows and bad lines of (value, row, broken), stored in a folder for each."""
+    spark = parsed.sparkSession
+    path = scratch_path(spark, "landed")
+    # A line's text is needed where it is broken, its values where it isn't.
+    row = F.struct(*[F.col(f"row.`{f.name}`") for f in schema.fields])
+    kept = parsed.select(
+        F.when(F.col("broken"), F.col("value")).alias("line"),
+        F.when(~F.col("broken"), row).alias("row"),
+        "broken",
     )
-    broken = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
-    good = parsed.where(~broken).select(*[F.col(f"row.`{f.name}`") for f in schema.fields])
-    bad = parsed.where(broken).select(F.col("value").alias("line"))
-    return good, bad
+    kept.write.partitionBy("broken").parquet(path)
+    table = spark.read.schema(kept.schema).parquet(path)
+    good = table.where(~F.col("broken")).select(*[F.col(f"row.`{f.name}`") for f in schema.fields])
+    return good, table.where("broken").select("line")
+
+
+def _without_headers(lines: DataFrame, header: str) -> DataFrame:
+    """The lines of ``(value, file)`` without one header line of each file.
+
+    Lines equal to the header are all alike, so it does not matter which one goes.
+    """
+    alike = lines.where(F.col("value") == header).groupBy("file").agg(F.count("*").alias("n"))
+    more = alike.where("n > 1").select(F.explode(F.sequence(F.lit(2), F.col("n"))), F.lit(header).alias("value"))
+    return lines.where(~F.col("value").eqNullSafe(header)).select("value").unionByName(more.select("value"))
 
 
 def land(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str, header: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str,
+    header: bool = False,
+    multiline: bool = False,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Read line-based csv or json with a fixed schema; broken lines go to a second output.
+    """Read csv or json with a fixed schema; broken records go to a second output.
 
-    With ``header``, csv lines equal to the column names are left out.
+    A record is a line. With ``header``, each csv file's first line is left out. With
+    ``multiline``, csv values in quotes may hold line breaks: files are then read whole by one
+    task each, and blank lines between records are no records.
     """
+    if multiline and fmt == "csv":
+        full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = spark.read.schema(full).options(**_settings(fmt, options))
+        read = reader.csv(path, multiLine=True, header=header)
+        row = F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])
+        broken = F.col(CORRUPT).isNotNull()
+        return _sorted_out(read.select(F.col(CORRUPT).alias("value"), row.alias("row"), broken.alias("broken")), schema)
     lines = spark.read.text(path)
     if header:
         separator = options.get("sep", ",")
-        lines = lines.where(F.col("value") != separator.join(schema.names))
+        named = lines.select("value", F.col("_metadata.file_path").alias("file"))
+        lines = _without_headers(named, separator.join(schema.names))
     return split_lines(lines, schema, fmt, **options)
 
 

@@ -30,9 +30,12 @@ def interval_join(
     hi: str,
     delay: str,
     how: str = "inner",
+    after: bool = False,
 ) -> DataFrame:
     """Pairs of the same key with ``a.ts + lo <= b.ts <= a.ts + hi``; inner or left outer.
 
+    With ``after`` the lower bound is open: ``b`` comes later than ``a.ts + lo``.
+
     Rows also meet by time bucket, each ``b`` row in the one or two buckets its partners
     can be in. State and work of one busy key are thereby spread over many tasks. Columns
     of the two sides must differ in name.
@@ -44,10 +47,11 @@ def interval_join(
     first = F.floor((micros(b_ts) - high) / width)
     last = F.floor((micros(b_ts) - low) / width)
     right = b.withWatermark(b_ts, delay).withColumn("_place", F.explode(F.sequence(first, last)))
+    earliest = F.col(a_ts) + F.expr(f"interval {lo}")
     condition = (
         (F.col(key[0]) == F.col(key[1]))
         & (F.col("_bucket") == F.col("_place"))
-        & (F.col(b_ts) >= F.col(a_ts) + F.expr(f"interval {lo}"))
+        & (F.col(b_ts) > earliest if after else F.col(b_ts) >= earliest)
         & (F.col(b_ts) <= F.col(a_ts) + F.expr(f"interval {hi}"))
     )
     return left.join(right, condition, how).drop("_bucket", "_place")

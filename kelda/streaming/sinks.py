@@ -111,15 +111,21 @@ def split_late(df: DataFrame, ts: str, delay: str, path: str) -> DataStreamWrite
     return df.writeStream.foreachBatch(save)
 
 
-def enrich_as_of(
-    df: DataFrame, dim: DataFrame, key: str, ts: str, path: str, grain: str = "hour"
-) -> DataStreamWriter:
+def enrich_as_of(df: DataFrame, dim: DataFrame, key: str, ts: str, path: str) -> DataStreamWriter:
     """Attach the dimension version valid at event time and write to ``path``.
 
     Each batch goes through the batch operator, one ordered pass over events and versions.
-    A stream-static range join would compare each event with all versions of its key.
+    A stream-static range join would compare each event with all versions of its key. Only
+    versions of the batch's keys are moved. A batch is as large as the source's limits allow
+    (see ``event_stream``), so its keys are not counted first.
     """
-    return idempotent_sink(df, path, change=lambda batch: dim_as_of(batch, dim, key, ts, grain=grain))
+
+    def change(batch: DataFrame) -> DataFrame:
+        keys = batch.select(F.col(key).alias("_wanted")).distinct()
+        wanted = dim.join(keys, F.col(key) == F.col("_wanted"), "left_semi")
+        return dim_as_of(batch, wanted, key, ts, busy=None)
+
+    return idempotent_sink(df, path, change=change)
 
 
 def window_top_k(

@@ -16,9 +16,11 @@ def event_stream(
     ts: str | None = "ts",
     fmt: str = "parquet",
     max_files: int | None = None,
+    max_bytes: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """Stream a folder with a fixed schema.
+    """Stream a folder with a fixed schema; ``max_files`` or ``max_bytes`` (such as ``10g``)
+    bound what one micro-batch takes in, or else a backlog is a single batch.
 
     Watermarks need a zoned time, tables hold zone-less ones: ``ts`` is read as UTC.
     """
@@ -26,5 +28,7 @@ def event_stream(
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     stream = reader.load(path)
     return stream.withColumn(ts, F.col(ts).cast("timestamp")) if ts else stream

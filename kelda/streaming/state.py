@@ -1,112 +1,146 @@
-"""Keyed state: change feeds, first events, and A (not) followed by B."""
+"""Change feeds, first events, and A (not) followed by B."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
-from kelda.functions.times import micros, seconds
-from kelda.operators.maintenance import dedupe_latest
+from kelda.functions.times import seconds
+from kelda.operators.maintenance import dedupe_latest, is_deletion
+from kelda.streaming.joins import interval_join
+from kelda.streaming.sinks import BATCH, save_batch
 
+BUCKET = "_bucket"
 
-def cdc_stream(df: DataFrame, key: Sequence[str], seq: str) -> DataFrame:
-    """The newest change of each key, as a stream for update mode; older ``seq`` change nothing.
 
-    An aggregate, so a batch's changes to one key are thinned out before the shuffle and
-    state is one row per key. Deletions stay in the stream; ``current_rows`` drops them.
+def cdc_stream(
+    df: DataFrame, key: Sequence[str], seq: str, path: str, buckets: int = 64
+) -> DataStreamWriter:
+    """Keep the newest change of each key under ``path``; older ``seq`` change nothing.
+
+    The table lies in buckets of keys. A batch thins its changes out to one per key, merges them
+    into the newest version of the buckets it touches and writes those anew under its own id; it
+    reads only versions of earlier batches, so a replay leaves the same table. Deletions stay as
+    rows, for older changes that come later. ``buckets`` must not change while a table lives.
     """
-    row = F.struct(*df.columns)
-    return (
-        df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key])
-        .agg(F.max_by(row, seq).alias("_row"))
-        .select("_row.*")
-    )
+    spark, schema = df.sparkSession, df.schema
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+        changes = dedupe_latest(batch, key, [seq]).withColumn(BUCKET, bucket)
+        versions = _versions(spark, path, batch_id)
+        if versions:
+            # Buckets without changes are left where they are.
+            touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
+            known = {b: versions[b] for b in touched if b in versions}
+            if known:
+                old = _read_versions(spark, path, schema, known)
+                changes = dedupe_latest(old.select(changes.columns).unionByName(changes), key, [seq])
+        save_batch(changes, batch_id, path, [BUCKET])
+
+    return df.writeStream.foreachBatch(save)
+
+
+def _versions(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
+    """The newest batch that wrote each bucket; looks at folder names only."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[int, int] = {}
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}=*/{BUCKET}=*")
+    for status in system.globStatus(pattern) or []:
+        folder = status.getPath()
+        batch = int(folder.getParent().getName().split("=")[1])
+        if before is None or batch < before:
+            bucket = int(folder.getName().split("=")[1])
+            found[bucket] = max(batch, found.get(bucket, -1))
+    return found
+
+
+def _read_versions(
+    spark: SparkSession, path: str, schema: T.StructType, versions: dict[int, int]
+) -> DataFrame:
+    folders = [f"{path}/{BATCH}={batch}/{BUCKET}={bucket}" for bucket, batch in versions.items()]
+    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(full).option("basePath", path).parquet(*folders)
 
 
-def current_rows(written: DataFrame, key: Sequence[str], op: str, seq: str) -> DataFrame:
-    """The current table from everything ``cdc_stream`` has written."""
-    return dedupe_latest(written, key, [seq]).where(F.col(op) != "D").drop(op, seq)
+def current_rows(
+    spark: SparkSession, path: str, schema: T.StructType, op: str, seq: str
+) -> DataFrame:
+    """The current table of ``cdc_stream``: reads the newest version of each bucket and no other."""
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], schema).drop(op, seq)
+    rows = _read_versions(spark, path, schema, versions).select(*schema.names)
+    return rows.where(~is_deletion(op)).drop(op, seq)
 
 
 def first_seen(
-    df: DataFrame, key: str, ts: str, id: str, delay: str, keep: str | None = None
-) -> DataFrame:
-    """Each key's first event per day, marked ``is_first_ever`` on the key's first day.
-
-    Days are window aggregates, one row per key and day, emitted when the day is closed.
-    Days close in order, so the first one emitted for a key is its first ever: state is one
-    time per key. With ``keep`` (e.g. ``30 days``) a key that was away for longer counts as
-    new, and its state is dropped when the watermark says so.
+    df: DataFrame, key: str, ts: str, id: str, path: str, keep: str | None = None
+) -> DataStreamWriter:
+    """Each key's first event per day, as soon as it arrives, under ``path``.
+
+    ``is_first_ever`` marks days of a key before which none is known. With ``keep`` (whole days,
+    e.g. ``30 days``) a key that was away for longer counts as new, and no batch looks further
+    back than that: rows lie in folders of days. What is written is not taken back: an earlier
+    event of a day that arrives in a later batch changes nothing. A batch reads only what earlier
+    batches wrote. Rows without a time have no day and are left out; a null key is a key.
     """
-    daily = (
-        df.withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 day"), F.col(key))
-        .agg(F.min(F.struct(micros(ts).alias("at"), F.col(id).alias("id"))).alias("first"))
-        .select(
-            key,
-            # Carries the watermark, which timers need.
-            "window",
-            F.unix_micros("window.start").alias("start"),
-            F.unix_micros("window.end").alias("end"),
-            F.col("first.at").alias("first_at"),
-            F.col("first.id").alias("first_id"),
-        )
-    )
+    spark = df.sparkSession
+    days = seconds(keep) // 86400 if keep else None
+    kinds = {f.name: f.dataType for f in df.schema}
     schema = T.StructType(
         [
-            *[T.StructField(c, daily.schema[c].dataType) for c in (key, "first_at", "first_id")],
+            T.StructField(key, kinds[key]),
+            T.StructField("first_ts", kinds[ts]),
+            T.StructField("first_id", kinds[id]),
             T.StructField("is_first_ever", T.BooleanType()),
+            T.StructField(BATCH, T.LongType()),
+            T.StructField("day", T.DateType()),
         ]
     )
-    span = seconds(keep) * 1_000_000 if keep else None
-    marked = daily.groupBy(key).transformWithStateInPandas(
-        _first_marker(key, span), schema, "Append", "EventTime" if keep else "None"
-    )
-    first_ts = F.timestamp_micros("first_at").alias("first_ts")
-    return marked.select(key, first_ts, "first_id", "is_first_ever")
-
-
-def _first_marker(key_name: str, span: int | None):
-    # Classes are made inside functions so that they travel to executors by value.
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    class FirstMarker(StatefulProcessor):
-        def init(self, handle):
-            self.handle = handle
-            self.last = handle.getValueState("last", "until bigint")
-
-        def handleInputRows(self, key, rows, timer_values):
-            import pandas as pd
-
-            # One row per key and closed day: a handful per batch.
-            days = pd.concat(list(rows)).sort_values("start").reset_index(drop=True)
-            before = days["end"].shift()
-            if self.last.exists():
-                before.iloc[0] = self.last.get()[0]
-            new = before.isna()
-            if span:
-                new |= days["start"] - before > span
-                self.handle.registerTimer((int(days["end"].iloc[-1]) + span) // 1000 + 1)
-            self.last.update((int(days["end"].iloc[-1]),))
-            days["is_first_ever"] = new
-            yield days[[key_name, "first_at", "first_id", "is_first_ever"]]
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            due = expiredTimerInfo.getExpiryTimeInMs()
-            if self.last.exists() and (self.last.get()[0] + span) // 1000 + 1 <= due:
-                self.last.clear()
-            return iter([])
 
-        def close(self):
-            pass
+    def save(batch: DataFrame, batch_id: int) -> None:
+        first = F.min(F.struct(F.col(ts).alias("first_ts"), F.col(id).alias("first_id")))
+        daily = (
+            batch.where(F.col(ts).isNotNull())
+            .groupBy(F.col(key), F.to_date(ts).alias("day"))
+            .agg(first.alias("first"))
+            .select(key, "day", "first.*")
+        )
+        known = spark.createDataFrame([], schema)
+        if batch_id:
+            known = spark.read.schema(schema).parquet(path).where(F.col(BATCH) < batch_id)
+            if days is not None:
+                oldest = daily.agg(F.min("day")).first()[0]
+                known = known.where(F.col("day") >= F.date_sub(F.lit(oldest), days + 1))
+        known = known.select(F.col(key).alias("_key"), F.col("day").alias("_day"))
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        fresh = daily.join(known, same & (F.col("day") == F.col("_day")), "left_anti")
+        # Days of the batch's keys: a row a day, so a key's window is short.
+        earlier = known.join(fresh.select(key).distinct(), same, "left_semi").select(
+            F.col("_key").alias(key), F.col("_day").alias("day")
+        )
+        by_key = Window.partitionBy(key).orderBy("day")
+        before = F.lag("day").over(by_key)
+        away = before.isNull()
+        if days is not None:
+            away = away | (F.datediff("day", before) - 1 > days)
+        marked = (
+            fresh.unionByName(earlier, allowMissingColumns=True)
+            .withColumn("is_first_ever", away)
+            .where("first_ts is not null")
+        )
+        save_batch(marked.select(key, "first_ts", "first_id", "is_first_ever", "day"), batch_id, path, ["day"])
 
-    return FirstMarker()
+    return df.writeStream.foreachBatch(save)
 
 
-def outcomes(
+def _meetings(
     df: DataFrame,
     key: str,
     ts: str,
@@ -116,123 +150,33 @@ def outcomes(
     b: str,
     within: str,
     delay: str,
-    chunk: str = "1 day",
-    slots: int = 64,
+    how: str,
 ) -> DataFrame:
-    """Every A event with the time of the first B of its key within T after it, or null.
-
-    State is per slot of keys and chunk of time (never shorter than T): an A belongs to its
-    chunk, a B also to the chunk before if it comes early enough to answer an A there. A
-    chunk is settled when the watermark has passed its end by T, and its state is dropped: no
-    state outlives chunk + T + delay, and a busy key is spread over chunks. ``slots``, about
-    the number of state partitions, must not change during the life of a checkpoint. B must
-    come strictly later than A; keys must not be null.
-    """
-    limit = seconds(within) * 1_000_000
-    width = max(seconds(chunk) * 1_000_000, limit)
-    at = micros(ts)
-    own = F.floor(at / width)
-    early = (F.col(type) == b) & (at - own * width <= limit)
-    places = F.when(early, F.array(own, own - 1)).otherwise(F.array(own))
-    rows = (
-        df.withWatermark(ts, delay)
-        .where(F.col(type).isin(a, b) & F.col(key).isNotNull())
-        .select(
-            # The time column stays: Spark drops late rows by it.
-            ts,
-            F.pmod(F.xxhash64(key), F.lit(slots)).alias("slot"),
-            F.col(key).alias("key"),
-            at.alias("at"),
-            F.col(id).alias("id"),
-            (F.col(type) == a).alias("is_a"),
-            (F.col(type) == b).alias("is_b"),
-            own.alias("own"),
-            F.explode(places).alias("chunk"),
-        )
-    )
-    schema = T.StructType(
-        [
-            T.StructField("key", df.schema[key].dataType),
-            T.StructField("a_id", df.schema[id].dataType),
-            T.StructField("a_at", T.LongType()),
-            T.StructField("b_at", T.LongType()),
-        ]
-    )
-    settled = rows.groupBy("slot", "chunk").transformWithStateInPandas(
-        _matcher(width, limit), schema, "Append", "EventTime"
-    )
-    return settled.select(
-        F.col("key").alias(key),
-        "a_id",
-        F.timestamp_micros("a_at").alias("a_ts"),
-        F.timestamp_micros("b_at").alias("b_ts"),
+    """A events with the B events of their key that come later, within T."""
+    known = df.where(F.col(key).isNotNull())
+    starts = known.where(F.col(type) == a).select(
+        F.col(key), F.col(id).alias("a_id"), F.col(ts).alias("a_ts")
     )
+    answers = known.where(F.col(type) == b).select(F.col(key).alias("_key"), F.col(ts).alias("b_ts"))
+    span = ("0 seconds", within)
+    return interval_join(starts, answers, (key, "_key"), ("a_ts", "b_ts"), *span, delay, how, after=True)
 
 
-def _matcher(width: int, limit: int):
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    class Matcher(StatefulProcessor):
-        """Keeps a chunk's events as they come, one Arrow block per state entry."""
-
-        def init(self, handle):
-            self.handle = handle
-            self.blocks = handle.getListState("blocks", "block binary")
-
-        def handleInputRows(self, key, rows, timer_values):
-            import pyarrow as pa
-
-            chunk = int(key[1])
-            if not self.blocks.exists():
-                self.handle.registerTimer(((chunk + 1) * width + limit) // 1000 + 1)
-            for block in rows:
-                block["is_a"] &= block["own"] == chunk
-                packed = pa.RecordBatch.from_pandas(
-                    block[["key", "at", "id", "is_a", "is_b"]], preserve_index=False
-                )
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, packed.schema) as writer:
-                    writer.write_batch(packed)
-                self.blocks.appendValue((sink.getvalue().to_pybytes(),))
-            return iter([])
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            import pandas as pd
-            import pyarrow as pa
-
-            read = [pa.ipc.open_stream(entry[0]).read_pandas() for entry in self.blocks.get()]
-            self.blocks.clear()
-            events = pd.concat(read).sort_values("at", kind="stable")
-            starts = events.loc[events["is_a"], ["key", "id", "at"]]
-            answers = events.loc[events["is_b"], ["key", "at"]].assign(b_at=lambda e: e["at"])
-            if len(starts):
-                found = pd.merge_asof(
-                    starts,
-                    answers.astype({"b_at": "Int64"}),
-                    on="at",
-                    by="key",
-                    direction="forward",
-                    allow_exact_matches=False,
-                    tolerance=limit,
-                )
-                yield found.rename(columns={"id": "a_id", "at": "a_at"})[
-                    ["key", "a_id", "a_at", "b_at"]
-                ]
-
-        def close(self):
-            pass
-
-    return Matcher()
-
-
-def followed_by(df: DataFrame, *args, **options) -> DataFrame:
-    """A events that a B of the same key followed within T, with the first such B's time.
-
-    Arguments as for ``outcomes``.
+def followed_by(df: DataFrame, *args) -> DataFrame:
+    """Each A event with each B of the same key within T after it, as soon as both are there.
+
+    Arguments: key, ts, id, type, a, b, within, delay. ``first_answers`` reduces what is written
+    to the first B of each A. Rows without a key follow nothing.
     """
-    return outcomes(df, *args, **options).where("b_ts is not null")
+    return _meetings(df, *args, "inner").drop("_key")
+
+
+def first_answers(written: DataFrame, key: str) -> DataFrame:
+    """Each answered A event with the time of its first B."""
+    return written.groupBy(key, "a_id", "a_ts").agg(F.min("b_ts").alias("b_ts"))
 
 
-def not_followed_by(df: DataFrame, *args, **options) -> DataFrame:
-    """A events that no B of the same key followed within T; arguments as for ``outcomes``."""
-    return outcomes(df, *args, **options).where("b_ts is null").drop("b_ts")
+def not_followed_by(df: DataFrame, *args) -> DataFrame:
+    """A events that no B of the same key followed within T, once the watermark has passed
+    their own expiry; arguments as for ``followed_by``."""
+    return _meetings(df, *args, "left_outer").where("b_ts is null").drop("_key", "b_ts")

@@ -191,4 +191,12 @@ def test_volume(spark, rows):
     ts = [(at(days=d, minutes=i),) for d, n in enumerate(counts) for i in range(n)]
     df = spark.createDataFrame(ts, "ts timestamp_ntz")
     assert rows(daily_volume(df, "ts", 3), "n", "days_before")[0] == (0, 3)
-    assert rows(check_volume(df, "ts", 3, 3.0, "t")) == [("t", "volume(3d)", 100, 142)]
+    assert rows(check_volume(df, "ts", 3, 3.0, "t")) == [("t", "has ts", 0, 142), ("t", "volume(3d)", 100, 142)]
+    untimed = df.unionByName(df.limit(2).withColumn("ts", F.lit(None).cast(df.schema["ts"].dataType)))
+    assert rows(check_volume(untimed, "ts", 3, 3.0, "t")) == [("t", "has ts", 2, 144), ("t", "volume(3d)", 100, 144)]
+
+
+def test_rfm_needs_a_number(spark):
+    orders = spark.createDataFrame([("a", 1)], "o_custkey string, o_totalprice int")
+    with pytest.raises(TypeError):
+        rfm(orders, F.current_date())

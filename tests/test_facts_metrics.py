@@ -84,6 +84,19 @@ def test_trailing_includes_today(spark, rows):
     assert rows(got, F.dayofmonth("day"), "v_1d", "v_7d") == [(1, 2, 2), (7, 1, 3), (8, 1, 2)]
 
 
+def test_wide_fact_keeps_lines_without_an_order(spark, rows):
+    lines = spark.createDataFrame([(1, "a"), (9, "b"), (None, "c")], "l_orderkey int, x string")
+    orders = spark.createDataFrame([(1, "o")], "o_orderkey int, y string")
+    assert rows(wide_fact(lines, orders), "x", "o_orderkey") == [("a", 1), ("b", None), ("c", None)]
+
+
+def test_subtotals_of_nothing(spark, rows):
+    df = spark.createDataFrame([], "p string, q string, v int")
+    measures = {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))}
+    cube = subtotals(df, cube_sets(["p", "q"]), measures)
+    assert rows(cube, "p", "q", "level_id", "n", "s") == [(None, None, 3, 0, None)]
+
+
 def test_subtotals_tell_null_from_total(spark, rows):
     df = spark.createDataFrame([(None, "x", 1), ("a", "x", 2), ("a", None, 4)], "p string, q string, v int")
     measures = {"v": ("sum", F.col("v")), "n": ("count", F.lit(1)), "lo": ("min", F.col("v")), "hi": ("max", F.col("v"))}

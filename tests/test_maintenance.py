@@ -22,21 +22,50 @@ def test_land_json(spark, tmp_path, rows):
         '{"id": 1, "name": "a", "ts": "2024-01-01T00:00:00.123456"}',
         '{"id": 2, "extra": true}',
         '{"id": "no number"}',
-        '{"id": 3, "na',
         "",
+        '{"id": 3, "na',
     ]
     (tmp_path / "in.json").write_text("\n".join(lines))
     good, bad = land(spark, str(tmp_path), SCHEMA, "json")
     assert rows(good, "id", F.col("ts").cast("string")) == [(1, "2024-01-01 00:00:00.123456"), (2, None)]
-    assert rows(bad) == [('{"id": "no number"}',), ('{"id": 3, "na',)]
+    assert rows(bad) == [("",), ('{"id": "no number"}',), ('{"id": 3, "na',)]
 
 
 def test_land_csv(spark, tmp_path, rows):
-    lines = ["id,name,ts", '1,"a,b",2024-01-01T00:00:00.000001', "x,y,z", "2", "3,c,"]
+    lines = [
+        "id,name,ts",
+        '1,"a,b",2024-01-01T00:00:00.000001',
+        "x,y,z",
+        "2",
+        "3,c,",
+        "",
+        '4,"say ""hi"", ok",',
+        '5,"open',
+        'end",',
+        "   ",
+    ]
     (tmp_path / "in.csv").write_text("\n".join(lines))
+    (tmp_path / "more.csv").write_text("id,name,ts\n6,d,\nid,name,ts")
     good, bad = land(spark, str(tmp_path), SCHEMA, "csv", header=True)
-    assert rows(good, "id", "name") == [(1, "a,b"), (3, "c")]
-    assert rows(bad) == [("2",), ("x,y,z",)]
+    assert rows(good, "id", "name") == [(1, "a,b"), (3, "c"), (4, 'say "hi", ok'), (6, "d")]
+    # Of a file's lines that equal the header one is the header.
+    assert rows(bad) == sorted([("",), ("   ",), ("2",), ('5,"open',), ('end",',), ("id,name,ts",), ("x,y,z",)], key=repr)
+    assert good.count() + bad.count() == len(lines) - 1 + 2
+
+
+def test_land_csv_with_line_breaks(spark, tmp_path, rows):
+    (tmp_path / "in.csv").write_text('id,name,ts\n1,"a\n""b"", c",\n\n2,x\n3,y,\n')
+    good, bad = land(spark, str(tmp_path), SCHEMA, "csv", header=True, multiline=True)
+    assert rows(good, "id", "name") == [(1, 'a\n"b", c'), (3, "y")]
+    assert [r[0].strip() for r in bad.collect()] == ["2,x"]
+
+
+def test_null_keys_and_operations(spark, rows):
+    current = spark.createDataFrame([(None, "old", 1), (1, "a", 1)], "k int, v string, o int")
+    changes = spark.createDataFrame([(None, "new", 2)], "k int, v string, o int")
+    assert rows(upsert(current, changes, ["k"], ["o"])) == [(1, "a", 1), (None, "new", 2)]
+    feed = spark.createDataFrame([(1, "b", 3, None), (None, "x", 3, "D")], "k int, v string, o int, op string")
+    assert rows(apply_cdc(current, feed, ["k"], "op", "o")) == [(1, "b", 3)]
 
 
 def test_write_partitions_twice_is_once(spark, rows):

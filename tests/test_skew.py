@@ -47,6 +47,31 @@ def test_sessionize(events, rows, gap, grain):
     assert rows(chunked, "id", "session_start") == rows(plain, "id", "session_start")
 
 
+@pytest.fixture(scope="module")
+def gappy(events):
+    """Events of which some have no user, some no time."""
+    user = F.when(F.col("id") % 5 != 1, F.col("user"))
+    ts = F.when(F.col("id") % 17 != 2, F.col("ts"))
+    return events.select("id", user.alias("user"), ts.alias("ts"), "type", "attr", "n").cache()
+
+
+@pytest.mark.parametrize("busy", [1, 2])
+def test_nulls_are_the_same_on_both_paths(gappy, rows, busy):
+    a, b = gappy.where("type = 'a'"), gappy.where("type = 'b'")
+    history = scd2_build(a, "user", ["attr"], "ts", "id")
+    both = {
+        "sessions": lambda n: sessionize(gappy, "user", "ts", "1 hour", "hour", n).select("id", "session_start"),
+        "history": lambda n: scd2_build(gappy, "user", ["attr"], "ts", "id", "hour", n),
+        "merge": lambda n: scd2_merge(history, a, b, "user", ["attr"], "ts", "id", "hour", n),
+        "as of": lambda n: dim_as_of(b, history, "user", "ts", grain="hour", busy=n),
+        "last before": lambda n: last_before(b, a, "user", "ts", ["id"], "id", "last_", "hour", n),
+        "transitions": lambda n: transitions(gappy, "user", "ts", "attr", "id", "hour", n),
+        "share": lambda n: running_share(gappy, "user", ["ts", "id"], "n", F.to_date("ts"), n),
+    }
+    for name, make in both.items():
+        assert rows(make(busy)) == rows(make(MANY)), name
+
+
 @pytest.mark.parametrize("grain", ["hour", "day"])
 def test_history(events, rows, grain):
     args = ("user", ["attr"], "ts", "id", grain)
@@ -105,11 +130,17 @@ def test_salted_join(events, spark, rows):
     for how in ("inner", "left", "left_semi", "left_anti"):
         salted = salted_join(events, users, ["user"], 5, how)
         assert rows(salted) == rows(events.join(users, ["user"], how))
-    with pytest.raises(ValueError):
-        salted_join(events, users, ["user"], 5, "full")
-    # One user's rows reach the join under all salts.
-    salts = events.select("user", F.pmod(F.xxhash64(*events.columns), F.lit(5)).alias("s"))
+        by_id = salted_join(events, users, ["user"], 5, how, ["id"])
+        assert rows(by_id) == rows(events.join(users, ["user"], how))
+    # One user's rows reach the join under all salts; only the columns asked for are read.
+    salts = events.select("user", F.pmod(F.xxhash64("id"), F.lit(5)).alias("s"))
     assert salts.where("user = 0").distinct().count() == 5
+    # Rows that are all alike are joined once, whatever their number.
+    alike = spark.range(10_000).select(F.lit(0).alias("user"))
+    joined = salted_join(alike, users, ["user"], 8)
+    assert joined.count() == 10_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.split("Join")[1]
 
 
 def test_allocation_adds_up(spark, rows):
@@ -124,6 +155,10 @@ def test_allocation_adds_up(spark, rows):
     amounts = lines.select("l_orderkey", "amount").distinct()
     apart = allocate(lines.drop("amount"), "amount", "w", ["line"], amounts=amounts)
     assert rows(apart, "line", "allocated") == rows(split, "line", "allocated")
+    # Orders with more lines than one task should take are joined instead.
+    assert rows(allocate(lines, "amount", "w", ["line"], busy=50), "line", "allocated") == rows(split, "line", "allocated")
+    orphans = allocate(lines.drop("amount"), "amount", "w", ["line"], amounts=amounts.where("l_orderkey <> 1"))
+    assert orphans.count() == 400 and orphans.where("allocated is null").count() == 300
     totals = split.groupBy("l_orderkey").agg(F.sum("allocated").alias("s"), F.min("allocated").alias("lo"))
     assert totals.where("s <> 100.01 or lo < 0").count() == 0
     assert split.count() == 400

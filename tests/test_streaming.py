@@ -243,28 +243,36 @@ def test_route_keeps_everything(spark, feed, tmp_path, rows):
     assert rows(union, "id") == sorted(((r[0],) for r in data), key=repr)
 
 
-def test_cdc_in_any_order(spark, feed, finish, rows):
-    data = events(120)
+def test_cdc_in_any_order(spark, feed, tmp_path, rows):
+    data = [*events(120), (500, None, at(), "a"), (501, "odd", at(), None)]
     shuffled = random.Random(2).sample(data, len(data))
 
     def changes(df):
-        op = F.when(F.col("type") == "c", "D").otherwise("U")
+        # A change without an operation is an update.
+        op = F.when(F.col("type") == "c", "D").when(F.col("type").isNotNull(), "U")
         return df.select("user", "type", op.alias("op"), F.col("id").alias("seq"))
 
-    written = finish(state.cdc_stream(changes(feed(*quarters(shuffled))), ["user"], "seq"), "update")
+    stream, path = changes(feed(*quarters(shuffled))), str(tmp_path / "cdc")
+    run = lambda: sinks.run(state.cdc_stream(stream, ["user"], "seq", path, 3), f"{path}-cp", LIMIT)
+    run()
     batch = changes(spark.createDataFrame(data, schema()))
-    base = batch.select("user", "type").limit(0)
-    wanted = apply_cdc(base, batch, ["user"], "op", "seq")
-    assert rows(state.current_rows(written, ["user"], "op", "seq")) == rows(wanted)
+    wanted = rows(apply_cdc(batch.select("user", "type").limit(0), batch, ["user"], "op", "seq"))
+    current = lambda: state.current_rows(spark, path, stream.schema, "op", "seq")
+    assert rows(current()) == wanted
+    assert {(None, "a"), ("odd", None)} <= set(wanted)
+    forget_last_commit(f"{path}-cp")
+    run()
+    assert rows(current()) == wanted
+    # Each bucket is read in its newest version only.
+    assert len(current().inputFiles()) <= 3
 
 
 def first_days(data, keep):
-    """First event of each closed day and whether its user is new, from all rows at once."""
-    end = closed(data, timedelta(hours=1))
+    """First event of each user's day and whether the user is new, from all rows at once."""
     found, last = {}, {}
     for i, user, t, _ in data:
-        day = t.replace(hour=0, minute=0, second=0, microsecond=0)
-        if (user, day) not in found and day + timedelta(days=1) <= end:
+        day = t.date()
+        if (user, day) not in found:
             away = user not in last or (keep and day - last[user] - timedelta(days=1) > keep)
             found[user, day] = (i, bool(away))
         last[user] = day
@@ -272,14 +280,21 @@ def first_days(data, keep):
 
 
 @pytest.mark.parametrize("keep", [None, 2])
-def test_first_seen(feed, finish, rows, keep):
+def test_first_seen(spark, feed, tmp_path, rows, keep):
     data = [r for r in events(300, hours=400) if (r[2].day + int(r[1])) % 5 < 2 or r[1] == "0"]
-    text = f"{keep} days" if keep else None
-    got = finish(state.first_seen(feed(*quarters(data)), "user", "ts", "id", "1 hour", text))
+    data = [(i, None if u == "5" else u, t, y) for i, u, t, y in data]
+    path = str(tmp_path / "first")
+    stream = feed(*quarters(data))
+    writer = lambda: state.first_seen(stream, "user", "ts", "id", path, f"{keep} days" if keep else None)
+    sinks.run(writer(), f"{path}-cp", LIMIT)
     wanted = first_days(data, timedelta(days=keep) if keep else None)
-    assert rows(got, "first_id", "is_first_ever") == wanted != []
+    got = lambda: rows(spark.read.parquet(path), "first_id", "is_first_ever")
+    assert got() == wanted != []
     news = sum(new for _, new in wanted)
     assert news > 6 if keep else news == 6
+    forget_last_commit(f"{path}-cp")
+    sinks.run(writer(), f"{path}-cp", LIMIT)
+    assert got() == wanted
 
 
 def test_window_top_k(spark, feed, tmp_path, rows):
@@ -302,22 +317,23 @@ def test_window_top_k(spark, feed, tmp_path, rows):
 
 
 @pytest.mark.parametrize("b", ["b", "a"])
-@pytest.mark.parametrize("hours, chunk", [(3, "6 hours"), (5, "1 hour")])
-def test_followed_by(feed, finish, rows, b, hours, chunk):
-    data = events(200)
-    args = ("user", "ts", "id", "type", "a", b, f"{hours} hours", "1 hour", chunk, 3)
+@pytest.mark.parametrize("hours", [3, 5])
+def test_followed_by(feed, finish, rows, b, hours):
+    data = [*events(200), (900, None, at(), "a"), (901, None, at(minutes=1), b)]
+    data.sort(key=lambda r: r[2])
+    args = ("user", "ts", "id", "type", "a", b, f"{hours} hours", "1 hour")
     within = timedelta(hours=hours)
-    width = max(timedelta(hours=int(chunk.split()[0])), within)
-    end = closed(data, timedelta(hours=1))
     wanted = {}
     for i, user, t, kind in data:
-        # Chunks count from 1970, not from the first day of the data.
-        edge = (t - datetime(1970, 1, 1)) // width * width + datetime(1970, 1, 1) + width
-        if kind == "a" and edge + within < end:
+        if kind == "a" and user is not None:
             after = [u for _, v, u, y in data if v == user and y == b and t < u <= t + within]
-            wanted[i] = min(after) if after else None
-    hit = finish(state.followed_by(feed(*quarters(data)), *args))
+            wanted[i] = (t, min(after) if after else None)
+    hit = state.first_answers(finish(state.followed_by(feed(*quarters(data)), *args)), "user")
     miss = finish(state.not_followed_by(feed(*quarters(data)), *args))
-    assert rows(hit, "a_id", F.col("b_ts").cast("timestamp_ntz")) == sorted(((i, t) for i, t in wanted.items() if t), key=repr)
-    assert rows(miss, "a_id") == sorted(((i,) for i, t in wanted.items() if not t), key=repr)
-    assert hit.count() and wanted
+    answered = sorted(((i, u) for i, (_, u) in wanted.items() if u), key=repr)
+    assert rows(hit, "a_id", F.col("b_ts").cast("timestamp_ntz")) == answered != []
+    # Starts are settled at their own expiry: the watermark is the lower one of both sides.
+    last = [max(r[2] for r in data if r[3] == kind and r[1] is not None) for kind in ("a", b)]
+    end = min(last) - timedelta(hours=1)
+    got = {i for (i,) in rows(miss, "a_id")}
+    assert got == {i for i, (t, u) in wanted.items() if not u and t + within <= end} != set()
