@@ -137,7 +137,6 @@ def _exclaiming(b: Block) -> np.ndarray:
 RULES: dict[str, Rule] = {
     "symbols": lambda b: 10 * b.n_symbols > 3 * b.n_words,
     "repeated_lines": lambda b: 2 * b.n_dup_lines > b.n_lines,
-    "repeated_words": lambda b: 10 * b.n_repeat_words > 4 * b.n_words,
     "shouting": _shouting,
     "exclaiming": _exclaiming,
     "word_length": lambda b: (b.word_chars < 2 * b.n_words) | (b.word_chars > 20 * b.n_words),
@@ -259,7 +258,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          n_words < 50 OR 100 * n_repeat_words > 50 * n_words
          OR 10 * n_symbols > 3 * n_words
          OR 2 * n_dup_lines > n_lines
-         OR 10 * n_repeat_words > 4 * n_words
          OR length(regexp_replace(text, '[^A-Z]', '', 'g'))
             > length(regexp_replace(text, '[^a-z]', '', 'g'))
          OR 10 * length(regexp_replace(text, '[^!]', '', 'g')) > 3 * n_words
