@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import kelda
 from kelda.session import prepare
 from kelda.sources.landing import publish
 from kelda.sources.scratch import scratch_path
@@ -16,9 +21,30 @@ ARROW_SETTINGS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once for an application.
+
+    Workers that cannot import the package from where they run need it (as ``--py-files`` does).
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(kelda.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="kelda-code-")) / "kelda_code.zip"
+    with zipfile.ZipFile(path, "w") as packed:
+        for module in sorted(root.rglob("*.py")):
+            packed.write(module, f"kelda/{module.relative_to(root)}")
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A source table; its schema is in its files."""
     prepare(spark)
+    ship(spark)
     for key, value in ARROW_SETTINGS.items():
         spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
