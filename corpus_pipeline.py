@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelda.llm import bpe, decontaminate, line_dedup, minhash, toxicity
-from kelda.llm.tables import fold, fresh_names, quoted, stored, table
+from kelda.llm.tables import fold, fresh_names, quoted, ship, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -42,6 +42,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
+    ship(spark)
     return minhash.drop_near_duplicates(docs)
 
 
