@@ -11,10 +11,11 @@ on a sample with the probability of their weighted Jaccard similarity. Texts tha
 band are compared: weighted Jaccard of all their shingles must be ``THRESHOLD`` or more. Links
 make classes (connected components).
 
-Equal texts are one node. In a bucket of a band members are compared with a hub, twice with
-different hubs; then only members that are still in different classes are compared with each
-other, those of the bucket's largest class on one side only. So a group of near copies costs a
-few comparisons a member, and no pair that could join two classes is left out.
+Equal texts are one node. In a bucket of a band every member is compared with one hub. Then only
+members that are still in different classes are compared, those of the bucket's largest class on
+one side only: a bucket's others are a query set that meets its members in blocks of bounded
+size, and only links come out of a block. So near copies of one text cost a comparison each, and
+no pair of a bucket that could join two classes is left out.
 
 Null texts, texts without words and rows without id are classes of their own and never copies.
 Repeated rows (same id and text) are one node. Extra columns are not read.
@@ -23,7 +24,6 @@ Repeated rows (same id and text) are one node. Extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,8 @@ BANDS, ROWS = 10, 3
 #: Rows and places of the sketch: 16 MB, whatever the corpus.
 SKETCH_ROWS, SKETCH_BITS = 2, 21
 SLICE_BITS = 16
-HUB_ROUNDS = 2
+#: Texts, and bytes of text, that one side of a block has at most (a longer text is alone).
+BLOCK_TEXTS, BLOCK_TEXT_BYTES = 512, 16 << 20
 
 
 def shingles(texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,7 +182,8 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
 
 
 def signatures(texts: DataFrame, weights) -> DataFrame:
-    """(id, a, b, bands): a 128-bit hash of each text, and its band keys (null without words)."""
+    """(id, a, b, bytes, bands): a 128-bit hash of each text, its length, and its band keys (none
+    without words)."""
 
     def make(block: pa.RecordBatch) -> pa.RecordBatch:
         own = texts_of(block.column("text"))
@@ -196,10 +198,11 @@ def signatures(texts: DataFrame, weights) -> DataFrame:
             pa.array(keys[worded].view(np.int64).ravel()),
         )
         return pa.RecordBatch.from_arrays(
-            [block.column("id"), *(pa.array(h.view(np.int64)) for h in exact), lists], names=["id", "a", "b", "bands"]
+            [block.column("id"), *(pa.array(h.view(np.int64)) for h in exact), pa.array(np.diff(own.offsets)), lists],
+            names=["id", "a", "b", "bytes", "bands"],
         )
 
-    return texts.mapInArrow(block_pass(make, "text"), "id bigint, a bigint, b bigint, bands array<bigint>")
+    return texts.mapInArrow(block_pass(make, "text"), "id bigint, a bigint, b bigint, bytes bigint, bands array<bigint>")
 
 
 def weighted_jaccard(first: tuple, second: tuple) -> float:
@@ -243,10 +246,8 @@ def compare(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def _in_classes(members: DataFrame, found: DataFrame | None) -> DataFrame:
+def _in_classes(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets with their component so far."""
-    if found is None:
-        return members.withColumn("component", F.col("id"))
     labels = found.select("id", F.col("component").alias("_c"))
     return members.join(labels, "id", "left").withColumn("component", F.coalesce("_c", "id")).drop("_c")
 
@@ -258,36 +259,98 @@ def _mixed(members: DataFrame) -> DataFrame:
     return members.join(stored(buckets, "mixed-buckets"), ["band", "key"], "left_semi")
 
 
-def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member with its bucket's hub: the smallest id, in later turns the smallest hash of
-    id and band."""
-    order = F.struct("id") if turn == 0 else F.struct(F.xxhash64("id", "band", F.lit(turn)), F.col("id"))
-    hubs = members.groupBy("band", "key").agg(
-        F.min_by("id", order).alias("hub"), F.min_by("component", order).alias("hub_component")
-    )
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """Each member with its bucket's hub, the smallest id."""
+    hubs = members.groupBy("band", "key").agg(F.min("id").alias("hub"))
     return (
         members.join(stored(hubs, "hubs"), ["band", "key"])
-        .where(F.col("component") != F.col("hub_component"))
-        .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+        .where(F.col("id") != F.col("hub"))
+        .select(F.col("hub").alias("a"), F.col("id").alias("b"))
         .distinct()
     )
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of members of a bucket in different components; of the bucket's largest component
-    (ties: the smallest) only together with members of others."""
-    sizes = members.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("band", "key").agg(
-        F.max_by("component", F.struct("n", -F.col("component"))).alias("largest")
+def _blocks_of(members: DataFrame) -> DataFrame:
+    """(band, key, i, j, id, component, asks): the members of mixed buckets in blocks.
+
+    Members outside the bucket's largest component (ties: the smallest) ask; they are cut into
+    parts i, all members into parts j, and block (i, j) has both parts.
+    """
+    sizes = members.groupBy("band", "key", "component").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes")
     )
-    rest = members.join(stored(most, "largest"), ["band", "key"]).where("component != largest")
-    left = rest.select("band", "key", F.col("id").alias("_id"), F.col("component").alias("_c"))
-    return (
-        members.join(left, ["band", "key"])
-        .where("component != _c")
-        .select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
-        .distinct()
+    buckets = sizes.groupBy("band", "key").agg(
+        F.max_by(F.struct("component", "n", "bytes"), F.struct("n", -F.col("component"))).alias("most"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+    )
+    parts = lambda n, size: F.greatest(
+        F.ceil(n / BLOCK_TEXTS), F.ceil(size / BLOCK_TEXT_BYTES), F.lit(1)
+    ).cast("int")
+    cut = buckets.select(
+        "band",
+        "key",
+        F.col("most.component").alias("largest"),
+        parts(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("ni"),
+        parts(F.col("n"), F.col("bytes")).alias("nj"),
     )
+    placed = members.join(stored(cut, "bucket-parts"), ["band", "key"])
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    named = ["band", "key", "id", "component"]
+    answer = placed.select(*named, every("ni").alias("i"), part("nj").alias("j"), F.lit(False).alias("asks"))
+    rest = placed.where("component != largest")
+    ask = rest.select(*named, part("ni").alias("i"), every("nj").alias("j"), F.lit(True).alias("asks"))
+    return answer.unionByName(ask)
+
+
+def _block_links(members: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """(a, b, similarity): of each asking text with texts of each other component one link, if
+    there is one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        with np.errstate(over="ignore"):
+            found = _links_in_block(table, weights.value, threshold)
+        a, b, similarity = zip(*found) if found else ((), (), ())
+        columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(similarity, pa.float64())]
+        return pa.Table.from_arrays(columns, names=["a", "b", "similarity"])
+
+    placed = _blocks_of(members).join(texts, "id")
+    return placed.groupBy("band", "key", "i", "j").applyInArrow(run, "a bigint, b bigint, similarity double")
+
+
+def _links_in_block(table: pa.Table, weigh: Weights, threshold: float) -> list[tuple[int, int, float]]:
+    ids = np.array(table.column("id").to_pylist(), np.int64)
+    component = np.array(table.column("component").to_pylist(), np.int64)
+    asks = np.array(table.column("asks").to_pylist(), bool)
+    number, hashes, times = shingles(texts_of(table.column("text").combine_chunks()))
+    weight = weigh(hashes, times)
+    total = np.bincount(number, weights=weight, minlength=len(ids))
+    # Postings: who of those that answer has a shingle, and with what weight.
+    answers = np.flatnonzero(~asks[number])
+    by_hash = answers[np.argsort(hashes[answers], kind="stable")]
+    known, first, counts = np.unique(hashes[by_hash], return_index=True, return_counts=True)
+    if not len(known):
+        return []
+    begins = np.searchsorted(number, np.arange(len(ids) + 1))
+    found = []
+    for x in np.flatnonzero(asks):
+        own = slice(begins[x], begins[x + 1])
+        at = np.minimum(np.searchsorted(known, hashes[own]), len(known) - 1)
+        has = known[at] == hashes[own]
+        at, mine = at[has], weight[own][has]
+        sizes = counts[at]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            continue
+        posts = by_hash[np.arange(ends[-1]) + np.repeat(first[at] - (ends - sizes), sizes)]
+        least = np.minimum(weight[posts], np.repeat(mine, sizes))
+        shared = np.bincount(number[posts], weights=least, minlength=len(ids))
+        similarity = shared / (total + total[x] - shared)
+        near = np.flatnonzero((similarity >= threshold) & ~asks & (component != component[x]))
+        _, one = np.unique(component[near], return_index=True)
+        found += [(int(ids[x]), int(ids[y]), float(similarity[y])) for y in near[one]]
+    return found
 
 
 def near_duplicates(
@@ -302,26 +365,25 @@ def near_duplicates(
     drawn = stored(signatures(texts, weights), "signatures")
     nodes = drawn.where((F.size("bands") > 0) & F.col("id").isNotNull())
     copies = stored(
-        nodes.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("n")),
+        nodes.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")),
         "texts",
     )
-    buckets = copies.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key"))
+    buckets = copies.select(F.col("rep").alias("id"), "bytes", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     members = stored(buckets.join(stored(shared, "shared-buckets"), ["band", "key"], "left_semi"), "members")
     wanted = members.select("id").distinct()
-    compared = stored(texts.join(stored(wanted, "candidates"), "id", "left_semi").dropDuplicates(["id"]), "compared")
-
-    tested: list[DataFrame] = []
-    found: DataFrame | None = None
-    for turn in range(HUB_ROUNDS + 1):
-        open_members = stored(_mixed(_in_classes(members, found)), "open-members")
-        pairs = _hub_pairs(open_members, turn) if turn < HUB_ROUNDS else _cross_pairs(open_members)
-        for known in tested:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = stored(compare(stored(pairs, "pairs"), compared, weights), "similarities")
-        tested.append(fresh)
-        links = reduce(DataFrame.unionByName, tested).where(F.col("similarity") >= threshold)
-        found = components(links)
+    # Texts are moved by merge joins at every size: the same plan for a small and a large corpus.
+    candidates = stored(wanted, "candidates").hint("merge")
+    compared = stored(texts.join(candidates, "id", "left_semi").dropDuplicates(["id"]), "compared")
+
+    tested = stored(compare(stored(_hub_pairs(members), "pairs"), compared, weights), "similarities")
+    near = tested.where(F.col("similarity") >= threshold)
+    open_members = stored(_mixed(_in_classes(members, components(near))), "open-members")
+    # Buckets of two texts are settled: their pair has been compared.
+    crowds = open_members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 2")
+    crowded = open_members.join(stored(crowds.select("band", "key"), "crowds"), ["band", "key"], "left_semi")
+    across = stored(_block_links(crowded, compared, weights, threshold), "links")
+    found = components(near.unionByName(across))
 
     labels = found.select(F.col("id").alias("copy_of"), "component")
     copied = copies.select("a", "b", F.col("rep").alias("copy_of")).join(labels, "copy_of", "left")
@@ -340,7 +402,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     classes = stored(near_duplicates(docs, id_col, text_col, **options), "classes")
     dropped = classes.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
-    kept = docs.join(stored(dropped, "near-copies"), id_col, "left_anti").select(quoted(docs.columns))
+    near = stored(dropped, "near-copies").hint("merge")
+    kept = docs.join(near, id_col, "left_anti").select(quoted(docs.columns))
     repeated = docs.groupBy(id_col).count().where(F.col(id_col).isNotNull() & (F.col("count") > 1))
     if repeated.isEmpty():
         return kept
