@@ -108,14 +108,14 @@ def frequency_sketch(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     schema = "slice int, counts binary"
     rows = texts.mapInArrow(count, schema).repartition("slice").mapInArrow(add_up, schema).collect()
-    sketch = np.zeros((SKETCH_ROWS << SKETCH_BITS >> SLICE_BITS, 1 << SLICE_BITS), np.int64)
+    sketch = np.zeros((SKETCH_ROWS << SKETCH_BITS >> SLICE_BITS, 1 << SLICE_BITS), np.uint32)
     total = 0
     for row in rows:
         if row["slice"] < 0:
             total = int(_wide(row["counts"])[0])
         else:
-            sketch[row["slice"]] = _wide(row["counts"])
-    return np.minimum(sketch, 0xFFFFFFFF).astype(np.uint32).reshape(SKETCH_ROWS, -1), total
+            sketch[row["slice"]] = np.minimum(_wide(row["counts"]), 0xFFFFFFFF)
+    return sketch.reshape(SKETCH_ROWS, -1), total
 
 
 def _slice_row(k: int, counts: np.ndarray) -> pa.RecordBatch:

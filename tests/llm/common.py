@@ -7,6 +7,11 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow as pa
+
+from kelda.llm.minhash import shingles
+from kelda.llm.words import texts_of
 
 TABLES = ("documents", "pages", "benchmark", "labels")
 LONG_TEXT = "\n".join(f"Line {i} of a very long text with words {i % 7} {i % 11}" for i in range(20_000))
@@ -36,8 +41,11 @@ def plain_words(text: str | None) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
 
 
-def near_classes(docs: dict[int, str | None], least: float = 0.8) -> dict[int, int]:
-    """Smallest id of each document's class, by comparing all pairs that share a shingle."""
+def near_classes(docs: dict[int, str | None], least: float = 0.8, sketched=None) -> dict[int, int]:
+    """Smallest id of each document's class, by comparing all pairs that share a shingle.
+
+    ``sketched`` are the operator's own weights; without them frequencies are counted exactly.
+    """
     sets = {}
     for key, text in docs.items():
         w = plain_words(text)
@@ -46,6 +54,11 @@ def near_classes(docs: dict[int, str | None], least: float = 0.8) -> dict[int, i
     total = sum(1 for own in sets.values() if own)
     weigh = lambda s, n: n * (1 + (math.log(total / df[s]) / math.log(total) if total > 1 else 0))
     weights = {k: {s: weigh(s, n) for s, n in own.items()} for k, own in sets.items()}
+    if sketched is not None:
+        with np.errstate(over="ignore"):
+            for key, text in docs.items():
+                _, hashes, times = shingles(texts_of(pa.array([text], pa.string())))
+                weights[key] = dict(zip(hashes.tolist(), sketched(hashes, times).tolist()))
     holders = defaultdict(list)
     for key in sorted(docs):
         for s in sets[key]:
