@@ -3,8 +3,10 @@
 A text is the weighted set of its shingles of five words (all its words if it has fewer). A
 shingle weighs its count in the text times 1 + ln(N / df) / ln(N), with N texts of which df have
 it: between one and two, so a passage that very many texts share counts for half of a rare one.
-df comes from a count-min sketch over all texts: a fixed size, never too low, too high only where
-shingles share places in all of its rows.
+df is counted exactly, whatever the size of the corpus: texts are dealt to blocks, each block asks
+for its different shingles in buckets of the hash's range, and a bucket adds up what the blocks have
+and answers. A shingle is sent once a block, however many texts have it. A text's frequencies stay
+with it, so that verifying weighs as sampling did.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples from each set; two sets agree
 on a sample with the probability of their weighted Jaccard similarity. Texts that agree on a whole
@@ -40,6 +42,10 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
 #: Rows and places of the sketch: 16 MB, whatever the corpus.
 SKETCH_ROWS, SKETCH_BITS = 2, 21
+#: Bytes of text whose shingles are asked for together, and that a bucket answers for; least buckets.
+ASK_BYTES, BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 16 << 20, 256
+#: A text with a word, as ``PLAIN`` has them.
+WORDED = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 SLICE_BITS = 16
 #: Texts, and bytes of text, that one side of a block has at most (a longer text is alone).
 BLOCK_TEXTS, BLOCK_TEXT_BYTES = 512, 16 << 20
@@ -61,6 +67,19 @@ def shingles(texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.nda
     return number[at][order], hashes[at][order], times[order]
 
 
+def sorted_shingles(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``shingles``, those of a text by their hashes: the order of its frequencies."""
+    number, hashes, times = shingles(texts)
+    order = np.lexsort((hashes, number))
+    return number[order], hashes[order], times[order]
+
+
+def weigh(df: np.ndarray, times: np.ndarray, total: int) -> np.ndarray:
+    """Weights of shingles that are ``times`` in their text and in ``df`` of ``total`` texts."""
+    rare = np.log(total / df) / np.log(total) if total > 1 else np.zeros(len(df))
+    return times * (1 + rare)
+
+
 def _sketch_places(hashes: np.ndarray) -> list[np.ndarray]:
     mask = U64((1 << SKETCH_BITS) - 1)
     return [((hashes >> U64(k * 31)) & mask).astype(np.int64) for k in range(SKETCH_ROWS)]
@@ -76,7 +95,8 @@ def _wide(raw: bytes) -> np.ndarray:
 
 
 def frequency_sketch(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """The sketch of how many texts have a shingle, and the number of texts with words.
+    """The sketch of how many texts have a shingle, and the number of texts with words: an estimate
+    of bounded size. ``near_duplicates`` does not use it, its frequencies are exact.
 
     Tasks count in arrays and hand them on in slices; a slice's sums are made as they come in.
     """
@@ -181,28 +201,107 @@ def band_keys(drawn: np.ndarray) -> np.ndarray:
     return keys
 
 
-def signatures(texts: DataFrame, weights) -> DataFrame:
-    """(id, a, b, bytes, bands): a 128-bit hash of each text, its length, and its band keys (none
-    without words)."""
+def _pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    for batch in table.to_batches():
+        yield from blocks(batch, "text")
 
-    def make(block: pa.RecordBatch) -> pa.RecordBatch:
-        own = texts_of(block.column("text"))
-        number, hashes, times = shingles(own)
-        keys = band_keys(samples(number, hashes, weights.value(hashes, times), len(own)))
-        worded = np.zeros(len(own), bool)
-        worded[number] = True
-        starts, ends = own.offsets[:-1], own.offsets[1:]
-        exact = [range_hashes(mix(own.data.astype(U64) + U64(s)), starts, ends, BYTE_STEP) for s in (1, 1000)]
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(worded * BANDS)]), pa.int32()),
-            pa.array(keys[worded].view(np.int64).ravel()),
-        )
-        return pa.RecordBatch.from_arrays(
-            [block.column("id"), *(pa.array(h.view(np.int64)) for h in exact), pa.array(np.diff(own.offsets)), lists],
-            names=["id", "a", "b", "bytes", "bands"],
-        )
 
-    return texts.mapInArrow(block_pass(make, "text"), "id bigint, a bigint, b bigint, bytes bigint, bands array<bigint>")
+def _ask(parts: int):
+    """Of a block of texts: its different shingles, sorted, and how many of its texts have each, in
+    pieces by bucket of the hash's range."""
+
+    def run(table: pa.Table) -> pa.Table:
+        with np.errstate(over="ignore"):
+            own = [shingles(texts_of(piece.column("text")))[1] for piece in _pieces(table)]
+            hashes, counts = np.unique(np.concatenate(own), return_counts=True)
+            bucket = ((hashes >> U64(32)) * U64(parts)) >> U64(32)
+        known, begins = np.unique(bucket, return_index=True)
+        ends = np.append(begins, len(hashes))[1:]
+        columns = [
+            pa.array(np.full(len(known), table.column("block")[0].as_py()), pa.int64()),
+            pa.array(known.astype(np.int64)),
+            pa.array([hashes[x:y].astype("<u8").tobytes() for x, y in zip(begins, ends)], pa.binary()),
+            pa.array([_narrow(counts[x:y]) for x, y in zip(begins, ends)], pa.binary()),
+        ]
+        return pa.Table.from_arrays(columns, names=["block", "bucket", "hashes", "counts"])
+
+    return run
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """Of a bucket: for each block the frequencies of the shingles it asked for, in their order."""
+    asked = [np.frombuffer(raw, "<u8") for raw in table.column("hashes").to_pylist()]
+    counts = np.concatenate([_wide(raw) for raw in table.column("counts").to_pylist()])
+    known, place = np.unique(np.concatenate(asked), return_inverse=True)
+    sums = np.zeros(len(known), np.int64)
+    np.add.at(sums, place, counts)
+    cuts = np.cumsum([len(x) for x in asked])[:-1]
+    found = [_narrow(x) for x in np.split(sums[place], cuts)]
+    columns = [table.column("block"), table.column("bucket"), pa.array(found, pa.binary())]
+    return pa.Table.from_arrays(columns, names=["block", "bucket", "df"])
+
+
+def _draw(total: int):
+    """Of a block of texts and the answers to it: each text's signature and frequencies."""
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        with np.errstate(over="ignore"):
+            pieces = [(p, *sorted_shingles(texts_of(p.column("text")))) for p in _pieces(table)]
+            known = np.unique(np.concatenate([hashes for _, _, hashes, _ in pieces] or [np.empty(0, U64)]))
+            order = np.argsort(answers.column("bucket").to_numpy())
+            raw = answers.column("df").to_pylist()
+            df = np.concatenate([_wide(raw[k]) for k in order] or [np.empty(0, np.int64)])
+            if len(df) != len(known):
+                raise ValueError(f"a block has {len(known)} shingles, the answers to it {len(df)}")
+            done = [_signed(p, n, h, t, df[np.searchsorted(known, h)], total) for p, n, h, t in pieces]
+        return pa.Table.from_batches(done, SIGNED)
+
+    return run
+
+
+SIGNED = pa.schema(
+    [("id", pa.int64()), ("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bytes", pa.int64())]
+    + [("bands", pa.list_(pa.int64())), ("df", pa.binary())]
+)
+
+
+def _signed(
+    block: pa.RecordBatch, number: np.ndarray, hashes: np.ndarray, times: np.ndarray, df: np.ndarray, total: int
+) -> pa.RecordBatch:
+    own = texts_of(block.column("text"))
+    keys = band_keys(samples(number, hashes, weigh(df, times, total), len(own)))
+    worded = np.zeros(len(own), bool)
+    worded[number] = True
+    starts, ends = own.offsets[:-1], own.offsets[1:]
+    exact = [range_hashes(mix(own.data.astype(U64) + U64(s)), starts, ends, BYTE_STEP) for s in (1, 1000)]
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], np.cumsum(worded * BANDS)]), pa.int32()),
+        pa.array(keys[worded].view(np.int64).ravel()),
+    )
+    cuts = np.searchsorted(number, np.arange(len(own) + 1))
+    kept = [_narrow(df[x:y]) if y > x else None for x, y in zip(cuts, cuts[1:])]
+    columns = [block.column("id"), block.column("h"), *(pa.array(x.view(np.int64)) for x in exact)]
+    columns += [pa.array(np.diff(own.offsets)), lists, pa.array(kept, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, schema=SIGNED)
+
+
+def signatures(texts: DataFrame) -> tuple[DataFrame, int]:
+    """(id, h, a, b, bytes, bands, df) of the texts with words, and their number: a 128-bit hash of
+    each text, its length, its band keys, and its shingles' frequencies. ``texts`` has id, text and h."""
+    worded = texts.where(F.col("text").rlike(WORDED))
+    sizes = worded.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    total, size = sizes["n"], sizes["bytes"] or 0
+    # By id and text: neither a repeated or null id nor a repeated text is one block's.
+    block = F.pmod(F.xxhash64("id", "h"), F.lit(-(-size // ASK_BYTES) or 1))
+    dealt = worded.select(block.alias("block"), "id", "h", "text")
+    parts = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    asked = dealt.groupBy("block").applyInArrow(_ask(parts), "block bigint, bucket bigint, hashes binary, counts binary")
+    answers = asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, df binary")
+    # Both passes read one exchange of the texts.
+    drawn = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _draw(total), "id bigint, h bigint, a bigint, b bigint, bytes bigint, bands array<bigint>, df binary"
+    )
+    return drawn, total
 
 
 def weighted_jaccard(first: tuple, second: tuple) -> float:
@@ -215,35 +314,36 @@ def weighted_jaccard(first: tuple, second: tuple) -> float:
     return float(shared / (w.sum() + v.sum() - shared))
 
 
-def compare(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
-    """(a, b, similarity) of pairs of ids; the texts meet by joins on either id."""
+def compare(pairs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
+    """(a, b, similarity) of pairs of ids; the texts and their frequencies meet by joins on either id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int | None, tuple] = (None, ())
 
-        def vector(text: str) -> tuple:
-            _, hashes, times = shingles(texts_of(pa.array([text], pa.string())))
-            order = np.argsort(hashes)
-            return hashes[order], weights.value(hashes, times)[order]
+        def vector(text: str, df: bytes) -> tuple:
+            _, hashes, times = sorted_shingles(texts_of(pa.array([text], pa.string())))
+            return hashes, weigh(_wide(df), times, total)
 
         with np.errstate(over="ignore"):
             for batch in batches:
                 hubs, others = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+                sides = (batch.column(c).to_pylist() for c in ("text_a", "df_a", "text_b", "df_b"))
                 found = []
-                for hub, text, other in zip(
-                    hubs, batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-                ):
+                for hub, text, df, other, other_df in zip(hubs, *sides):
                     if last[0] != hub:  # pairs come by hub
-                        last = (hub, vector(text))
-                    found.append(weighted_jaccard(last[1], vector(other)))
+                        last = (hub, vector(text, df))
+                    found.append(weighted_jaccard(last[1], vector(other, other_df)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hubs, pa.int64()), pa.array(others, pa.int64()), pa.array(found, pa.float64())],
                     names=["a", "b", "similarity"],
                 )
 
-    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double")
+    side = lambda c: texts.select(
+        F.col("id").alias(c), F.col("text").alias(f"text_{c}"), F.col("df").alias(f"df_{c}")
+    )
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    shown = both.select("a", "b", "text_a", "df_a", "text_b", "df_b")
+    return shown.mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
 def _in_classes(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -304,13 +404,13 @@ def _blocks_of(members: DataFrame) -> DataFrame:
     return answer.unionByName(ask)
 
 
-def _block_links(members: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+def _block_links(members: DataFrame, texts: DataFrame, total: int, threshold: float) -> DataFrame:
     """(a, b, similarity): of each asking text with texts of each other component one link, if
     there is one."""
 
     def run(table: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
-            found = _links_in_block(table, weights.value, threshold)
+            found = _links_in_block(table, total, threshold)
         a, b, similarity = zip(*found) if found else ((), (), ())
         columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(similarity, pa.float64())]
         return pa.Table.from_arrays(columns, names=["a", "b", "similarity"])
@@ -319,12 +419,13 @@ def _block_links(members: DataFrame, texts: DataFrame, weights, threshold: float
     return placed.groupBy("band", "key", "i", "j").applyInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def _links_in_block(table: pa.Table, weigh: Weights, threshold: float) -> list[tuple[int, int, float]]:
+def _links_in_block(table: pa.Table, texts: int, threshold: float) -> list[tuple[int, int, float]]:
     ids = np.array(table.column("id").to_pylist(), np.int64)
     component = np.array(table.column("component").to_pylist(), np.int64)
     asks = np.array(table.column("asks").to_pylist(), bool)
-    number, hashes, times = shingles(texts_of(table.column("text").combine_chunks()))
-    weight = weigh(hashes, times)
+    number, hashes, times = sorted_shingles(texts_of(table.column("text").combine_chunks()))
+    df = np.concatenate([_wide(raw) for raw in table.column("df").to_pylist()])
+    weight = weigh(df, times, texts)
     total = np.bincount(number, weights=weight, minlength=len(ids))
     # Postings: who of those that answer has a shingle, and with what weight.
     answers = np.flatnonzero(~asks[number])
@@ -358,11 +459,10 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, class_id, copy_of) for every row: the smallest id of its class, and the smallest id
     with exactly its text."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch, total = frequency_sketch(texts)
-    weights = spark.sparkContext.broadcast(Weights(sketch, total))
-    drawn = stored(signatures(texts, weights), "signatures")
+    texts = texts.withColumn("h", F.xxhash64("text"))
+    signed, total = signatures(texts)
+    drawn = stored(signed, "signatures")
     nodes = drawn.where((F.size("bands") > 0) & F.col("id").isNotNull())
     copies = stored(
         nodes.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")),
@@ -374,23 +474,27 @@ def near_duplicates(
     wanted = members.select("id").distinct()
     # Texts are moved by merge joins at every size: the same plan for a small and a large corpus.
     candidates = stored(wanted, "candidates").hint("merge")
-    compared = stored(texts.join(candidates, "id", "left_semi").dropDuplicates(["id"]), "compared")
+    met = texts.join(candidates, "id", "left_semi").dropDuplicates(["id"])
+    # By id and hash: the frequencies of the very text that is compared.
+    rates = drawn.select("id", "h", "df").join(candidates, "id", "left_semi").dropDuplicates(["id", "h"])
+    compared = stored(met.join(rates.hint("merge"), ["id", "h"]).select("id", "text", "df"), "compared")
 
-    tested = stored(compare(stored(_hub_pairs(members), "pairs"), compared, weights), "similarities")
+    tested = stored(compare(stored(_hub_pairs(members), "pairs"), compared, total), "similarities")
     near = tested.where(F.col("similarity") >= threshold)
     open_members = stored(_mixed(_in_classes(members, components(near))), "open-members")
     # Buckets of two texts are settled: their pair has been compared.
     crowds = open_members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 2")
     crowded = open_members.join(stored(crowds.select("band", "key"), "crowds"), ["band", "key"], "left_semi")
-    across = stored(_block_links(crowded, compared, weights, threshold), "links")
+    across = stored(_block_links(crowded, compared, total, threshold), "links")
     found = components(near.unionByName(across))
 
     labels = found.select(F.col("id").alias("copy_of"), "component")
     copied = copies.select("a", "b", F.col("rep").alias("copy_of")).join(labels, "copy_of", "left")
     known = nodes.select("id", "a", "b").distinct().join(copied, ["a", "b"])
     rows = known.select("id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of")
-    alone = drawn.where((F.size("bands") <= 0) | F.col("bands").isNull() | F.col("id").isNull())
-    rest = alone.select("id", F.col("id").alias("class_id"), F.col("id").alias("copy_of"))
+    wordless = texts.where(~F.coalesce(F.col("text").rlike(WORDED), F.lit(False))).select("id")
+    alone = drawn.where((F.size("bands") <= 0) | F.col("bands").isNull() | F.col("id").isNull()).select("id")
+    rest = alone.unionByName(wordless).select("id", F.col("id").alias("class_id"), F.col("id").alias("copy_of"))
     every = rows.unionByName(rest.distinct())
     return every.select(F.col("id").alias(id_col), "class_id", "copy_of")
 
