@@ -187,14 +187,16 @@ def build(samples: dict[str, str]) -> Model | None:
 
 def learn(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model from a bounded sample of the labelled rows: by language the ``SAMPLE_DOCS``
-    documents of the smallest hashes, up to ``DOC_CHARS`` characters of each."""
+    documents of the smallest hashes of id and text, up to ``DOC_CHARS`` characters of each. Null
+    and repeated ids are spread by their texts; repeated rows are one."""
     known = rows.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
+        F.col(id_col).alias("id"),
+        F.substring(F.col(text_col), 1, DOC_CHARS).alias("text"),
+        F.col(lang_col).alias("lang"),
     )
-    picked = bounded_sample(known, "lang", "id", SAMPLE_DOCS)
+    picked = bounded_sample(known, "lang", "id", SAMPLE_DOCS, "text")
     texts: dict[str, list[str]] = {}
-    short = picked.select("id", "lang", F.substring("text", 1, DOC_CHARS).alias("text"))
-    for row in short.orderBy("lang", F.xxhash64("id"), "text").collect():
+    for row in picked.orderBy("lang", F.xxhash64("id", "text"), "text").collect():
         texts.setdefault(row["lang"], []).append(row["text"])
     return build({lang: " ".join(own) for lang, own in texts.items()})
 

@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import kelda
@@ -78,17 +78,15 @@ def quoted(columns: list[str]) -> list[Column]:
     return [F.col(f"`{c.replace('`', '``')}`") for c in columns]
 
 
-def bounded_sample(rows: DataFrame, by: str, key: str, size: int, classes: int = 200) -> DataFrame:
-    """At most about ``size`` rows of each class of ``by``: those of the smallest hashes of ``key``.
+def bounded_sample(rows: DataFrame, by: str, key: str, size: int, *also: str) -> DataFrame:
+    """At most ``size`` rows of each class of ``by``: those of the smallest hashes of ``key`` and the
+    columns ``also``, one row for all that are equal in these. Nulls of ``by`` belong to no class.
 
-    Class sizes are counted first, so rows are picked where they are and nothing is ranked or
-    gathered. Only the ``classes`` most frequent classes are kept; nulls belong to none.
+    Hashes are ranked alone, cut to ``size`` before they meet; only rows with a chosen one are moved.
     """
-    counts = rows.where(F.col(by).isNotNull()).groupBy(by).count()
-    top = counts.orderBy(F.desc("count"), by).limit(classes).collect()
-    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
-    share = F.lit(None)
-    for row in top:
-        limit = min(1 << 30, int((1 << 30) * size / row["count"]))
-        share = F.when(F.col(by) == F.lit(row[by]), F.lit(limit)).otherwise(share)
-    return rows.where(place < share)
+    place, nth = fresh_names(rows, "place", "nth")
+    placed = rows.where(F.col(by).isNotNull()).withColumn(place, F.xxhash64(key, *also))
+    first = Window.partitionBy(by).orderBy(place)
+    ranked = placed.select(by, place).distinct().withColumn(nth, F.row_number().over(first))
+    chosen = stored(ranked.where(F.col(nth) <= size).select(by, place), "sampled-places")
+    return placed.join(chosen, [by, place], "left_semi").dropDuplicates([by, place]).select(quoted(rows.columns))
