@@ -14,6 +14,8 @@ Repeated ids of documents are reported once for all of their rows.
 
 from __future__ import annotations
 
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,6 +114,83 @@ KNOWN = [
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
 ]
 
+# Whole licences in ``license_texts``: (file, ids). A GNU text is the same for both of its ids.
+FILES = [
+    ("Apache-2.0", ["Apache-2.0"]),
+    ("Artistic", ["Artistic-1.0-Perl"]),
+    ("CC0-1.0", ["CC0-1.0"]),
+    ("GFDL-1.2", ["GFDL-1.2-only", "GFDL-1.2-or-later"]),
+    ("GFDL-1.3", ["GFDL-1.3-only", "GFDL-1.3-or-later"]),
+    ("GPL-1", ["GPL-1.0-only", "GPL-1.0-or-later"]),
+    ("GPL-2", ["GPL-2.0-only", "GPL-2.0-or-later"]),
+    ("GPL-3", ["GPL-3.0-only", "GPL-3.0-or-later"]),
+    ("LGPL-2", ["LGPL-2.0-only", "LGPL-2.0-or-later"]),
+    ("LGPL-2.1", ["LGPL-2.1-only", "LGPL-2.1-or-later"]),
+    ("LGPL-3", ["LGPL-3.0-only", "LGPL-3.0-or-later"]),
+    ("MPL-1.1", ["MPL-1.1"]),
+    ("MPL-2.0", ["MPL-2.0"]),
+]
+_END = "END OF TERMS AND CONDITIONS"
+
+# Notices: every name after every phrase.
+NAMES = {
+    "0BSD": ["the Zero-Clause BSD License", "the 0BSD License"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License", "Apache-2.0"],
+    "BSD-2-Clause": ["the BSD 2-Clause License", "the Simplified BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["the BSD 3-Clause License", "the New BSD License", "BSD-3-Clause"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "the CC0 1.0 Universal License"],
+    "CC-BY-4.0": ["CC BY 4.0", "a Creative Commons Attribution 4.0 International License"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "ISC": ["the ISC License"],
+    "MIT": ["the MIT License", "MIT"],
+    "MPL-1.1": ["the Mozilla Public License, Version 1.1", "the Mozilla Public License 1.1", "MPL-1.1"],
+    "MPL-2.0": ["the Mozilla Public License, Version 2.0", "the Mozilla Public License 2.0", "MPL-2.0"],
+}
+for _id, _name, _versions in (
+    ("GPL", "General", ("2", "3")),
+    ("LGPL", "Lesser General", ("2.1", "3")),
+    ("AGPL", "Affero General", ("3",)),
+):
+    for _v in _versions:
+        _full = _v if "." in _v else f"{_v}.0"
+        _only = [f"the GNU {_name} Public License{x}{v}" for x in (", version ", " v", " ") for v in {_v: 0, _full: 0}]
+        NAMES[f"{_id}-{_full}-only"] = [*_only, f"{_id}-{_full}-only"]
+        _later = [f"{n}{x}" for n in _only for x in (" or later", " or any later version", " or (at your option) any later version")]
+        NAMES[f"{_id}-{_full}-or-later"] = [*_later, f"{_id}-{_full}-or-later"]
+PHRASES = [
+    f"{start}{verb} under {terms}{{}}"
+    for start in ("", "This work is ", "This project is ", "This software is ", "This program is ", "This file is ")
+    for verb in ("Licensed", "Released", "Distributed", "Published", "Made available")
+    for terms in ("", "the terms of ")
+]
+
+
+def _texts() -> list[tuple[str, str]]:
+    """Whole licences of the data files, those with an appendix also without it."""
+    read = lambda name: pkgutil.get_data(__name__, f"license_texts/{name}.txt").decode()
+    found = []
+    for name, ids in FILES:
+        text = read(name)
+        forms = [text, text[: text.index(_END) + len(_END)]] if _END in text else [text]
+        forms += [text[: text.index(_END)]] if _END in text else []
+        found += [(i, form) for i in ids for form in forms]
+    regents = read("BSD")
+    bsd = regents.replace("the University nor", "the copyright holder nor")
+    bsd = bsd.replace("REGENTS AND", "COPYRIGHT HOLDERS AND").replace("REGENTS OR", "COPYRIGHT HOLDER OR")
+    two = bsd[: bsd.index("3. Neither")] + bsd[bsd.index("THIS SOFTWARE") :]
+    for i, title, text in (
+        ("BSD-3-Clause", "BSD 3-Clause License", regents),
+        ("BSD-3-Clause", "BSD 3-Clause License", bsd),
+        ("BSD-2-Clause", "BSD 2-Clause License", two),
+    ):
+        found += [(i, text), (i, f"{title}\n\n{text}")]
+    return found
+
+
+KNOWN += _texts()
+KNOWN += [(i, phrase.format(name)) for i, names in NAMES.items() for name in names for phrase in PHRASES]
+
 NOT_WORD = r"[^\p{L}\p{N}]+"
 #: A line that names a holder and grants nothing.
 COPYRIGHT = r"^[^\p{L}\p{N}(©]*(copyright\b|\(c\)|©).*|^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"

@@ -35,7 +35,7 @@ def ship(spark: SparkSession) -> None:
     root = Path(kelda.__file__).parent
     path = Path(tempfile.mkdtemp(prefix="kelda-code-")) / "kelda_code.zip"
     with zipfile.ZipFile(path, "w") as packed:
-        for module in sorted(root.rglob("*.py")):
+        for module in sorted([*root.rglob("*.py"), *root.rglob("license_texts/*.txt")]):
             packed.write(module, f"kelda/{module.relative_to(root)}")
     context.addPyFile(str(path))
     _SHIPPED.add(context.applicationId)
