@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelda.llm import bpe, decontaminate, language, licenses, line_dedup, minhash, quality
+from kelda.llm import bpe, collocations, decontaminate, language, licenses, line_dedup, minhash, quality
 from kelda.llm import token_files, toxicity, warc
 from kelda.llm.tables import table
 
@@ -50,6 +50,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -61,6 +65,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
 }
 
 SQL = {
@@ -69,4 +74,5 @@ SQL = {
     "op4_decontamination": decontaminate.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op10_warc": warc.SQL,
+    "op11_collocations": collocations.SQL,
 }
