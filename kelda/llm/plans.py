@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kelda.llm import bpe, collocations, decontaminate, language, licenses, line_dedup, minhash, quality
-from kelda.llm import token_files, toxicity, warc
+from kelda.llm import token_files, toxicity, url_filter, warc, whitening
 from kelda.llm.tables import table
 
 
@@ -54,6 +54,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -66,6 +74,8 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
     "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
+    "op13_url_filter": op13_url_filter,
 }
 
 SQL = {
