@@ -116,12 +116,12 @@ def roots_above(coefficients: list[int], at: int, fraction: int) -> int:
     return sum(a != b for a, b in zip(signs, signs[1:]))
 
 
-def _is_above(coefficients: list[int], at: int, fraction: int) -> bool:
-    """The sign of the polynomial at a point: whether it is positive."""
+def _value(coefficients: list[int], at: int, fraction: int) -> int:
+    """The polynomial's value at at / 2**fraction, times a power of two."""
     value, d = 0, len(coefficients) - 1
     for k in range(d, -1, -1):
         value = value * at + (coefficients[k] << fraction * (d - k))
-    return value > 0
+    return value
 
 
 def largest_roots(coefficients: list[int], count: int, fraction: int = FRACTION) -> list[tuple[int, int]]:
@@ -144,7 +144,8 @@ def largest_roots(coefficients: list[int], count: int, fraction: int = FRACTION)
             positive = above_high % 2 == 0
             while high - low > 1:
                 middle = (low + high) // 2
-                if _is_above(coefficients, middle, fraction) == positive:
+                value = _value(coefficients, middle, fraction)
+                if value == 0 or (value > 0) == positive:
                     high = middle
                 else:
                     low = middle

@@ -36,7 +36,7 @@ def test_sql(spark, sf_dir, con, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in plans.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in plans.QUERIES) == list(range(1, 14))
 
 
 def test_op3_equals_brute_force(spark, sf_dir):
