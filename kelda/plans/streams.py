@@ -324,11 +324,6 @@ FROM events GROUP BY 1, 2
 """
 
 
-def _buckets(spark):
-    # The table lives as long as the query, so the session's setting may be used.
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def stream_cdc(spark, sf_dir):
     """Orders as a change feed on customers; low-priority ones delete."""
     orders = _stream(spark, sf_dir, "orders", "o_orderdate", zoned=False)
@@ -340,8 +335,8 @@ def stream_cdc(spark, sf_dir):
         F.col("o_orderkey").alias("seq"),
     )
     path = scratch_path(spark, "cdc")
-    sinks.run(state.cdc_stream(feed, ["o_custkey"], "seq", path, _buckets(spark)), f"{path}-checkpoint")
-    return plain(state.current_rows(spark, path, feed.schema, "op", "seq"))
+    sinks.run(state.cdc_stream(feed, ["o_custkey"], "op", "seq", path), f"{path}-checkpoint")
+    return plain(state.current_rows(spark, path, feed.schema, ["o_custkey"], "op", "seq"))
 
 
 STREAM_CDC_SQL = """

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,6 +33,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once for an application.
+
+    Workers that cannot import it from where they run need it (as ``--py-files`` does).
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="kelda-code-")) / "kelda_code.zip"
+    with zipfile.ZipFile(path, "w") as packed:
+        for module in sorted([*root.rglob("*.py"), *root.rglob("*.txt")]):
+            packed.write(module, f"{root.name}/{module.relative_to(root)}")
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(
     cpus: int | str = 8, app: str = "kelda", **extra: str
 ) -> SparkSession:

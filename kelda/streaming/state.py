@@ -1,82 +1,65 @@
-"""Change feeds, first events, and A (not) followed by B."""
+"""Change feeds, first events, and A (not) followed by B: state by key.
+
+State lives in the session's state store (RocksDB), the processors are in ``processors``. Each
+operator's output is written by batch, so a replayed batch overwrites what it wrote before.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from kelda.functions.times import seconds
+from kelda.functions.times import micros, seconds
 from kelda.operators.maintenance import dedupe_latest, is_deletion
-from kelda.streaming.joins import interval_join
-from kelda.streaming.sinks import BATCH, save_batch
+from kelda.session import ship
+from kelda.streaming.processors import GROUP, Answers, FirstDays, Newest, Unanswered, thin
+from kelda.streaming.sinks import idempotent_sink
 
-BUCKET = "_bucket"
+#: Length of the time that one task has of a key, in spans within which an answer counts.
+STRETCH = 64
 
 
 def cdc_stream(
-    df: DataFrame, key: Sequence[str], seq: str, path: str, buckets: int = 64
+    df: DataFrame, key: Sequence[str], op: str, seq: str, path: str, forget: str | None = None
 ) -> DataStreamWriter:
-    """Keep the newest change of each key under ``path``; older ``seq`` change nothing.
-
-    The table lies in buckets of keys. A batch thins its changes out to one per key, merges them
-    into the newest version of the buckets it touches and writes those anew under its own id; it
-    reads only versions of earlier batches, so a replay leaves the same table. Deletions stay as
-    rows, for older changes that come later. ``buckets`` must not change while a table lives.
+    """Write to ``path`` the changes that are newer than all their key had before; older ``seq`` change nothing.
+
+    State is the newest change of each key, an aggregate: changes are thinned out before they are
+    shuffled, and a batch writes one row for each key that it has changes of, deletions included, whatever
+    the size of the table. It reads nothing of what was written. A null key is a key, a null ``seq``
+    the oldest.
+
+    With ``forget`` (such as ``7 days``) state holds the newest ``seq`` only, a deleted key is
+    forgotten that long after its deletion, by the clock, and only rows that are newer are written;
+    a change older than the deletion that comes later still would bring the key back. Spark then goes on
+    with empty batches to let state expire; a stream that is to end by itself must have
+    ``spark.sql.streaming.noDataMicroBatches.enabled`` set to false.
     """
-    spark, schema = df.sparkSession, df.schema
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
-        changes = dedupe_latest(batch, key, [seq]).withColumn(BUCKET, bucket)
-        versions = _versions(spark, path, batch_id)
-        if versions:
-            # Buckets without changes are left where they are.
-            touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
-            known = {b: versions[b] for b in touched if b in versions}
-            if known:
-                old = _read_versions(spark, path, schema, known)
-                changes = dedupe_latest(old.select(changes.columns).unionByName(changes), key, [seq])
-        save_batch(changes, batch_id, path, [BUCKET])
-
-    return df.writeStream.foreachBatch(save)
-
-
-def _versions(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
-    """The newest batch that wrote each bucket; looks at folder names only."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[int, int] = {}
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}=*/{BUCKET}=*")
-    for status in system.globStatus(pattern) or []:
-        folder = status.getPath()
-        batch = int(folder.getParent().getName().split("=")[1])
-        if before is None or batch < before:
-            bucket = int(folder.getName().split("=")[1])
-            found[bucket] = max(batch, found.get(bucket, -1))
-    return found
-
-
-def _read_versions(
-    spark: SparkSession, path: str, schema: T.StructType, versions: dict[int, int]
-) -> DataFrame:
-    folders = [f"{path}/{BATCH}={batch}/{BUCKET}={bucket}" for bucket, batch in versions.items()]
-    full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    return spark.read.schema(full).option("basePath", path).parquet(*folders)
+    if not forget:
+        row = F.struct(*df.columns)
+        newest = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(F.max_by(row, F.struct(seq)).alias("_row"))
+        return idempotent_sink(newest.select("_row.*"), path, "update")
+    ship(df.sparkSession)
+    # Plain names for the way through Python.
+    names = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    marked = df.withColumn("gone", is_deletion(op)).toDF(*names.values(), "gone")
+    by = [names[k] for k in key]
+    thinned = marked.mapInArrow(thin(by, [names[seq]], last=True), marked.schema)
+    processor = Newest(names[seq], "gone", df.schema[seq].dataType.simpleString(), seconds(forget) * 1000)
+    newest = thinned.groupBy(*by).transformWithState(processor, marked.schema, "Update", "ProcessingTime")
+    return idempotent_sink(newest.drop("gone").toDF(*df.columns), path, "update")
 
 
 def current_rows(
-    spark: SparkSession, path: str, schema: T.StructType, op: str, seq: str
+    spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], op: str, seq: str
 ) -> DataFrame:
-    """The current table of ``cdc_stream``: reads the newest version of each bucket and no other."""
-    versions = _versions(spark, path)
-    if not versions:
-        return spark.createDataFrame([], schema).drop(op, seq)
-    rows = _read_versions(spark, path, schema, versions).select(*schema.names)
-    return rows.where(~is_deletion(op)).drop(op, seq)
+    """The current table of ``cdc_stream``: each key's newest change, deleted keys left out."""
+    newest = dedupe_latest(spark.read.schema(schema).parquet(path).select(*schema.names), key, [seq])
+    return newest.where(~is_deletion(op)).drop(op, seq)
 
 
 def first_seen(
@@ -85,62 +68,95 @@ def first_seen(
     """Each key's first event per day, as soon as it arrives, under ``path``.
 
     ``is_first_ever`` marks days of a key before which none is known. With ``keep`` (whole days,
-    e.g. ``30 days``) a key that was away for longer counts as new, and no batch looks further
-    back than that: rows lie in folders of days. What is written is not taken back: an earlier
-    event of a day that arrives in a later batch changes nothing. A batch reads only what earlier
-    batches wrote. Rows without a time have no day and are left out; a null key is a key.
+    e.g. ``30 days``) a key that was away for longer counts as new, and state holds only days that a
+    later one can be compared with: events more than ``keep`` days and one behind the newest of all are
+    late and left out (by Spark's rule, which looks one batch further back), and a key's state goes when it would count as new whatever comes. That is by
+    event time, so a replay or a backlog gives the same rows. Without ``keep`` state grows with keys and their days.
+
+    What is written is not taken back: an earlier event of a day that arrives in a later batch changes
+    nothing. Nothing that was written is read again. Events are thinned out to one of a key and day
+    for each batch of rows before they are shuffled. Rows without a time have no day and are left
+    out; a null key is a key.
     """
-    spark = df.sparkSession
+    ship(df.sparkSession)
     days = seconds(keep) // 86400 if keep else None
-    kinds = {f.name: f.dataType for f in df.schema}
-    schema = T.StructType(
+    timed = df.where(F.col(ts).isNotNull()).select(
+        F.col(key).alias("key"),
+        F.unix_date(F.to_date(ts)).alias("day"),
+        micros(ts).alias("at"),
+        F.col(ts).cast("timestamp").alias("ts"),
+        F.col(id).alias("id"),
+    )
+    thinned = timed.mapInArrow(thin(["key", "day"], ["at", "id"]), timed.schema)
+    if keep:
+        thinned = thinned.withWatermark("ts", f"{days + 1} days")
+    kind = df.schema[id].dataType
+    out = T.StructType(
         [
-            T.StructField(key, kinds[key]),
-            T.StructField("first_ts", kinds[ts]),
-            T.StructField("first_id", kinds[id]),
+            T.StructField("key", df.schema[key].dataType),
+            T.StructField("day", T.IntegerType()),
+            T.StructField("at", T.LongType()),
+            T.StructField("first_id", kind),
             T.StructField("is_first_ever", T.BooleanType()),
-            T.StructField(BATCH, T.LongType()),
-            T.StructField("day", T.DateType()),
         ]
     )
+    told = thinned.groupBy("key").transformWithState(
+        FirstDays(kind.simpleString(), days), out, "Append", "EventTime" if keep else "None"
+    )
+    first = F.timestamp_micros("at").cast(df.schema[ts].dataType)
+    shown = told.select(
+        F.col("key").alias(key),
+        first.alias("first_ts"),
+        "first_id",
+        "is_first_ever",
+        F.date_from_unix_date("day").alias("day"),
+    )
+    return idempotent_sink(shown, path)
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        first = F.min(F.struct(F.col(ts).alias("first_ts"), F.col(id).alias("first_id")))
-        daily = (
-            batch.where(F.col(ts).isNotNull())
-            .groupBy(F.col(key), F.to_date(ts).alias("day"))
-            .agg(first.alias("first"))
-            .select(key, "day", "first.*")
-        )
-        known = spark.createDataFrame([], schema)
-        if batch_id:
-            known = spark.read.schema(schema).parquet(path).where(F.col(BATCH) < batch_id)
-            if days is not None:
-                oldest = daily.agg(F.min("day")).first()[0]
-                known = known.where(F.col("day") >= F.date_sub(F.lit(oldest), days + 1))
-        known = known.select(F.col(key).alias("_key"), F.col("day").alias("_day"))
-        same = F.col(key).eqNullSafe(F.col("_key"))
-        fresh = daily.join(known, same & (F.col("day") == F.col("_day")), "left_anti")
-        # Days of the batch's keys: a row a day, so a key's window is short.
-        earlier = known.join(fresh.select(key).distinct(), same, "left_semi").select(
-            F.col("_key").alias(key), F.col("_day").alias("day")
-        )
-        by_key = Window.partitionBy(key).orderBy("day")
-        before = F.lag("day").over(by_key)
-        away = before.isNull()
-        if days is not None:
-            away = away | (F.datediff("day", before) - 1 > days)
-        marked = (
-            fresh.unionByName(earlier, allowMissingColumns=True)
-            .withColumn("is_first_ever", away)
-            .where("first_ts is not null")
-        )
-        save_batch(marked.select(key, "first_ts", "first_id", "is_first_ever", "day"), batch_id, path, ["day"])
-
-    return df.writeStream.foreachBatch(save)
-
-
-def _meetings(
+
+def _groups(
+    df: DataFrame, key: str, ts: str, id: str, type: str, a: str, b: str, within: str, delay: str, salts: int, stretch: int
+) -> tuple[DataFrame, list[str], int]:
+    """Starts and answers as one stream of (group columns, starts, at, id), and its group columns.
+
+    Both sides have a watermark of their own; the lower one counts. A group is a key's starts of one
+    stretch of time, ``stretch`` times ``within`` (a minute at least), with the answers that may be
+    theirs: an answer at a border is in two groups. With ``salts`` a group's starts are spread over
+    so many, and its answers are in each.
+    """
+    span = seconds(within) * 1_000_000
+    width = max(span * stretch, 60_000_000)
+    known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+
+    def side(value: str, starts: bool, bucket: Column, salt: Column) -> DataFrame:
+        own = known.where(F.col(type) == value).withWatermark(ts, delay)
+        return own.select(
+            F.col(key).alias("k0"),
+            bucket.alias("k1"),
+            ts,
+            micros(ts).alias("at"),
+            F.lit(starts).alias("starts"),
+            F.when(F.lit(starts), F.col(id)).alias("id"),
+        ).select("k0", "k1", salt.alias("k2"), ts, "at", "starts", "id")
+
+    at = micros(ts)
+    places = F.explode(F.sequence(F.floor((at - span) / width), F.floor((at - 1) / width)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    asked = side(a, True, F.floor(at / width), F.pmod(F.xxhash64("id", "at"), F.lit(salts)).cast("int"))
+    return asked.unionByName(side(b, False, places, every)), list(GROUP), span
+
+
+def _kinds(df: DataFrame, key: str, id: str, *times: str) -> T.StructType:
+    fields = [
+        T.StructField("k0", df.schema[key].dataType),
+        T.StructField("k1", T.LongType()),
+        T.StructField("k2", T.IntegerType()),
+        T.StructField("a_id", df.schema[id].dataType),
+    ]
+    return T.StructType([*fields, *(T.StructField(t, T.LongType()) for t in times)])
+
+
+def followed_by(
     df: DataFrame,
     key: str,
     ts: str,
@@ -150,25 +166,24 @@ def _meetings(
     b: str,
     within: str,
     delay: str,
-    how: str,
+    salts: int = 1,
+    stretch: int = STRETCH,
 ) -> DataFrame:
-    """A events with the B events of their key that come later, within T."""
-    known = df.where(F.col(key).isNotNull())
-    starts = known.where(F.col(type) == a).select(
-        F.col(key), F.col(id).alias("a_id"), F.col(ts).alias("a_ts")
-    )
-    answers = known.where(F.col(type) == b).select(F.col(key).alias("_key"), F.col(ts).alias("b_ts"))
-    span = ("0 seconds", within)
-    return interval_join(starts, answers, (key, "_key"), ("a_ts", "b_ts"), *span, delay, how, after=True)
-
-
-def followed_by(df: DataFrame, *args) -> DataFrame:
-    """Each A event with each B of the same key within T after it, as soon as both are there.
+    """Each A event with the time of the first B of the same key within T after it, when that is there.
 
-    Arguments: key, ts, id, type, a, b, within, delay. ``first_answers`` reduces what is written
-    to the first B of each A. Rows without a key follow nothing.
+    One row for each answered A. Only where a B comes late, behind the one that has been written for an
+    A, is there another row with the earlier time: ``first_answers`` takes the first. State holds open
+    starts, and answered ones until the watermark has passed their answer. Rows without a key or a
+    time follow nothing. State and work of a key are apart for each ``stretch`` times T of its time;
+    ``salts`` spreads the starts of very busy keys over more tasks.
     """
-    return _meetings(df, *args, "inner").drop("_key")
+    ship(df.sparkSession)
+    rows, group, span = _groups(df, key, ts, id, type, a, b, within, delay, salts, stretch)
+    found = rows.groupBy(*group).transformWithState(
+        Answers(df.schema[id].dataType.simpleString(), span), _kinds(df, key, id, "a_at", "b_at"), "Append", "EventTime"
+    )
+    time = lambda c: F.timestamp_micros(c).cast(df.schema[ts].dataType)
+    return found.select(F.col("k0").alias(key), "a_id", time("a_at").alias("a_ts"), time("b_at").alias("b_ts"))
 
 
 def first_answers(written: DataFrame, key: str) -> DataFrame:
@@ -176,7 +191,25 @@ def first_answers(written: DataFrame, key: str) -> DataFrame:
     return written.groupBy(key, "a_id", "a_ts").agg(F.min("b_ts").alias("b_ts"))
 
 
-def not_followed_by(df: DataFrame, *args) -> DataFrame:
+def not_followed_by(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    id: str,
+    type: str,
+    a: str,
+    b: str,
+    within: str,
+    delay: str,
+    salts: int = 1,
+    stretch: int = STRETCH,
+) -> DataFrame:
     """A events that no B of the same key followed within T, once the watermark has passed
-    their own expiry; arguments as for ``followed_by``."""
-    return _meetings(df, *args, "left_outer").where("b_ts is null").drop("_key", "b_ts")
+    their own expiry; arguments as for ``followed_by``. State holds open starts only."""
+    ship(df.sparkSession)
+    rows, group, span = _groups(df, key, ts, id, type, a, b, within, delay, salts, stretch)
+    found = rows.groupBy(*group).transformWithState(
+        Unanswered(df.schema[id].dataType.simpleString(), span), _kinds(df, key, id, "a_at"), "Append", "EventTime"
+    )
+    time = F.timestamp_micros("a_at").cast(df.schema[ts].dataType)
+    return found.select(F.col("k0").alias(key), "a_id", time.alias("a_ts"))
