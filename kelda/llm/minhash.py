@@ -13,14 +13,15 @@ on a sample with the probability of their weighted Jaccard similarity. Texts tha
 band are compared: weighted Jaccard of all their shingles must be ``THRESHOLD`` or more. Links
 make classes (connected components).
 
-Equal texts are one node. In a bucket of a band every member is compared with one hub. Then only
+Equal texts are one node, whatever their ids. In a bucket of a band every member is compared with one hub. Then only
 members that are still in different classes are compared, those of the bucket's largest class on
 one side only: a bucket's others are a query set that meets its members in blocks of bounded
 size, and only links come out of a block. So near copies of one text cost a comparison each, and
 no pair of a bucket that could join two classes is left out.
 
 Null texts, texts without words and rows without id are classes of their own and never copies.
-Repeated rows (same id and text) are one node. Extra columns are not read.
+Repeated rows (same id and text) are counted and compared once. Of an id with several texts each is a row
+of the result, with the class of that text. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -40,15 +41,12 @@ from kelda.llm.words import WORD_STEP, texts_of, words_of
 SHINGLE, THRESHOLD = 5, 0.8
 #: At a similarity of 0.8 a pair meets in some band with probability 0.9992, at 0.9 with 1 - 2e-6.
 BANDS, ROWS = 10, 3
-#: Rows and places of the sketch: 16 MB, whatever the corpus.
-SKETCH_ROWS, SKETCH_BITS = 2, 21
 #: Bytes of text whose shingles are asked for together, and that a bucket answers for; least buckets.
-ASK_BYTES, BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 16 << 20, 256
+ASK_BYTES, BUCKET_BYTES, LEAST_BUCKETS = 3 << 20, 8 << 20, 256
 #: A text with a word, as ``PLAIN`` has them.
 WORDED = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
-SLICE_BITS = 16
 #: Texts, and bytes of text, that one side of a block has at most (a longer text is alone).
-BLOCK_TEXTS, BLOCK_TEXT_BYTES = 512, 16 << 20
+BLOCK_TEXTS, BLOCK_TEXT_BYTES = 512, 3 << 20
 
 
 def shingles(texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,11 +78,6 @@ def weigh(df: np.ndarray, times: np.ndarray, total: int) -> np.ndarray:
     return times * (1 + rare)
 
 
-def _sketch_places(hashes: np.ndarray) -> list[np.ndarray]:
-    mask = U64((1 << SKETCH_BITS) - 1)
-    return [((hashes >> U64(k * 31)) & mask).astype(np.int64) for k in range(SKETCH_ROWS)]
-
-
 def _narrow(counts: np.ndarray) -> bytes:
     kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if counts.max() <= np.iinfo(k).max)
     return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
@@ -94,68 +87,6 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
 
 
-def frequency_sketch(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """The sketch of how many texts have a shingle, and the number of texts with words: an estimate
-    of bounded size. ``near_duplicates`` does not use it, its frequencies are exact.
-
-    Tasks count in arrays and hand them on in slices; a slice's sums are made as they come in.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64)
-        worded = 0
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for block in blocks(batch, "text"):
-                    number, hashes, _ = shingles(texts_of(block.column("text")))
-                    worded += len(np.unique(number))
-                    for own, at in zip(table, _sketch_places(hashes)):
-                        np.add.at(own, at, 1)
-        for k, own in enumerate(table.reshape(-1, 1 << SLICE_BITS)):
-            if own.any():
-                yield _slice_row(k, own)
-        if worded:
-            yield _slice_row(-1, np.array([worded]))
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                own = _wide(raw)
-                sums[k] = sums[k] + own if k in sums else own
-        for k, own in sums.items():
-            yield _slice_row(k, own)
-
-    schema = "slice int, counts binary"
-    rows = texts.mapInArrow(count, schema).repartition("slice").mapInArrow(add_up, schema).collect()
-    sketch = np.zeros((SKETCH_ROWS << SKETCH_BITS >> SLICE_BITS, 1 << SLICE_BITS), np.uint32)
-    total = 0
-    for row in rows:
-        if row["slice"] < 0:
-            total = int(_wide(row["counts"])[0])
-        else:
-            sketch[row["slice"]] = np.minimum(_wide(row["counts"]), 0xFFFFFFFF)
-    return sketch.reshape(SKETCH_ROWS, -1), total
-
-
-def _slice_row(k: int, counts: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([k], pa.int32()), pa.array([_narrow(counts)], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=["slice", "counts"])
-
-
-class Weights:
-    """Weights of shingles from the sketch."""
-
-    def __init__(self, sketch: np.ndarray, total: int) -> None:
-        self.sketch, self.total = sketch, max(total, 1)
-
-    def __call__(self, hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
-        found = np.minimum.reduce([own[at] for own, at in zip(self.sketch, _sketch_places(hashes))])
-        df = np.clip(found, 1, self.total)
-        rare = np.log(self.total / df) / np.log(self.total) if self.total > 1 else np.zeros(len(df))
-        return times * (1 + rare)
-
-
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Fixed random numbers: a multiplier and a shift for each sample, and tables of draws from
     Gamma(2, 1) and of logarithms of such draws."""
@@ -206,6 +137,16 @@ def _pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from blocks(batch, "text")
 
 
+def _by_pieces(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``sorted_shingles``, a piece of the texts at a time."""
+    found, begin = [], 0
+    for piece in _pieces(table):
+        number, hashes, times = sorted_shingles(texts_of(piece.column("text")))
+        found.append((number + begin, hashes, times))
+        begin += len(piece)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _ask(parts: int):
     """Of a block of texts: its different shingles, sorted, and how many of its texts have each, in
     pieces by bucket of the hash's range."""
@@ -287,7 +228,8 @@ def _signed(
 
 def signatures(texts: DataFrame) -> tuple[DataFrame, int]:
     """(id, h, a, b, bytes, bands, df) of the texts with words, and their number: a 128-bit hash of
-    each text, its length, its band keys, and its shingles' frequencies. ``texts`` has id, text and h."""
+    each text, its length, its band keys, and its shingles' frequencies. ``texts`` has id, text and h,
+    each pair of id and text once."""
     worded = texts.where(F.col("text").rlike(WORDED))
     sizes = worded.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     total, size = sizes["n"], sizes["bytes"] or 0
@@ -423,7 +365,7 @@ def _links_in_block(table: pa.Table, texts: int, threshold: float) -> list[tuple
     ids = np.array(table.column("id").to_pylist(), np.int64)
     component = np.array(table.column("component").to_pylist(), np.int64)
     asks = np.array(table.column("asks").to_pylist(), bool)
-    number, hashes, times = sorted_shingles(texts_of(table.column("text").combine_chunks()))
+    number, hashes, times = _by_pieces(table)
     df = np.concatenate([_wide(raw) for raw in table.column("df").to_pylist()])
     weight = weigh(df, times, texts)
     total = np.bincount(number, weights=weight, minlength=len(ids))
@@ -454,30 +396,31 @@ def _links_in_block(table: pa.Table, texts: int, threshold: float) -> list[tuple
     return found
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
-) -> DataFrame:
-    """(id, class_id, copy_of) for every row: the smallest id of its class, and the smallest id
-    with exactly its text."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """(id, h, class_id, copy_of) for every different row of id and text; h is the text's hash."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.withColumn("h", F.xxhash64("text"))
+    texts = _once(texts.withColumn("h", F.xxhash64("text")))
     signed, total = signatures(texts)
     drawn = stored(signed, "signatures")
     nodes = drawn.where((F.size("bands") > 0) & F.col("id").isNotNull())
-    copies = stored(
-        nodes.groupBy("a", "b").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")),
-        "texts",
+    # Nodes are texts; a number of its own tells one from the other, the row of the smallest id has its text.
+    grouped = nodes.groupBy("a", "b").agg(
+        F.min("id").alias("rep"), F.first("h").alias("h"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")
     )
-    buckets = copies.select(F.col("rep").alias("id"), "bytes", F.posexplode("bands").alias("band", "key"))
+    copies = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "texts")
+    buckets = copies.select(F.col("node").alias("id"), "bytes", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     members = stored(buckets.join(stored(shared, "shared-buckets"), ["band", "key"], "left_semi"), "members")
-    wanted = members.select("id").distinct()
+    wanted = copies.select(F.col("rep").alias("id"), "h", "node").join(
+        members.select(F.col("id").alias("node")).distinct(), "node", "left_semi"
+    )
     # Texts are moved by merge joins at every size: the same plan for a small and a large corpus.
     candidates = stored(wanted, "candidates").hint("merge")
-    met = texts.join(candidates, "id", "left_semi").dropDuplicates(["id"])
+    met = texts.join(candidates, ["id", "h"])
     # By id and hash: the frequencies of the very text that is compared.
-    rates = drawn.select("id", "h", "df").join(candidates, "id", "left_semi").dropDuplicates(["id", "h"])
-    compared = stored(met.join(rates.hint("merge"), ["id", "h"]).select("id", "text", "df"), "compared")
+    rates = drawn.select("id", "h", "df").join(candidates.select("id", "h"), ["id", "h"], "left_semi")
+    compared = met.join(rates.hint("merge"), ["id", "h"]).select(F.col("node").alias("id"), "text", "df")
+    compared = stored(compared, "compared")
 
     tested = stored(compare(stored(_hub_pairs(members), "pairs"), compared, total), "similarities")
     near = tested.where(F.col("similarity") >= threshold)
@@ -486,32 +429,59 @@ def near_duplicates(
     crowds = open_members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 2")
     crowded = open_members.join(stored(crowds.select("band", "key"), "crowds"), ["band", "key"], "left_semi")
     across = stored(_block_links(crowded, compared, total, threshold), "links")
-    found = components(near.unionByName(across))
+    found = components(near.unionByName(across)).withColumnRenamed("id", "node")
+
+    # A class is named by the smallest id of its texts.
+    placed = copies.select("a", "b", "node", F.col("rep").alias("copy_of")).join(found, "node", "left")
+    placed = stored(placed.withColumn("class", F.coalesce("component", "node")).select("a", "b", "class", "copy_of"), "placed")
+    named = placed.groupBy("class").agg(F.min("copy_of").alias("class_id"))
+    known = nodes.select("id", "h", "a", "b").join(placed.join(named, "class"), ["a", "b"])
+    rows = known.select("id", "h", "class_id", "copy_of")
+    wordless = texts.where(~F.coalesce(F.col("text").rlike(WORDED), F.lit(False))).select("id", "h")
+    alone = drawn.where((F.size("bands") <= 0) | F.col("bands").isNull() | F.col("id").isNull()).select("id", "h")
+    rest = alone.unionByName(wordless)
+    return rows.unionByName(rest.select("id", "h", F.col("id").alias("class_id"), F.col("id").alias("copy_of")))
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """Each different row of id and text once. Rows that are repeated are told by their hashes
+    first, so that texts are only moved where an id and a hash come twice."""
+    repeated = texts.groupBy("id", "h").agg(F.count("*").alias("n")).where("n > 1").select("id", "h")
+    twice = stored(repeated, "repeated-rows")
+    if twice.isEmpty():
+        return texts
+    other = twice.select(F.col("id").alias("_id"), F.col("h").alias("_h"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
+    single = texts.join(other, same, "left_anti")
+    return single.unionByName(texts.join(other, same, "left_semi").groupBy("id", "h", "text").agg(F.lit(1)).select("id", "text", "h"))
 
-    labels = found.select(F.col("id").alias("copy_of"), "component")
-    copied = copies.select("a", "b", F.col("rep").alias("copy_of")).join(labels, "copy_of", "left")
-    known = nodes.select("id", "a", "b").distinct().join(copied, ["a", "b"])
-    rows = known.select("id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of")
-    wordless = texts.where(~F.coalesce(F.col("text").rlike(WORDED), F.lit(False))).select("id")
-    alone = drawn.where((F.size("bands") <= 0) | F.col("bands").isNull() | F.col("id").isNull()).select("id")
-    rest = alone.unionByName(wordless).select("id", F.col("id").alias("class_id"), F.col("id").alias("copy_of"))
-    every = rows.unionByName(rest.distinct())
-    return every.select(F.col("id").alias(id_col), "class_id", "copy_of")
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """(id, class_id, copy_of) for every row: the smallest id of its class, and the smallest id
+    with exactly its text; repeated rows once."""
+    found = _classes(docs, id_col, text_col, threshold)
+    return found.select(F.col("id").alias(id_col), "class_id", "copy_of")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
     """One document of each class, that of the smallest id; repeated rows of it are one.
 
     Rows without id, text or words are no copies and all stay.
     """
-    classes = stored(near_duplicates(docs, id_col, text_col, **options), "classes")
-    dropped = classes.where(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
+    classes = stored(_classes(docs, id_col, text_col, threshold), "classes")
+    near_id, near_h, own_h, nth = fresh_names(docs, "near_id", "near_h", "h", "nth")
+    dropped = classes.where(F.col("id") != F.col("class_id")).select(F.col("id").alias(near_id), F.col("h").alias(near_h))
     near = stored(dropped, "near-copies").hint("merge")
-    kept = docs.join(near, id_col, "left_anti").select(quoted(docs.columns))
+    hashed = docs.withColumn(own_h, F.xxhash64(F.col(text_col).cast("string")))
+    same = (F.col(id_col).cast("bigint") == F.col(near_id)) & (F.col(own_h) == F.col(near_h))
+    kept = hashed.join(near, same, "left_anti").select(quoted(docs.columns))
     repeated = docs.groupBy(id_col).count().where(F.col(id_col).isNotNull() & (F.col("count") > 1))
     if repeated.isEmpty():
         return kept
-    (nth,) = fresh_names(docs, "nth")
     twice = stored(repeated.select(id_col), "repeated-ids")
     by_text = Window.partitionBy(id_col, text_col).orderBy(F.lit(0))
     once = kept.join(twice, id_col, "left_semi").withColumn(nth, F.row_number().over(by_text)).where(F.col(nth) == 1)

@@ -45,3 +45,25 @@ def test_classes_among_millions_of_shingles(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
     found = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs).collect()}
     assert found == {k: k for k, _ in rows}
+
+
+def test_an_id_with_several_texts_loses_no_link(spark):
+    random = np.random.default_rng(9)
+    words = lambda n: " ".join(f"w{x}" for x in random.integers(0, 10_000, n))
+    a, b, c = words(80), words(80), words(80)
+    rows = [(1, a), (1, b), (2, f"{a} more"), (3, f"{b} more"), (4, c), (0, f"{c} more"), (4, a), (1, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, minhash.near_duplicates(docs).collect()), key=repr)
+    wanted = [(0, 0, 0), (1, 1, 1), (1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 0, 4), (4, 1, 1), (None, None, None)]
+    assert got == sorted(wanted, key=repr)
+    kept = sorted(map(tuple, minhash.drop_near_duplicates(docs).collect()), key=repr)
+    assert kept == sorted([(0, f"{c} more"), (1, a), (1, b), (None, a)], key=repr)
+
+
+def test_repeated_rows_are_one(spark):
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(None, text)] * 300 + [(7, text)] * 300 + [(8, f"{text} more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sorted(map(tuple, minhash.near_duplicates(docs).collect()), key=repr)
+    assert got == [(7, 7, 7), (8, 7, 8), (None, None, None)]
+    assert minhash.signatures(minhash._once(docs.select(docs.doc_id.alias("id"), "text", F.xxhash64("text").alias("h"))))[1] == 3
