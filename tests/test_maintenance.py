@@ -1,3 +1,5 @@
+import csv
+import random
 from datetime import date
 
 import pytest
@@ -53,6 +55,51 @@ def test_land_csv(spark, tmp_path, rows):
     assert good.count() + bad.count() == len(lines) - 1 + 2
 
 
+@pytest.mark.parametrize("size", [30, 64, 1 << 20])
+def test_csv_records_across_ranges(spark, tmp_path, rows, size):
+    """One file in many byte ranges, quoted breaks, commas and doubled quotes at any place of them."""
+    draw = random.Random(size)
+    pieces = ["a", "", '"', '""', "\n", "\n\n", ",", 'x"y', " ", "\r\n", "ü", "long " * 9, '"\n"']
+    for ending in ("\n", "\r\n"):
+        table = [(str(k), "".join(draw.choices(pieces, k=draw.randint(0, 6))), "") for k in range(40)]
+        name = tmp_path / f"{len(ending)}"
+        name.mkdir()
+        with open(name / "in.csv", "w", newline="", encoding="utf-8") as file:
+            out = csv.writer(file, lineterminator=ending, quoting=csv.QUOTE_ALL if size == 64 else csv.QUOTE_MINIMAL)
+            out.writerow(("id", "name", "ts"))
+            out.writerows(table)
+        keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+        before = {k: spark.conf.get(k) for k in keys}
+        for k in keys:
+            spark.conf.set(k, str(size))
+        try:
+            ranges = spark.read.text(str(name)).select("_metadata.file_block_start").distinct().count()
+            assert ranges >= 8 or size > 1000
+            good, bad = land(spark, str(name), SCHEMA, "csv", header=True, multiline=True)
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        got = {r["id"]: r["name"] or "" for r in good.collect()}
+        tidy = lambda x: x.replace("\r\n", "\n")
+        assert {k: tidy(v) for k, v in got.items()} == {int(k): tidy(v) for k, v, _ in table}
+        assert bad.count() == 0
+
+
+def test_csv_records_open_at_the_end_and_many_files(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('id,name,ts\n\n1,"a\nb",\n2,"open\n3,c,')
+    (tmp_path / "b.csv").write_text('\nid,name,ts\n4,"d\n\n\n",\n')
+    (tmp_path / "c.csv").write_text("")
+    good, bad = land(spark, str(tmp_path), SCHEMA, "csv", header=True, multiline=True)
+    assert rows(good, "id", "name") == [(1, "a\nb"), (4, "d\n\n\n")]
+    assert rows(bad) == [('2,"open\n3,c,',)]
+
+
+def test_csv_records_with_another_escape(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('1,"a \\" b\nc",\n2,"x",\n')
+    good, bad = land(spark, str(tmp_path), SCHEMA, "csv", multiline=True, escape="\\")
+    assert rows(good, "id", "name") == [(1, 'a " b\nc'), (2, "x")] and bad.count() == 0
+
+
 def test_land_csv_with_line_breaks(spark, tmp_path, rows):
     (tmp_path / "in.csv").write_text('id,name,ts\n1,"a\n""b"", c",\n\n2,x\n3,y,\n')
     good, bad = land(spark, str(tmp_path), SCHEMA, "csv", header=True, multiline=True)
