@@ -24,6 +24,8 @@ DELAY = "1 hour"
 
 #: Deliveries a table is cut into, and inboxes by session, table folder and order.
 PARTS = 4
+#: Bytes of a delivery's file, about.
+FILE_BYTES = 128 << 20
 _INBOXES: dict[tuple, str] = {}
 
 
@@ -38,20 +40,22 @@ def part_of(df, ts):
 
 
 def _stream(spark, sf_dir, name, ts, zoned=True, order=range(PARTS)):
-    """A table as a stream of several files, one micro-batch for each.
+    """A table as a stream of several deliveries, one micro-batch for each.
 
-    The files are written once a session, in the order of ``order``.
+    A delivery is as many files as its size asks for, each written by a task. They are written once a
+    session, in the order of ``order``.
     """
+    (table,) = tables(spark, sf_dir, name)
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files = max(1, -(-size // PARTS // FILE_BYTES))
     key = (spark.sparkContext.applicationId, sf_dir, name, tuple(order))
     if key not in _INBOXES:
-        (table,) = tables(spark, sf_dir, name)
         inbox = scratch_path(spark, f"inbox-{name}")
         part = part_of(table, ts)
         for k in order:
-            # One file a delivery at this size; a larger table has more, and as many batches.
-            table.where(part == k).coalesce(1).write.mode("append").parquet(inbox)
+            table.where(part == k).repartition(files).write.mode("append").parquet(inbox)
         _INBOXES[key] = inbox
-    return event_stream(spark, _INBOXES[key], schema_of(name), ts if zoned else None, max_files=1)
+    return event_stream(spark, _INBOXES[key], schema_of(name), ts if zoned else None, max_files=files)
 
 
 def _events(spark, sf_dir, **options):
@@ -123,7 +127,8 @@ GROUP BY date_trunc('hour', ts), event_type
 
 def stream_sliding(spark, sf_dir):
     """Events in the last six hours, every hour."""
-    counted = windows.sliding(_events(spark, sf_dir), "ts", "6 hours", "1 hour", DELAY, (), _value())
+    merge = {"n": F.sum("n"), "value": F.sum("value")}
+    counted = windows.sliding(_events(spark, sf_dir), "ts", "6 hours", "1 hour", DELAY, (), _value(), merge)
     return plain(_finish(spark, windows.flat(counted), "sliding"))
 
 
@@ -304,14 +309,13 @@ WHERE buy_id IS NOT NULL OR view_ts + INTERVAL 2 HOUR <= t
 
 def stream_route(spark, sf_dir):
     """Purchases and errors to tables of their own, everything else to a third."""
-    paths = {name: scratch_path(spark, f"route-{name}") for name in ("purchase", "error", "other")}
-    routed = {name: paths[name] for name in ("purchase", "error")}
+    path = scratch_path(spark, "route")
     events = _events(spark, sf_dir)
-    writer = sinks.route(events, "event_type", routed, paths["other"])
-    sinks.run(writer, scratch_path(spark, "route-checkpoint"))
+    writer = sinks.route(events, "event_type", ("purchase", "error"), path)
+    sinks.run(writer, f"{path}-checkpoint")
     parts = [
-        sinks.read_sink(spark, path, events.schema).select(F.lit(name).alias("routed_to"), "event_type", "value")
-        for name, path in paths.items()
+        sinks.read_route(spark, path, events.schema, name).select(F.lit(name).alias("routed_to"), "event_type", "value")
+        for name in ("purchase", "error", "other")
     ]
     union = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return plain(union.groupBy("routed_to", "event_type").agg(*[a.alias(n) for n, a in _value().items()]))

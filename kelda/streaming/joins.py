@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelda.functions.times import micros, seconds
+from kelda.operators.skew import SALT, with_salt, with_salts
 
 
 def dedupe(df: DataFrame, id: str | Sequence[str], ts: str, delay: str) -> DataFrame:
@@ -16,9 +17,23 @@ def dedupe(df: DataFrame, id: str | Sequence[str], ts: str, delay: str) -> DataF
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(ids)
 
 
-def enrich(df: DataFrame, dim: DataFrame, on: tuple[str, str]) -> DataFrame:
-    """Add a static dimension's columns; events without a member keep nulls."""
-    return df.join(dim, F.col(on[0]) == F.col(on[1]), "left")
+def enrich(
+    df: DataFrame, dim: DataFrame, on: tuple[str, str], hot: Sequence[int] = (), salts: int = 8
+) -> DataFrame:
+    """Add a static dimension's columns; events without a member keep nulls.
+
+    A stream has no adaptive splitting of skewed joins. If the dimension is too large to be
+    broadcast, give the hot keys of what has come so far (``skew.hot_keys``): their events are
+    spread over ``salts`` tasks, and only their members are repeated.
+    """
+    if not hot:
+        return df.join(dim, F.col(on[0]) == F.col(on[1]), "left")
+    # Members are hashed as what they are compared with.
+    kind = df.schema[on[0]].dataType
+    left = with_salt(df, [on[0]], hot, salts, df.columns).withColumnRenamed(SALT, "_event_salt")
+    right = with_salts(dim, [F.col(on[1]).cast(kind)], hot, salts)
+    same = (F.col(on[0]) == F.col(on[1])) & (F.col("_event_salt") == F.col(SALT))
+    return left.join(right, same, "left").drop("_event_salt", SALT)
 
 
 def interval_join(
@@ -30,12 +45,9 @@ def interval_join(
     hi: str,
     delay: str,
     how: str = "inner",
-    after: bool = False,
 ) -> DataFrame:
     """Pairs of the same key with ``a.ts + lo <= b.ts <= a.ts + hi``; inner or left outer.
 
-    With ``after`` the lower bound is open: ``b`` comes later than ``a.ts + lo``.
-
     Rows also meet by time bucket, each ``b`` row in the one or two buckets its partners
     can be in. State and work of one busy key are thereby spread over many tasks. Columns
     of the two sides must differ in name.
@@ -51,7 +63,7 @@ def interval_join(
     condition = (
         (F.col(key[0]) == F.col(key[1]))
         & (F.col("_bucket") == F.col("_place"))
-        & (F.col(b_ts) > earliest if after else F.col(b_ts) >= earliest)
+        & (F.col(b_ts) >= earliest)
         & (F.col(b_ts) <= F.col(a_ts) + F.expr(f"interval {hi}"))
     )
     return left.join(right, condition, how).drop("_bucket", "_place")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kelda.functions.times import seconds
@@ -58,26 +57,31 @@ def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def route(df: DataFrame, by: str, sinks: dict[str, str], other: str) -> DataStreamWriter:
-    """Split one stream into several tables by the value of ``by``.
+ROUTE = "route"
 
-    Values without a table, null included, go to ``other``: together the tables hold the
-    whole input.
+
+def route(df: DataFrame, by: str, values: Sequence[str], path: str, other: str = "other") -> DataStreamWriter:
+    """Split one stream into several tables by the value of ``by``; see ``read_route``.
+
+    Tables are partitions of each batch's folder, so a batch is one write. Values that are not listed, null
+    included, go to the table ``other``: together the tables hold the whole input.
     """
+    if other in values:
+        raise ValueError(f"{other} is the table of all other values")
+    to = F.when(F.col(by).isin(*values), F.col(by)).otherwise(F.lit(other))
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for value, path in sinks.items():
-                save_batch(batch.where(F.col(by) == value), batch_id, path)
-            listed = F.coalesce(F.col(by).isin(*sinks), F.lit(False))
-            save_batch(batch.where(~listed), batch_id, other)
-        finally:
-            batch.unpersist()
+        save_batch(batch.withColumn(ROUTE, to), batch_id, path, [ROUTE])
 
     return df.writeStream.foreachBatch(save)
 
 
+def read_route(spark: SparkSession, path: str, schema: StructType, table: str) -> DataFrame:
+    """One table of ``route``; only its folders are read."""
+    full = StructType([*schema.fields, StructField(ROUTE, StringType())])
+    return spark.read.schema(full).parquet(path).where(F.col(ROUTE) == table).select(*schema.names)
+
+
 def split_late(df: DataFrame, ts: str, delay: str, path: str) -> DataStreamWriter:
     """Keep rows that come more than ``delay`` behind the newest row of *earlier* batches.
 

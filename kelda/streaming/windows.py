@@ -6,11 +6,14 @@ Groups are pre-aggregated before the shuffle, so a busy group costs one row per
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kelda.functions.times import seconds
+
 
 def _named(measures: dict[str, Column]) -> list[Column]:
     return [agg.alias(name) for name, agg in measures.items()]
@@ -37,10 +40,21 @@ def sliding(
     delay: str,
     by: Sequence[str] = (),
     measures: dict[str, Column] | None = None,
+    merge: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Aggregates per window of ``size`` that begins every ``step``."""
-    grouped = df.withWatermark(ts, delay).groupBy(F.window(ts, size, step), *by)
-    return grouped.agg(*_named(measures or {"n": F.count("*")}))
+    """Aggregates per window of ``size`` that begins every ``step``.
+
+    Rows are aggregated once, per pane: the longest span that both are multiples of. A window is made
+    of its panes, so not rows but panes are in several windows. ``merge`` has for each measure how
+    those of panes are put together, such as ``F.sum("n")`` for a count. A row is late once its pane is
+    closed, ``delay`` after its end.
+    """
+    if measures and set(merge or ()) != set(measures):
+        raise ValueError("merge must have the measures")
+    pane = math.gcd(seconds(size), seconds(step))
+    panes = tumbling(df, ts, f"{pane} seconds", delay, by, measures)
+    grouped = panes.groupBy(F.window(F.window_time("window"), size, step), *by)
+    return grouped.agg(*_named(merge or {"n": F.sum("n")}))
 
 
 def sessions(

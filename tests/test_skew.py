@@ -11,7 +11,7 @@ from kelda.operators.behaviour import last_before, sessionize, transitions
 from kelda.operators.dims import dim_as_of, scd2_build, scd2_merge
 from kelda.operators.facts import allocate
 from kelda.operators.metrics import running_share, top_k
-from kelda.operators.skew import salted_join
+from kelda.operators.skew import SALT, hot_keys, salted_join, with_salts
 
 START = datetime(2024, 1, 1)
 FEW, MANY = 20, 10**9  # busy limits: chunk the hot key, chunk nothing
@@ -132,9 +132,15 @@ def test_salted_join(events, spark, rows):
         assert rows(salted) == rows(events.join(users, ["user"], how))
         by_id = salted_join(events, users, ["user"], 5, how, ["id"])
         assert rows(by_id) == rows(events.join(users, ["user"], how))
-    # One user's rows reach the join under all salts; only the columns asked for are read.
-    salts = events.select("user", F.pmod(F.xxhash64("id"), F.lit(5)).alias("s"))
-    assert salts.where("user = 0").distinct().count() == 5
+    # One user is hot: its member is there under all salts, others once.
+    hot = hot_keys(events, ["user"], 0.2)
+    assert hot == [users.where("user = 0").select(F.xxhash64("user")).first()[0]]
+    repeated = with_salts(users, ["user"], hot, 5)
+    assert repeated.count() == 50 + 4 and repeated.where("user = 0").select(SALT).distinct().count() == 5
+    # Without hot keys it is the plain join.
+    even = spark.range(5000).select(F.col("id").cast("int").alias("user"))
+    assert hot_keys(even, ["user"], 0.01) == []
+    assert "Generate" not in salted_join(even, users, ["user"], 5)._jdf.queryExecution().toString()
     # Rows that are all alike are joined once, whatever their number.
     alike = spark.range(10_000).select(F.lit(0).alias("user"))
     joined = salted_join(alike, users, ["user"], 8)
@@ -143,6 +149,24 @@ def test_salted_join(events, spark, rows):
     assert "Aggregate" in plan.split("Join")[1]
 
 
+def test_hot_keys_of_many(spark, rows):
+    """Frequent keys are found among many rare ones, nulls and several columns too."""
+    rare = spark.range(60_000).select(F.col("id").alias("a"), F.lit("x").alias("b"))
+    some = spark.range(3000).select((F.col("id") % 3).alias("a"), F.lit("y").alias("b"))
+    none = spark.range(2000).select(F.lit(None).cast("bigint").alias("a"), F.lit("z").alias("b"))
+    df = rare.unionByName(some).unionByName(none).repartition(7)
+    wanted = df.groupBy("a", "b").count().where("count >= 900").select(F.xxhash64("a", "b"))
+    assert [(h,) for h in hot_keys(df, ["a", "b"], 0.013)] == sorted(map(tuple, wanted.collect()))
+    with pytest.raises(ValueError):
+        hot_keys(df, ["a"], 0.001)
+    assert hot_keys(df.limit(0), ["a"], 0.1) == []
+    small = spark.createDataFrame([(0, "y", 1), (1, "y", 2), (5, "x", 3), (None, "z", 4)], "a bigint, b string, c int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert rows(salted_join(df, small, ["a", "b"], 3, how).groupBy("a").count().where("count > 1")) == rows(
+            df.join(small, ["a", "b"], how).groupBy("a").count().where("count > 1")
+        )
+
+
 def test_allocation_adds_up(spark, rows):
     # One order has most lines; one weighs nothing; amounts do not divide evenly.
     lines = spark.range(400).select(

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from kelda.operators.dims import dim_as_of, scd2_build
 from kelda.operators.maintenance import apply_cdc
+from kelda.operators.skew import hot_keys
 from kelda.streaming import joins, sinks, state, windows
 from kelda.streaming.source import event_stream
 
@@ -101,6 +102,31 @@ def test_tumbling_sliding_and_days(spark, feed, finish, rows):
     same(lambda df: windows.sessions(df, "user", "ts", "20 minutes", "2 hours"), lambda df: df)
 
 
+def test_sliding_windows_are_made_of_panes(spark, feed, finish, rows):
+    data = events(200, hours=30)
+    end = closed(data, timedelta(hours=2))
+    measures = {"n": F.count("*"), "last": F.max("id"), "ids": F.sum("id")}
+    merge = {"n": F.sum("n"), "last": F.max("last"), "ids": F.sum("ids")}
+    make = lambda df: windows.sliding(df, "ts", "90 minutes", "1 hour", "2 hours", ["type"], measures, merge)
+    wanted = {}
+    for i, _, t, kind in data:
+        first = START + timedelta(hours=(t - START - timedelta(minutes=90)) // timedelta(hours=1))
+        for k in range(3):
+            start = first + timedelta(hours=k)
+            if start <= t < start + timedelta(minutes=90) <= end:
+                wanted.setdefault((start, kind), []).append(i)
+    wanted = [(s, y, len(ids), max(ids), sum(ids)) for (s, y), ids in wanted.items()]
+    stream = windows.flat(make(feed(*quarters(data))))
+    got = finish(stream).withColumn("s", F.col("window_start").cast("timestamp_ntz"))
+    assert rows(got, "s", "type", "n", "last", "ids") == sorted(wanted, key=repr) != []
+    # Rows are not copied: what is copied comes out of the first aggregate.
+    batch = spark.createDataFrame(data, schema()).withColumn("ts", F.col("ts").cast("timestamp"))
+    plan = make(batch)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan.split("partial_count")[1]
+    with pytest.raises(ValueError):
+        windows.sliding(batch, "ts", "2 hours", "1 hour", "1 hour", (), measures)
+
+
 def test_session_border(feed, finish, rows):
     ts = [at(), at(minutes=20), at(minutes=40, microseconds=1), at(days=1)]
     stream = feed([(i, "u", t, "a") for i, t in enumerate(ts)])
@@ -188,6 +214,18 @@ def test_enrich(spark, feed, finish, rows):
     assert rows(got) == sorted(((r[0], names.get(r[1])) for r in data), key=repr)
 
 
+def test_enrich_spreads_hot_keys(spark, feed, finish, rows):
+    dim = spark.createDataFrame([("0", "zero"), ("1", "one")], "u string, name string")
+    data = events(120)
+    known = spark.createDataFrame(data[:60], schema())
+    hot = hot_keys(known, ["user"], 0.3)
+    assert len(hot) == 1
+    stream = joins.enrich(feed(*quarters(data)), dim, ("user", "u"), hot, salts=4)
+    assert stream.columns == ["id", "user", "ts", "type", "u", "name"]
+    names = {"0": "zero", "1": "one"}
+    assert rows(finish(stream.select("id", "name"))) == sorted(((r[0], names.get(r[1])) for r in data), key=repr)
+
+
 def test_enrich_as_of(spark, feed, tmp_path, rows):
     data = events(120)
     changes = spark.createDataFrame(
@@ -232,15 +270,21 @@ def test_interval_join(feed, finish, rows, lo, hi):
 
 def test_route_keeps_everything(spark, feed, tmp_path, rows):
     data = [*events(40), (99, "u", at(), None)]
-    paths = {k: str(tmp_path / k) for k in ("a", "b", "rest")}
+    path = str(tmp_path / "routed")
     stream = feed(data[:20], data[20:])
-    writer = sinks.route(stream, "type", {"a": paths["a"], "b": paths["b"]}, paths["rest"])
-    sinks.run(writer, str(tmp_path / "route-cp"), LIMIT)
-    tables = {k: sinks.read_sink(spark, p, stream.schema) for k, p in paths.items()}
-    assert {r["type"] for r in tables["a"].collect()} == {"a"}
-    assert {r["type"] for r in tables["rest"].collect()} == {"c", None}
-    union = tables["a"].union(tables["b"]).union(tables["rest"])
-    assert rows(union, "id") == sorted(((r[0],) for r in data), key=repr)
+    run = lambda: sinks.run(sinks.route(stream, "type", ("a", "b"), path, "rest"), f"{path}-cp", LIMIT)
+    run()
+    table = lambda k: sinks.read_route(spark, path, stream.schema, k)
+    assert {r["type"] for r in table("a").collect()} == {"a"}
+    assert {r["type"] for r in table("rest").collect()} == {"c", None}
+    union = lambda: table("a").union(table("b")).union(table("rest"))
+    assert rows(union(), "id") == sorted(((r[0],) for r in data), key=repr)
+    for name in ("1", ".1.crc"):
+        (Path(f"{path}-cp") / "commits" / name).unlink()
+    run()
+    assert rows(union(), "id") == sorted(((r[0],) for r in data), key=repr)
+    with pytest.raises(ValueError):
+        sinks.route(stream, "type", ("a", "rest"), path, "rest")
 
 
 def test_cdc_in_any_order(spark, feed, tmp_path, rows):
