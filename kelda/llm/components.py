@@ -11,10 +11,30 @@ from kelda.llm.tables import stored
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in ``links`` (a, b): the smallest id that can be reached.
 
-    Each round takes the smallest label among a node's neighbours and then that label's own
-    label, so labels travel twice as far each time. Rounds end when no label changes. A hub
+    First the links are contracted: an id keeps one link, to the smallest of its smaller neighbours,
+    and the others of these are linked with that one instead. Ids that are nobody's smaller neighbour
+    then only follow their own link, and what is left is small where many ids share few neighbours.
+
+    Of the rest, each round takes the smallest label among a node's neighbours and then that label's
+    own label, so labels travel twice as far each time. Rounds end when no label changes. A hub
     with very many links is only ever a join key and the subject of a minimum.
     """
+    once = links.where("a != b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
+    once = stored(once, "links-once")
+    parents = stored(once.groupBy("hi").agg(F.min("lo").alias("parent")), "parents")
+    smaller = stored(once.select(F.col("lo").alias("id")).distinct(), "smaller")
+    others = once.join(parents, "hi").where("lo != parent").select(F.col("parent").alias("a"), F.col("lo").alias("b"))
+    chains = parents.join(smaller, F.col("hi") == F.col("id"), "left_semi").select(F.col("parent").alias("a"), F.col("hi").alias("b"))
+    found = stored(_labels(others.unionByName(chains).distinct()), "inner-labels")
+    own = smaller.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    leaves = parents.join(smaller, F.col("hi") == F.col("id"), "left_anti")
+    follow = leaves.join(found.withColumnRenamed("id", "parent"), "parent", "left").select(
+        F.col("hi").alias("id"), F.coalesce("component", "parent").alias("component")
+    )
+    return stored(own.unionByName(follow), "components")
+
+
+def _labels(links: DataFrame) -> DataFrame:
     edges = stored(
         links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct(), "edges"
     )

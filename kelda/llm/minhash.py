@@ -347,36 +347,34 @@ def _blocks_of(members: DataFrame) -> DataFrame:
 
 
 def _block_links(members: DataFrame, texts: DataFrame, total: int, threshold: float) -> DataFrame:
-    """(a, b, similarity): of each asking text with texts of each other component one link, if
-    there is one."""
+    """(a, b): pairs of components that a link of texts joins, each once."""
 
     def run(table: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
             found = _links_in_block(table, total, threshold)
-        a, b, similarity = zip(*found) if found else ((), (), ())
-        columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(similarity, pa.float64())]
-        return pa.Table.from_arrays(columns, names=["a", "b", "similarity"])
+        a, b = zip(*sorted(found)) if found else ((), ())
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     placed = _blocks_of(members).join(texts, "id")
-    return placed.groupBy("band", "key", "i", "j").applyInArrow(run, "a bigint, b bigint, similarity double")
+    return placed.groupBy("band", "key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _links_in_block(table: pa.Table, texts: int, threshold: float) -> list[tuple[int, int, float]]:
-    ids = np.array(table.column("id").to_pylist(), np.int64)
+def _links_in_block(table: pa.Table, texts: int, threshold: float) -> set[tuple[int, int]]:
+    """Of each asking text's component with each other component one link, if there is one."""
     component = np.array(table.column("component").to_pylist(), np.int64)
     asks = np.array(table.column("asks").to_pylist(), bool)
     number, hashes, times = _by_pieces(table)
     df = np.concatenate([_wide(raw) for raw in table.column("df").to_pylist()])
     weight = weigh(df, times, texts)
-    total = np.bincount(number, weights=weight, minlength=len(ids))
+    total = np.bincount(number, weights=weight, minlength=len(asks))
     # Postings: who of those that answer has a shingle, and with what weight.
     answers = np.flatnonzero(~asks[number])
     by_hash = answers[np.argsort(hashes[answers], kind="stable")]
     known, first, counts = np.unique(hashes[by_hash], return_index=True, return_counts=True)
     if not len(known):
-        return []
-    begins = np.searchsorted(number, np.arange(len(ids) + 1))
-    found = []
+        return set()
+    begins = np.searchsorted(number, np.arange(len(asks) + 1))
+    found = set()
     for x in np.flatnonzero(asks):
         own = slice(begins[x], begins[x + 1])
         at = np.minimum(np.searchsorted(known, hashes[own]), len(known) - 1)
@@ -388,11 +386,10 @@ def _links_in_block(table: pa.Table, texts: int, threshold: float) -> list[tuple
             continue
         posts = by_hash[np.arange(ends[-1]) + np.repeat(first[at] - (ends - sizes), sizes)]
         least = np.minimum(weight[posts], np.repeat(mine, sizes))
-        shared = np.bincount(number[posts], weights=least, minlength=len(ids))
+        shared = np.bincount(number[posts], weights=least, minlength=len(asks))
         similarity = shared / (total + total[x] - shared)
         near = np.flatnonzero((similarity >= threshold) & ~asks & (component != component[x]))
-        _, one = np.unique(component[near], return_index=True)
-        found += [(int(ids[x]), int(ids[y]), float(similarity[y])) for y in near[one]]
+        found |= {(int(component[x]), c) for c in np.unique(component[near]).tolist()}
     return found
 
 
@@ -424,16 +421,20 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
 
     tested = stored(compare(stored(_hub_pairs(members), "pairs"), compared, total), "similarities")
     near = tested.where(F.col("similarity") >= threshold)
-    open_members = stored(_mixed(_in_classes(members, components(near))), "open-members")
+    first = components(near)
+    open_members = stored(_mixed(_in_classes(members, first)), "open-members")
     # Buckets of two texts are settled: their pair has been compared.
     crowds = open_members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 2")
     crowded = open_members.join(stored(crowds.select("band", "key"), "crowds"), ["band", "key"], "left_semi")
     across = stored(_block_links(crowded, compared, total, threshold), "links")
-    found = components(near.unionByName(across)).withColumnRenamed("id", "node")
+    # Links across join whole components, so the second time only these are the nodes.
+    second = components(across).select(F.col("id").alias("part"), F.col("component").alias("whole"))
+    found = first.select(F.col("id").alias("node"), F.col("component").alias("own"))
 
     # A class is named by the smallest id of its texts.
     placed = copies.select("a", "b", "node", F.col("rep").alias("copy_of")).join(found, "node", "left")
-    placed = stored(placed.withColumn("class", F.coalesce("component", "node")).select("a", "b", "class", "copy_of"), "placed")
+    placed = placed.withColumn("part", F.coalesce("own", "node")).join(second, "part", "left")
+    placed = stored(placed.withColumn("class", F.coalesce("whole", "part")).select("a", "b", "class", "copy_of"), "placed")
     named = placed.groupBy("class").agg(F.min("copy_of").alias("class_id"))
     known = nodes.select("id", "h", "a", "b").join(placed.join(named, "class"), ["a", "b"])
     rows = known.select("id", "h", "class_id", "copy_of")
