@@ -68,11 +68,10 @@ def line_windows(docs: DataFrame, id_col: str, text_col: str, window: int = WIND
         return total
 
     def of(i: Column) -> Column:
-        short = (at(i, 0, "n") <= long) & (at(i, 1, "n") <= long)
         return F.array(
             made(i, window, words(i, window) > 0),
             made(i, 1, at(i, 0, "n") > long),
-            made(i, 2, short & (words(i, 2) > long)),
+            made(i, 2, words(i, 2) > long),
         )
 
     places = F.sequence(F.lit(0), F.size("l") - 1)
@@ -165,7 +164,7 @@ lines AS (
   SELECT doc_id, pos, 1, line FROM ahead WHERE n > 50
   UNION ALL
   SELECT doc_id, pos, 2, line || chr(10) || line1 FROM ahead
-  WHERE pos + 2 <= n_lines AND n <= 50 AND n1 <= 50 AND n + n1 > 50
+  WHERE pos + 2 <= n_lines AND n + n1 > 50
 ), later AS (
   SELECT doc_id, pos, size FROM (
     SELECT *, row_number() OVER (PARTITION BY size, span ORDER BY doc_id, pos) AS nth FROM wins

@@ -11,7 +11,7 @@ int64 document ids (a null id: -2**63); uint32 tokens of each document; uint32 i
 control bytes; data bytes.
 
 Null and empty texts have the end id alone. Repeated ids stand next to each other in the order
-of their texts. An empty table makes no file and no rows. Columns beside id and text are not read.
+of their texts' hashes. An empty table makes no file and no rows. Columns beside id and text are not read.
 """
 
 from __future__ import annotations
@@ -147,7 +147,9 @@ def write_token_files(
     slim = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
     )
-    ranged = slim.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # By the text's hash, too: rows of one id are spread, and no text goes to the driver's sample.
+    hashed = slim.withColumn("h", F.xxhash64("text"))
+    ranged = hashed.repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, files = _coder(path), TaskFiles(folder, ".ktf")

@@ -76,7 +76,7 @@ def kept_lines(docs: dict[int, str | None]) -> dict[int, list[str] | None]:
         for i in range(len(lines)):
             sizes = [3] if i + 3 <= len(lines) and sum(n[i : i + 3]) else []
             sizes += [1] if n[i] > 50 else []
-            sizes += [2] if i + 2 <= len(lines) and max(n[i : i + 2]) <= 50 < sum(n[i : i + 2]) else []
+            sizes += [2] if i + 2 <= len(lines) and 50 < sum(n[i : i + 2]) else []
             for size in sizes:
                 window = tuple(lines[i : i + size])
                 if window in seen:

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,6 +210,40 @@ def test_line_dedup_passages_and_overlaps(spark):
     assert got == {1: rows[0][1], 2: "c\nd", 3: rows[2][1], 4: "f", 5: "k", 6: rows[5][1], 7: "6", 8: "\n\n\n\n\n"}
 
 
+def test_line_dedup_two_lines_of_which_one_is_long(spark):
+    long = " ".join(f"p{i}" for i in range(60))
+    short = " ".join(f"q{i}" for i in range(30))
+    rows = [(1, f"a\n{long}\n{short}\nb"), (2, f"c\n{long}\n{short}\nd"), (3, f"e\n{short}\n{long}\nf")]
+    got = {k: r["text"] for k, r in by_id(line_dedup.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string"))).items()}
+    assert got == {1: rows[0][1], 2: "c\nd", 3: f"e\n{short}\nf"}
+
+
+def test_texts_without_words_are_not_toxic(spark, docs, labels):
+    net = toxicity.learn(docs, labels)
+    net.threshold, net.thresholds = 0.3, {"en": 0.3}
+    scored = toxicity.with_scores(docs, net, "s").collect()
+    assert {r["s"] for r in scored if r["doc_id"] in (3, 4, 5)} == {0.0}
+    kept = toxicity.drop_toxic(docs, net)
+    assert {3, 4, 5} <= set(ids(kept)) and kept.where("text is null").count() == 2
+
+
+def test_convolution_equals_loops():
+    random = np.random.default_rng(4)
+    net = toxicity.Net.start(random.normal(0, 1, (2, toxicity.BUCKETS)).astype(np.float32))
+    net.biases = [random.normal(0, 0.2, len(b)).astype(np.float32) for b in net.biases]
+    texts = [random.integers(1, toxicity.BUCKETS, (n, 2)) for n in (1, 2, 3, 9, 40)]
+    got = net.scores(*toxicity.padded(np.concatenate(texts), np.array([len(t) for t in texts])))
+    for rows, score in zip(texts, got):
+        own = np.concatenate([rows, np.zeros((toxicity.PAD, 2), np.int64)])
+        word = [np.concatenate([net.tables[0][a], net.tables[1][b]]).astype(float) for a, b in own]
+        top = []
+        for w, f, bias in zip(toxicity.WIDTHS, net.filters, net.biases):
+            for k in range(toxicity.FILTERS):
+                values = [bias[k] + sum(word[i + j] @ f[j * len(word[0]) : (j + 1) * len(word[0]), k] for j in range(w)) for i in range(len(rows))]
+                top.append(max(0, max(values)))
+        assert abs(score - 1 / (1 + np.exp(-(np.array(top) @ net.out + net.out_bias[0])))) < 1e-5
+
+
 def test_language(docs, none):
     got = language.report(docs)
     assert ids(got) == IDS
