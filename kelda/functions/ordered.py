@@ -159,54 +159,29 @@ def bucket_of(value: Column, low: Column, high: Column, buckets: int) -> Column:
     return F.coalesce(F.least(place, F.lit(buckets - 1)), F.lit(0)).cast("int")
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], pieces: int) -> tuple[int, dict[str, list]]:
-    """Row count, and per double column values that cut the rows into about equal pieces.
-
-    Approximate, but a fixed list of at most ``pieces`` numbers from here on: later steps
-    that use it agree with each other whatever is recomputed.
+def sorted_ranks(df: DataFrame, order: Sequence[str], out: str, pieces: int | None = None) -> DataFrame:
+    """Rows with their position, from 1, in the order of the columns ``order`` (nulls first).
+
+    Columns of any type with an order will do, also several. A sample sort: Spark samples the
+    columns for splitters and deals the rows to ranges (``pieces`` of them, or as many as its
+    shuffles have), each range is sorted by a task, and what is summed up in order are the
+    ranges' numbers of rows. The order must be total, or which of equal rows comes first is not
+    defined; equal rows are one range's.
     """
-    steps = [i / pieces for i in range(1, pieces)]
-    found = df.agg(
-        F.count("*").alias("_rows"), *[F.percentile_approx(c, steps).alias(c) for c in columns]
-    ).first()
-    return found["_rows"], {c: sorted(set(found[c] or [])) for c in columns}
-
-
-def piece_of(column: str, cuts: Sequence[float]) -> Column:
-    """Number of cut points below a double column; never falls as the value rises.
-
-    A balanced tree of comparisons, so a row is compared with a handful of the points.
-    """
-
-    def tree(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        left, right = tree(low, middle), tree(middle + 1, high)
-        return f"CASE WHEN `{column}` <= {cuts[middle]!r}D THEN {left} ELSE {right} END"
-
-    return F.expr(tree(0, len(cuts)))
-
-
-def rank_in_buckets(
-    df: DataFrame, keys: Sequence[str], value: str, tie: str, part: str, out: str
-) -> DataFrame:
-    """Position of each row of its key, from 1, by ``value`` and then a unique ``tie``.
-
-    For few keys with too many rows for one window. ``df`` has a chunk column that rises
-    with ``value``, and ``part`` rises with ``tie`` (see ``piece_of``). Rows are counted per
-    (value, part), which also splits a value that many rows share; the counts are summed up
-    in order; and rows are only ranked inside their own (value, part).
-    """
-    counts = df.groupBy(*keys, CHUNK, value, part).agg(F.count("*").alias("_n"))
-    upto = running_sum(counts, keys, [value, part], "_n", "_upto")
-    offsets = upto.select(*keys, value, part, (F.col("_upto") - F.col("_n")).alias("_before"))
-    within = F.row_number().over(Window.partitionBy(*keys, value, part).orderBy(tie))
-    return (
-        match(df, offsets, [*keys, value, part], "inner")
-        .withColumn(out, F.col("_before") + within)
-        .drop("_before")
+    spark = df.sparkSession
+    ranges = df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)
+    within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = publish(
+        ranges.sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_nth": within}),
+        scratch_path(spark, "ranges"),
     )
+    # One row for each range.
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select("_part", F.coalesce(upto, F.lit(0)).alias("_before"))
+    before = publish(before, scratch_path(spark, "range-starts"))
+    place = F.col("_before") + F.col("_nth") + 1
+    return placed.join(before, "_part").withColumn(out, place).drop("_part", "_nth", "_before")
 
 
 def tile_of(rank: Column, rows: Column, tiles: int) -> Column:

@@ -13,14 +13,12 @@ from kelda.functions.ordered import (
     CHUNK,
     as_of,
     chunk_time,
-    cut_points,
     fill_days,
     is_chunked,
     match,
     ordered,
-    piece_of,
-    rank_in_buckets,
     running_sum,
+    sorted_ranks,
     tile_of,
 )
 from kelda.functions.times import micros, seconds
@@ -309,18 +307,15 @@ def rfm(
     key: str = "o_custkey",
     ts: str = "o_orderdate",
     amount: Column | None = None,
-    pieces: int = 128,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Recency, frequency and monetary quintiles, 5 the best; ties are broken by key.
 
     Quintiles need each customer's place among all others, and a window over all of them
-    would be one task. The three measures are ranked together, piece by piece of their range;
-    the pieces hold about as many customers each, however uneven the measures are. Choose
-    ``pieces`` so that one of them fits a task. The key must be a number, since ties are cut
-    into pieces too.
+    would be one task. The three measures are stacked and ranked by one sample sort (see
+    ``sorted_ranks``; ``pieces`` is the number of its ranges): by measure, value and key, so a value
+    that very many customers share is cut as well. The key may be of any type with an order.
     """
-    if not isinstance(orders.schema[key].dataType, T.NumericType):
-        raise TypeError(f"rfm ranks ties by key, which must be a number: {key}")
     amount = amount if amount is not None else F.col("o_totalprice").cast("decimal(18,2)")
     per_key = publish(
         orders.groupBy(key).agg(
@@ -330,42 +325,18 @@ def rfm(
         ),
         scratch_path(orders.sparkSession, "customers"),
     )
+    rows = per_key.count()
     wide = "decimal(28,2)"
-    values = {
-        "r": -F.col("recency_days").cast(wide),
-        "f": F.col("frequency").cast(wide),
-        "m": F.col("monetary").cast(wide),
-    }
-    placed = per_key.withColumns(
-        {**{n: v.cast("double") for n, v in values.items()}, "_tie": F.col(key).cast("double")}
+    values = {"r": -F.col("recency_days").cast(wide), "f": F.col("frequency").cast(wide), "m": F.col("monetary").cast(wide)}
+    measures = F.array(*[F.struct(F.lit(k).alias("measure"), v.alias("value")) for k, v in enumerate(values.values())])
+    stacked = per_key.select("*", F.explode(measures).alias("_m")).select(
+        *per_key.columns, F.col("_m.measure").alias("_measure"), F.col("_m.value").alias("_value")
     )
-    rows, cuts = cut_points(placed, [*values, "_tie"], pieces)
-    measures = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("measure"), v.alias("value"), piece_of(n, cuts[n]).alias("piece")
-            )
-            for n, v in values.items()
-        ]
-    )
-    stacked = publish(
-        placed.select(
-            *per_key.columns,
-            piece_of("_tie", cuts["_tie"]).alias("_part"),
-            F.explode(measures).alias("_m"),
-        ).select(
-            *per_key.columns,
-            "_part",
-            F.col("_m.measure").alias("_measure"),
-            F.col("_m.value").alias("_value"),
-            F.col("_m.piece").alias(CHUNK),
-        ),
-        scratch_path(orders.sparkSession, "pieces"),
-    )
-    ranked = rank_in_buckets(stacked, ["_measure"], "_value", key, "_part", "_rank")
-    tile = tile_of(F.col("_rank"), F.lit(rows), 5)
+    ranked = sorted_ranks(stacked, ["_measure", "_value", key], "_rank", pieces)
+    # Every measure has a place for each customer.
+    tile = tile_of(F.col("_rank") - F.col("_measure") * rows, F.lit(rows), 5)
     return ranked.groupBy(key, "recency_days", "frequency", "monetary").agg(
-        *[F.max(F.when(F.col("_measure") == n, tile)).alias(f"{n}_score") for n in values]
+        *[F.max(F.when(F.col("_measure") == k, tile)).alias(f"{n}_score") for k, n in enumerate(values)]
     )
 
 

@@ -196,7 +196,26 @@ def test_volume(spark, rows):
     assert rows(check_volume(untimed, "ts", 3, 3.0, "t")) == [("t", "has ts", 2, 144), ("t", "volume(3d)", 100, 144)]
 
 
-def test_rfm_needs_a_number(spark):
-    orders = spark.createDataFrame([("a", 1)], "o_custkey string, o_totalprice int")
-    with pytest.raises(TypeError):
-        rfm(orders, F.current_date())
+def test_rfm_with_keys_of_any_type(spark):
+    orders = spark.range(2000).select(
+        F.concat(F.lit("k"), (F.col("id") * 7 % 173).cast("string")).alias("name"),
+        (F.col("id") * 7 % 173).cast("decimal(20,3)").alias("number"),
+        F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,cast(id % 40 as int))").alias("o_orderdate"),
+        (F.col("id") % 5).cast("double").alias("o_totalprice"),
+    )
+    orders = orders.withColumn("both", F.struct("number", "name")).withColumn("name", F.when(F.col("name") != "k5", F.col("name")))
+    day = F.lit(date(2025, 1, 1))
+    for key in ("name", "number", "both"):
+        got = rfm(orders, day, key=key, pieces=9)
+        per_key = orders.groupBy(key).agg(
+            F.datediff(day, F.max("o_orderdate")).alias("r"), F.count("*").alias("f"),
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("m"),
+        )
+        wanted = per_key.select(
+            key,
+            F.expr(f"ntile(5) over (order by r desc, {key})").alias("r_score"),
+            F.expr(f"ntile(5) over (order by f, {key})").alias("f_score"),
+            F.expr(f"ntile(5) over (order by m, {key})").alias("m_score"),
+        )
+        assert got.select(*wanted.columns).exceptAll(wanted).isEmpty() and got.count() == 173
+    assert rfm(orders.limit(0), day, key="name").count() == 0

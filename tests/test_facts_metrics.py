@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from kelda.functions.ordered import CHUNK, cut_points, fill_days, piece_of, rank_in_buckets, tile_of
+from kelda.functions.ordered import fill_days, sorted_ranks, tile_of
 from kelda.operators.facts import coverage_gap, milestones, periodic_snapshot, wide_fact
 from kelda.operators.metrics import (
     cube_sets,
@@ -177,24 +177,26 @@ def test_sketches_and_bitmaps_merge(spark, rows):
     assert close.first()["n_distinct"] == pytest.approx(40000, rel=0.05)
 
 
-def test_rank_and_tiles(spark):
+@pytest.mark.parametrize("pieces", [None, 1, 7])
+def test_rank_and_tiles(spark, pieces):
     draw = random.Random(5)
     values = [(i, Decimal(1) if draw.random() < 0.5 else Decimal(draw.randint(0, 50))) for i in range(157)]
-    df = spark.createDataFrame(values, "k bigint, v decimal(10,2)").withColumn("m", F.lit("m"))
-    df = df.withColumns({"x": F.col("v").cast("double"), "y": F.col("k").cast("double")})
-    n, cuts = cut_points(df, ["x", "y"], 7)
-    assert n == 157 and len(cuts["y"]) == 6
-    placed = df.withColumn(CHUNK, piece_of("x", cuts["x"])).withColumn("part", piece_of("y", cuts["y"]))
-    below = F.size(F.filter(F.array(*map(F.lit, cuts["y"])), lambda c: c < F.col("y")))
-    assert placed.where(F.col("part") != below).isEmpty()
-    ranked = rank_in_buckets(placed, ["m"], "v", "k", "part", "rank")
+    df = spark.createDataFrame(values, "k bigint, v decimal(10,2)").repartition(5)
+    ranked = sorted_ranks(df, ["v", "k"], "rank", pieces)
     got = ranked.withColumn("tile", tile_of(F.col("rank"), F.lit(157), 5)).collect()
     wanted = sorted(values, key=lambda r: (r[1], r[0]))
-    assert [(r["k"]) for r in sorted(got, key=lambda r: r["rank"])] == [k for k, _ in wanted]
+    assert [(r["rank"], r["k"]) for r in sorted(got, key=lambda r: r["rank"])] == [(n, k) for n, (k, _) in enumerate(wanted, 1)]
     sizes = [sum(r["tile"] == t for r in got) for t in range(1, 6)]
     assert sizes == [32, 32, 31, 31, 31]
 
 
+def test_ranks_of_texts_and_nulls(spark, rows):
+    values = [("b", 1), (None, 2), ("a", 3), ("ä", 4), ("", 5), ("b", 0)]
+    df = spark.createDataFrame(values, "t string, n int")
+    assert rows(sorted_ranks(df, ["t", "n"], "rank", 4), "rank", "n") == [(1, 2), (2, 5), (3, 3), (4, 0), (5, 1), (6, 4)]
+    assert sorted_ranks(df.limit(0), ["t"], "rank").count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 3, 5, 7, 11])
 def test_tiles_are_ntile(spark, rows, n):
     df = spark.range(1, n + 1).select(F.col("id").alias("r"), F.expr("ntile(5) over (order by id)").alias("t"))
