@@ -1,9 +1,12 @@
 """Licence scan by digests of canonical texts (operator 1).
 
-A text is made canonical line by line: lower case, copyright lines dropped, punctuation and
-white space to single spaces, spellings that mean the same to one of them. Its SHA-256 is joined
-to the digests of the known licence texts, once for the whole text and once for each of its
-lines (a notice such as "Released under the MIT License." stands in a line of its own).
+A text is made canonical as one sequence of words: lower case, punctuation, white space and line
+breaks to single spaces, spellings that mean the same to one of them. Its SHA-256 is joined to the
+digests of the known licence texts, with all its words and without its lines that state a copyright
+(a year, a sign or the place for one follows the word; a line of a licence that happens to begin with
+"copyright holders" stays). Known texts have both forms, too, so neither a holder's line nor where
+lines break matters. Each line is also looked up for itself (a notice such as "Released under the MIT
+License." stands in a line of its own), of a copyright line each sentence after the first.
 
 Only DataFrame functions. The digests are a join key, so whatever the size of the known table
 Spark chooses how to join; a line that very many documents share is counted once a document
@@ -19,6 +22,8 @@ import pkgutil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelda.llm.tables import stored
+
 # Spellings that count as the same (left: as found, right: as compared), as licence matching
 # guidelines commonly list them. Fixed values.
 SAME = {
@@ -192,24 +197,52 @@ KNOWN += _texts()
 KNOWN += [(i, phrase.format(name)) for i, names in NAMES.items() for name in names for phrase in PHRASES]
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
-#: A line that names a holder and grants nothing.
-COPYRIGHT = r"^[^\p{L}\p{N}(©]*(copyright\b|\(c\)|©).*|^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"
+#: A line that states a copyright, in lower case.
+STATEMENT = (
+    r"^[^\p{L}\p{N}(©]*(copyright[\s:,]*(\(c\)|©)|(copyright|\(c\)|©)[\s:,]*([<\[(]?(year|yyyy)|[0-9]{4}))"
+    r"|^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"
+)
+SENTENCE = r"\.\s+"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical form of each line of a text; empty for lines without words and copyright lines."""
+def _words(text: Column) -> Column:
+    """The words of a text in lower case, spelled alike, with single spaces."""
     same = F.create_map(*(F.lit(x) for pair in SAME.items() for x in pair))
+    found = F.filter(F.split(text, NOT_WORD), lambda w: w != "")
+    # Few words are in the map: a set tells which, the map is only searched for these.
+    spelled = lambda w: F.when(w.isin(*SAME), F.try_element_at(same, w)).otherwise(w)
+    return F.array_join(F.transform(found, spelled), " ")
+
+
+def canonical_lines(text: Column) -> Column:
+    """For each line its canonical words, whether it states a copyright, and if so the canonical words of its
+    sentences after the first."""
 
-    def words(line: Column) -> Column:
-        found = F.filter(F.split(line, NOT_WORD), lambda w: w != "")
-        return F.array_join(F.transform(found, lambda w: F.coalesce(F.try_element_at(same, w), w)), " ")
+    def made(line: Column) -> Column:
+        said = line.rlike(STATEMENT)
+        more = F.slice(F.split(line, SENTENCE), F.lit(2), F.lit(1 << 30))
+        none = F.array().cast("array<string>")
+        return F.struct(
+            _words(line).alias("words"),
+            said.alias("said"),
+            F.when(said, F.transform(more, _words)).otherwise(none).alias("more"),
+        )
 
-    lines = F.split(F.lower(text), "\n")
-    return F.transform(lines, lambda x: F.when(x.rlike(COPYRIGHT), F.lit("")).otherwise(words(x)))
+    return F.transform(F.split(F.lower(text), "\n"), made)
 
 
-def whole(lines: Column) -> Column:
-    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
+def wholes(lines: Column) -> Column:
+    """The whole text's canonical forms: all its words, and those of lines that state no copyright."""
+    joined = lambda chosen: F.array_join(F.transform(F.filter(chosen, lambda x: x["words"] != ""), lambda x: x["words"]), " ")
+    forms = F.array(joined(lines), joined(F.filter(lines, lambda x: ~x["said"])))
+    return F.array_distinct(F.filter(forms, lambda x: x != ""))
+
+
+def notices(lines: Column) -> Column:
+    """The canonical forms of what is looked up for itself."""
+    own = F.transform(F.filter(lines, lambda x: ~x["said"]), lambda x: x["words"])
+    every = F.concat(own, F.flatten(F.transform(lines, lambda x: x["more"])))
+    return F.array_distinct(F.filter(every, lambda x: x != ""))
 
 
 def digest(canonical: Column) -> Column:
@@ -219,9 +252,9 @@ def digest(canonical: Column) -> Column:
 def known_digests(texts: DataFrame, id_col: str = "license_id", text_col: str = "text") -> DataFrame:
     """(digest, license_id) of known licence texts, each pair once."""
     made = texts.select(
-        F.col(id_col).alias("license_id"), whole(canonical_lines(F.col(text_col))).alias("canonical")
+        F.col(id_col).alias("license_id"), F.explode(wholes(canonical_lines(F.col(text_col)))).alias("canonical")
     )
-    found = made.where((F.col("canonical") != "") & F.col("license_id").isNotNull())
+    found = made.where(F.col("license_id").isNotNull())
     return found.select(digest(F.col("canonical")).alias("digest"), "license_id").distinct()
 
 
@@ -237,16 +270,14 @@ def license_scan(
     lines name (``notices``), both sorted and joined by commas, and the number of different
     lines that do (``n_notices``). ``known`` has license_id and text."""
     spark = docs.sparkSession
-    digests = known_digests(known_licenses(spark) if known is None else known)
+    # Stored, so that their size is known and Spark broadcasts them if they are few.
+    digests = stored(known_digests(known_licenses(spark) if known is None else known), "known-digests")
     lines = docs.select(
         F.col(id_col).alias("id"), canonical_lines(F.col(text_col).cast("string")).alias("l")
     ).where(F.col("l").isNotNull())
-    own = F.transform(
-        F.array_distinct(F.filter("l", lambda x: x != "")),
-        lambda x: F.struct(F.lit(False).alias("whole"), digest(x).alias("digest")),
-    )
-    entire = F.struct(F.lit(True).alias("whole"), digest(whole(F.col("l"))).alias("digest"))
-    units = lines.select("id", F.explode(F.concat(F.array(entire), own)).alias("u")).select("id", "u.*")
+    unit = lambda entire: lambda x: F.struct(F.lit(entire).alias("whole"), digest(x).alias("digest"))
+    every = F.concat(F.transform(wholes(F.col("l")), unit(True)), F.transform(notices(F.col("l")), unit(False)))
+    units = lines.select("id", F.explode(every).alias("u")).select("id", "u.*")
     found = units.join(digests, "digest").groupBy("id").agg(
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("whole"), F.col("license_id")))), ",").alias("licenses"),
         F.array_join(F.sort_array(F.collect_set(F.when(~F.col("whole"), F.col("license_id")))), ",").alias("notices"),
@@ -275,20 +306,29 @@ WITH units AS (
   SELECT row_number() OVER () AS unit, doc_id, license_id, string_split(lower(text), chr(10)) AS l
   FROM units WHERE text IS NOT NULL
 ), lines AS (
-  SELECT unit, doc_id, license_id, i, l[i] AS line FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM split)
+  SELECT unit, doc_id, license_id, i, l[i] AS line, regexp_matches(l[i], '{STATEMENT}') AS said
+  FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM split)
+), parts AS (
+  SELECT unit, doc_id, license_id, i, said, true AS line, line AS t FROM lines
+  UNION ALL
+  SELECT unit, doc_id, license_id, i, said, false,
+         unnest(regexp_split_to_array(line, '{SENTENCE}')[2:]) FROM lines WHERE said
 ), canonical AS (
-  SELECT unit, doc_id, license_id, i, array_to_string(list_transform(
-    list_filter(regexp_split_to_array(line, '{NOT_WORD}'), lambda w: w <> ''),
+  SELECT * EXCLUDE (t), array_to_string(list_transform(
+    list_filter(regexp_split_to_array(t, '{NOT_WORD}'), lambda w: w <> ''),
     lambda w: coalesce(MAP {{{pairs}}}[w], w)), ' ') AS c
-  FROM lines WHERE NOT regexp_matches(line, '{COPYRIGHT}')
+  FROM parts
 ), spelled AS (SELECT * FROM canonical WHERE c <> ''),
 whole AS (
-  SELECT unit, doc_id, license_id, string_agg(c, ' ' ORDER BY i) AS c FROM spelled GROUP BY ALL
+  SELECT unit, doc_id, license_id, string_agg(c, ' ' ORDER BY i) AS c FROM spelled WHERE line GROUP BY ALL
+  UNION
+  SELECT unit, doc_id, license_id, string_agg(c, ' ' ORDER BY i) FROM spelled WHERE line AND NOT said GROUP BY ALL
 ), known AS (SELECT DISTINCT license_id, c FROM whole WHERE license_id IS NOT NULL),
 hits AS (
   SELECT w.doc_id, true AS entire, k.license_id, k.c FROM whole w JOIN known k USING (c) WHERE w.license_id IS NULL
   UNION
-  SELECT s.doc_id, false, k.license_id, k.c FROM spelled s JOIN known k USING (c) WHERE s.license_id IS NULL
+  SELECT s.doc_id, false, k.license_id, k.c FROM spelled s JOIN known k USING (c)
+  WHERE s.license_id IS NULL AND line = NOT said
 ), found AS (
   SELECT doc_id, list(DISTINCT license_id) FILTER (entire) AS a, list(DISTINCT license_id) FILTER (NOT entire) AS b,
          count(DISTINCT c) FILTER (NOT entire) AS n

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from kelda.llm.components import components
 from kelda.llm.tables import fresh_names, quoted, stored
-from kelda.llm.words import BYTE_STEP, PLAIN, U64, block_pass, blocks, mix, range_hashes
+from kelda.llm.words import BYTE_STEP, PLAIN, U64, blocks, mix, range_hashes
 from kelda.llm.words import WORD_STEP, texts_of, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
