@@ -360,7 +360,8 @@ def _block_links(members: DataFrame, texts: DataFrame, total: int, threshold: fl
 
 
 def _links_in_block(table: pa.Table, texts: int, threshold: float) -> set[tuple[int, int]]:
-    """Of each asking text's component with each other component one link, if there is one."""
+    """Pairs of components that links join, as many as it takes to connect what a block's links do: fewer
+    than the block has components."""
     component = np.array(table.column("component").to_pylist(), np.int64)
     asks = np.array(table.column("asks").to_pylist(), bool)
     number, hashes, times = _by_pieces(table)
@@ -374,6 +375,8 @@ def _links_in_block(table: pa.Table, texts: int, threshold: float) -> set[tuple[
     if not len(known):
         return set()
     begins = np.searchsorted(number, np.arange(len(asks) + 1))
+    names, place = np.unique(component, return_inverse=True)
+    root = np.arange(len(names))
     found = set()
     for x in np.flatnonzero(asks):
         own = slice(begins[x], begins[x + 1])
@@ -389,7 +392,11 @@ def _links_in_block(table: pa.Table, texts: int, threshold: float) -> set[tuple[
         shared = np.bincount(number[posts], weights=least, minlength=len(asks))
         similarity = shared / (total + total[x] - shared)
         near = np.flatnonzero((similarity >= threshold) & ~asks & (component != component[x]))
-        found |= {(int(component[x]), c) for c in np.unique(component[near]).tolist()}
+        for r in np.unique(root[place[near]]).tolist():
+            own = root[place[x]]
+            if r != own:
+                found.add((int(names[own]), int(names[r])))
+                root[root == r] = own
     return found
 
 
