@@ -262,6 +262,38 @@ FROM events LEFT JOIN moved ON user_id = o_custkey AND ts >= f AND ts < t
 """
 
 
+#: An order's day is so many seconds of the feed's: their years then are the month of the events.
+DAY_SECONDS = 1080
+
+
+def stream_enrich_from_feed(spark, sf_dir):
+    """Events with the order priority their customer had, from a feed of orders that comes beside them."""
+    orders = _stream(spark, sf_dir, "orders", "o_orderdate")
+    day = F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date"))
+    moved = orders.select(
+        F.col("o_custkey").alias("user_id"),
+        "o_orderpriority",
+        "o_orderkey",
+        F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00")) + day * DAY_SECONDS).alias("at"),
+    )
+    events = _events(spark, sf_dir).select("event_id", "user_id", "ts")
+    found = state.enrich_from_feed(events, moved, "user_id", "ts", ["o_orderpriority"], "at", "o_orderkey", DELAY)
+    return plain(_finish(spark, found, "enrich-feed").select("event_id", "user_id", "o_orderpriority", "valid_from"))
+
+
+def _fed(time):
+    return f"TIMESTAMP '2024-01-01' + to_seconds({DAY_SECONDS} * date_diff('day', DATE '1995-01-01', CAST({time} AS DATE)))"
+
+
+STREAM_FEED_SQL = f"""
+WITH {HISTORY_CTE},
+moved AS (SELECT o_custkey, o_orderpriority, {_fed("valid_from")} AS f, {_fed("valid_to")} AS t FROM history)
+SELECT event_id, user_id, o_orderpriority, {sql_time("f")} AS valid_from
+FROM events LEFT JOIN moved ON user_id = o_custkey AND ts >= f AND ts < t
+WHERE ts < date_trunc('milliseconds', {CLOSED})
+"""
+
+
 def _joined(spark, sf_dir, how, name):
     events = _events(spark, sf_dir)
     views = events.where("event_type = 'view'").select(
@@ -434,6 +466,7 @@ QUERIES = {
     "stream_dedupe": stream_dedupe,
     "stream_enrich": stream_enrich,
     "stream_enrich_as_of": stream_enrich_as_of,
+    "stream_enrich_from_feed": stream_enrich_from_feed,
     "stream_interval_join": stream_interval_join,
     "stream_interval_left": stream_interval_left,
     "stream_route": stream_route,
@@ -454,6 +487,7 @@ SQL = {
     "stream_dedupe": STREAM_DEDUPE_SQL,
     "stream_enrich": STREAM_ENRICH_SQL,
     "stream_enrich_as_of": STREAM_AS_OF_SQL,
+    "stream_enrich_from_feed": STREAM_FEED_SQL,
     "stream_interval_join": INTERVAL_SQL,
     "stream_interval_left": INTERVAL_LEFT_SQL,
     "stream_route": ROUTE_SQL,

@@ -6,6 +6,7 @@ the whole batch have been thinned out before the shuffle where that is possible
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
@@ -237,6 +238,105 @@ class FirstDays(StatefulProcessor):
         pass
 
 
+class Versions(StatefulProcessor):
+    """Events of a group with the version that holds at their time, each once the watermark has passed it.
+
+    Rows are (key, salt, at, tie, event), then the columns of an event and those of a version. State
+    holds the events that wait, the versions from the watermark on, and the last one before it with the
+    time since when nothing has changed. Events without a key or a time wait for nothing.
+    """
+
+    def __init__(self, columns: Sequence[str], events: int, versions: int, tie_type: str) -> None:
+        self.columns, self.events, self.versions, self.tie_type = list(columns), events, versions, tie_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.out = handle, Row(*self.columns)
+        self.changes = handle.getListState("versions", f"at bigint, tie {self.tie_type}, row binary, since bigint")
+        self.waiting = handle.getListState("events", "at bigint, row binary")
+        self.timer = handle.getValueState("timer", "due bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        mark, border = _watermark(timerValues), 5 + self.events
+        asked, changed = [], []
+        for row in rows:
+            if not row.event:
+                changed.append((row.at, row.tie, pickle.dumps(tuple(row[border : border + self.versions])), None))
+            elif key[0] is None or row.at is None:
+                yield self._shown(tuple(row[5:border]), None, None)
+            else:
+                asked.append((row.at, pickle.dumps(tuple(row[5:border]))))
+        if changed or asked:
+            held = self.timer.get()
+            least = min((at for at, _ in asked), default=mark)
+            if changed and held:
+                # Events that wait may need all there is; what they do not is dropped when they go.
+                self.changes.appendList(changed)
+            elif changed:
+                self._keep([*map(tuple, self.changes.get()), *changed], min(least, mark))
+            if asked:
+                self.waiting.appendList(asked)
+                yield from self._settle(least, mark, held)
+
+    def _shown(self, event: tuple, version: tuple | None, since: int | None) -> Row:
+        return self.out(*event, *(version or (None,) * self.versions), since)
+
+    def _settle(self, least: int, mark: int, held: tuple | None) -> Iterator[Row]:
+        """Events before the mark, if there can be any; a timer for the first of the others."""
+        due = least // MILLI + 1
+        if least < mark:
+            events = [tuple(e) for e in self.waiting.get()]
+            runs = self._runs([tuple(c) for c in self.changes.get()])
+            times = [c[0] for c in runs]
+            for at, event in events:
+                if at < mark:
+                    place = bisect_right(times, at) - 1
+                    found = runs[place] if place >= 0 else None
+                    yield self._shown(
+                        pickle.loads(event), pickle.loads(found[2]) if found else None, found[3] if found else None
+                    )
+            rest = [e for e in events if e[0] >= mark]
+            self._keep(runs, mark)
+            if not rest:
+                self.waiting.clear()
+                self.timer.clear()
+                return
+            self.waiting.put(rest)
+            due = min(at for at, _ in rest) // MILLI + 1
+        if held is None or due < held[0] or held[0] * MILLI <= mark:
+            self.handle.registerTimer(due)
+            self.timer.update((due,))
+
+    def _runs(self, changes: list[tuple]) -> list[tuple]:
+        """Versions by time, of those at one time the last by ``tie``, and since when each one's columns are as they are."""
+        age = lambda c: (c[0], c[3] is None, c[1] is not None, c[1] if c[1] is not None else 0)
+        found: list[tuple] = []
+        for at, tie, row, since in sorted(changes, key=age):
+            if found and found[-1][0] == at:
+                found.pop()
+            if since is None:
+                same = found and pickle.loads(found[-1][2]) == pickle.loads(row)
+                since = found[-1][3] if same else at
+            found.append((at, tie, row, since))
+        return found
+
+    def _keep(self, changes: list[tuple], least: int) -> None:
+        """State without the versions that hold for no event at ``least`` or later."""
+        runs = self._runs(changes)
+        first = max(bisect_right([c[0] for c in runs], least - 1) - 1, 0)
+        # Only what is behind is settled: a change may still come between two others.
+        kept = [c if c[0] < least else (*c[:3], None) for c in runs[first:]]
+        if kept:
+            self.changes.put(kept)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.timer.get()
+        if held and held[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            yield from self._settle((held[0] - 1) * MILLI, _watermark(timerValues), held)
+
+    def close(self) -> None:
+        pass
+
+
 class Newest(StatefulProcessor):
     """Rows that are newer than all their key had before.
 

@@ -1,4 +1,4 @@
-"""Change feeds, first events, and A (not) followed by B: state by key.
+"""Change feeds, versions as of an event, first events, and A (not) followed by B: state by key.
 
 State lives in the session's state store (RocksDB), the processors are in ``processors``. Each
 operator's output is written by batch, so a replayed batch overwrites what it wrote before.
@@ -16,9 +16,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from kelda.functions.times import micros, seconds
 from kelda.operators.maintenance import dedupe_latest, is_deletion
 from kelda.session import ship
-from kelda.streaming.processors import GROUP, Answers, FirstDays, Newest, Unanswered, thin
+from kelda.streaming.processors import GROUP, Answers, FirstDays, Newest, Unanswered, Versions, thin
 from kelda.streaming.sinks import idempotent_sink
 
+#: Tasks that rows without a key or a time, which need no state, are spread over.
+SPREAD = 1024
 #: Length of the time that one task has of a key, in spans within which an answer counts.
 STRETCH = 64
 
@@ -62,6 +64,74 @@ def current_rows(
     return newest.where(~is_deletion(op)).drop(op, seq)
 
 
+def enrich_from_feed(
+    df: DataFrame,
+    changes: DataFrame,
+    key: str,
+    ts: str,
+    attrs: Sequence[str],
+    at: str,
+    tie: str,
+    delay: str,
+    salts: int = 1,
+) -> DataFrame:
+    """Events with the ``attrs`` that their key had at their time, and ``valid_from``, from a stream of changes.
+
+    ``changes`` has ``key``, ``attrs``, the time ``at`` and ``tie``, the highest of which counts at one
+    instant. An event is shown once the watermark, ``delay`` behind the newest event, has passed it:
+    changes may come before or after their events, by up to ``delay``. The result is then that of
+    ``scd2_build`` and ``dim_as_of``. A change that comes later still holds for events that are not
+    out yet. Events later than ``delay`` are left out, by Spark's rule, which looks one batch further back.
+
+    State is, by key, the events that wait and the versions they can need: what was valid at the
+    watermark and what came after. The dimension is never scanned. Events without a key or
+    a time get nulls at once; changes without either hold for nothing. Only events move the watermark, so a
+    quiet feed holds nothing up and a backlog of old changes is not late. ``salts`` spreads the events of busy
+    keys over more tasks, each of which then has the key's versions.
+    """
+    ship(df.sparkSession)
+    kinds = [*df.schema.fields, *(changes.schema[a] for a in attrs)]
+    names = [f"c{k}" for k in range(len(kinds))]
+    times = ("timestamp", "timestamp_ntz")
+
+    def packed(column: Column, kind: T.DataType) -> Column:
+        return micros(column) if kind.simpleString() in times else column
+
+    def side(rows: DataFrame, event: bool, by: Column, when: Column, tie_of: Column, salt: Column, own: range) -> DataFrame:
+        columns = [
+            packed(F.col(f"`{f.name}`") if k in own else F.lit(None).cast(f.dataType), f.dataType).alias(n)
+            for k, (n, f) in enumerate(zip(names, kinds))
+        ]
+        marked = when if event else F.lit(None)
+        head = [by.alias("key"), salt.alias("salt"), micros(when).alias("at"), tie_of.alias("tie"), F.lit(event).alias("event")]
+        return rows.select(*head, *columns, marked.cast("timestamp").alias("mark"))
+
+    n = len(df.columns)
+    tie_kind = changes.schema[tie].dataType
+    lost = F.col(key).isNull() | F.col(ts).isNull()
+    # By all that a row holds; to_json takes maps, which have no hash.
+    content = F.xxhash64(F.to_json(F.struct(*(f"`{c}`" for c in df.columns))))
+    salt = F.when(lost, -1 - F.pmod(content, F.lit(SPREAD))).otherwise(F.pmod(content, F.lit(salts))).cast("int")
+    asked = side(df, True, F.col(key), F.col(ts), F.lit(None).cast(tie_kind), salt, range(n))
+    known = changes.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    told = side(known, False, F.col(key).cast(df.schema[key].dataType), F.col(at), F.col(tie), every, range(n, len(kinds)))
+    rows = asked.unionByName(told).withWatermark("mark", delay)
+    schema = T.StructType(
+        [
+            *(T.StructField(c, T.LongType() if f.dataType.simpleString() in times else f.dataType) for c, f in zip(names, kinds)),
+            T.StructField("since", T.LongType()),
+        ]
+    )
+    processor = Versions([*names, "since"], n, len(attrs), tie_kind.simpleString())
+    found = rows.groupBy("key", "salt").transformWithState(processor, schema, "Append", "EventTime")
+    time = lambda c, kind: F.timestamp_micros(c).cast(kind)
+    shown = [
+        (time(c, f.dataType) if f.dataType.simpleString() in times else F.col(c)).alias(f.name) for c, f in zip(names, kinds)
+    ]
+    return found.select(*shown, time("since", changes.schema[at].dataType).alias("valid_from"))
+
+
 def first_seen(
     df: DataFrame, key: str, ts: str, id: str, path: str, keep: str | None = None
 ) -> DataStreamWriter:

@@ -1,5 +1,6 @@
 """Keyed state: busy keys, late rows, replays, expiry."""
 
+import os
 import time
 from datetime import timedelta
 from pathlib import Path
@@ -7,7 +8,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from kelda.operators.dims import dim_as_of, scd2_build
 from kelda.streaming import sinks, state
+from kelda.streaming.source import event_stream
 from tests.test_streaming import LIMIT, at, feed, forget_last_commit  # noqa: F401
 
 ARGS = ("user", "ts", "id", "type", "a", "b", "1 hour", "1 hour")
@@ -152,3 +155,82 @@ def test_tombstones_are_forgotten(spark, feed, tmp_path, rows):  # noqa: F811
                 assert rows(current.withColumn("n", F.lit(7))) == wanted
     finally:
         spark.conf.set(name, before)
+
+
+def changes_of(spark, folder, *files):
+    """A feed of changes (user, at, attr, tie) that delivers the given lists one at a time, in that order."""
+    kind = "user string, at timestamp_ntz, attr string, tie int"
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(folder))
+        for path in Path(folder).glob("*.parquet"):
+            if path not in changes_of.seen:
+                changes_of.seen.add(path)
+                os.utime(path, (1_700_000_000 + 60 * k,) * 2)
+    return event_stream(spark, str(folder), spark.createDataFrame([], kind).schema, "at", max_files=1)
+
+
+changes_of.seen = set()
+
+
+def test_enrich_from_feed_in_step(spark, feed, tmp_path, rows):  # noqa: F811
+    """Many deliveries on both sides: changes come while events wait for the watermark."""
+    changes = [[(f"u{k % 3}", at(minutes=60 * j + 7 * k), f"{(j * k) % 4}", k) for k in range(8)] for j in range(6)]
+    events = [[(100 * j + k, f"u{k % 3}", at(minutes=60 * j + 5 * k), "a") for k in range(12)] for j in range(6)]
+    close = [[(999, "z", at(days=3), "a")]]
+    told = changes_of(spark, tmp_path / "changes", *changes)
+    df = state.enrich_from_feed(feed(*events, *close), told, "user", "ts", ["attr"], "at", "tie", "1 minute")
+    path = str(tmp_path / "as-of")
+    go(df, path)
+    data = spark.createDataFrame([e for f in events for e in f], "id bigint, user string, ts timestamp_ntz, type string")
+    log = spark.createDataFrame([c for f in changes for c in f], "user string, at timestamp_ntz, attr string, tie int")
+    wanted = dim_as_of(data, scd2_build(log, "user", ["attr"], "at", "tie"), "user", "ts")
+    columns = ("id", "attr", F.col("valid_from").cast("timestamp_ntz"))
+    assert rows(spark.read.schema(df.schema).parquet(path), *columns) == rows(wanted, *columns)
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_enrich_from_feed(spark, feed, tmp_path, rows, salts):  # noqa: F811
+    # Changes that change nothing, ties at an instant, changes at an event's own time, keys without changes.
+    changes = [(f"u{u}", at(minutes=7 * i + u), "xyy"[(i + u) % 3], i) for u in range(4) for i in range(40)]
+    changes += [("u1", at(minutes=50), "p", 1), ("u1", at(minutes=50), "q", 2), ("u2", at(days=-9), "old", 0)]
+    changes += [(None, at(), "null", 0), ("u1", None, "null", 0)]
+    early = [(k, f"u{k % 6}", at(minutes=2 * k), "a") for k in range(60)]
+    late = [(100 + k, f"u{k % 6}", at(minutes=120 + 2 * k), "a") for k in range(60)]
+    edge = [(300, None, at(minutes=5), "a"), (301, "u1", None, "b"), (302, "u1", at(minutes=50), None), (303, "u1", at(minutes=50), None)]
+    close = [(900, "z", at(days=3), "a")]
+    # The feed brings the second hour's changes with the first hour's events, the first hour's one batch behind them.
+    second = [c for c in changes if c[1] and c[1] >= at(minutes=120)]
+    first = [c for c in changes if c not in second]
+    told = changes_of(spark, tmp_path / "changes", second, first)
+    stream = feed(early + edge, late, close)
+    df = state.enrich_from_feed(stream, told, "user", "ts", ["attr"], "at", "tie", "4 hours", salts)
+    path = str(tmp_path / "as-of")
+    query = go(df, path)
+    read = lambda: spark.read.schema(df.schema).parquet(path)
+    data = spark.createDataFrame(early + edge + late, "id bigint, user string, ts timestamp_ntz, type string")
+    log = spark.createDataFrame(changes, "user string, at timestamp_ntz, attr string, tie int").where("user IS NOT NULL AND at IS NOT NULL")
+    history = scd2_build(log, "user", ["attr"], "at", "tie")
+    wanted = dim_as_of(data, history, "user", "ts")
+    columns = ("id", "user", "type", "attr", F.col("valid_from").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))
+    assert rows(read(), *columns) == rows(wanted, *columns) and read().count() == 124
+    # By key and salt one version before the mark and no event but the last: those of 4 users and of z.
+    assert state_rows(query) <= salts * 4 + 4
+    forget_last_commit(f"{path}-cp")
+    go(df, path)
+    assert rows(read(), *columns) == rows(wanted, *columns)
+
+
+def test_enrich_from_feed_late_change(spark, feed, tmp_path, rows):  # noqa: F811
+    """A change behind the watermark holds for what is not out yet, and for nothing that is."""
+    other = [("w", at(), "x", 0)]
+    told = changes_of(spark, tmp_path / "late", [("u", at(), "x", 0)], other, other, [("u", at(minutes=30), "y", 0)])
+    files = [
+        [(1, "u", at(hours=1), "a")],
+        [(2, "u", at(hours=9), "a")],
+        [(3, "v", at(hours=10), "a")],
+        [(4, "v", at(days=2), "a")],
+    ]
+    path = str(tmp_path / "out")
+    go(state.enrich_from_feed(feed(*files), told, "user", "ts", ["attr"], "at", "tie", "1 hour"), path)
+    got = rows(spark.read.parquet(path), "id", "attr", F.col("valid_from").cast("timestamp_ntz"))
+    assert got == [(1, "x", at()), (2, "y", at(minutes=30)), (3, None, None)]
