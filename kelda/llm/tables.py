@@ -21,6 +21,9 @@ ARROW_SETTINGS = {
 }
 
 
+#: Parts of a class that are cut to the sample's size on their own.
+SAMPLE_PARTS = 256
+
 _SHIPPED: set[str] = set()
 
 
@@ -82,11 +85,14 @@ def bounded_sample(rows: DataFrame, by: str, key: str, size: int, *also: str) ->
     """At most ``size`` rows of each class of ``by``: those of the smallest hashes of ``key`` and the
     columns ``also``, one row for all that are equal in these. Nulls of ``by`` belong to no class.
 
-    Hashes are ranked alone, cut to ``size`` before they meet; only rows with a chosen one are moved.
+    Hashes are ranked alone, cut to ``size`` in each of ``SAMPLE_PARTS`` parts of a class before these meet, so a
+    class is one task's for ``SAMPLE_PARTS`` times ``size`` hashes at most; only rows with a chosen one are moved.
     """
     place, nth = fresh_names(rows, "place", "nth")
     placed = rows.where(F.col(by).isNotNull()).withColumn(place, F.xxhash64(key, *also))
-    first = Window.partitionBy(by).orderBy(place)
-    ranked = placed.select(by, place).distinct().withColumn(nth, F.row_number().over(first))
-    chosen = stored(ranked.where(F.col(nth) <= size).select(by, place), "sampled-places")
+    part = F.pmod(F.col(place), F.lit(SAMPLE_PARTS))
+    ranked = placed.select(by, place).distinct()
+    for window in (Window.partitionBy(by, part), Window.partitionBy(by)):
+        ranked = ranked.withColumn(nth, F.row_number().over(window.orderBy(place))).where(F.col(nth) <= size)
+    chosen = stored(ranked.select(by, place), "sampled-places")
     return placed.join(chosen, [by, place], "left_semi").dropDuplicates([by, place]).select(quoted(rows.columns))

@@ -271,6 +271,43 @@ def test_cross_parsing_by_hand():
         assert costs[0, k] == pytest.approx(phrases * model.phrase_cost[k])
 
 
+def plain_parse(symbols, sample):
+    """Phrases of a whole text by searching the sample for each longest match."""
+    known = "".join(map(chr, sample))
+    text, i, phrases = "".join(map(chr, symbols)), 0, 0
+    while i < len(text):
+        size = 0
+        while i + size < len(text) and text[i : i + size + 1] in known:
+            size += 1
+        phrases += 1
+        i += max(size, 1)
+    return phrases
+
+
+@pytest.mark.parametrize("lane", [1, 7, 512])
+def test_cross_parsing_of_long_texts(monkeypatch, lane):
+    """Texts of many lanes, of letters with and without a symbol of their own, against one plain parse."""
+    import random
+
+    draw = random.Random(lane)
+    pick = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    han = [chr(0x4E00 + 37 * k) for k in range(400)]
+    samples = {"a": pick("ab ", 900), "b": "ab" * 400, "c": pick(["de", "abc ", "é"], 300), "h": pick(han, 700)}
+    monkeypatch.setattr(language, "LANE", lane)
+    model = language.build(samples)
+    texts = [pick("ab ", 3000), "ab" * 1500, "b" + "ab" * 1500, "", "x", pick(["de", "abc ", "é", "ж"], 2000), pick(han, 900)]
+    texts += [samples["h"][50:90] + "\u9fa5\U00020000" + samples["h"][5:600], samples["c"] * 3, None]
+    costs, letters = model.costs(texts)
+    symbols, borders = language.symbols_of(texts, model.symbols)
+    for k, sample in enumerate(samples.values()):
+        own = language.symbols_of([sample], model.symbols)[0].tolist()
+        for n, (a, b) in enumerate(zip(borders, borders[1:])):
+            assert costs[n, k] == pytest.approx(plain_parse(symbols[a:b].tolist(), own) * model.phrase_cost[k])
+    # Letters without a symbol of their own are told apart.
+    pairs = [tuple(language.symbols_of([c], model.symbols)[0]) for c in set(samples["h"])]
+    assert len(set(pairs)) == len(pairs) and max(map(len, pairs)) == 2 and model.predict([pick(han, 200)])[0] == ["h"]
+
+
 def test_warc(spark):
     big = "y" * 1000
     rows = [(1, "u 1\n", big), (3, None, big), (2, "u2", big), (3, "u3", big), (4, "u", big[1:]), (5, "u", big[1:])]

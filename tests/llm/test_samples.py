@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kelda.llm import toxicity
+from kelda.llm import language, toxicity
 from kelda.llm.tables import bounded_sample
 
 
@@ -39,3 +39,10 @@ def test_toxicity_learns_one_text_of_an_id(spark, monkeypatch):
     monkeypatch.setattr(toxicity.np, "frombuffer", lambda raw, *a, _f=toxicity.np.frombuffer, **k: seen.append(1) or _f(raw, *a, **k))
     toxicity.learn(docs, labels)
     assert len(seen) == 101
+
+
+def test_shares():
+    texts = ["a" * 10, "b" * 1000, "c" * 100, "d" * 5000]
+    assert [len(t) for t in language.shares(texts, 700)] == [10, 295, 100, 295]
+    assert language.shares(texts, 10**6) == texts
+    assert language.shares([], 5) == [] and [len(t) for t in language.shares(["xx"] * 3, 2)] == [1] * 3
