@@ -1,7 +1,8 @@
-"""Keyed state of the streaming operators: what a key's task does with its new rows.
+"""Keyed state of the streaming operators: what a bucket of keys does with its new rows.
 
-Times are microseconds since 1970. A processor sees a group's rows of one batch, after those of
-the whole batch have been thinned out before the shuffle where that is possible (see ``thin``).
+Times are microseconds since 1970. Keys lie in buckets by hash, and a bucket's keys share one value in
+the state store and one timer (see ``Keyed``). A processor sees a bucket's rows of one batch, after those
+of the whole batch have been thinned out before the shuffle where that is possible (see ``thin``).
 """
 
 from __future__ import annotations
@@ -43,44 +44,114 @@ def thin(by: Sequence[str], order: Sequence[str], last: bool = False) -> Callabl
     return run
 
 
-def _lists(held: tuple) -> tuple:
-    """A state's arrays as lists; its last value is no array."""
-    return (*(list(x) if x is not None else [] for x in held[:-1]), held[-1])
-
-
 def _watermark(timers) -> int:
     return max(timers.getCurrentWatermarkInMs(), 0) * MILLI
 
 
-class Answers(StatefulProcessor):
-    """Starts of a group with the first answer that follows within ``within``.
+def _same(value):
+    """Equal and hashable for all values that Spark puts in one group."""
+    if isinstance(value, float):
+        return "NaN" if value != value else value
+    if isinstance(value, (list, tuple)):
+        return tuple(map(_same, value))
+    return bytes(value) if isinstance(value, bytearray) else value
 
-    Rows are (starts, at, id). State holds the starts that can still get an answer or an earlier
-    one, and the answers that a late start can still need: those the watermark has not passed. A
-    start is written when its first answer is there, and again only if an earlier answer comes
-    late. A group's timer clears what the watermark has settled when no more rows come.
+
+class Keyed(StatefulProcessor):
+    """State by key, the keys of a bucket in one value: a batch reads and writes it once, however many
+    keys there are in it. Calls of the state store and of timers by key would each be a way to the JVM and back.
+
+    Rows begin with the ``by`` columns of their key. A subclass says what it keeps of a key's new rows
+    (``new``, ``add``), what these do to the key's state (``step``), and what its time does (``expire``); both
+    yield rows and return the state, None if there is nothing to keep. A state ends with the time (in
+    milliseconds) from which ``expire`` is due, or None. The bucket has a timer for the earliest of these.
     """
 
-    def __init__(self, id_type: str, within: int) -> None:
-        self.id_type, self.within = id_type, within
+    by = 1
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState(
-            "starts", f"at array<bigint>, id array<{self.id_type}>, answer array<bigint>, answers array<bigint>, timer bigint"
-        )
+        self.state = handle.getValueState("keys", "held binary, due bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.state.get()
-        at, ids, answer, seen, timer = _lists(held) if held else ([], [], [], [], None)
-        old, fresh = len(at), []
+        fresh: dict[tuple, tuple] = {}
         for row in rows:
-            if row.starts:
-                at.append(row.at)
-                ids.append(row.id)
+            name = tuple(row[: self.by])
+            same = _same(name)
+            if same not in fresh:
+                fresh[same] = (name, self.new())
+            self.add(fresh[same][1], row)
+        mark = _watermark(timerValues)
+        held, due = self._load()
+        for same, (name, found) in fresh.items():
+            _, before = held.get(same, (name, None))
+            after = yield from self.step(name, before, found, mark)
+            self._put(held, same, name, after)
+        self._store(held, due, mark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = _watermark(timerValues)
+        held, due = self._load()
+        for same, (name, before) in list(held.items()):
+            if before[-1] is not None and before[-1] * MILLI <= mark:
+                after = yield from self.expire(name, before, mark)
+                self._put(held, same, name, after)
+        self._store(held, None if due is None or due <= expiredTimerInfo.getExpiryTimeInMs() else due, mark)
+
+    def _load(self) -> tuple[dict, int | None]:
+        found = self.state.get()
+        return (pickle.loads(found[0]), found[1]) if found else ({}, None)
+
+    def _put(self, held: dict, same: tuple, name: tuple, after: tuple | None) -> None:
+        if after is not None:
+            held[same] = (name, after)
+        else:
+            held.pop(same, None)
+
+    def _store(self, held: dict, due: int | None, mark: int) -> None:
+        if not held:
+            self.state.clear()
+            return
+        least = min((s[-1] for _, s in held.values() if s[-1] is not None), default=None)
+        if least is not None and (due is None or least < due or due * MILLI <= mark):
+            self.handle.registerTimer(least)
+            due = least
+        self.state.update((pickle.dumps(held, pickle.HIGHEST_PROTOCOL), due))
+
+    def new(self):
+        return []
+
+    def close(self) -> None:
+        pass
+
+
+class Answers(Keyed):
+    """Starts of a group with the first answer that follows within ``within``.
+
+    Rows are (group, starts, at, id). State holds the starts that can still get an answer or an earlier
+    one, and the answers that a late start can still need: those the watermark has not passed. A
+    start is written when its first answer is there, and again only if an earlier answer comes
+    late. A group's time clears what the watermark has settled when no more rows come.
+    """
+
+    by = len(GROUP)
+
+    def __init__(self, within: int) -> None:
+        self.within = within
+
+    def add(self, found: list, row: Row) -> None:
+        found.append((row.starts, row.at, row.id))
+
+    def step(self, key, held, rows, mark):
+        at, ids, answer, seen, timer = held or ([], [], [], [], None)
+        old, fresh = len(at), []
+        for starts, when, id_ in rows:
+            if starts:
+                at.append(when)
+                ids.append(id_)
                 answer.append(OPEN)
             else:
-                fresh.append(row.at)
+                fresh.append(when)
         # Old starts look at new answers, new ones at all.
         fresh.sort()
         every = sorted(seen + fresh)
@@ -90,68 +161,57 @@ class Answers(StatefulProcessor):
             if place < len(own) and own[place] <= start + self.within and (answer[k] == OPEN or own[place] < answer[k]):
                 answer[k] = own[place]
                 yield ANSWERED(*key, ids[k], start, answer[k])
-        self._keep(at, ids, answer, every, timer, _watermark(timerValues))
+        return self._kept(at, ids, answer, every, timer, mark)
 
-    def _keep(self, at, ids, answer, seen, timer, mark) -> None:
+    def _kept(self, at, ids, answer, seen, timer, mark) -> tuple | None:
         """State without what the watermark has settled."""
         ends = [t + self.within if b == OPEN else b for t, b in zip(at, answer)]
         # An answer at the mark may still come, an earlier one than that at the mark not.
         rest = [k for k, b in enumerate(answer) if (ends[k] >= mark if b == OPEN else ends[k] > mark)]
         seen = [t for t in seen if t > mark]
-        if rest or seen:
-            if timer is None:
-                timer = max([*(ends[k] for k in rest), *seen]) // MILLI + 1
-                self.handle.registerTimer(timer)
-            self.state.update(([at[k] for k in rest], [ids[k] for k in rest], [answer[k] for k in rest], seen, timer))
-        else:
-            self.state.clear()
+        if not rest and not seen:
+            return None
+        if timer is None:
+            timer = max([*(ends[k] for k in rest), *seen]) // MILLI + 1
+        return [at[k] for k in rest], [ids[k] for k in rest], [answer[k] for k in rest], seen, timer
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.state.get()
-        if held:
-            at, ids, answer, seen, timer = _lists(held)
-            timer = None if timer <= expiredTimerInfo.getExpiryTimeInMs() else timer
-            self._keep(at, ids, answer, seen, timer, _watermark(timerValues))
-        return iter(())
-
-    def close(self) -> None:
-        pass
+    def expire(self, key, held, mark):
+        yield from ()
+        return self._kept(*held[:-1], None, mark)
 
 
-class Unanswered(StatefulProcessor):
+class Unanswered(Keyed):
     """Starts of a group that no answer follows within ``within``, each once the watermark has passed its own expiry.
 
-    Rows are (starts, at, id). State holds the open starts, each until it is answered or expires, and the
-    answers that a late start can still need. The timer of a group is that of its first open start.
+    Rows are (group, starts, at, id). State holds the open starts, each until it is answered or expires, and the
+    answers that a late start can still need. The time of a group is that of its first open start.
     """
 
-    def __init__(self, id_type: str, within: int) -> None:
-        self.id_type, self.within = id_type, within
+    by = len(GROUP)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState(
-            "starts", f"at array<bigint>, id array<{self.id_type}>, answers array<bigint>, timer bigint"
-        )
+    def __init__(self, within: int) -> None:
+        self.within = within
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.state.get()
-        at, ids, seen, timer = _lists(held) if held else ([], [], [], None)
-        for row in rows:
-            if row.starts:
-                at.append(row.at)
-                ids.append(row.id)
+    def add(self, found: list, row: Row) -> None:
+        found.append((row.starts, row.at, row.id))
+
+    def step(self, key, held, rows, mark):
+        at, ids, seen, timer = held or ([], [], [], None)
+        for starts, when, id_ in rows:
+            if starts:
+                at.append(when)
+                ids.append(id_)
             else:
-                seen.append(row.at)
+                seen.append(when)
         seen.sort()
         rest = []
         for k, start in enumerate(at):
             place = bisect_right(seen, start)
             if place == len(seen) or seen[place] > start + self.within:
                 rest.append(k)
-        yield from self._settle(key, [at[k] for k in rest], [ids[k] for k in rest], seen, timer, _watermark(timerValues))
+        return (yield from self._settle(key, [at[k] for k in rest], [ids[k] for k in rest], seen, mark))
 
-    def _settle(self, key, at, ids, seen, timer, mark) -> Iterator[Row]:
+    def _settle(self, key, at, ids, seen, mark):
         rest = []
         for k, start in enumerate(at):
             # An answer at the mark may still come.
@@ -160,53 +220,38 @@ class Unanswered(StatefulProcessor):
             else:
                 rest.append(k)
         seen = [t for t in seen if t > mark]
-        if rest or seen:
-            due = min([at[k] + self.within for k in rest], default=max(seen, default=0)) // MILLI + 1
-            if timer is None or due < timer:
-                self.handle.registerTimer(due)
-                timer = due
-            self.state.update(([at[k] for k in rest], [ids[k] for k in rest], seen, timer))
-        else:
-            self.state.clear()
+        if not rest and not seen:
+            return None
+        due = min([at[k] + self.within for k in rest], default=max(seen, default=0)) // MILLI + 1
+        return [at[k] for k in rest], [ids[k] for k in rest], seen, due
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.state.get()
-        if held:
-            at, ids, seen, timer = _lists(held)
-            # If another timer is on its way, it will look again.
-            timer = None if timer <= expiredTimerInfo.getExpiryTimeInMs() else timer
-            yield from self._settle(key, at, ids, seen, timer, _watermark(timerValues))
-
-    def close(self) -> None:
-        pass
+    def expire(self, key, held, mark):
+        return (yield from self._settle(key, *held[:-1], mark))
 
 
-class FirstDays(StatefulProcessor):
+class FirstDays(Keyed):
     """A key's first event of each day, and whether the key was new or away for more than ``keep`` days.
 
-    Rows are (day, at, id), days numbered from 1970. State holds the days that are known: all of them, or with
+    Rows are (key, day, at, id), days numbered from 1970. State holds the days that are known: all of them, or with
     ``keep`` those a later day can still be compared with. Then it goes when the watermark has
     passed the last day by so much that the key counts as new whatever comes.
     """
 
-    def __init__(self, id_type: str, keep: int | None) -> None:
-        self.id_type, self.keep = id_type, keep
+    def __init__(self, keep: int | None) -> None:
+        self.keep = keep
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("days", "days array<int>, last int")
+    def new(self):
+        return {}
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.state.get()
-        known, last = _lists(held) if held else ([], None)
-        firsts: dict[int, tuple] = {}
-        for row in rows:
-            place = (row.at, row.id is not None, row.id if row.id is not None else 0)
-            if row.day not in firsts or place < firsts[row.day]:
-                firsts[row.day] = place
+    def add(self, found: dict, row: Row) -> None:
+        place = (row.at, row.id is not None, row.id if row.id is not None else 0)
+        if row.day not in found or place < found[row.day]:
+            found[row.day] = place
+
+    def step(self, key, held, firsts, mark):
+        known, _ = held or ([], None)
         settled = set(known)
-        least = last - self.keep - 1 if self.keep is not None and known else None
-        news = False
+        least = known[-1] - self.keep - 1 if self.keep is not None and known else None
         for day in sorted(firsts):
             # Days that are no longer kept have been told.
             if day in settled or least is not None and day < least:
@@ -216,29 +261,18 @@ class FirstDays(StatefulProcessor):
             at, has, id_ = firsts[day]
             yield FIRST(key[0], day, at, id_ if has else None, away)
             known.append(day)
-            news = True
-        if news:
-            known.sort()
-            if self.keep is not None:
-                known = [d for d in known if d >= known[-1] - self.keep - 1]
-                if known[-1] != last:
-                    self.handle.registerTimer(self._end(known[-1]))
-            self.state.update((known, known[-1]))
-
-    def _end(self, day: int) -> int:
-        return (day + self.keep + 2) * DAY_MILLIS
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.state.get()
-        if held and self._end(held[-1]) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.state.clear()
-        return iter(())
+        if not known:
+            return None
+        known.sort()
+        if self.keep is None:
+            return known, None
+        return [d for d in known if d >= known[-1] - self.keep - 1], (known[-1] + self.keep + 2) * DAY_MILLIS
 
-    def close(self) -> None:
-        pass
+    def expire(self, key, held, mark):
+        yield from ()
 
 
-class Versions(StatefulProcessor):
+class Versions(Keyed):
     """Events of a group with the version that holds at their time, each once the watermark has passed it.
 
     Rows are (key, salt, at, tie, event), then the columns of an event and those of a version. State
@@ -246,65 +280,63 @@ class Versions(StatefulProcessor):
     time since when nothing has changed. Events without a key or a time wait for nothing.
     """
 
-    def __init__(self, columns: Sequence[str], events: int, versions: int, tie_type: str) -> None:
-        self.columns, self.events, self.versions, self.tie_type = list(columns), events, versions, tie_type
+    by = 2
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.out = handle, Row(*self.columns)
-        self.changes = handle.getListState("versions", f"at bigint, tie {self.tie_type}, row binary, since bigint")
-        self.waiting = handle.getListState("events", "at bigint, row binary")
-        self.timer = handle.getValueState("timer", "due bigint")
+    def __init__(self, columns: Sequence[str], events: int, versions: int) -> None:
+        self.columns, self.events, self.versions = list(columns), events, versions
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        mark, border = _watermark(timerValues), 5 + self.events
-        asked, changed = [], []
-        for row in rows:
-            if not row.event:
-                changed.append((row.at, row.tie, pickle.dumps(tuple(row[border : border + self.versions])), None))
-            elif key[0] is None or row.at is None:
-                yield self._shown(tuple(row[5:border]), None, None)
-            else:
-                asked.append((row.at, pickle.dumps(tuple(row[5:border]))))
-        if changed or asked:
-            held = self.timer.get()
-            least = min((at for at, _ in asked), default=mark)
-            if changed and held:
-                # Events that wait may need all there is; what they do not is dropped when they go.
-                self.changes.appendList(changed)
-            elif changed:
-                self._keep([*map(tuple, self.changes.get()), *changed], min(least, mark))
-            if asked:
-                self.waiting.appendList(asked)
-                yield from self._settle(least, mark, held)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.out = Row(*self.columns)
+
+    def new(self):
+        return [], [], []
+
+    def add(self, found: tuple, row: Row) -> None:
+        changed, asked, lost = found
+        border = 5 + self.events
+        if not row[4]:
+            changed.append((row[2], row[3], tuple(row[border : border + self.versions]), None))
+        elif row[0] is None or row[2] is None:
+            lost.append(tuple(row[5:border]))
+        else:
+            asked.append((row[2], tuple(row[5:border])))
+
+    def step(self, key, held, rows, mark):
+        changes, waiting, due = held or ([], [], None)
+        changed, asked, lost = rows
+        for event in lost:
+            yield self._shown(event, None, None)
+        least = min((at for at, _ in asked), default=mark)
+        if changed and due is not None:
+            # Events that wait may need all there is; what they do not is dropped when they go.
+            changes = changes + changed
+        elif changed:
+            changes = self._kept(changes + changed, min(least, mark))
+        if asked:
+            changes, waiting, due = yield from self._settle(changes, waiting + asked, least, mark, due)
+        return (changes, waiting, due) if changes or waiting else None
 
     def _shown(self, event: tuple, version: tuple | None, since: int | None) -> Row:
         return self.out(*event, *(version or (None,) * self.versions), since)
 
-    def _settle(self, least: int, mark: int, held: tuple | None) -> Iterator[Row]:
-        """Events before the mark, if there can be any; a timer for the first of the others."""
+    def _settle(self, changes: list[tuple], waiting: list[tuple], least: int, mark: int, before: int | None):
+        """Events before the mark, if there can be any; the first of the others says when it goes on."""
         due = least // MILLI + 1
         if least < mark:
-            events = [tuple(e) for e in self.waiting.get()]
-            runs = self._runs([tuple(c) for c in self.changes.get()])
+            runs = self._runs(changes)
             times = [c[0] for c in runs]
-            for at, event in events:
+            for at, event in waiting:
                 if at < mark:
                     place = bisect_right(times, at) - 1
                     found = runs[place] if place >= 0 else None
-                    yield self._shown(
-                        pickle.loads(event), pickle.loads(found[2]) if found else None, found[3] if found else None
-                    )
-            rest = [e for e in events if e[0] >= mark]
-            self._keep(runs, mark)
-            if not rest:
-                self.waiting.clear()
-                self.timer.clear()
-                return
-            self.waiting.put(rest)
-            due = min(at for at, _ in rest) // MILLI + 1
-        if held is None or due < held[0] or held[0] * MILLI <= mark:
-            self.handle.registerTimer(due)
-            self.timer.update((due,))
+                    yield self._shown(event, found[2] if found else None, found[3] if found else None)
+            waiting = [e for e in waiting if e[0] >= mark]
+            changes = self._kept(runs, mark)
+            if not waiting:
+                return changes, waiting, None
+            due = min(at for at, _ in waiting) // MILLI + 1
+        return changes, waiting, due if before is None or due < before or before * MILLI <= mark else before
 
     def _runs(self, changes: list[tuple]) -> list[tuple]:
         """Versions by time, of those at one time the last by ``tie``, and since when each one's columns are as they are."""
@@ -314,27 +346,21 @@ class Versions(StatefulProcessor):
             if found and found[-1][0] == at:
                 found.pop()
             if since is None:
-                same = found and pickle.loads(found[-1][2]) == pickle.loads(row)
-                since = found[-1][3] if same else at
+                since = found[-1][3] if found and found[-1][2] == row else at
             found.append((at, tie, row, since))
         return found
 
-    def _keep(self, changes: list[tuple], least: int) -> None:
-        """State without the versions that hold for no event at ``least`` or later."""
+    def _kept(self, changes: list[tuple], least: int) -> list[tuple]:
+        """Without the versions that hold for no event at ``least`` or later."""
         runs = self._runs(changes)
         first = max(bisect_right([c[0] for c in runs], least - 1) - 1, 0)
         # Only what is behind is settled: a change may still come between two others.
-        kept = [c if c[0] < least else (*c[:3], None) for c in runs[first:]]
-        if kept:
-            self.changes.put(kept)
+        return [c if c[0] < least else (*c[:3], None) for c in runs[first:]]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.timer.get()
-        if held and held[0] <= expiredTimerInfo.getExpiryTimeInMs():
-            yield from self._settle((held[0] - 1) * MILLI, _watermark(timerValues), held)
-
-    def close(self) -> None:
-        pass
+    def expire(self, key, held, mark):
+        changes, waiting, due = held
+        changes, waiting, due = yield from self._settle(changes, waiting, (due - 1) * MILLI, mark, due)
+        return (changes, waiting, due) if changes or waiting else None
 
 
 class Newest(StatefulProcessor):

@@ -1,6 +1,6 @@
 """Change feeds, versions as of an event, first events, and A (not) followed by B: state by key.
 
-State lives in the session's state store (RocksDB), the processors are in ``processors``. Each
+State lives in the session's state store (RocksDB), by bucket of keys; the processors are in ``processors``. Each
 operator's output is written by batch, so a replayed batch overwrites what it wrote before.
 """
 
@@ -21,6 +21,8 @@ from kelda.streaming.sinks import idempotent_sink
 
 #: Tasks that rows without a key or a time, which need no state, are spread over.
 SPREAD = 1024
+#: Buckets of keys: a bucket's keys share a value of the state store (see ``processors.Keyed``).
+BUCKETS = 1024
 #: Length of the time that one task has of a key, in spans within which an answer counts.
 STRETCH = 64
 
@@ -74,6 +76,7 @@ def enrich_from_feed(
     tie: str,
     delay: str,
     salts: int = 1,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Events with the ``attrs`` that their key had at their time, and ``valid_from``, from a stream of changes.
 
@@ -87,7 +90,8 @@ def enrich_from_feed(
     watermark and what came after. The dimension is never scanned. Events without a key or
     a time get nulls at once; changes without either hold for nothing. Only events move the watermark, so a
     quiet feed holds nothing up and a backlog of old changes is not late. ``salts`` spreads the events of busy
-    keys over more tasks, each of which then has the key's versions.
+    keys over more tasks, each of which then has the key's versions. ``buckets`` is how many values of
+    the state store hold all keys; it goes with the number of keys, not with that of busy ones.
     """
     ship(df.sparkSession)
     kinds = [*df.schema.fields, *(changes.schema[a] for a in attrs)]
@@ -123,8 +127,8 @@ def enrich_from_feed(
             T.StructField("since", T.LongType()),
         ]
     )
-    processor = Versions([*names, "since"], n, len(attrs), tie_kind.simpleString())
-    found = rows.groupBy("key", "salt").transformWithState(processor, schema, "Append", "EventTime")
+    processor = Versions([*names, "since"], n, len(attrs))
+    found = _bucketed(rows, ["key", "salt"], buckets).transformWithState(processor, schema, "Append", "EventTime")
     time = lambda c, kind: F.timestamp_micros(c).cast(kind)
     shown = [
         (time(c, f.dataType) if f.dataType.simpleString() in times else F.col(c)).alias(f.name) for c, f in zip(names, kinds)
@@ -133,7 +137,7 @@ def enrich_from_feed(
 
 
 def first_seen(
-    df: DataFrame, key: str, ts: str, id: str, path: str, keep: str | None = None
+    df: DataFrame, key: str, ts: str, id: str, path: str, keep: str | None = None, buckets: int = BUCKETS
 ) -> DataStreamWriter:
     """Each key's first event per day, as soon as it arrives, under ``path``.
 
@@ -170,8 +174,8 @@ def first_seen(
             T.StructField("is_first_ever", T.BooleanType()),
         ]
     )
-    told = thinned.groupBy("key").transformWithState(
-        FirstDays(kind.simpleString(), days), out, "Append", "EventTime" if keep else "None"
+    told = _bucketed(thinned, ["key"], buckets).transformWithState(
+        FirstDays(days), out, "Append", "EventTime" if keep else "None"
     )
     first = F.timestamp_micros("at").cast(df.schema[ts].dataType)
     shown = told.select(
@@ -184,6 +188,11 @@ def first_seen(
     return idempotent_sink(shown, path)
 
 
+def _bucketed(rows: DataFrame, by: Sequence[str], buckets: int):
+    """Rows grouped by bucket; what ``by`` holds is in one bucket, whatever else is there."""
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int")).groupBy("bucket")
+
+
 def _groups(
     df: DataFrame, key: str, ts: str, id: str, type: str, a: str, b: str, within: str, delay: str, salts: int, stretch: int
 ) -> tuple[DataFrame, list[str], int]:
@@ -238,6 +247,7 @@ def followed_by(
     delay: str,
     salts: int = 1,
     stretch: int = STRETCH,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Each A event with the time of the first B of the same key within T after it, when that is there.
 
@@ -249,8 +259,8 @@ def followed_by(
     """
     ship(df.sparkSession)
     rows, group, span = _groups(df, key, ts, id, type, a, b, within, delay, salts, stretch)
-    found = rows.groupBy(*group).transformWithState(
-        Answers(df.schema[id].dataType.simpleString(), span), _kinds(df, key, id, "a_at", "b_at"), "Append", "EventTime"
+    found = _bucketed(rows, group, buckets).transformWithState(
+        Answers(span), _kinds(df, key, id, "a_at", "b_at"), "Append", "EventTime"
     )
     time = lambda c: F.timestamp_micros(c).cast(df.schema[ts].dataType)
     return found.select(F.col("k0").alias(key), "a_id", time("a_at").alias("a_ts"), time("b_at").alias("b_ts"))
@@ -273,13 +283,14 @@ def not_followed_by(
     delay: str,
     salts: int = 1,
     stretch: int = STRETCH,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """A events that no B of the same key followed within T, once the watermark has passed
     their own expiry; arguments as for ``followed_by``. State holds open starts only."""
     ship(df.sparkSession)
     rows, group, span = _groups(df, key, ts, id, type, a, b, within, delay, salts, stretch)
-    found = rows.groupBy(*group).transformWithState(
-        Unanswered(df.schema[id].dataType.simpleString(), span), _kinds(df, key, id, "a_at"), "Append", "EventTime"
+    found = _bucketed(rows, group, buckets).transformWithState(
+        Unanswered(span), _kinds(df, key, id, "a_at"), "Append", "EventTime"
     )
     time = F.timestamp_micros("a_at").cast(df.schema[ts].dataType)
     return found.select(F.col("k0").alias(key), "a_id", time.alias("a_ts"))
