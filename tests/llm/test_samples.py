@@ -46,3 +46,23 @@ def test_shares():
     assert [len(t) for t in language.shares(texts, 700)] == [10, 295, 100, 295]
     assert language.shares(texts, 10**6) == texts
     assert language.shares([], 5) == [] and [len(t) for t in language.shares(["xx"] * 3, 2)] == [1] * 3
+
+
+def test_toxicity_learns_from_every_row(spark):
+    """A word that few labelled rows hold, and one behind 7,000 others, count with the driver and with shards."""
+    odd = F.when(F.col("id") % 3 == 0, F.concat(F.lit("vile"), (F.col("id") % 90).cast("string"), F.lit(" talk"))).otherwise("kind talk")
+    long = F.when(F.col("id") % 300 == 1, F.concat(F.repeat(F.lit("kind "), 7000), F.lit("hideous")))
+    docs = spark.range(9000).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(long, F.concat(odd, F.lit(" and words "), (F.col("id") % 11).cast("string"))).alias("text"),
+        F.lit("x").alias("lang"),
+    )
+    labels = docs.select("doc_id", F.coalesce((F.col("doc_id") % 3 == 0) | (F.col("doc_id") % 300 == 1), F.lit(False)).cast("int").alias("toxic"))
+    nets = [toxicity.learn(docs, labels, few_rows=few, shard_rows=4000) for few in (9000, 10)]
+    asked = spark.createDataFrame([(f"vile{k} talk",) for k in range(0, 90, 3)] + [("kind talk hideous",), ("kind talk",)], "text string")
+    for net in nets:
+        scores = {r["text"]: r["s"] for r in toxicity.with_scores(asked, net, "s").collect()}
+        assert scores.pop("kind talk") < 0.5 and min(scores.values()) > 0.5, scores
+        assert "x" in net.thresholds
+    again = toxicity.learn(docs.repartition(5), labels.repartition(3), few_rows=10, shard_rows=4000)
+    assert (again.tables == nets[1].tables).all() and again.thresholds == nets[1].thresholds
