@@ -1,8 +1,8 @@
 """Phrase collocation mining with counting quotient filters (operator 11).
 
 Texts become blocks of one language: a stream of word numbers and the block's own list of words.
-Words are counted by Spark; those with ``least`` occurrences or more get an id (one for each
-language and word). Then n-grams of two words are counted, of three, and so on. A phrase that is
+A block's words go in arrays to segments of their hash, where they are counted; those with ``least``
+occurrences or more get an id (one for each language and word), and the block is told its words' ids. Then n-grams of two words are counted, of three, and so on. A phrase that is
 frequent has only frequent parts, so a block's stream is first cut down to runs of words in
 which every shorter phrase is frequent. Nothing that could reach ``least`` is left out, and the
 counts are exact.
@@ -26,6 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ WORDS, LEAST, TOP, SCALE = 5, 100, 2000, 1000
 BLOCK_BYTES, CUT_BYTES = 4 << 20, 1 << 19
 #: n-grams of a segment at most on average, least segments, and filters that meet in one task.
 SEGMENT_GRAMS, LEAST_SEGMENT_BITS, FAN = 1 << 19, 8, 4096
+#: Different words of blocks that a segment has on average, and least segments of words.
+SEGMENT_WORDS, LEAST_WORD_SEGMENTS = 1 << 22, 256
 #: Shares of a language that are ranked apart before they meet.
 SALTS = 64
 UNKNOWN = "und"
@@ -143,16 +147,108 @@ def word_blocks(texts: DataFrame) -> DataFrame:
     return texts.where(F.col("text").isNotNull()).select("lang", "text").mapInArrow(run, BLOCKS)
 
 
-def numbered(words: DataFrame) -> DataFrame:
-    """(lang, word, n) with ids from 1, in order of language and word."""
-    ranged = words.repartitionByRange("lang", "word").sortWithinPartitions("lang", "word")
-    at = F.monotonically_increasing_id()
-    placed = stored(ranged.select("*", F.spark_partition_id().alias("part"), at.bitwiseAND((1 << 33) - 1).alias("nth")), "words")
-    # One row a task.
-    sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
-    upto = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    before = sizes.select("part", F.coalesce(upto, F.lit(0)).alias("before"))
-    return placed.join(before, "part").select("lang", "word", "n", (F.col("before") + F.col("nth") + 1).alias("id"))
+WORD_ANSWERS = "block bigint, places array<int>, ids array<bigint>, langs array<string>, words array<string>, ns array<bigint>"
+
+
+def _dealt(segments: int):
+    """Of each block, its words by segment of their hash: (block, lang, segment, places, words, counts)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c) for c in ("block", "lang", "words", "counts")))
+            for block, lang, words, counts in rows:
+                segment = hash_array(words.values.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(segments)
+                order = np.argsort(segment, kind="stable")
+                known, first = np.unique(segment[order], return_index=True)
+                offsets = pa.array(np.append(first, len(order)), pa.int32())
+                listed = lambda values: pa.ListArray.from_arrays(offsets, values)  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block.as_py()] * len(known), pa.int64()),
+                        pa.array([lang.as_py()] * len(known), pa.string()),
+                        pa.array(known.astype(np.int32)),
+                        listed(pa.array(order.astype(np.int32))),
+                        listed(words.values.take(pa.array(order))),
+                        listed(counts.values.take(pa.array(order))),
+                    ],
+                    names=["block", "lang", "segment", "places", "words", "counts"],
+                )
+
+    return run
+
+
+def _known_words(segments: int, least: int):
+    """Of a segment's words: those with ``least`` occurrences or more in a language, with ids (block null), and for each
+    block the places and ids of such words of it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        flat = lambda c: table.column(c).combine_chunks().flatten()
+        sizes = pc.list_value_length(table.column("places")).to_numpy()
+        lang, word = table.column("lang").combine_chunks().dictionary_encode(), flat("words").dictionary_encode()
+        of_lang = np.repeat(lang.indices.to_numpy(), sizes).astype(np.int64)
+        both = of_lang * len(word.dictionary) + word.indices.to_numpy()
+        different, place = np.unique(both, return_inverse=True)
+        n = np.zeros(len(different), np.int64)
+        np.add.at(n, place, flat("counts").to_numpy())
+        frequent = n >= least
+        # Segments take turns, so ids are nearly without gaps.
+        ids = np.where(frequent, (np.cumsum(frequent) - 1) * segments + table.column("segment")[0].as_py() + 1, 0)
+        kept = frequent[place]
+        upto = np.append(0, np.cumsum(kept))[np.append(0, np.cumsum(sizes))]
+        has = np.flatnonzero(np.diff(upto) > 0)
+        cuts = pa.array(np.append(upto[has], upto[-1]), pa.int32())
+        shown = different[frequent]
+        whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        mine = [
+            pa.array([None], pa.int64()),
+            pa.array([None], pa.list_(pa.int32())),
+            whole(pa.array(ids[frequent])),
+            whole(lang.dictionary.take(pa.array(shown // len(word.dictionary)))),
+            whole(word.dictionary.take(pa.array(shown % len(word.dictionary)))),
+            whole(pa.array(n[frequent])),
+        ]
+        none = lambda kind: pa.nulls(len(has), pa.list_(kind))
+        told = [
+            table.column("block").combine_chunks().take(pa.array(has)),
+            pa.ListArray.from_arrays(cuts, pa.array(flat("places").to_numpy()[kept], pa.int32())),
+            pa.ListArray.from_arrays(cuts, pa.array(ids[place][kept], pa.int64())),
+            none(pa.string()),
+            none(pa.string()),
+            none(pa.int64()),
+        ]
+        names = ["block", "places", "ids", "langs", "words", "ns"]
+        return pa.concat_tables(
+            [pa.Table.from_arrays([c.cast(k) for c, k in zip(cs, _ANSWER_KINDS)], names=names) for cs in (mine, told)]
+        )
+
+    return run
+
+
+_ANSWER_KINDS = [
+    pa.int64(),
+    pa.list_(pa.int32()),
+    pa.list_(pa.int64()),
+    pa.list_(pa.string()),
+    pa.list_(pa.string()),
+    pa.list_(pa.int64()),
+]
+
+
+def known_words(made: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, word, n, id) of the words with ``least`` occurrences or more, and (block, places, ids) of each
+    block's by segment: words move in arrays, a row for each block and segment."""
+    pairs = made.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
+    segments = max(LEAST_WORD_SEGMENTS, -(-pairs // SEGMENT_WORDS))
+    dealt = made.select("block", "lang", "words", "counts").mapInArrow(
+        _dealt(segments),
+        "block bigint, lang string, segment int, places array<int>, words array<string>, counts array<bigint>",
+    )
+    answers = stored(dealt.groupBy("segment").applyInArrow(_known_words(segments, least), WORD_ANSWERS), "word-answers")
+    rows = answers.where(F.col("block").isNull()).select(F.explode(F.arrays_zip("langs", "words", "ns", "ids")).alias("w"))
+    known = rows.select(
+        F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.ns").alias("n"), F.col("w.ids").alias("id")
+    )
+    return stored(known, "vocabulary"), answers.where(F.col("block").isNotNull()).select("block", "places", "ids")
 
 
 def _windows(stream: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,9 +298,9 @@ def _ids_of_words(words: pa.Table, own: pa.Table) -> pa.Table:
     if not len(own):
         return _stream_row(0, np.empty(0, np.uint32), 2)
     stream = np.frombuffer(own.column("stream")[0].as_py(), "<u4")
-    place = words.column("place").to_numpy()
     ids = np.zeros(int(stream.max()) + 1, np.uint32)
-    ids[place + 1] = words.column("id").to_numpy()
+    for places, own_ids in zip(words.column("places"), words.column("ids")):
+        ids[places.values.to_numpy() + 1] = own_ids.values.to_numpy()
     found = ids[stream]
     return _stream_row(own.column("block")[0].as_py(), _runs(found, np.flatnonzero(found), 1), 2)
 
@@ -452,18 +548,14 @@ def collocations(
         F.col(text_col).cast("string").alias("text"),
     )
     made = stored(word_blocks(texts), "word-blocks")
-    words = made.select(F.col("block").alias("of"), "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
-    words = words.select("of", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    known = stored(numbered(counted), "vocabulary")
+    known, told = known_words(made, least)
     totals = stored(
         made.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("total")),
         "totals",
     )
-    ids = words.select("of", "lang", "place", "word").join(known.hint("merge"), ["lang", "word"])
-    pairs = ids.select("of", "place", "id").groupBy("of").cogroup(made.select("block", "stream").groupBy("block"))
+    pairs = told.groupBy("block").cogroup(made.select("block", "stream").groupBy("block"))
     streams = stored(pairs.applyInArrow(_ids_of_words, STREAMS), "streams-2")
-    phrases = frequent_phrases(streams, known.count(), most, least, fan)
+    phrases = frequent_phrases(streams, known.agg(F.max("id")).first()[0] or 0, most, least, fan)
     if phrases is None:
         return _nothing(docs.sparkSession)
     scored = _uncontained(_scored(phrases, known, totals), phrases)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kelda.llm import collocations
 from kelda.llm import quotient_filter as qf
+from kelda.llm.tables import stored
 from tests.llm.common import LONG_TEXT
 
 
@@ -106,3 +107,23 @@ def test_counts_beyond_64_bits(spark):
     totals = spark.createDataFrame([("en", 10**15)], "lang string, total bigint")
     got = collocations._scored(phrases, words, totals).collect()
     assert [r["score"] for r in got] == [1000 * big * 10**15 // ((big + 1) * (big + 2))]
+
+
+def test_words_of_blocks_move_in_arrays(spark):
+    """A row for each block and segment, however many words a block has; ids differ by language and word."""
+    texts = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("lang"),
+        F.concat_ws(" ", F.lit("both"), *[F.concat(F.lit(f"w{k}_"), (F.col("id") % 40).cast("string")) for k in range(40)]).alias("text"),
+    )
+    made = stored(collocations.word_blocks(texts), "blocks")
+    known, told = collocations.known_words(made, 50)
+    words = {(r["lang"], r["word"]): (r["n"], r["id"]) for r in known.collect()}
+    assert len(words) == 2 * (1 + 20 * 40) == known.count() == len({i for _, i in words.values()})
+    assert words["x", "both"][0] == 1500 and words["x", "w3_4"][0] == 75 and ("y", "w3_4") not in words
+    of = {r["block"]: (r["lang"], r["words"]) for r in made.collect()}
+    rows = told.collect()
+    assert len(rows) <= 256 * len(of)
+    for r in rows:
+        lang, own = of[r["block"]]
+        assert [words[lang, own[p]][1] for p in r["places"]] == r["ids"]
+    assert sum(len(r["ids"]) for r in rows) == sum(len(own) for _, own in of.values())
