@@ -147,11 +147,12 @@ def word_blocks(texts: DataFrame) -> DataFrame:
     return texts.where(F.col("text").isNotNull()).select("lang", "text").mapInArrow(run, BLOCKS)
 
 
-WORD_ANSWERS = "block bigint, places array<int>, ids array<bigint>, langs array<string>, words array<string>, ns array<bigint>"
+WORD_ANSWERS = "block bigint, segment int, steps array<int>, ranks array<int>, ids array<bigint>, langs array<string>, words array<string>, ns array<bigint>"
 
 
 def _dealt(segments: int):
-    """Of each block, its words by segment of their hash: (block, lang, segment, places, words, counts)."""
+    """Of each block, its words by segment of their hash: (block, lang, segment, steps, words, counts). Steps lead
+    from one word's place in the block to the next one's; they are small, so they take little room."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,17 +162,19 @@ def _dealt(segments: int):
                 order = np.argsort(segment, kind="stable")
                 known, first = np.unique(segment[order], return_index=True)
                 offsets = pa.array(np.append(first, len(order)), pa.int32())
+                steps = np.diff(order, prepend=0)
+                steps[first] = order[first]
                 listed = lambda values: pa.ListArray.from_arrays(offsets, values)  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block.as_py()] * len(known), pa.int64()),
                         pa.array([lang.as_py()] * len(known), pa.string()),
                         pa.array(known.astype(np.int32)),
-                        listed(pa.array(order.astype(np.int32))),
+                        listed(pa.array(steps.astype(np.int32))),
                         listed(words.values.take(pa.array(order))),
-                        listed(counts.values.take(pa.array(order))),
+                        listed(counts.values.take(pa.array(order)).cast(pa.int32())),
                     ],
-                    names=["block", "lang", "segment", "places", "words", "counts"],
+                    names=["block", "lang", "segment", "steps", "words", "counts"],
                 )
 
     return run
@@ -179,11 +182,11 @@ def _dealt(segments: int):
 
 def _known_words(segments: int, least: int):
     """Of a segment's words: those with ``least`` occurrences or more in a language, with ids (block null), and for each
-    block the places and ids of such words of it."""
+    block the steps between and ranks of such words of it."""
 
     def run(table: pa.Table) -> pa.Table:
         flat = lambda c: table.column(c).combine_chunks().flatten()
-        sizes = pc.list_value_length(table.column("places")).to_numpy()
+        sizes = pc.list_value_length(table.column("steps")).to_numpy()
         lang, word = table.column("lang").combine_chunks().dictionary_encode(), flat("words").dictionary_encode()
         of_lang = np.repeat(lang.indices.to_numpy(), sizes).astype(np.int64)
         both = of_lang * len(word.dictionary) + word.indices.to_numpy()
@@ -192,17 +195,26 @@ def _known_words(segments: int, least: int):
         np.add.at(n, place, flat("counts").to_numpy())
         frequent = n >= least
         # Segments take turns, so ids are nearly without gaps.
-        ids = np.where(frequent, (np.cumsum(frequent) - 1) * segments + table.column("segment")[0].as_py() + 1, 0)
+        segment, ranks = table.column("segment")[0].as_py(), np.cumsum(frequent) - 1
         kept = frequent[place]
         upto = np.append(0, np.cumsum(kept))[np.append(0, np.cumsum(sizes))]
         has = np.flatnonzero(np.diff(upto) > 0)
         cuts = pa.array(np.append(upto[has], upto[-1]), pa.int32())
+        # Places from steps, and the steps between those that are kept.
+        begins = np.cumsum(sizes) - sizes
+        places = flat("steps").to_numpy().astype(np.int64).cumsum()
+        before = np.append(0, places)[begins]
+        places = (places - np.repeat(before, sizes))[kept]
+        steps = np.diff(places, prepend=0)
+        steps[upto[has]] = places[upto[has]]
         shown = different[frequent]
         whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         mine = [
             pa.array([None], pa.int64()),
+            pa.array([segment]),
             pa.array([None], pa.list_(pa.int32())),
-            whole(pa.array(ids[frequent])),
+            pa.array([None], pa.list_(pa.int32())),
+            whole(pa.array(ranks[frequent] * segments + segment + 1)),
             whole(lang.dictionary.take(pa.array(shown // len(word.dictionary)))),
             whole(word.dictionary.take(pa.array(shown % len(word.dictionary)))),
             whole(pa.array(n[frequent])),
@@ -210,13 +222,15 @@ def _known_words(segments: int, least: int):
         none = lambda kind: pa.nulls(len(has), pa.list_(kind))
         told = [
             table.column("block").combine_chunks().take(pa.array(has)),
-            pa.ListArray.from_arrays(cuts, pa.array(flat("places").to_numpy()[kept], pa.int32())),
-            pa.ListArray.from_arrays(cuts, pa.array(ids[place][kept], pa.int64())),
+            pa.array([segment] * len(has), pa.int32()),
+            pa.ListArray.from_arrays(cuts, pa.array(steps, pa.int32())),
+            pa.ListArray.from_arrays(cuts, pa.array(ranks[place][kept], pa.int32())),
+            none(pa.int64()),
             none(pa.string()),
             none(pa.string()),
             none(pa.int64()),
         ]
-        names = ["block", "places", "ids", "langs", "words", "ns"]
+        names = ["block", "segment", "steps", "ranks", "ids", "langs", "words", "ns"]
         return pa.concat_tables(
             [pa.Table.from_arrays([c.cast(k) for c, k in zip(cs, _ANSWER_KINDS)], names=names) for cs in (mine, told)]
         )
@@ -226,6 +240,8 @@ def _known_words(segments: int, least: int):
 
 _ANSWER_KINDS = [
     pa.int64(),
+    pa.int32(),
+    pa.list_(pa.int32()),
     pa.list_(pa.int32()),
     pa.list_(pa.int64()),
     pa.list_(pa.string()),
@@ -234,21 +250,22 @@ _ANSWER_KINDS = [
 ]
 
 
-def known_words(made: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, word, n, id) of the words with ``least`` occurrences or more, and (block, places, ids) of each
-    block's by segment: words move in arrays, a row for each block and segment."""
+def known_words(made: DataFrame, least: int) -> tuple[DataFrame, DataFrame, int]:
+    """(lang, word, n, id) of the words with ``least`` occurrences or more, (block, segment, steps, ranks) of each
+    block's, and how many segments there are: words move in arrays, a row for each block and segment."""
     pairs = made.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
     segments = max(LEAST_WORD_SEGMENTS, -(-pairs // SEGMENT_WORDS))
     dealt = made.select("block", "lang", "words", "counts").mapInArrow(
         _dealt(segments),
-        "block bigint, lang string, segment int, places array<int>, words array<string>, counts array<bigint>",
+        "block bigint, lang string, segment int, steps array<int>, words array<string>, counts array<int>",
     )
     answers = stored(dealt.groupBy("segment").applyInArrow(_known_words(segments, least), WORD_ANSWERS), "word-answers")
     rows = answers.where(F.col("block").isNull()).select(F.explode(F.arrays_zip("langs", "words", "ns", "ids")).alias("w"))
     known = rows.select(
         F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.ns").alias("n"), F.col("w.ids").alias("id")
     )
-    return stored(known, "vocabulary"), answers.where(F.col("block").isNotNull()).select("block", "places", "ids")
+    told = answers.where(F.col("block").isNotNull()).select("block", "segment", "steps", "ranks")
+    return stored(known, "vocabulary"), told, segments
 
 
 def _windows(stream: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -293,16 +310,21 @@ def _stream_row(block: int, stream: np.ndarray, n: int) -> pa.Table:
 STREAMS = "block bigint, stream binary, grams bigint"
 
 
-def _ids_of_words(words: pa.Table, own: pa.Table) -> pa.Table:
-    """A block's stream by ids, words without one being breaks."""
-    if not len(own):
-        return _stream_row(0, np.empty(0, np.uint32), 2)
-    stream = np.frombuffer(own.column("stream")[0].as_py(), "<u4")
-    ids = np.zeros(int(stream.max()) + 1, np.uint32)
-    for places, own_ids in zip(words.column("places"), words.column("ids")):
-        ids[places.values.to_numpy() + 1] = own_ids.values.to_numpy()
-    found = ids[stream]
-    return _stream_row(own.column("block")[0].as_py(), _runs(found, np.flatnonzero(found), 1), 2)
+def _ids_of_words(segments: int):
+    """Of a block, its stream by ids, words without one being breaks."""
+
+    def run(words: pa.Table, own: pa.Table) -> pa.Table:
+        if not len(own):
+            return _stream_row(0, np.empty(0, np.uint32), 2)
+        stream = np.frombuffer(own.column("stream")[0].as_py(), "<u4")
+        ids = np.zeros(int(stream.max()) + 1, np.uint32)
+        for segment, steps, ranks in zip(*(words.column(c) for c in ("segment", "steps", "ranks"))):
+            places = steps.values.to_numpy().astype(np.int64).cumsum()
+            ids[places + 1] = ranks.values.to_numpy().astype(np.int64) * segments + segment.as_py() + 1
+        found = ids[stream]
+        return _stream_row(own.column("block")[0].as_py(), _runs(found, np.flatnonzero(found), 1), 2)
+
+    return run
 
 
 def _filters(n: int, bits: int, segment_bits: int):
@@ -548,13 +570,13 @@ def collocations(
         F.col(text_col).cast("string").alias("text"),
     )
     made = stored(word_blocks(texts), "word-blocks")
-    known, told = known_words(made, least)
+    known, told, segments = known_words(made, least)
     totals = stored(
         made.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("total")),
         "totals",
     )
     pairs = told.groupBy("block").cogroup(made.select("block", "stream").groupBy("block"))
-    streams = stored(pairs.applyInArrow(_ids_of_words, STREAMS), "streams-2")
+    streams = stored(pairs.applyInArrow(_ids_of_words(segments), STREAMS), "streams-2")
     phrases = frequent_phrases(streams, known.agg(F.max("id")).first()[0] or 0, most, least, fan)
     if phrases is None:
         return _nothing(docs.sparkSession)

@@ -116,7 +116,7 @@ def test_words_of_blocks_move_in_arrays(spark):
         F.concat_ws(" ", F.lit("both"), *[F.concat(F.lit(f"w{k}_"), (F.col("id") % 40).cast("string")) for k in range(40)]).alias("text"),
     )
     made = stored(collocations.word_blocks(texts), "blocks")
-    known, told = collocations.known_words(made, 50)
+    known, told, segments = collocations.known_words(made, 50)
     words = {(r["lang"], r["word"]): (r["n"], r["id"]) for r in known.collect()}
     assert len(words) == 2 * (1 + 20 * 40) == known.count() == len({i for _, i in words.values()})
     assert words["x", "both"][0] == 1500 and words["x", "w3_4"][0] == 75 and ("y", "w3_4") not in words
@@ -125,5 +125,6 @@ def test_words_of_blocks_move_in_arrays(spark):
     assert len(rows) <= 256 * len(of)
     for r in rows:
         lang, own = of[r["block"]]
-        assert [words[lang, own[p]][1] for p in r["places"]] == r["ids"]
-    assert sum(len(r["ids"]) for r in rows) == sum(len(own) for _, own in of.values())
+        ids = [k * segments + r["segment"] + 1 for k in r["ranks"]]
+        assert [words[lang, own[p]][1] for p in np.cumsum(r["steps"])] == ids
+    assert sum(len(r["ranks"]) for r in rows) == sum(len(own) for _, own in of.values())
