@@ -75,7 +75,9 @@ class Net:
     def start(cls, first: np.ndarray) -> Net:
         """``first``: (2, BUCKETS), the first dimension of each table."""
         random = np.random.default_rng(7)
-        tables = random.normal(0, 0.05, (2, BUCKETS, DIMS)).astype(np.float32)
+        tables = np.empty((2, BUCKETS, DIMS), np.float32)
+        for part in tables.reshape(PARTS, -1):  # the numbers that one call would draw
+            part[:] = random.normal(0, 0.05, part.size)
         tables[:, :, 0] = first
         tables[:, 0] = 0
         filters = [random.normal(0, 0.1, (w * 2 * DIMS, FILTERS)).astype(np.float32) for w in WIDTHS]
@@ -246,6 +248,13 @@ def calibrate(net: Net, texts: list[np.ndarray], toxic: np.ndarray, langs: list[
             net.thresholds[lang] = best_threshold(scores[own], toxic[own])
 
 
+def _places_of(block: pa.RecordBatch) -> list[np.ndarray]:
+    """The places of each text's words."""
+    words = words_of(texts_of(block.column("text")), PLAIN)
+    found, cuts = places(words.hashes).astype("<i4"), words.offsets.tolist()
+    return [found[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def _looked_up(rows: DataFrame) -> DataFrame:
     """(id, toxic, lang, words) of labelled texts, words as places."""
 
@@ -253,10 +262,7 @@ def _looked_up(rows: DataFrame) -> DataFrame:
         with np.errstate(over="ignore"):
             for batch in batches:
                 for block in blocks(batch, "text"):
-                    words = words_of(texts_of(block.column("text")), PLAIN)
-                    found = places(words.hashes).astype("<i4")
-                    cuts = words.offsets.tolist()
-                    raw = [found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                    raw = [own.tobytes() for own in _places_of(block)]
                     columns = [block.column("id").cast(pa.string()), block.column("toxic"), block.column("lang")]
                     yield pa.RecordBatch.from_arrays(
                         [*columns, pa.array(raw, pa.binary())], names=["id", "toxic", "lang", "words"]
@@ -294,20 +300,23 @@ def _piece_batch(parts: list[np.ndarray], shard: int, first: int = 0) -> pa.Reco
     return pa.RecordBatch.from_arrays(columns, names=["part", "shard", "data"])
 
 
-def _all_use_counts(words: DataFrame) -> np.ndarray:
-    """``use_counts`` of all rows."""
+def _all_use_counts(rows: DataFrame) -> np.ndarray:
+    """``use_counts`` of all labelled texts. Looked up and counted in one pass: a second one behind it would be
+    a second Python worker for each task, and Spark keeps a worker, with what it holds, for the steps after."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 2, BUCKETS), np.float32)
-        for batch in batches:
-            for rows, label in zip(_texts(batch), batch.column("toxic").to_pylist()):
-                for k in range(2):
-                    counts[label, k, np.unique(rows[:, k])] += 1
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for block in blocks(batch, "text"):
+                    for own, label in zip(_places_of(block), block.column("toxic").to_pylist()):
+                        for k in range(2):
+                            counts[label, k, np.unique(own[:, k])] += 1
         if counts.any():
             yield _piece_batch(np.split(counts.ravel(), PARTS), 0)
 
     # Whole numbers, so their order doesn't show.
-    found = _added_up(words.mapInArrow(run, _PARTS_OF), lambda part, raw: np.sum(raw, axis=0, dtype=np.float64))
+    found = _added_up(rows.select("toxic", "text").mapInArrow(run, _PARTS_OF), lambda part, raw: np.sum(raw, axis=0, dtype=np.float64))
     empty = np.zeros(4 * BUCKETS // PARTS, np.float32)
     return np.concatenate([found.get(k, empty) for k in range(PARTS)]).astype(np.float64).reshape(2, 2, BUCKETS)
 
@@ -322,7 +331,6 @@ def _trained_in_shards(words: DataFrame, odds: np.ndarray, shards: int) -> Net:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, net, texts, toxic, held = None, None, [], [], 0
-        first = Net.start(start.value)
 
         def go_on() -> None:
             nonlocal net, held
@@ -337,7 +345,9 @@ def _trained_in_shards(words: DataFrame, odds: np.ndarray, shards: int) -> Net:
             go_on()
             if net is not None:
                 yield _piece_batch([np.concatenate([x.ravel() for x in _dense(net)])], shard, PARTS)
-                yield _piece_batch(np.split((net.tables - first.tables).reshape(-1, DIMS), PARTS), shard)
+                net.tables -= Net.start(start.value).tables
+                for k, part in enumerate(np.split(net.tables.reshape(-1, DIMS), PARTS)):
+                    yield _piece_batch([part], shard, k)
 
         for batch in batches:
             for own, label, rows in zip(batch.column("shard").to_pylist(), batch.column("toxic").to_pylist(), _texts(batch)):
@@ -424,10 +434,10 @@ def learn(
     if total <= few_rows and sum(r["bytes"] for r in sizes) <= FEW_BYTES:
         return _learned_from_few(_looked_up(every).collect())
     train_sizes = np.array([sum(r["n"] for r in sizes if r["toxic"] == k and not r["aside"]) for k in (0, 1)])
-    words = _looked_up(every.where(~aside))
-    odds = log_odds(_all_use_counts(words), train_sizes)
+    learned = every.where(~aside)
+    odds = log_odds(_all_use_counts(learned), train_sizes)
     shards = min(MOST_SHARDS, max(1, -(-int(train_sizes.sum()) // shard_rows)))
-    return _calibrated(_trained_in_shards(words, odds, shards), every.where(aside))
+    return _calibrated(_trained_in_shards(_looked_up(learned), odds, shards), every.where(aside))
 
 
 def _learned_from_few(rows: list) -> Net:

@@ -66,3 +66,21 @@ def test_toxicity_learns_from_every_row(spark):
         assert "x" in net.thresholds
     again = toxicity.learn(docs.repartition(5), labels.repartition(3), few_rows=10, shard_rows=4000)
     assert (again.tables == nets[1].tables).all() and again.thresholds == nets[1].thresholds
+
+
+def test_toxicity_takes_one_python_worker_a_task(spark, monkeypatch):
+    """No two Python passes of learning stand in one task: each would hold memory in a worker of its own."""
+    rows = spark.range(300).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), (F.col("id") % 2).alias("toxic")
+    )
+    plans, added_up = [], toxicity._added_up
+
+    def seen(pieces, add):
+        plans.append(pieces._jdf.queryExecution().executedPlan().toString())
+        return added_up(pieces, add)
+
+    monkeypatch.setattr(toxicity, "_added_up", seen)
+    assert toxicity.learn(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"), few_rows=10)
+    assert len(plans) == 2
+    for plan in plans:
+        assert "MapInArrow" in plan and all(task.count("MapInArrow") <= 1 for task in plan.split("Exchange"))
