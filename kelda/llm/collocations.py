@@ -8,9 +8,9 @@ which every shorter phrase is frequent. Nothing that could reach ``least`` is le
 counts are exact.
 
 Each round, a block counts its own n-grams and hands them on as quotient filters, one for each
-segment of the filter's range (see ``quotient_filter``). A segment's filters of all blocks are
-merged, and every block is told which of its entries are frequent: a bit for each, in the
-filter's order. No set of phrases is broadcast or sent to the driver. A phrase that is
+segment of the filter's range (see ``quotient_filter``); small streams are joined first, so that
+filters do not become many and tiny. A segment's filters of all blocks are merged, and every block
+is told which of its entries are frequent: a bit for each, in the filter's order. No set of phrases is broadcast or sent to the driver. A phrase that is
 everywhere is one entry of each block; where there are more than ``FAN`` blocks their filters
 are merged in lots first, and the lots' in lots again, so no task gets more than ``FAN`` filters.
 
@@ -32,16 +32,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kelda.llm.quotient_filter import Entries, decode, encode, gather, id_bits, merge, permute, segments_of
-from kelda.llm.tables import stored
+from kelda.llm.quotient_filter import Entries, borders, decode, decode_parts, encode, encode_parts, gather, id_bits
+from kelda.llm.quotient_filter import pack_parts, permute, ranges, segments_of, unpack_parts
+from kelda.llm.tables import LONG_ROWS, stored
 from kelda.llm.words import blocks, texts_of
 
 WORDS, LEAST, TOP, SCALE = 5, 100, 2000, 1000
-#: Bytes of text that one block's words come from (a longer text is a block alone), and that are
-#: cut into words together.
+#: Bytes of one block's words, four for each at least (a longer text is a block alone), and bytes of text
+#: that are cut into words together.
 BLOCK_BYTES, CUT_BYTES = 4 << 20, 1 << 19
 #: n-grams of a segment at most on average, least segments, and filters that meet in one task.
 SEGMENT_GRAMS, LEAST_SEGMENT_BITS, FAN = 1 << 19, 8, 4096
+#: n-grams that streams are joined to on average where they have less than a quarter of it, and least streams then.
+UNIT_GRAMS, LEAST_UNITS = 1 << 19, 16
 #: Different words of blocks that a segment has on average, and least segments of words.
 SEGMENT_WORDS, LEAST_WORD_SEGMENTS = 1 << 22, 256
 #: Shares of a language that are ranked apart before they meet.
@@ -63,10 +66,10 @@ def cut_words(strings: pa.Array) -> tuple[pa.Array, np.ndarray]:
     after = np.concatenate([inside[1:], [False]]) if len(inside) else inside
     starts = np.flatnonzero(inside & (first | ~before))
     ends = np.flatnonzero(inside & (last | ~after)) + 1
-    # Breaks before a byte; the border of a text is one, too.
-    breaks = np.cumsum(_BREAK[texts.data] | first, dtype=np.int64)
-    begins = np.ones(len(starts), bool)
-    begins[1:] = breaks[starts[1:]] != breaks[ends[:-1] - 1]
+    # The next word behind a break; the border of a text is one, too.
+    begins = np.zeros(len(starts) + 1, bool)
+    begins[np.searchsorted(starts, np.flatnonzero(_BREAK[texts.data] | first))] = True
+    begins = begins[:-1]
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     data = _LOWER[texts.data[inside]]
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
@@ -92,7 +95,8 @@ class _Held:
         words, begins = cut_words(strings)
         self.words.append(words.dictionary_encode())
         self.begins.append(begins)
-        self.bytes += words.nbytes
+        # Of a text in words of one letter, their numbers are more than their letters.
+        self.bytes += max(words.buffers()[2].size, 4 * len(words))
 
 
 BLOCKS = "block bigint, lang string, stream binary, words array<string>, counts array<bigint>"
@@ -132,13 +136,15 @@ def word_blocks(texts: DataFrame) -> DataFrame:
                 for k, lang in enumerate(langs.dictionary.to_pylist()):
                     own = piece.column("text").take(pa.array(np.flatnonzero(which == k)))
                     held.setdefault(lang, _Held()).add(own)
-                # Full ones, and all if together they are much.
-                much = sum(h.bytes for h in held.values()) >= 2 * BLOCK_BYTES
-                for lang in [x for x, h in held.items() if much or h.bytes >= BLOCK_BYTES]:
+                # Full ones, and the largest while together they are much.
+                total = sum(h.bytes for h in held.values())
+                for lang in sorted(held, key=lambda x: held[x].bytes, reverse=True):
+                    if held[lang].bytes < BLOCK_BYTES and total < 2 * BLOCK_BYTES:
+                        break
                     own = held.pop(lang)
-                    if sum(map(len, own.words)):
-                        yield _block_row(number, lang, own)
-                        number += 1
+                    total -= own.bytes
+                    yield _block_row(number, lang, own)
+                    number += 1
         for lang, own in held.items():
             if sum(map(len, own.words)):
                 yield _block_row(number, lang, own)
@@ -305,6 +311,24 @@ def _ids_of_words(words: pa.Table, own: pa.Table) -> pa.Table:
     return _stream_row(own.column("block")[0].as_py(), _runs(found, np.flatnonzero(found), 1), 2)
 
 
+def _one_stream(table: pa.Table) -> pa.Table:
+    """Several streams as one; each begins with a break."""
+    raw = b"".join(table.column("stream").to_pylist())
+    columns = [table.column("block").slice(0, 1), pa.array([raw], pa.binary())]
+    columns.append(pa.array([pc.sum(table.column("grams")).as_py()], pa.int64()))
+    return pa.Table.from_arrays(columns, names=["block", "stream", "grams"])
+
+
+def fewer_streams(streams: DataFrame, units: int, grams: int, n: int) -> tuple[DataFrame, int]:
+    """Streams and how many they are at most, small ones joined: each stream has a filter in nearly every
+    segment, so many small streams would make filters of a few entries."""
+    wanted = max(LEAST_UNITS, -(-grams // UNIT_GRAMS))
+    if 4 * wanted > units:
+        return streams, units
+    dealt = streams.withColumn("unit", F.pmod(F.xxhash64("block"), F.lit(wanted)))
+    return stored(dealt.groupBy("unit").applyInArrow(_one_stream, STREAMS), f"joined-{n}", **LONG_ROWS), wanted
+
+
 def _filters(n: int, bits: int, segment_bits: int):
     """Of each stream, its n-grams as filters: (unit, segment, filter)."""
 
@@ -314,7 +338,7 @@ def _filters(n: int, bits: int, segment_bits: int):
                 _, grams = _windows(np.frombuffer(raw.as_buffer(), "<u4"), n)
                 entries, _ = gather(*permute(grams, bits))
                 known, cuts = segments_of(entries, bits, segment_bits)
-                made = [encode(entries.part(slice(a, b)), bits, segment_bits) for a, b in zip(cuts, cuts[1:])]
+                made = encode_parts(entries, np.diff(cuts), bits, segment_bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block] * len(known), pa.int64()), pa.array(known, pa.int64()), pa.array(made, pa.binary())],
                     names=["unit", "segment", "filter"],
@@ -336,20 +360,18 @@ def _answer_rows(units: list, segment: int, flags: list, filters: list) -> pa.Ta
     return pa.Table.from_arrays(columns, names=["unit", "segment", "flags", "filter"])
 
 
-def _merged(table: pa.Table) -> tuple[int, list[int], list[Entries], Entries, np.ndarray]:
+def _merged(table: pa.Table) -> tuple[int, list[int], np.ndarray, Entries, np.ndarray]:
     segment = table.column("segment")[0].as_py()
-    parts = [decode(raw, segment) for raw in table.column("filter").to_pylist()]
-    return segment, table.column("unit").to_pylist(), parts, *merge(parts)
+    entries, sizes = decode_parts(table.column("filter").to_pylist(), segment)
+    return segment, table.column("unit").to_pylist(), sizes, *gather(entries.head, entries.tail, entries.counts)
 
 
-def _flagged(units: list[int], parts: list[Entries], frequent: np.ndarray) -> tuple[list[int], list[bytes]]:
+def _flagged(units: list[int], sizes: np.ndarray, frequent: np.ndarray) -> tuple[list[int], list[bytes]]:
     """For each shard with a frequent entry, a bit for every entry."""
-    kept, flags = [], []
-    for unit, own in zip(units, np.split(frequent, np.cumsum([len(p) for p in parts])[:-1])):
-        if own.any():
-            kept.append(unit)
-            flags.append(np.packbits(own, bitorder="little").tobytes())
-    return kept, flags
+    upto = borders(frequent)[borders(sizes)]
+    kept = np.flatnonzero(upto[1:] > upto[:-1]).tolist()
+    packed, cuts = pack_parts(frequent, sizes)
+    return [units[k] for k in kept], [packed[cuts[k] : cuts[k + 1]] for k in kept]
 
 
 def _settle(bits: int, segment_bits: int, least: int):
@@ -357,12 +379,12 @@ def _settle(bits: int, segment_bits: int, least: int):
     for each shard."""
 
     def run(table: pa.Table) -> pa.Table:
-        segment, units, parts, total, place = _merged(table)
+        segment, units, sizes, total, place = _merged(table)
         frequent = total.counts >= least
         if not frequent.any():
             return _answer_rows([], segment, [], [])
         found = encode(total.part(frequent), bits, segment_bits)
-        kept, flags = _flagged(units, parts, frequent[place])
+        kept, flags = _flagged(units, sizes, frequent[place])
         return _answer_rows([None, *kept], segment, [None, *flags], [found] + [None] * len(kept))
 
     return run
@@ -384,10 +406,10 @@ def _pass_on(lot: pa.Table, answer: pa.Table) -> pa.Table:
     """Flags for a lot's shards from those for the lot."""
     if not len(lot) or not len(answer):
         return _answer_rows([], 0, [], [])
-    segment, units, parts, total, place = _merged(lot)
+    segment, units, sizes, total, place = _merged(lot)
     raw = np.frombuffer(answer.column("flags")[0].as_py(), np.uint8)
     frequent = np.unpackbits(raw, count=len(total), bitorder="little").astype(bool)
-    kept, flags = _flagged(units, parts, frequent[place])
+    kept, flags = _flagged(units, sizes, frequent[place])
     return _answer_rows(kept, segment, flags, [None] * len(kept))
 
 
@@ -418,10 +440,9 @@ def _shorter(n: int, bits: int, segment_bits: int):
         entries, place = gather(*permute(grams, bits))
         frequent = np.zeros(len(entries), bool)
         known, cuts = segments_of(entries, bits, segment_bits)
-        borders = {k: (a, b) for k, a, b in zip(known.tolist(), cuts, cuts[1:])}
-        for segment, flags in zip(answers.column("segment").to_pylist(), answers.column("flags").to_pylist()):
-            a, b = borders[segment]
-            frequent[a:b] = np.unpackbits(np.frombuffer(flags, np.uint8), count=b - a, bitorder="little")
+        told = np.searchsorted(known, answers.column("segment").to_numpy())
+        sizes = np.diff(cuts)[told]
+        frequent[ranges(cuts[told], sizes)] = unpack_parts(b"".join(answers.column("flags").to_pylist()), sizes)
         kept = _runs(stream, at[frequent[place]], n)
         return _stream_row(own.column("block")[0].as_py(), kept, n + 1)
 
@@ -454,17 +475,18 @@ def frequent_phrases(
         sizes = streams.agg(F.sum("grams").alias("grams"), F.count("*").alias("units")).first()
         if not sizes["grams"]:
             break
+        streams, units = fewer_streams(streams, sizes["units"], sizes["grams"], n)
         needed = max(LEAST_SEGMENT_BITS, (sizes["grams"] // SEGMENT_GRAMS).bit_length())
         segment_bits = min(needed, 2 * bits)
         filters = streams.select("block", "stream").mapInArrow(
             _filters(n, bits, segment_bits), "unit bigint, segment bigint, filter binary"
         )
-        answers = stored(settled(filters, sizes["units"], bits, segment_bits, least, fan), f"answers-{n}")
+        answers = stored(settled(filters, units, bits, segment_bits, least, fan), f"answers-{n}")
         found.append(_phrases_of(answers, bits))
         if n < most:
             told = answers.where(F.col("unit").isNotNull()).select(F.col("unit").alias("block"), "segment", "flags")
             pairs = told.groupBy("block").cogroup(streams.groupBy("block"))
-            streams = stored(pairs.applyInArrow(_shorter(n, bits, segment_bits), STREAMS), f"streams-{n + 1}")
+            streams = stored(pairs.applyInArrow(_shorter(n, bits, segment_bits), STREAMS), f"streams-{n + 1}", **LONG_ROWS)
     if not found:
         return None
     phrases = found[0]
@@ -547,14 +569,14 @@ def collocations(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text_col).cast("string").alias("text"),
     )
-    made = stored(word_blocks(texts), "word-blocks")
+    made = stored(word_blocks(texts), "word-blocks", **LONG_ROWS)
     known, told = known_words(made, least)
     totals = stored(
         made.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("total")),
         "totals",
     )
     pairs = told.groupBy("block").cogroup(made.select("block", "stream").groupBy("block"))
-    streams = stored(pairs.applyInArrow(_ids_of_words, STREAMS), "streams-2")
+    streams = stored(pairs.applyInArrow(_ids_of_words, STREAMS), "streams-2", **LONG_ROWS)
     phrases = frequent_phrases(streams, known.agg(F.max("id")).first()[0] or 0, most, least, fan)
     if phrases is None:
         return _nothing(docs.sparkSession)

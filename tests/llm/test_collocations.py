@@ -45,6 +45,42 @@ def test_merged_filters_add_up():
     assert len(place) == sum(len(np.unique(s, axis=0)) for s in shards)
 
 
+@pytest.mark.parametrize("n", [2, 4])
+def test_filters_of_many_segments_and_shards(n):
+    """Built and read together, filters are those built and read one by one, in their order."""
+    random = np.random.default_rng(n)
+    shards = []
+    for size in (30_000, 40, 1):
+        entries, _ = qf.gather(*qf.permute(random.integers(1, 60, (size, n)).astype(np.uint32), 16))
+        counts = entries.counts * random.choice([1, 300, 1 << 40], len(entries))
+        shards.append(qf.Entries(entries.head, entries.tail, counts))
+    made = {}
+    for shard in shards:
+        known, cuts = qf.segments_of(shard, 16, 5)
+        raws = qf.encode_parts(shard, np.diff(cuts), 16, 5)
+        parts = [shard.part(slice(a, b)) for a, b in zip(cuts, cuts[1:])]
+        assert raws == [qf.encode(p, 16, 5) for p in parts]
+        for k, part, raw in zip(known.tolist(), parts, raws):
+            made.setdefault(k, []).append((part, raw))
+    assert max(map(len, made.values())) > 1
+    for k, own in made.items():
+        got, sizes = qf.decode_parts([raw for _, raw in own], k)
+        assert sizes.tolist() == [len(p) for p, _ in own]
+        for name in ("head", "tail", "counts"):
+            assert (getattr(got, name) == np.concatenate([getattr(p, name) for p, _ in own])).all()
+
+
+def test_flags_of_parts():
+    random = np.random.default_rng(4)
+    sizes = np.array([0, 3, 8, 17, 0, 64, 1])
+    flags = random.random(sizes.sum()) < 0.5
+    packed, cuts = qf.pack_parts(flags, sizes)
+    assert np.diff(cuts).tolist() == [0, 1, 1, 3, 0, 8, 1]
+    assert (qf.unpack_parts(packed, sizes) == flags).all()
+    at = np.split(flags, np.cumsum(sizes)[:-1])
+    assert [packed[a:b] for a, b in zip(cuts, cuts[1:])] == [np.packbits(x, bitorder="little").tobytes() for x in at]
+
+
 def brute_force(rows, least, top):
     counts, lower = {}, lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
     for text, lang in rows:
@@ -100,6 +136,36 @@ def test_long_empty_and_null(spark):
     assert collocations.collocations(docs.where("false")).columns == collocations.COLUMNS
 
 
+def test_small_streams_share_filters(spark, rows, monkeypatch):
+    """Filters are of streams of some size, not of each block: else their number grows with the input's square."""
+    units, settled = [], collocations.settled
+
+    def seen(filters, *rest):
+        units.append(filters.select("unit").distinct().count())
+        return settled(filters, *rest)
+
+    monkeypatch.setattr(collocations, "settled", seen)
+    docs = spark.createDataFrame(rows * 4, "text string, lang string").repartition(60).persist()
+    made = collocations.word_blocks(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text"))
+    assert made.count() > 100
+    got = collocations.collocations(docs, least=16, top=25)
+    assert sorted(map(tuple, got.collect())) == brute_force(rows * 4, 16, 25)
+    docs.unpersist()
+    assert len(units) == 4 and max(units) <= 16
+
+
+def test_blocks_are_filled(spark):
+    """Languages that take turns share a task's memory, and a block is of about 4 MB of words."""
+    text = F.repeat(F.concat_ws(" ", F.lit("a few words"), F.col("id") % 100, F.lit("and more.")), 100)
+    lang = F.element_at(F.array(*map(F.lit, ["en", "en", "en", "de", "fr", "es"])), (F.col("id") % 6 + 1).cast("int"))
+    texts = spark.range(9000).coalesce(1).select(lang.alias("lang"), text.alias("text"))
+    size = texts.agg(F.sum(F.length("text"))).first()[0]
+    made = stored(collocations.word_blocks(texts), "blocks")
+    assert size > 5 * collocations.BLOCK_BYTES and made.count() <= 4 + size // collocations.BLOCK_BYTES
+    n = made.agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y))).first()[0]
+    assert n == 9000 * 100 * 6
+
+
 def test_counts_beyond_64_bits(spark):
     big = 3 * 10**12
     phrases = spark.createDataFrame([([1, 2], big)], "ids array<bigint>, a bigint")
